@@ -7,6 +7,7 @@ runs the plan on the whole of them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,9 +31,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._bronze: dict[str, DataFrame] = {}
 
     def bronze(self, name: str) -> DataFrame:
-        return shapes.bronze(self.spark, self.sf_dir, name)
+        if name not in self._bronze:
+            self._bronze[name] = shapes.bronze(self.spark, self.sf_dir, name)
+        return self._bronze[name]
 
     def silver(self, name: str) -> DataFrame:
         return silver(name, self.bronze(name))
@@ -43,8 +47,8 @@ class Tables:
     def write_bronze(self) -> Layout:
         """The bronze layer as Parquet tables in a scratch folder."""
         layout = Layout(scratch_dir(self.spark))
-        for name in DATASETS:
-            write_table(self.bronze(name), layout.table("bronze", name))
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda name: write_table(self.bronze(name), layout.table("bronze", name)), DATASETS))
         return layout
 
 
