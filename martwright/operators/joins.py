@@ -1,4 +1,4 @@
-"""Left joins of a header table with its detail tables, safe against one oversized header."""
+"""Left joins that stay balanced when one key holds a large share of the rows."""
 
 from __future__ import annotations
 
@@ -7,7 +7,22 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-CHUNK_ROWS = 10_000
+CHUNK_ROWS = 1_000_000
+
+SALTS = 16
+
+
+def left_join_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+    """``rows`` left-joined with ``table``, which holds one row per key.
+
+    Any number of rows may share a key or have none. They are spread by the hash of their ``spread``
+    column over ``SALTS`` copies of each table row, which also gives the join shuffles of its own on
+    both sides: adaptive execution splits such partitions further where they are still too large,
+    and replaces the join by a broadcast where the table turns out small.
+    """
+    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
 
 
 @dataclass(frozen=True)

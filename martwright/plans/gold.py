@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from martwright.functions.calendar import date_attributes, purchase_date
 from martwright.functions.columns import money
 from martwright.operators.clean import smallest_per_key
-from martwright.operators.joins import Details, left_join_details
+from martwright.operators.joins import Details, left_join_details, left_join_lookup
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:
@@ -24,9 +24,7 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
 
     A category with several translations would repeat its products, and the deduplication would
     keep the smallest translation. Both sides are reduced before the join instead, which gives the
-    same rows without the fan-out. The join side is chosen by size at run time; a category that
-    holds a large share of the products is on the preserved side, which adaptive skew handling may
-    split.
+    same rows without the fan-out.
     """
     rows = smallest_per_key(
         products.select(
@@ -42,7 +40,7 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     translation = smallest_per_key(
         categories.select("product_category_name", "product_category_name_english"), ["product_category_name"]
     )
-    return rows.join(translation, "product_category_name", "left").select(
+    return left_join_lookup(rows, translation, "product_category_name", spread="product_id").select(
         "product_id",
         "product_category_name",
         "product_category_name_english",

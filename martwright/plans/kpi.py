@@ -1,8 +1,8 @@
 """Headline business figures over the silver tables and gold dimensions.
 
 Revenue is the sum of item prices over the items of known orders, whatever their status; orders
-without items count as orders. Every plan sums before it joins, so that a busy order, customer,
-product or seller reaches a join as a single row.
+without items count as orders. The plans sum before they join where they can, so that a busy order,
+customer, product or seller reaches a join as a single row.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martwright.functions.calendar import date_attributes, purchase_date
 from martwright.functions.columns import money
+from martwright.plans.gold import fact_order_items
 
 AMOUNT = "decimal(38,2)"
 
@@ -89,15 +90,12 @@ def top_cities(orders: DataFrame, order_items: DataFrame, sellers: DataFrame, n:
 
 
 def _sold(orders: DataFrame, order_items: DataFrame, column: str) -> DataFrame:
-    """Revenue per value of an item column, over the items of known orders.
-
-    The semi join keeps the items on its left, the side adaptive skew handling may split.
-    """
+    """Revenue per value of an item column, over the items of known orders."""
     return (
-        order_items.select("order_id", column, money("price").alias("price"))
-        .join(orders.select("order_id"), "order_id", "left_semi")
+        fact_order_items(orders, order_items)
+        .where(F.col("price").isNotNull())
         .groupBy(column)
-        .agg(F.sum("price").alias("revenue"))
+        .agg(F.sum(money("price")).alias("revenue"))
     )
 
 

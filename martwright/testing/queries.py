@@ -26,17 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 DROPPED = {"order_items": "price", "sellers": "seller_city"}
 
 
-class Tables:
-    """The shaped datasets of one folder, bronze and silver, built when asked for."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self._bronze: dict[str, DataFrame] = {}
-
-    def bronze(self, name: str) -> DataFrame:
-        if name not in self._bronze:
-            self._bronze[name] = shapes.bronze(self.spark, self.sf_dir, name)
-        return self._bronze[name]
+class Tables(shapes.Shapes):
+    """The shaped datasets of one folder, through all layers."""
 
     def silver(self, name: str) -> DataFrame:
         return silver(name, self.bronze(name))
@@ -102,9 +93,14 @@ def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_sql_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly revenue as SQL text over views of the gold tables."""
     tables = Tables(spark, sf_dir)
-    for name in ("fact_order_items", "dim_date"):
+    views = ("fact_order_items", "dim_date")
+    for name in views:
         tables.gold(name).createOrReplaceTempView(name)
-    return spark.sql(kpi.SQL["monthly_revenue"])
+    result = spark.sql(kpi.SQL["monthly_revenue"])
+    # The plan is resolved; views left behind would hide published tables of the same name.
+    for name in views:
+        spark.catalog.dropTempView(name)
+    return result
 
 
 def _on_bronze(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
