@@ -7,7 +7,7 @@ import logging
 import sys
 
 from martwright.plans import jobs, quality
-from martwright.session import build_session, size_shuffles
+from martwright.session import build_session, size_partitions
 from martwright.sources.layout import Layout, new_run_id, stored_bytes
 
 STAGES = ("bronze", "silver", "gold", "quality", "publish")
@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     inputs = {"silver": "bronze", "gold": "silver", "quality": "bronze"}
     for stage in args.stages:
         if stage in inputs:
-            size_shuffles(spark, stored_bytes(spark, f"{layout.root}/{inputs[stage]}"))
+            size_partitions(spark, stored_bytes(spark, f"{layout.root}/{inputs[stage]}"))
         if stage == "publish":
             jobs.publish_gold(spark, layout, args.database)
         elif stage == "quality":

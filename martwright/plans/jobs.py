@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from martwright.plans import gold, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import missing_columns, silver
-from martwright.sources.layout import Layout, new_run_id, publish, read_table, row_count, write_report, write_table
+from martwright.sources.layout import Layout, new_run_id, publish, read_table, write_report, write_table
 from martwright.sources.raw_csv import read_raw
 
 log = logging.getLogger("martwright")
@@ -40,9 +40,8 @@ def run_bronze(
     """Raw CSV to Parquet, one parse per dataset; returns the run metrics."""
 
     def ingest(name: str) -> tuple[int, int, str]:
-        target = layout.table("bronze", name)
-        write_table(read_raw(spark, layout.raw(name), DATASETS[name], infer=infer), target)
-        rows = row_count(spark, target)
+        raw = read_raw(spark, layout.raw(name), DATASETS[name], infer=infer)
+        rows = write_table(raw, layout.table("bronze", name))
         return rows, rows, SUCCESS
 
     return _run(spark, datasets, ingest, workers)
@@ -51,21 +50,22 @@ def run_bronze(
 def run_silver(
     spark: SparkSession, layout: Layout, datasets: Iterable[str] = DATASETS, workers: int = 4
 ) -> DataFrame:
-    """Bronze to silver, each dataset cleaned and written in one action; returns the run metrics.
+    """Bronze to silver; returns the run metrics.
+
+    Each dataset is cleaned and written in one action; both row counts come from Parquet footers.
 
     A dataset that lacks contract columns is skipped with zero counts, and its earlier silver table
     stays. One that fails has no counts. Neither stops the others.
     """
 
     def clean(name: str) -> tuple[int, int, str]:
-        source, target = layout.table("bronze", name), layout.table("silver", name)
-        rows = read_table(spark, source)
+        rows = read_table(spark, layout.table("bronze", name))
         missing = missing_columns(name, rows)
         if missing:
             log.warning("%s lacks %s", name, ", ".join(missing))
             return 0, 0, SCHEMA_FAILED
-        write_table(silver(name, rows), target)
-        return row_count(spark, source), row_count(spark, target), SUCCESS
+        written = write_table(silver(name, rows), layout.table("silver", name))
+        return rows.count(), written, SUCCESS
 
     return _run(spark, datasets, clean, workers)
 
@@ -74,9 +74,8 @@ def run_gold(spark: SparkSession, layout: Layout, tables: Iterable[str] = GOLD_T
     """Silver to gold; returns the run metrics, with the rows written as both counts."""
 
     def build(name: str) -> tuple[int, int, str]:
-        target = layout.table("gold", name)
-        write_table(gold_table(name, lambda source: read_table(spark, layout.table("silver", source))), target)
-        rows = row_count(spark, target)
+        table = gold_table(name, lambda source: read_table(spark, layout.table("silver", source)))
+        rows = write_table(table, layout.table("gold", name))
         return rows, rows, SUCCESS
 
     return _run(spark, tables, build, workers)

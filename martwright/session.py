@@ -18,7 +18,14 @@ LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
 }
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MB = 1024 * 1024
+
+# Below these sizes a task is too short, above these counts the bookkeeping (one block per map and
+# reduce task) outgrows the driver; in between, partitions of about 128 MB fit in a task's memory.
+PARTITION_BYTES = 128 * MB
+MOST_SHUFFLE_PARTITIONS = 50_000
+MOST_SCAN_TASKS = 200_000
+MOST_SCAN_BYTES = 1024 * MB
 
 
 def build_session(app: str = "martwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -36,17 +43,22 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Enough partitions that one holds about 128 MB of input, and at least one per core.
+    """About 128 MB of decoded rows per partition, at least one partition per core.
 
-    Parquet expands when it is decoded, hence the factor; adaptive execution merges what turns out
-    too small, so erring upwards is cheap and erring downwards spills.
+    Parquet is taken to double when decoded. Adaptive execution merges what turns out too small, so
+    erring upwards is cheap, whereas too few partitions spill.
     """
-    decoded = 3 * input_bytes
-    return max(cores, -(-decoded // SHUFFLE_PARTITION_BYTES), 1)
+    wanted = -(-2 * input_bytes // PARTITION_BYTES)
+    return min(max(wanted, cores, 1), max(MOST_SHUFFLE_PARTITIONS, cores))
+
+
+def scan_bytes_for(input_bytes: int) -> int:
+    """Bytes of input per scan task: 128 MB, more only where that would mean too many tasks."""
+    return min(max(PARTITION_BYTES, input_bytes // MOST_SCAN_TASKS), MOST_SCAN_BYTES)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Set ``spark.sql.shuffle.partitions`` for a job that reads ``input_bytes``."""
-    partitions = shuffle_partitions_for(input_bytes, spark.sparkContext.defaultParallelism)
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return partitions
+def size_partitions(spark: SparkSession, input_bytes: int) -> None:
+    """Size scans and shuffles of the coming jobs for ``input_bytes`` of Parquet."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes_for(input_bytes)))

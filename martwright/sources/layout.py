@@ -35,18 +35,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path``; no plan may read the table it replaces."""
-    df.write.mode("overwrite").parquet(path)
-
+def write_table(df: DataFrame, path: str) -> int:
+    """Replace the table at ``path`` and return its rows; no plan may read the table it replaces.
 
-def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of a written table: reads Parquet footers only.
-
-    Counting what was written is exact even if tasks were repeated after a lost executor, which
-    counters filled in while writing are not.
+    The rows are counted in what was written, which reads Parquet footers only. That count is exact
+    even if tasks were repeated after a lost executor; counters filled in while writing are not.
     """
-    return spark.read.parquet(path).count()
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:

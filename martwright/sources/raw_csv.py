@@ -24,7 +24,7 @@ def read_raw(
     The types come from the dataset's contract, so the data is parsed once and codes such as zip
     prefixes keep their leading zeros; header columns outside the contract are read as text. A
     field that does not parse is NULL. ``infer`` reads the way schema inference does instead: types
-    guessed from a first pass, one record per line.
+    guessed from a first pass, one record per line. The files of a folder share one header.
     """
     if infer:
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
@@ -59,9 +59,9 @@ def _read_long_records(spark: SparkSession, path: str, ddl: str) -> DataFrame:
         ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"),
     )
     in_block = Window.partitionBy("file", "block").orderBy("line")
-    lines = lines.withColumn(
-        "inside", F.coalesce(F.sum("odd").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    )
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
 
     # Whether a block starts inside quotes decides which of its lines start a record; both cases are
     # counted before that is known.
@@ -80,7 +80,7 @@ def _read_long_records(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     numbered = (
         lines.join(blocks, ["file", "block"])
         .withColumn("first", (F.col("inside") + F.col("entered")) % 2 == 0)
-        .withColumn("record", F.col("before") + F.sum(F.col("first").cast("int")).over(in_block))
+        .withColumn("record", F.col("before") + F.sum(F.col("first").cast("int")).over(so_far))
     )
     whole = F.col("first") & (F.col("odd") == 0)
     pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))

@@ -6,7 +6,7 @@ import pytest
 from martwright.__main__ import main
 from martwright.plans import jobs, kpi
 from martwright.plans.datasets import DATASETS
-from martwright.session import shuffle_partitions_for
+from martwright.session import scan_bytes_for, shuffle_partitions_for
 from martwright.sources import scratch
 from martwright.sources.layout import Layout, read_table, stored_bytes, write_table
 from martwright.testing.queries import Tables
@@ -112,12 +112,10 @@ def test_silver_of_silver_is_silver(spark):
         assert once.groupBy(*key).count().where("count > 1").isEmpty(), name
 
 
-def test_command_line(spark, layout, capsys):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert main(["--root", layout.root, "bronze", "silver", "gold", "quality", "publish"]) == 0
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+def test_command_line(spark, layout, conf, capsys):
+    conf("spark.sql.shuffle.partitions", "8")
+    conf("spark.sql.files.maxPartitionBytes", "128MB")
+    assert main(["--root", layout.root, "bronze", "silver", "gold", "quality", "publish"]) == 0
     out = capsys.readouterr().out
     assert "customers - Duplicate check: ['customer_id']: 1" in out
     assert spark.sql("select count(*) from fact_orders").first()[0] == 5
@@ -126,9 +124,13 @@ def test_command_line(spark, layout, capsys):
     assert glob.glob(layout.root + "/run-metrics/run_id=*/stage=silver/*.parquet")
 
 
-def test_shuffles_follow_the_input_size(spark, layout):
+def test_partitions_follow_the_input_size(spark, layout):
     assert shuffle_partitions_for(0, 8) == 8
-    assert shuffle_partitions_for(100 * 2**40, 4000) == 3 * 100 * 2**40 // 2**27
+    assert shuffle_partitions_for(2**40, 4000) == 2 * 2**40 // 2**27
+    assert shuffle_partitions_for(100 * 2**40, 5000) == 50_000
+    assert scan_bytes_for(2**40) == 2**27
+    assert scan_bytes_for(100 * 2**40) == 100 * 2**40 // 200_000
+    assert scan_bytes_for(10**18) == 2**30
     assert stored_bytes(spark, layout.root + "/raw/orders") == len(RAW["orders"])
 
 
