@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO, format="[%(asctime)s] %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(master=args.master)
     layout, run_id, failed = Layout(args.root.rstrip("/")), new_run_id(), 0
     inputs = {"silver": "bronze", "gold": "silver", "quality": "bronze"}
