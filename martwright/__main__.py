@@ -26,25 +26,29 @@ def main(argv: list[str] | None = None) -> int:
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(master=args.master)
     layout, run_id, failed = Layout(args.root.rstrip("/")), new_run_id(), 0
-    inputs = {"silver": "bronze", "gold": "silver", "quality": "bronze"}
+    inputs = {"bronze": "raw", "silver": "bronze", "gold": "silver", "quality": "bronze"}
     for stage in args.stages:
         if stage in inputs:
             size_partitions(spark, stored_bytes(spark, f"{layout.root}/{inputs[stage]}"))
         if stage == "publish":
             jobs.publish_gold(spark, layout, args.database)
-        elif stage == "quality":
+            continue
+        if stage == "quality":
             report = jobs.run_quality(spark, layout, run_id)
             quality.summary(report).show()
             quality.failure_messages(report).show(50, truncate=False)
+            continue
+        if stage == "bronze":
+            metrics = jobs.run_bronze(spark, layout, infer=args.infer)
+        elif stage == "silver":
+            metrics = jobs.run_silver(spark, layout)
         else:
-            metrics = {"bronze": jobs.run_bronze, "silver": jobs.run_silver, "gold": jobs.run_gold}[stage](
-                spark, layout, **({"infer": args.infer} if stage == "bronze" else {})
-            )
-            metrics.write.mode("overwrite").parquet(f"{layout.metrics(run_id)}stage={stage}/")
-            metrics.show(truncate=False)
-            summary = jobs.run_summary(metrics)
-            summary.show()
-            failed += summary.first()["failed_jobs"]
+            metrics = jobs.run_gold(spark, layout)
+        metrics.write.mode("overwrite").parquet(f"{layout.metrics(run_id)}stage={stage}/")
+        metrics.show(truncate=False)
+        summary = jobs.run_summary(metrics)
+        summary.show()
+        failed += summary.first()["failed_jobs"]
     return 1 if failed else 0
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -19,3 +21,14 @@ def scratch_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     _local.append(tempfile.TemporaryDirectory(prefix="martwright-"))
     return _local[-1].name
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder that is removed afterwards; for results that no longer read from it."""
+    path = scratch_dir(spark)
+    try:
+        yield path
+    finally:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

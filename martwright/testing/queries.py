@@ -17,7 +17,7 @@ from martwright.plans.datasets import DATASETS, Dataset
 from martwright.plans.silver import missing_columns, silver
 from martwright.sources.layout import Layout, read_table, write_table
 from martwright.sources.raw_csv import CSV, read_raw
-from martwright.sources.scratch import scratch_dir
+from martwright.sources.scratch import scratch, scratch_dir
 from martwright.testing import shapes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,12 +35,10 @@ class Tables(shapes.Shapes):
     def gold(self, name: str) -> DataFrame:
         return jobs.gold_table(name, self.silver)
 
-    def write_bronze(self) -> Layout:
-        """The bronze layer as Parquet tables in a scratch folder."""
-        layout = Layout(scratch_dir(self.spark))
+    def write_bronze(self, layout: Layout) -> None:
+        """The bronze layer as Parquet tables."""
         with ThreadPoolExecutor(max_workers=4) as pool:
             list(pool.map(lambda name: write_table(self.bronze(name), layout.table("bronze", name)), DATASETS))
-        return layout
 
 
 def bronze_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,11 +74,14 @@ def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def silver_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver job over written bronze tables; wall-clock column left out."""
-    return jobs.run_silver(spark, Tables(spark, sf_dir).write_bronze()).drop("duration")
+    with scratch(spark) as folder:
+        layout = Layout(folder)
+        Tables(spark, sf_dir).write_bronze(layout)
+        return jobs.run_silver(spark, layout).drop("duration")
 
 
 def silver_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.run_summary(jobs.run_silver(spark, Tables(spark, sf_dir).write_bronze()))
+    return jobs.run_summary(silver_run_metrics(spark, sf_dir))
 
 
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,9 +100,9 @@ def test_failures_stay_with_their_dataset(spark, layout):
     assert read_table(spark, layout.table("silver", "sellers")).count() == 1
 
 
-def test_silver_of_silver_is_silver(spark):
-    tables = Tables(spark, "/root/testdata/sf0.001")
-    layout = tables.write_bronze()
+def test_silver_of_silver_is_silver(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    Tables(spark, "/root/testdata/sf0.001").write_bronze(layout)
     jobs.run_silver(spark, layout)
     for name in DATASETS:
         once = read_table(spark, layout.table("silver", name))
@@ -145,3 +145,10 @@ def test_scratch_folder_follows_the_session():
     assert os.path.isdir(scratch.scratch_dir(FakeSession(None, "local[2]")))
     with pytest.raises(RuntimeError):
         scratch.scratch_dir(FakeSession(None, "yarn"))
+
+
+def test_scratch_folder_is_removed(spark):
+    with scratch.scratch(spark) as folder:
+        write_table(spark.range(3), folder + "/t")
+        assert os.path.isdir(folder + "/t")
+    assert not os.path.exists(folder)

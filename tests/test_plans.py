@@ -9,13 +9,15 @@ from martwright.operators.clean import smallest_per_key
 from martwright.plans import gold, kpi, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import silver
-from martwright.sources.layout import read_table
+from martwright.sources.layout import Layout, read_table
 from martwright.testing.queries import Tables
 
 
 @pytest.fixture(scope="module")
-def layout(spark):
-    return Tables(spark, "/root/testdata/sf0.001").write_bronze()
+def layout(spark, tmp_path_factory):
+    layout = Layout(str(tmp_path_factory.mktemp("plans")))
+    Tables(spark, "/root/testdata/sf0.001").write_bronze(layout)
+    return layout
 
 
 @pytest.fixture
