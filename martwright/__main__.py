@@ -10,7 +10,7 @@ from martwright.plans import jobs, quality
 from martwright.session import build_session, size_partitions
 from martwright.sources.layout import Layout, new_run_id, stored_bytes
 
-STAGES = ("bronze", "silver", "gold", "quality", "publish")
+STAGES = ("bronze", "silver", "gold", "quality", "counts", "publish")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -33,9 +33,14 @@ def main(argv: list[str] | None = None) -> int:
         if stage == "publish":
             jobs.publish_gold(spark, layout, args.database)
             continue
+        if stage == "counts":
+            jobs.check_record_counts(spark, layout).show(truncate=False)
+            continue
         if stage == "quality":
             report = jobs.run_quality(spark, layout, run_id)
-            quality.summary(report).show()
+            summary = quality.summary(report)
+            summary.write.mode("overwrite").parquet(layout.quality_metrics(run_id))
+            summary.show()
             quality.failure_messages(report).show(50, truncate=False)
             continue
         if stage == "bronze":
@@ -44,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
             metrics = jobs.run_silver(spark, layout)
         else:
             metrics = jobs.run_gold(spark, layout)
-        metrics.write.mode("overwrite").parquet(f"{layout.metrics(run_id)}stage={stage}/")
+        metrics.write.mode("overwrite").parquet(layout.run_metrics(run_id, stage))
         metrics.show(truncate=False)
         summary = jobs.run_summary(metrics)
         summary.show()

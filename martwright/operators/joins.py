@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martwright.functions.columns import number
+
 CHUNK_ROWS = 1_000_000
 
 SALTS = 16
@@ -53,8 +55,9 @@ def left_join_details(
 
     chunk = {i: f"__chunk{i}" for i in cut}
     cells = {
-        i: details[i].rows.where(_beyond_first(details[i].sequence, chunk_rows))
+        i: _beyond_first(details[i], chunk_rows)
         .select(key, _chunk_number(details[i].sequence, chunk_rows).alias(chunk[i]))
+        .where(F.col(chunk[i]) != 0)
         .distinct()
         for i in cut
     }
@@ -90,15 +93,18 @@ def _oversized(part: Details, key: str, chunk_rows: int) -> bool:
     reads footers and skips the row groups. Only if it fires are the rows per key counted, since
     numbers may be high without being many.
     """
-    if part.rows.where(_beyond_first(part.sequence, chunk_rows)).isEmpty():
+    if _beyond_first(part, chunk_rows).isEmpty():
         return False
     widest = part.rows.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0]
     return widest is not None and widest > chunk_rows
 
 
-def _beyond_first(sequence: str, chunk_rows: int) -> Column:
-    return (F.col(sequence) >= chunk_rows) | (F.col(sequence) <= -chunk_rows)
+def _beyond_first(part: Details, chunk_rows: int) -> DataFrame:
+    """The rows that may lie in another chunk than the first; a superset if the numbers are not integers."""
+    sequence = number(part.rows, part.sequence)
+    return part.rows.where((sequence >= F.lit(chunk_rows)) | (sequence <= F.lit(-chunk_rows)))
 
 
 def _chunk_number(sequence: str, chunk_rows: int) -> Column:
-    return F.coalesce(F.expr(f"cast(`{sequence}` as bigint) div {chunk_rows}"), F.lit(0).cast("bigint"))
+    """What is no number counts as the first chunk."""
+    return F.coalesce(F.expr(f"try_cast(`{sequence}` as bigint) div {chunk_rows}"), F.lit(0).cast("bigint"))

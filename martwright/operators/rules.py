@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,7 +20,7 @@ class Rule:
 
     label: str
     fails: Callable[[DataFrame], Column] | None = None
-    unique: tuple[str, ...] = field(default=())
+    unique: tuple[str, ...] = ()
 
 
 def no_null(column: str) -> Rule:
@@ -50,17 +51,13 @@ def count_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     on the map side before it shuffles them. Carrying the predicate counters through that shuffle
     instead would save the second, narrow scan, but was measured to be slower.
     """
-    parts = []
-    row_rules = [rule for rule in rules if rule.fails is not None]
+    parts = [
+        duplicate_keys(df, rule.unique).withColumnRenamed("duplicates", rule.label) for rule in rules if rule.unique
+    ]
+    row_rules = [rule for rule in rules if rule.fails]
     if row_rules:
-        counts = df.agg(*[F.count_if(rule.fails(df)).alias(rule.label) for rule in row_rules])
-        parts.append(_as_rows(counts))
-    parts += [_as_rows(duplicate_keys(df, rule.unique).withColumnRenamed("duplicates", rule.label))
-              for rule in rules if rule.unique]
-    counted = parts[0]
-    for part in parts[1:]:
-        counted = counted.unionByName(part)
-    return counted
+        parts.append(df.agg(*[F.count_if(rule.fails(df)).alias(rule.label) for rule in row_rules]))
+    return reduce(DataFrame.unionByName, [_as_rows(part) for part in parts])
 
 
 def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -109,6 +109,15 @@ def run_quality(spark: SparkSession, layout: Layout, run_id: str | None = None)
     return spark.read.schema(REPORT).option("header", True).csv(target)
 
 
+def check_record_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str] = DATASETS) -> DataFrame:
+    """Rows of each bronze table against those of its silver table."""
+    names = list(datasets)
+    return quality.record_counts(
+        {name: read_table(spark, layout.table("bronze", name)) for name in names},
+        {name: read_table(spark, layout.table("silver", name)) for name in names},
+    )
+
+
 def run_summary(metrics: DataFrame) -> DataFrame:
     """Datasets processed, successes, failures and row totals of one run, in one row."""
     return metrics.agg(

@@ -23,8 +23,11 @@ class Layout:
     def report(self, run_id: str) -> str:
         return f"{self.root}/quality-reports/{run_id}/"
 
-    def metrics(self, run_id: str) -> str:
-        return f"{self.root}/run-metrics/run_id={run_id}/"
+    def run_metrics(self, run_id: str, stage: str) -> str:
+        return f"{self.root}/run-metrics/run_id={run_id}/stage={stage}/"
+
+    def quality_metrics(self, run_id: str) -> str:
+        return f"{self.root}/quality-metrics/run_id={run_id}/"
 
 
 def new_run_id() -> str:

@@ -54,6 +54,10 @@ def test_raw_to_sql(spark, layout):
     ]
     assert rows(jobs.run_summary(metrics)) == [(9, 9, 0, 16, 13, 3)]
 
+    counts = {row.dataset: row for row in jobs.check_record_counts(spark, layout).collect()}
+    assert {row.status for row in counts.values()} == {"PASS"}
+    assert (counts["reviews"].bronze_rows, counts["reviews"].silver_rows) == (2, 1)
+
     assert {row.status for row in jobs.run_gold(spark, layout).collect()} == {"SUCCESS"}
     assert read_table(spark, layout.table("gold", "fact_orders")).count() == 5
 
@@ -115,13 +119,17 @@ def test_silver_of_silver_is_silver(spark, tmp_path):
 def test_command_line(spark, layout, conf, capsys):
     conf("spark.sql.shuffle.partitions", "8")
     conf("spark.sql.files.maxPartitionBytes", "128MB")
-    assert main(["--root", layout.root, "bronze", "silver", "gold", "quality", "publish"]) == 0
+    assert main(["--root", layout.root, "bronze", "silver", "gold", "quality", "counts", "publish"]) == 0
     out = capsys.readouterr().out
     assert "customers - Duplicate check: ['customer_id']: 1" in out
     assert spark.sql("select count(*) from fact_orders").first()[0] == 5
     for name in jobs.GOLD_TABLES:
         spark.sql(f"drop table {name}")
-    assert glob.glob(layout.root + "/run-metrics/run_id=*/stage=silver/*.parquet")
+    runs = spark.read.parquet(layout.root + "/run-metrics")
+    assert rows(runs.groupBy("stage", "status").count()) == [
+        ("bronze", "SUCCESS", 9), ("gold", "SUCCESS", 7), ("silver", "SUCCESS", 9)
+    ]
+    assert rows(spark.read.parquet(layout.root + "/quality-metrics").drop("run_id")) == [(4, 26)]
 
 
 def test_partitions_follow_the_input_size(spark, layout):

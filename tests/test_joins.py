@@ -63,3 +63,19 @@ def test_high_numbers_without_many_rows_take_the_plain_join(spark):
 def test_null_keys_do_not_count_as_oversized(spark):
     part = Details(spark.createDataFrame([(None, n) for n in range(30)] + [(1, 50)], "k int, n int"), "n")
     assert not joins._oversized(part, "k", 10)
+
+
+@pytest.mark.parametrize(
+    "kind, numbers",
+    [
+        ("string", [str(n) for n in range(20)] + ["x", None, "1e3"]),
+        ("double", [float(n) for n in range(20)] + [float("nan"), 1e300, None, 7.5, -9.5]),
+    ],
+)
+def test_numbers_of_other_types(spark, kind, numbers):
+    header = spark.createDataFrame([(1, "a"), (2, "b")], "order_id int, name string")
+    rows_ = spark.createDataFrame([(1, number) for number in numbers], f"order_id int, n {kind}")
+    cut = left_join_details(header, "order_id", [Details(rows_, "n")], chunk_rows=4)
+    whole = header.join(rows_, "order_id", "left")
+    assert list(map(repr, rows(cut))) == list(map(repr, rows(whole)))
+    assert cut.count() == len(numbers) + 1
