@@ -9,7 +9,7 @@ from martwright.plans.datasets import Dataset
 # RFC 4180: a quote inside a quoted field is doubled.
 CSV = {"header": True, "quote": '"', "escape": '"'}
 
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+WHOLE_FILE_BYTES = 1024 * 1024 * 1024
 
 
 def read_raw(
