@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder that holds raw/ and receives the layers")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     parser.add_argument("--infer", action="store_true", help="infer raw column types instead of using the contract")
+    parser.add_argument("--partition-facts", action="store_true", help="store the facts by month of purchase")
     parser.add_argument("--database", help="database to publish the gold tables in")
     parser.add_argument("stages", nargs="+", choices=STAGES)
     args = parser.parse_args(argv)
@@ -48,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
         elif stage == "silver":
             metrics = jobs.run_silver(spark, layout)
         else:
-            metrics = jobs.run_gold(spark, layout)
+            metrics = jobs.run_gold(spark, layout, partition_facts=args.partition_facts)
         metrics.write.mode("overwrite").parquet(layout.run_metrics(run_id, stage))
         metrics.show(truncate=False)
         summary = jobs.run_summary(metrics)

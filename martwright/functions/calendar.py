@@ -9,6 +9,10 @@ def purchase_date(timestamp: str = "order_purchase_timestamp") -> Column:
     return F.to_date(F.col(timestamp)).alias("date")
 
 
+def purchase_month(year: str, month: str, timestamp: str = "order_purchase_timestamp") -> list[Column]:
+    return [F.year(timestamp).alias(year), F.month(timestamp).alias(month)]
+
+
 def date_attributes(date: str = "date") -> list[Column]:
     """Day, month, month name, quarter, calendar year, ISO week and weekday name of ``date``."""
     day = F.col(date)

@@ -9,6 +9,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from martwright.functions.calendar import purchase_month
 from martwright.plans import gold, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import missing_columns, silver
@@ -70,12 +71,25 @@ def run_silver(
     return _run(spark, datasets, clean, workers)
 
 
-def run_gold(spark: SparkSession, layout: Layout, tables: Iterable[str] = GOLD_TABLES, workers: int = 4) -> DataFrame:
-    """Silver to gold; returns the run metrics, with the rows written as both counts."""
+def run_gold(
+    spark: SparkSession,
+    layout: Layout,
+    tables: Iterable[str] = GOLD_TABLES,
+    partition_facts: bool = False,
+    workers: int = 4,
+) -> DataFrame:
+    """Silver to gold; returns the run metrics, with the rows written as both counts.
+
+    ``partition_facts`` stores the facts by year and month of purchase, in two further columns.
+    """
 
     def build(name: str) -> tuple[int, int, str]:
         table = gold_table(name, lambda source: read_table(spark, layout.table("silver", source)))
-        rows = write_table(table, layout.table("gold", name))
+        months: tuple[str, ...] = ()
+        if partition_facts and name.startswith("fact_"):
+            months = ("order_year", "order_month")
+            table = table.select("*", *purchase_month(*months))
+        rows = write_table(table, layout.table("gold", name), partition_by=months)
         return rows, rows, SUCCESS
 
     return _run(spark, tables, build, workers)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -38,13 +39,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_table(df: DataFrame, path: str) -> int:
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace the table at ``path`` and return its rows; no plan may read the table it replaces.
 
     The rows are counted in what was written, which reads Parquet footers only. That count is exact
     even if tasks were repeated after a lost executor; counters filled in while writing are not.
+
+    With ``partition_by`` the rows are first rebalanced on those columns: a task then writes to few
+    folders, and adaptive execution splits the partitions that are too large for one task.
     """
-    df.write.mode("overwrite").parquet(path)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
@@ -61,7 +67,7 @@ def write_report(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def publish(spark: SparkSession, layout: Layout, layer: str, names, database: str | None = None) -> None:
+def publish(spark: SparkSession, layout: Layout, layer: str, names: Sequence[str], database: str | None = None) -> None:
     """Register written tables in the session catalog as external tables, ready for ``spark.sql``."""
     if database:
         spark.sql(f"create database if not exists `{database}`")
@@ -69,3 +75,5 @@ def publish(spark: SparkSession, layout: Layout, layer: str, names, database: st
         table = f"`{database}`.`{name}`" if database else f"`{name}`"
         spark.sql(f"drop table if exists {table}")
         spark.catalog.createTable(table, path=layout.table(layer, name), source="parquet")
+        if any(column.isPartition for column in spark.catalog.listColumns(table)):
+            spark.catalog.recoverPartitions(table)

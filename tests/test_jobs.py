@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 
 import pytest
 
@@ -74,6 +75,22 @@ def test_raw_to_sql(spark, layout):
     assert read_table(spark, layout.table("gold", "fact_orders")).count() == 5
 
 
+def test_facts_may_be_stored_by_month(spark, layout):
+    jobs.run_bronze(spark, layout)
+    jobs.run_silver(spark, layout)
+    metrics = jobs.run_gold(spark, layout, partition_facts=True)
+    assert rows(metrics.where("dataset = 'fact_orders'").select("rows_after", "status")) == [(5, "SUCCESS")]
+    assert os.path.isdir(layout.table("gold", "fact_orders") + "order_year=2017/order_month=9")
+    jobs.publish_gold(spark, layout, database="shop")
+    try:
+        assert spark.sql("select count(*) from shop.fact_orders").first()[0] == 5
+        september = spark.sql("select * from shop.fact_orders where order_year = 2017 and order_month = 9")
+        assert september.count() == 4
+        assert re.search(r"PartitionFilters: \[[^]]*order_month", september._jdf.queryExecution().toString())
+    finally:
+        spark.sql("drop database shop cascade")
+
+
 def test_quality_report_is_one_csv_file_per_run(spark, layout):
     jobs.run_bronze(spark, layout)
     report = jobs.run_quality(spark, layout, "20200101_000000")
