@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.functions.columns import number
 
-CHUNK_ROWS = 1_000_000
+# A merge join holds the matches of one key on the heap: 100 000 rows are some 30 MB per task.
+CHUNK_ROWS = 100_000
 
 SALTS = 16
 
@@ -61,11 +62,12 @@ def left_join_details(
         .distinct()
         for i in cut
     }
+    # The cells come first in these joins: the right side is the one held in memory per key.
     joined = header
     for i in cut:
         several = cells[i].select(key, F.lit(True).alias(f"__several{i}")).distinct()
         first = joined.join(several, key, "left").withColumn(chunk[i], F.lit(0).cast("bigint"))
-        further = joined.join(cells[i], key).withColumn(f"__several{i}", F.lit(True))
+        further = cells[i].join(joined, key).withColumn(f"__several{i}", F.lit(True))
         joined = first.unionByName(further)
 
     for i, part in enumerate(details):
@@ -74,7 +76,7 @@ def left_join_details(
             rows = rows.withColumn(chunk[i], _chunk_number(part.sequence, chunk_rows))
         for j in cut:
             if j != i:
-                rows = rows.withColumn(chunk[j], F.lit(0).cast("bigint")).unionByName(rows.join(cells[j], key))
+                rows = rows.withColumn(chunk[j], F.lit(0).cast("bigint")).unionByName(cells[j].join(rows, key))
         joined = joined.join(rows, [key, *chunk.values()], "left")
 
     # A key with several chunks may have none of its rows in the first one: that is not a header
