@@ -75,6 +75,19 @@ def test_raw_to_sql(spark, layout):
     assert read_table(spark, layout.table("gold", "fact_orders")).count() == 5
 
 
+def test_inferred_types_go_through_all_layers(spark, layout):
+    """Prices are doubles, zip prefixes lose their zeros, a record with a line break falls apart."""
+    jobs.run_bronze(spark, layout, infer=True)
+    assert dict(read_table(spark, layout.table("bronze", "order_items")).dtypes)["price"] == "double"
+    assert read_table(spark, layout.table("bronze", "reviews")).count() == 3
+    metrics = jobs.run_silver(spark, layout)
+    assert rows(metrics.select("status").distinct()) == [("SUCCESS",)]
+    assert rows(metrics.where("dataset = 'customers'").select("rows_after")) == [(2,)]
+    assert rows(jobs.run_gold(spark, layout).select("status").distinct()) == [("SUCCESS",)]
+    items = [read_table(spark, layout.table("silver", name)) for name in ("orders", "order_items")]
+    assert [str(row.revenue) for row in kpi.monthly_revenue(*items).collect()] == ["60.00", "0.00"]
+
+
 def test_facts_may_be_stored_by_month(spark, layout):
     jobs.run_bronze(spark, layout)
     jobs.run_silver(spark, layout)
