@@ -95,7 +95,7 @@ def _oversized(part: Details, key: str, chunk_rows: int) -> bool:
     reads footers and skips the row groups. Only if it fires are the rows per key counted, since
     numbers may be high without being many.
     """
-    if _beyond_first(part, chunk_rows).isEmpty():
+    if _beyond_first(part, chunk_rows).select(part.sequence).isEmpty():
         return False
     widest = part.rows.where(F.col(key).isNotNull()).groupBy(key).count().agg(F.max("count")).first()[0]
     return widest is not None and widest > chunk_rows

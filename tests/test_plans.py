@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.operators.clean import smallest_per_key
+from martwright.operators.joins import Details, _beyond_first
 from martwright.plans import gold, kpi, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import silver
@@ -57,6 +58,13 @@ def test_wide_fact_shuffles_each_input_once(spark, bronze):
     assert "order_item_id" not in plan(wide)
 
 
+def test_oversized_orders_are_looked_for_by_a_pushed_filter(bronze):
+    part = Details(bronze("order_items"), "order_item_id")
+    text = plan(_beyond_first(part, 50).select("order_item_id"))
+    assert "GreaterThanOrEqual(order_item_id,50)" in text
+    assert "ReadSchema: struct<order_item_id:int>" in text
+
+
 def test_gold_dimension_reuses_the_silver_partitioning(bronze):
     assert exchanges(gold.dim_customers(silver("customers", bronze("customers")))) == 1
     assert exchanges(gold.dim_sellers(silver("sellers", bronze("sellers")))) == 1
