@@ -104,6 +104,15 @@ def test_facts_may_be_stored_by_month(spark, layout):
         spark.sql("drop database shop cascade")
 
 
+def test_a_table_is_replaced_as_a_whole(spark, tmp_path, conf):
+    conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    path = str(tmp_path / "t")
+    assert write_table(spark.range(6).selectExpr("id", "id % 3 as p"), path, partition_by=["p"]) == 6
+    assert write_table(spark.range(2).selectExpr("id", "id % 3 as p"), path, partition_by=["p"]) == 2
+    assert write_table(spark.range(4).selectExpr("id"), path) == 4
+    assert read_table(spark, path).columns == ["id"]
+
+
 def test_quality_report_is_one_csv_file_per_run(spark, layout):
     jobs.run_bronze(spark, layout)
     report = jobs.run_quality(spark, layout, "20200101_000000")
