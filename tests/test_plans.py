@@ -11,7 +11,7 @@ from martwright.plans import gold, kpi, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import silver
 from martwright.sources.layout import Layout, read_table
-from martwright.testing.queries import Tables
+from martwright.testing.queries import QUERIES, Tables
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +97,7 @@ def test_no_query_joins_without_a_key(spark, conf):
         kpi.top_categories(*sales, tables.gold("dim_products")),
         kpi.top_cities(*sales, tables.gold("dim_sellers")),
         tables.gold("fact_orders"),
+        QUERIES["gold_sql_monthly_revenue"](spark, "/root/testdata/sf0.001"),
     ):
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
 
