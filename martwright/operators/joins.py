@@ -12,7 +12,8 @@ from martwright.functions.columns import number
 # A merge join holds the matches of one key on the heap: 100 000 rows are some 30 MB per task.
 CHUNK_ROWS = 100_000
 
-SALTS = 16
+# Few copies, since each also multiplies what a broadcast would hold; adaptive execution does the rest.
+SALTS = 8
 
 
 def left_join_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:

@@ -191,7 +191,8 @@ def _report() -> str:
         f"select {_text(table)} as dataset, {_text(label)} as rule, ({count}) as failed_rows"
         for table, label, count in QUALITY
     )
-    return f"select dataset, failed_rows, rule, case when failed_rows = 0 then 'PASS' else 'FAIL' end as status from ({rows})"
+    status = "case when failed_rows = 0 then 'PASS' else 'FAIL' end"
+    return f"select dataset, failed_rows, rule, {status} as status from ({rows})"
 
 
 def _duplicates() -> str:
