@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import quality_classifier, toxicity
+from martwright.llm import bpe, quality_classifier, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,8 +42,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(quality_classifier.quality(docs, model), 3, 1)
 
 
+def public_tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Tokenizer:
+    import public_tokenizers
+
+    return bpe.Tokenizer(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizer()
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), tokenizer), tokenizer)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
 

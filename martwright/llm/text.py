@@ -105,12 +105,12 @@ class Words:
 
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column and the offsets of its rows; nulls are empty."""
+    """The bytes of a string (UTF-8) or binary column and the offsets of its rows; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks else pa.array([], pa.string())
     if isinstance(column, pa.ChunkedArray):  # combine_chunks may still return several
         column = pa.concat_arrays(column.chunks)
-    column = pc.fill_null(column, "").cast(pa.large_binary())
+    column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) else "").cast(pa.large_binary())
     _, offsets, data = column.buffers()
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
