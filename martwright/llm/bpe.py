@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from martwright.llm.ship import shipped
 from martwright.llm.text import as_bytes, row_chunks
 
 #: A vocabulary beyond this many tokens is refused, as it is sent to every executor.
@@ -209,7 +210,7 @@ def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
 
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary"
-    return rows.mapInArrow(run, schema)
+    return shipped(rows).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
@@ -235,4 +236,4 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "decoded"])
 
     schema = f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded binary"
-    return encoded.select(*names).mapInArrow(run, schema)
+    return shipped(encoded.select(*names)).mapInArrow(run, schema)

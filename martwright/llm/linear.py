@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martwright.llm.ship import shipped
+
 #: (column) -> for chunks of rows: first row, rows, row of each feature, its index, its value
 Featurizer = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
 
@@ -126,7 +128,7 @@ def train(rows: DataFrame, featurize: Featurizer, p: Ftrl) -> LinearModel:
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.col("label").cast("int").alias("label"),
     )
-    fitted = dealt.groupBy("shard").applyInArrow(
+    fitted = shipped(dealt).groupBy("shard").applyInArrow(
         _fit_shard(featurize, p), "rows long, index binary, z binary, n binary"
     )
     states = sorted(fitted.collect(), key=lambda s: (s["rows"], s["z"]))
@@ -157,4 +159,4 @@ def score(rows: DataFrame, model: LinearModel, featurize: Featurizer) -> DataFra
             columns = [batch.column(name) for name in kept] + [pa.array(sigmoid(sums))]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score"])
 
-    return rows.mapInArrow(run, schema)
+    return shipped(rows).mapInArrow(run, schema)

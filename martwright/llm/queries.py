@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, quality_classifier, toxicity
+from martwright.llm import bpe, decontaminate, quality_classifier, simhash, toxicity
+from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,25 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(quality_classifier.quality(docs, model), 3, 1)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stored(decontaminate.positional_index(table(spark, sf_dir, "documents")))
+    found = decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", F.array_sort(F.transform("items", lambda x: x.cast("string"))))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def public_tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Tokenizer:
     import public_tokenizers
 
@@ -58,9 +78,44 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op6_decontamination": op6_decontamination,
+    "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: Queries that DuckDB can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontamination": f"""
+        with d as (
+            select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+            from documents
+        ), i as (
+            select item_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+            from benchmark
+        ), iw as (
+            select distinct item_id, least(10, len(w)) as n,
+                   array_to_string(w[p : p + least(10, len(w)) - 1], ' ') as win
+            from (select item_id, w, unnest(range(1, greatest(2, len(w) - 8))) as p from i where len(w) > 0)
+        ), sizes as (
+            select distinct n from iw
+        ), dw as (
+            select doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') as win
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as p from d, sizes where len(w) >= n)
+        ), m as (
+            select doc_id, p, dw.n, item_id from dw join iw on dw.win = iw.win and dw.n = iw.n
+        ), h as (
+            select doc_id, count(distinct q) as n_hit
+            from (select doc_id, unnest(range(p, p + n)) as q from m) group by doc_id
+        ), s as (
+            select doc_id, count(*) as n_items, sha256(string_agg(id, ',' order by id)) as items_sha256
+            from (select distinct doc_id, item_id::varchar as id from m) group by doc_id
+        )
+        select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+               coalesce(n_items, 0)::bigint as n_items, coalesce(items_sha256, sha256('')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from d left join h using (doc_id) left join s using (doc_id)
+    """,
+}
