@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, quality_classifier, simhash, toxicity
+from martwright.llm import bpe, decontaminate, language_id, quality_classifier, simhash, toxicity
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(quality_classifier.quality(docs, model), 3, 1)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.language(docs, language_id.fit(docs, remainder(4) != 2))
+    return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = stored(decontaminate.positional_index(table(spark, sf_dir, "documents")))
     found = decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
@@ -78,6 +84,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op9_bpe": op9_bpe,
