@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, language_id, quality_classifier, simhash, toxicity
+from martwright.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, simhash, toxicity
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"
+    )
+
+
 def public_tokenizer(name: str = "byte_bpe_multi_50k.tiktoken") -> bpe.Tokenizer:
     import public_tokenizers
 
@@ -87,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
+    "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
 }
