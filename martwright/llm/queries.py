@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, simhash, toxicity
+from martwright.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(quality_classifier.quality(docs, model), 3, 1)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.language(docs, language_id.fit(docs, remainder(4) != 2))
@@ -92,6 +97,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
@@ -104,6 +110,27 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 #: Queries that DuckDB can express.
 ORACLE_SQL: dict[str, str] = {
+    "op2_substring_dedup": """
+        with d as (
+            select doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w from documents
+        ), win as (
+            select doc_id, p, sha256(array_to_string(w[p : p + 49], ' ')) as h
+            from (select doc_id, w, unnest(range(1, len(w) - 48)) as p from d where len(w) >= 50)
+        ), smallest as (
+            select h, min(doc_id) as first_doc from win group by h
+        ), gone as (
+            select distinct doc_id, unnest(range(p, p + 50)) as q
+            from win join smallest using (h) where first_doc < doc_id
+        ), words as (
+            select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as q from d
+        ), rest as (
+            select doc_id, string_agg(word, ' ' order by q) as kept, count(*) as n_kept
+            from words anti join gone using (doc_id, q) group by doc_id
+        )
+        select doc_id, len(w)::bigint as n_words, len(w)::bigint - coalesce(n_kept, 0) as n_removed,
+               sha256(coalesce(kept, '')) as kept_sha256
+        from d left join rest using (doc_id)
+    """,
     "op6_decontamination": f"""
         with d as (
             select doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
