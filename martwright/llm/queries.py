@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, language_id, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from martwright.llm import bpe, decontaminate, language_id, pii, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = stored(decontaminate.positional_index(table(spark, sf_dir, "documents")))
     found = decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
@@ -99,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
+    "op4_pii": op4_pii,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,

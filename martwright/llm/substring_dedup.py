@@ -68,6 +68,7 @@ def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
         .saveAsTable(name)
     )
     table = spark.table(name)
+    spark.sql(f"drop table {name}")  # leaves the files, which the plan names by itself
     total = table.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     return table, total
 
