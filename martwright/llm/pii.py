@@ -123,8 +123,10 @@ def _judged(text: Column, kind: int, candidate: Column, base: Column) -> Column:
     cue, against = before.rlike(_CUES), before.rlike(_AGAINST)
     known = value.rlike(_PREFIXES) | F.lit(kind == 2)
     grouped = value.rlike(r"^\+?[0-9]{1,3} \(?[0-9]{2,4}\)? ?[0-9]{3}|^(?:[0-9]{4}[ -]){3}[0-9]{4}|^\+[0-9]")
-    mixed = value.rlike("[a-z]") & value.rlike("[A-Z]") | value.rlike("^[0-9a-f]{32,}$") | value.rlike("^[0-9A-Z]{20}$")
-    sound = number & n.between(12, 19) & luhn(value)
+    mixed = value.rlike("[a-z]") & value.rlike("[A-Z]") | value.rlike("^[0-9A-Fa-f]{32,}$") | value.rlike("^[0-9A-Z]{20}$")
+    # the base patterns drop a run of several numbers, of which one may pass
+    part = F.exists(F.split(value, "[ -]"), lambda p: F.length(digits(p)).between(12, 19) & luhn(p))
+    sound = number & (n.between(12, 19) & luhn(value) | (n > 19) & part)
     votes = {
         "regex": _vote(overlaps | number & grouped | secret & mixed | F.lit(kind == 2), number & (n < 9) & ~grouped),
         "gazetteer": _vote(known, against),
