@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, language_id, pii, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from martwright.llm import bpe, decontaminate, html_extract, language_id, pii, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.main_texts(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = stored(decontaminate.positional_index(table(spark, sf_dir, "documents")))
     found = decontaminate.contamination(index, table(spark, sf_dir, "benchmark"))
@@ -110,6 +115,7 @@ QUERIES: dict[str, Query] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_language_id": op3_language_id,
     "op4_pii": op4_pii,
+    "op5_html_extraction": op5_html_extraction,
     "op6_decontamination": op6_decontamination,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
