@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
 Pages of a host are made by the same program. One page of each host is its pivot; the DOM trees of all other pages are
-aligned with it by simple tree matching, with runs of equal siblings folded into one repeated node. A text that stands
+aligned with it by simple tree matching, with equal siblings folded into one repeated node. A text that stands
 at the same node on nearly all pages of the host whose texts differ is part of the template; what varies is content. The
 tree's own marks (navigation, adverts, forms, comments and the like) tell which of the varying slots are no article.
 
@@ -42,6 +42,7 @@ _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr main menu nav ol p pre section table ul".split()
 )
+_KNOWN = _VOID | _RAW | _SKIPPED | _CLOSES_P | frozenset("html body li dt dd tr td th thead tbody tfoot caption legend summary".split())
 #: Elements that an element of the same group ends, up to the nearest of the others.
 _SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -88,7 +89,7 @@ class Page:
 
 def parse(html: str) -> Page:
     page = Page()
-    last_child: list[int] = [-1]  # of each node, for folding
+    folded: dict[tuple[int, str], int] = {}
     # open elements: tag, folded node, inside something skipped, inside the article, inside a link
     stack: list[tuple[str, int, bool, bool, bool]] = [("#", 0, False, False, False)]
     pieces: list[str] = []
@@ -108,16 +109,11 @@ def parse(html: str) -> Page:
         _, parent, skipped, main, link = stack[-1]
         node = parent
         if tag not in _INLINE and len(stack) < _MOST_DEPTH:
-            label = tag if not marks else f"{tag}.{'.'.join(sorted(marks))}"
-            before = last_child[parent]
-            if before >= 0 and page.labels[before] == label:
-                node = before
-            else:
-                node = len(page.labels)
+            label = ".".join([tag if tag in _KNOWN else "custom", *sorted(marks)])
+            node = folded.setdefault((parent, label), len(page.labels))
+            if node == len(page.labels):
                 page.labels.append(label)
                 page.parents.append(parent)
-                last_child.append(-1)
-                last_child[parent] = node
         comment = bool(marks & {"comment", "comments", "reply", "replies"})
         header = tag == "header" and not main
         skipped = skipped or tag in _SKIPPED or header or bool(marks and tag not in ("html", "body", "main", "article")) or comment
@@ -129,7 +125,6 @@ def parse(html: str) -> Page:
             flush()
         del stack[depth:]
 
-    end = 0
     position = 0
     while position < len(html):
         match = _TOKEN.match(html, position)
@@ -137,7 +132,7 @@ def parse(html: str) -> Page:
             pieces.append(html[position])
             position += 1
             continue
-        position = end = match.end()
+        position = match.end()
         closing, tag, attributes, text = match.groups()
         if text is not None:
             top = stack[-1]

@@ -144,7 +144,7 @@ def train(rows: DataFrame, featurize: Featurizer, p: Ftrl) -> LinearModel:
 
 
 def score(rows: DataFrame, model: LinearModel, featurize: Featurizer) -> DataFrame:
-    """``rows`` (text and others) with a column ``score``: sparse dot products, no shuffle; ``text`` goes."""
+    """``rows`` (text and others) with a column ``score``: sparse dot products, no shuffle; ``text`` itself goes."""
     kept = [name for name in rows.columns if name != "text"]
     schema = rows.select(*kept).withColumn("score", F.lit(0.0)).schema
 

@@ -153,12 +153,12 @@ def _judged(text: Column, kind: int, candidate: Column, base: Column) -> Column:
     )
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, base, added) of each row: base spans (kind, start, end), and judged candidates for more."""
+def candidates(docs: DataFrame, carried: Column) -> DataFrame:
+    """(doc_id, carried, base, added) of each row: base spans (kind, start, end), and judged candidates for more."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"))
+    rows = docs.select("doc_id", carried.alias("carried"), text.alias("text"))
     base = _base(F.col("text"))
-    rows = rows.select("doc_id", "text", *(base[k].alias(k) for k in BASE_KINDS))
+    rows = rows.select("doc_id", "carried", "text", *(base[k].alias(k) for k in BASE_KINDS))
 
     def tag(kind: int):
         return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
@@ -168,9 +168,9 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     tagged = [F.transform(k, tag(i)) for i, k in enumerate(BASE_KINDS)]
     more = [spans(F.col("text"), p).alias(k) for k, p in zip(ADDED_KINDS, (_NUMBER, _SECRET, _NAME), strict=True)]
-    rows = rows.select("doc_id", "text", F.array_sort(F.concat(*tagged)).alias("base"), *more)
+    rows = rows.select("doc_id", "carried", "text", F.array_sort(F.concat(*tagged)).alias("base"), *more)
     judged = [F.transform(k, judge(i)) for i, k in enumerate(ADDED_KINDS)]
-    return rows.select("doc_id", "base", F.concat(*judged).alias("added"))
+    return rows.select("doc_id", "carried", "base", F.concat(*judged).alias("added"))
 
 
 def reliabilities(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict[tuple[int, int], float]]]:
@@ -252,20 +252,23 @@ def fit(found: DataFrame) -> SpanClassifier:
     return SpanClassifier(bias, weights)
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
+def personal_data(docs: DataFrame, carried: Column | None = None) -> DataFrame:
     """(doc_id, base, spans) for every row of ``docs`` (doc_id, text): arrays of (start, kind, end) in their order.
 
+    ``carried``, a column over ``docs``, comes along under that name.
+
     ``base`` has the spans of the fixed patterns; ``spans`` also those candidates that the classifier accepts and that
     overlap no base span. Kinds are places in BASE_KINDS + ADDED_KINDS, starts and ends count code points. A null text is
     empty and has no spans; repeated rows and null ids stay, other columns are dropped.
     """
-    found = stored(candidates(docs))
+    found = stored(candidates(docs, F.lit(True) if carried is None else carried))
     model = fit(found)
     added = F.filter("added", lambda c: ~c["overlaps"] & model.accepts(c))
     shifted = F.transform(
         added, lambda c: F.struct(c["start"].alias("start"), (c["kind"] + len(BASE_KINDS)).alias("kind"), c["end"].alias("end"))
     )
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", shifted)).alias("spans"))
+    along = [] if carried is None else ["carried"]
+    return found.select("doc_id", *along, "base", F.array_sort(F.concat("base", shifted)).alias("spans"))
 
 
 def written(spans: Column) -> Column:

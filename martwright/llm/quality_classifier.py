@@ -24,10 +24,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT
     return train(labelled(docs, labels, "quality", learn_from, bound), partial(counted_ngrams, bits=p.bits), p)
 
 
-def quality(docs: DataFrame, model: LinearModel) -> DataFrame:
-    """(doc_id, score) for each row of ``docs``; a null text scores as an empty one, by the bias alone.
+def quality(docs: DataFrame, model: LinearModel, *carried: str | Column) -> DataFrame:
+    """(doc_id, the ``carried`` columns, score) for each row of ``docs``; a null text scores as an empty one, by the bias.
 
     Repeated rows and null ids stay, other columns are dropped.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", *carried, F.col("text").cast("string").alias("text"))
     return score(rows, model, partial(counted_ngrams, bits=model.bits))

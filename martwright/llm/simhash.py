@@ -199,6 +199,8 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iter
     """The rows of sorted batches, cut between groups."""
     waiting: list[pa.Table] = []
     for batch in batches:
+        if not batch.num_rows:
+            continue
         table = pa.Table.from_batches([batch])
         joined = pa.concat_tables([waiting[-1].slice(waiting[-1].num_rows - 1), table]) if waiting else table
         new = np.flatnonzero(_new_group(joined, columns))
