@@ -65,6 +65,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in _RAW}
 _WORD = re.compile(r"[a-z]+")
 _MOST_DEPTH = 64
 
@@ -173,18 +174,16 @@ def parse(html: str) -> Page:
                 if stack[depth][0] in ended:
                     pop_to(depth)
                     break
+        if tag in _RAW:  # no part of any block, and its end tag then closes nothing
+            close = _RAW_ENDS[tag].search(html, position)
+            position = close.start() if close else len(html)
+            continue
         if tag not in _INLINE:
             flush()
         marks: set[str] = set()
         if attributes and "=" in attributes:
             for _, a, b, c in _ATTRIBUTE.findall(attributes):
                 marks.update(_MARKS.intersection(_WORD.findall((a or b or c).lower())))
-        if tag in _RAW:
-            close = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|\\Z)", re.I).search(html, position)
-            position = close.start() if close else len(html)
-            if not attributes.rstrip().endswith("/") or tag in ("script", "style", "title"):
-                push(tag, marks)
-            continue
         push(tag, marks)
     flush()
     return page

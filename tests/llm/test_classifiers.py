@@ -1,0 +1,62 @@
+import numpy as np
+import pytest
+from llm_helpers import rows, tables  # noqa: F401
+from pyspark.sql import functions as F
+
+from martwright.llm import features, linear, quality_classifier, queries, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.parametrize("name, label, least", [("op1_toxicity", "toxic", 0.93), ("op10_quality_classifier", "quality", 0.98)])
+def test_held_out_accuracy(spark, name, label, least):
+    found = queries.QUERIES[name](spark, SF)
+    assert found.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
+    found = found.cache()
+    assert found.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    judged = found.join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").where("held_out")
+    right = judged.where(F.col("predicted") == F.col(label)).count() / judged.count()
+    found.unpersist()
+    assert right >= least
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark, tables):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    folder = tables(labels=labels.where(queries.remainder(5) != 0))
+    other = queries.op1_toxicity(spark, folder)
+    assert rows(other) == rows(queries.op1_toxicity(spark, "/root/testdata/sf0.001"))
+
+
+def test_update_is_ftrl_proximal():
+    p = linear.Ftrl(bits=2, alpha=0.5, beta=1.0, l1=0.1)
+    z, n = np.zeros(5), np.zeros(5)
+    index, value = np.array([0, 2]), np.array([1.0, 2.0])
+    linear.update(z, n, index, value, 1, p)
+    assert np.allclose(z, [-0.5, 0, -1.0, 0, -0.5]) and np.allclose(n, [0.25, 0, 1.0, 0, 0.25])
+    assert np.allclose(linear.weights(z[:4], n[:4], p), [0.4 * 0.5 / 1.5, 0, 0.9 * 0.5 / 2, 0])
+
+
+def test_skip_grams_once_per_row_and_across_rows():
+    import pyarrow as pa
+
+    (first, count, row, index, value), = features.present_ngrams(pa.array(["a b c a b c", "", None, "a b"]), 22)
+    assert (first, count) == (0, 4) and set(value) == {1.0}
+    # 3 words and (ab bc ca), (ac ba cb), (aa bb cc) pairs; 2 words and 1 pair
+    assert np.bincount(row, minlength=4).tolist() == [12, 0, 0, 3]
+    assert set(index[row == 3]) <= set(index[row == 0])
+
+
+def test_repetition_is_a_feature_of_its_own():
+    import pyarrow as pa
+
+    (_, _, row, index, _), = features.counted_ngrams(pa.array(["foo foo foo", "bar bar bar", "foo### bar!!"]), 20)
+    shared = set(index[row == 0]) & set(index[row == 1])
+    assert len(shared) == 2  # the back-reference, and two of them in a row
+
+
+@pytest.mark.parametrize("fit, apply", [(toxicity.fit, toxicity.toxicity), (quality_classifier.fit, quality_classifier.quality)])
+def test_nothing_to_learn_from(spark, fit, apply):
+    docs = spark.createDataFrame([(1, "a b"), (None, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(None, 1, 1), (1, None, None), (1, 7, 7)], "doc_id long, quality int, toxic int")
+    model = fit(docs, labels, F.lit(True))
+    assert rows(apply(docs, model)) == [(1, 0.5), (None, 0.5)]

@@ -1,0 +1,98 @@
+import html
+import re
+
+import pytest
+from llm_helpers import rows
+
+from martwright.llm.html_extract import host, main_text, main_texts, match_trees, parse
+
+SF = "/root/testdata/sf0.01"
+
+
+def text(page):
+    found = parse(page)
+    return main_text(found, [-1] * len(found.blocks), set())
+
+
+def article_of(page):
+    inner = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    blocks = (" ".join(html.unescape(re.sub("<[^>]+>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner))
+    return "\n".join(b for b in blocks if b)
+
+
+def test_articles_of_whole_pages(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    found = {r["page_id"]: r["text"] for r in main_texts(pages).collect()}
+    assert found == {r["page_id"]: article_of(r["html"]) for r in pages.collect()}
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("", ""),
+        ("just  text\n here", "just text here"),
+        ("<p>a<p>b<br>c <b>d</b>e</p>f", "a\nb c de\nf"),
+        ("<main><h1>T &amp; &eacute;&#x20;x</h1><div>a<div>b</div>c</div></main><p>out", "T & é x\na\nb\nc"),
+        ("<article><header><h1>T</h1></header>a<aside>x</aside><div class='ad'>y</div><!-- <p>z --><p>b</article>", "T\na\nb"),
+        ("<nav><p>menu</nav><header>head</header><p>body<footer>foot</footer><script>if (a<b) '</p>'</script>", "body"),
+        ("<p>a<style>p{}</style>b</p><form>q<input>w</form><textarea><p>x</textarea><p>c", "ab\nc"),
+        ("<article>a<section class='user-comments'><article>reader</article></section></article>", "a"),
+        ("<ul><li><a href=x>home</a><li><a href=y>more</a></ul><p>see <a href=z>this</a> now", "see this now"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
+        ("<p>unclosed <b>tag <p>next < 3 & 4 &nosuch; &amp", "unclosed tag\nnext < 3 & 4 &nosuch; &"),
+        ("<div " * 50 + "<p>x", "x"),
+        ("<script>never closed <p>x", ""),
+        ("<div class=\"cookie-notice\">c</div><div id=main-content>t</div></div></p></x>", "t"),
+    ],
+)
+def test_pages(page, wanted):
+    assert text(page) == wanted
+
+
+def test_deep_and_wide_pages():
+    assert text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
+    assert text("<p>a</p><h2>b</h2>" * 5_000).count("\n") == 9_999
+    page = parse("".join(f"<x{i}>t</x{i}>" for i in range(3000)))
+    assert len(page.labels) == 2
+
+
+def test_trees_are_aligned():
+    left = parse("<body><div class=menu>m</div><section><p>x</section><table><tr><td>1</table></body>")
+    right = parse("<body><section><p>y</section><div>z</div><table><tr><td>2</table></body>")
+    pairs = {(left.labels[a], right.labels[b]) for a, b in enumerate(match_trees(left, right)) if b >= 0}
+    assert pairs == {(x, x) for x in ("#", "body", "section", "p", "table", "tr", "td")}
+
+
+def made_pages(spark, hosts):
+    rows = []
+    for h in range(hosts):
+        for i in range(8):
+            body = f"<p>Site {h} of the network</p><h1>Title {i}</h1><p>What page {i} says.</p><p>Read our terms.</p>"
+            rows.append((h * 8 + i, f"http://h{h}.example.com/{i}", f"<html><body><div>{body}</div></body></html>"))
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def test_constant_nodes_are_the_template(spark):
+    found = {r["page_id"]: r["text"] for r in main_texts(made_pages(spark, 3).repartition(4)).collect()}
+    assert found == {i: f"Title {i % 8}\nWhat page {i % 8} says." for i in range(24)}
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    copy = [(i, f"http://c.example.com/{i}", "<p>the same text</p>") for i in range(30)]
+    found = main_texts(spark.createDataFrame(copy, "page_id long, url string, html string"))
+    assert {r["text"] for r in found.collect()} == {"the same text"}
+
+
+def test_awkward_pages(spark):
+    schema = "page_id long, url string, html string, host string, text string, pivot int, constant int, n_chars int, key int"
+    pages = [(1, None, None), (None, "no url", "<p>a"), (None, "no url", "<p>a"), (2, "", ""), (2, "http://x.y/", " "), (None, None, None)]
+    frame = spark.createDataFrame([(*p, *[None] * 6) for p in pages], schema)
+    found = rows(main_texts(frame))
+    assert found == sorted(((i, u, "a" if h == "<p>a" else "") for i, u, h in pages), key=repr)
+    assert rows(main_texts(frame.limit(0))) == []
+
+
+def test_host(spark):
+    urls = ["http://A.b:80/x", "https://u:p@c.d?q", "mailto:x", None, "//e.f/g"]
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert [r[0] for r in frame.select(host(frame["url"])).collect()] == ["a.b", "c.d", "", "", ""]

@@ -1,0 +1,97 @@
+import re
+from math import isclose
+
+import pytest
+from llm_helpers import rows
+from pyspark.sql import functions as F
+
+from martwright.llm import pii
+from martwright.llm.pii import BASE_KINDS, personal_data, redacted, written
+
+TEXTS = [
+    "write to jo.81@mail7.example.com or a@b.c@d.e.f, x@y, a@b.c_d@e.fg @z",
+    "42.144.35.254 999.1.1.1.5.6.7.8 1.2.3 01.002.0003.4 256.1.1.1 1.1.1.1.1",
+    "4539 1488 0343 6467 4539148803436467 1234567890123 4539-1488-0343-6467 99 4539148803436467",
+    "+1 (988) 555-2485 +49 30 1234 +1 (269) 555-3296 4524132264652876 ++1 2 +44 (((( 123456789",
+    "4539 1488 0343 6467\n+1 (988) 555-2485,é🙂 jo@mail.de",
+    "5 6--7 8  9 10 0000000000000000 000000000000000000000",
+    "",
+    None,
+    "é🙂日本語 4539148803436467 ünï a@bé.de",
+    "1" * 5000 + " " + "a" * 5000 + "@" + "-." * 2000,
+]
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        twice = int(c) * (1 + i % 2)
+        total += twice - 9 if twice > 9 else twice
+    return total % 10 == 0
+
+
+def plain(text):
+    text, found = text or "", []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        found.append((m.start(), 0, m.end()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m.group().split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m.group())
+        if 12 <= len(digits) <= 19 and luhn(digits):
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+def test_base_spans(spark):
+    frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    found = {r["doc_id"]: [tuple(s) for s in r["base"]] for r in personal_data(frame).collect()}
+    assert found == {i: plain(t) for i, t in enumerate(TEXTS)}
+    assert sum(map(len, found.values())) > 12
+
+
+def test_base_spans_of_whole_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    found = personal_data(docs).select("doc_id", "base", "spans").collect()
+    texts = dict(docs.collect())
+    assert all([tuple(s) for s in r["base"]] == plain(texts[r["doc_id"]]) for r in found)
+    assert all(set(map(tuple, r["base"])) <= set(map(tuple, r["spans"])) for r in found)
+    added = [s for r in found for s in r["spans"] if s["kind"] >= len(BASE_KINDS)]
+    assert added  # tokens are written as secrets in some documents
+
+
+def test_written_and_redacted(spark):
+    text = "a jo@mail.de b 4539148803436467 c"
+    frame = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id long, text string")
+    found = personal_data(frame, F.col("text"))
+    shown = found.select("doc_id", written(F.col("base")), redacted(F.col("carried"), F.col("base")))
+    assert rows(shown) == [(1, "email:2:12,card:15:31", "a [EMAIL] b [CARD] c"), (2, "", "nothing"), (3, "", None)]
+
+
+def test_overlapping_spans_are_redacted_once(spark):
+    spans = F.expr("array(named_struct('start',1,'kind',3,'end',4), named_struct('start',2,'kind',2,'end',6), named_struct('start',6,'kind',0,'end',7))")
+    assert spark.range(1).select(redacted(F.lit("é123456789"), spans)).first()[0] == "é[PHONE][EMAIL]789"
+
+
+def test_em_separates_good_labelers_from_bad_ones():
+    # three labelers that agree, one that is always wrong, one that abstains
+    patterns = [((1, 1, 1, -1, 0), 60), ((-1, -1, -1, 1, 0), 140), ((1, 1, -1, -1, 0), 5), ((-1, -1, 1, 1, 0), 5)]
+    prior, tables = pii.reliabilities(patterns)
+    assert isclose(prior, 65 / 210, abs_tol=0.03)
+    assert tables[0][1, 1] > 0.9 and tables[3][1, 1] < 0.1 and isclose(tables[4][0, 1], tables[4][0, 0], abs_tol=0.03)
+
+
+def test_no_python_in_the_plan(spark):
+    frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    for plan in (personal_data(frame), pii.candidates(frame, F.lit(1))):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", text)
+
+
+@pytest.mark.parametrize("number, passes", [("0", True), ("18", True), ("4539148803436467", True), ("4539148803436468", False)])
+def test_luhn(spark, number, passes):
+    assert spark.range(1).select(pii.luhn(F.lit(number))).first()[0] is passes

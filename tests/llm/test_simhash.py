@@ -1,0 +1,103 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from llm_helpers import documents, rows  # noqa: F401
+
+from martwright.llm import simhash
+from martwright.llm.components import components
+from martwright.llm.simhash import Forest, fingerprint, links, near_duplicates
+
+
+def plain_fingerprint(text, size=3):
+    w = [x for x in (text or "").encode().lower().split()]
+    shingles = [b" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s, seed=42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(values, radius):
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a in values:
+        for b in values:
+            if bin((a ^ b) & (1 << 64) - 1).count("1") <= radius:
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return {v: find(v) for v in values}
+
+
+def expected(docs, radius=2):
+    found = [(i, plain_fingerprint(t)) for i, t in docs]
+    root = plain_components(sorted({f for _, f in found}), radius)
+    first = {}
+    for i, f in found:
+        if i is not None:
+            first[root[f]] = min(first.get(root[f], i), i)
+    return sorted(((i, f - (1 << 64) if f >> 63 else f, first.get(root[f])) for i, f in found), key=repr)
+
+
+@pytest.mark.parametrize("text", ["", None, "a", "A b", "a b c", "É a\tb\x0b c d a b c", "x " * 500])
+def test_fingerprint(text):
+    assert fingerprint((text or "").encode(), 3) == plain_fingerprint(text)
+
+
+def test_whole_documents(spark, documents):
+    frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(3)
+    assert rows(near_duplicates(frame)) == expected(documents)
+
+
+def test_awkward_rows(spark):
+    docs = [(3, ""), (2, None), (None, " \t"), (7, "a b c d"), (7, "a b c d"), (None, "only nobody has this")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert rows(near_duplicates(frame)) == expected(docs)
+    assert rows(near_duplicates(frame.limit(0))) == []
+
+
+@pytest.mark.parametrize("chunk, frontier", [(8192, 1 << 20), (4, 8)])
+@pytest.mark.parametrize("radius", [0, 1, 2, 3])
+def test_links_connect_what_is_near(spark, monkeypatch, chunk, frontier, radius):
+    monkeypatch.setattr(simhash, "CHUNK", chunk)
+    monkeypatch.setattr(simhash, "FRONTIER", frontier)
+    rng = random.Random(radius)
+    centres = [rng.getrandbits(64) for _ in range(4)] + [0, (1 << 64) - 1]
+    values = {c ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) & (1 << 64) - 1 for c in centres for _ in range(25)}
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    frame = spark.createDataFrame([(v,) for v in signed], "fingerprint long").repartition(3)
+    edges = links(frame, radius)
+    assert all(bin((u ^ v) & (1 << 64) - 1).count("1") for u, v in edges.collect())
+    roots = {r["node"]: r["root"] for r in components(edges).collect()}
+    wanted = plain_components(sorted(signed), radius)
+    assert {v: roots.get(v, v) for v in signed} == wanted
+
+
+def test_forest_finds_what_brute_force_finds():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 6, dtype=np.uint64)
+    noise = np.uint64(1) << rng.integers(0, 64, (6, 60, 3)).astype(np.uint64)
+    values = (base[:, None] ^ np.bitwise_xor.reduce(noise, axis=2)).ravel()
+    group = np.repeat([0, 2, 5, 6, 7, 9], 60)
+    forest = Forest(values, group)
+    asked, own = np.append(values, base), np.append(group, [0, 2, 5, 6, 8, 20])
+    found = {(int(q), int(n)) for q, n in ((q, n) for a, b in forest.search(asked, own, 2) for q, n in zip(a, b))}
+    wanted = {
+        (i, j)
+        for i in range(len(asked))
+        for j in range(len(values))
+        if own[i] == group[j] and int(asked[i] ^ values[j]).bit_count() <= 2
+    }
+    # equal values of a tree are one edge of length 0 apart, and are all found
+    assert found == wanted
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (1, 0), (500, 499)]
+    frame = spark.createDataFrame(edges, "u long, v long")
+    found = dict(rows(components(frame)))
+    assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 500: 499}
+    assert rows(components(frame.limit(0))) == []

@@ -1,0 +1,62 @@
+import random
+
+from llm_helpers import documents, rows  # noqa: F401
+
+from martwright.llm.substring_dedup import Places, without_repeats
+
+import numpy as np
+
+
+def plain(docs, window):
+    words = [(i, (t or "").encode().split()) for i, t in docs]
+    order = lambda i: (i is None, i or 0)
+    first = {}
+    for i, w in words:
+        for p in range(len(w) - window + 1):
+            key = tuple(w[p : p + window])
+            first[key] = min(first.get(key, order(i)), order(i))
+    out = []
+    for i, w in words:
+        gone = set()
+        for p in range(len(w) - window + 1):
+            if first[tuple(w[p : p + window])] < order(i):
+                gone.update(range(p, p + window))
+        out.append((i, len(w), len(gone), b" ".join(x for k, x in enumerate(w) if k not in gone).decode()))
+    return sorted(out, key=repr)
+
+
+def test_random_passages(spark):
+    rng = random.Random(5)
+    for window in (2, 3, 6, 7):
+        passages = [" ".join(rng.choices("abcde", k=rng.randint(1, 3 * window))) for _ in range(6)]
+        docs = []
+        for _ in range(60):
+            parts = [rng.choice(passages) if rng.random() < 0.5 else " ".join(rng.choices("vwxyz", k=4)) for _ in range(5)]
+            docs.append((rng.choice([None, *range(30)]), "\n ".join(parts) if rng.random() < 0.95 else rng.choice([None, "", " "])))
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+        assert rows(without_repeats(frame, window)) == plain(docs, window)
+
+
+def test_a_third_of_all_rows_is_one_text(spark):
+    passage = " ".join(f"p{i}" for i in range(70))
+    docs = [(i, passage if i % 3 == 0 else f"own{i} " + passage[: 4 * (i % 90)] + f" end{i}") for i in range(600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    assert rows(without_repeats(frame)) == plain(docs, 50)
+
+
+def test_whole_documents(spark, documents):
+    frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
+    assert rows(without_repeats(frame)) == plain(documents, 50)
+
+
+def test_places_round_trip():
+    place = np.array([0, 0, 0, 3, 3, 70_000])
+    position = np.array([0, 5, 100_000, 7, 8, 0])
+    back = Places.unpack(Places.pack(place, position))
+    assert [x.tolist() for x in back] == [place.tolist(), position.tolist()]
+
+
+def test_texts_are_not_shuffled(spark, documents):
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    plan = without_repeats(frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 4 and "Bucketed: true" in plan
