@@ -69,12 +69,37 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def publish(spark: SparkSession, layout: Layout, layer: str, names: Sequence[str], database: str | None = None) -> None:
-    """Register written tables in the session catalog as external tables, ready for ``spark.sql``."""
+    """Register written tables in the session catalog as external tables, ready for ``spark.sql``.
+
+    Nothing is dropped or replaced: a table that is already registered for the same folder with the
+    same columns is refreshed. Any other table or view of that name raises before anything is
+    registered, and so does one whose columns have changed since.
+    """
     if database:
         spark.sql(f"create database if not exists `{database}`")
-    for name in names:
-        table = f"`{database}`.`{name}`" if database else f"`{name}`"
-        spark.sql(f"drop table if exists {table}")
-        spark.catalog.createTable(table, path=layout.table(layer, name), source="parquet")
+    wanted = {f"`{database}`.`{name}`" if database else f"`{name}`": layout.table(layer, name) for name in names}
+    known = {table for table in wanted if spark.catalog.tableExists(table)}
+    for table in sorted(known):
+        _check_registered(spark, table, wanted[table])
+    for table, path in wanted.items():
+        if table in known:
+            spark.catalog.refreshTable(table)
+        else:
+            spark.catalog.createTable(table, path=path, source="parquet")
         if any(column.isPartition for column in spark.catalog.listColumns(table)):
             spark.catalog.recoverPartitions(table)
+
+
+def _check_registered(spark: SparkSession, table: str, path: str) -> None:
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"describe table extended {table}").collect()}
+    if described.get("Type") != "EXTERNAL" or _qualified(spark, described["Location"]) != _qualified(spark, path):
+        raise ValueError(f"{table} exists and is not the external table at {path}; rename or drop it to publish there")
+    stored = {(field.name, field.dataType) for field in read_table(spark, path).schema.fields}
+    if {(field.name, field.dataType) for field in spark.table(table).schema.fields} != stored:
+        raise ValueError(f"{table} is registered with other columns than those at {path}; drop it to publish them")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(target).toString()

@@ -2,107 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans.datasets import Dataset
 
 # RFC 4180: a quote inside a quoted field is doubled.
 CSV = {"header": True, "quote": '"', "escape": '"'}
 
-WHOLE_FILE_BYTES = 1024 * 1024 * 1024
 
-
-def read_raw(
-    spark: SparkSession,
-    path: str,
-    dataset: Dataset,
-    infer: bool = False,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
-) -> DataFrame:
-    """The raw rows of ``dataset``.
+def read_raw(spark: SparkSession, path: str, dataset: Dataset, infer: bool = False) -> DataFrame:
+    """The raw rows of ``dataset``: one file, or a folder of files with the same header.
 
     The types come from the dataset's contract, so the data is parsed once and codes such as zip
     prefixes keep their leading zeros; header columns outside the contract are read as text. A
-    field that does not parse is NULL. ``infer`` reads the way schema inference does instead: types
-    guessed from a first pass, one record per line. The files of a folder share one header.
+    field that does not parse is NULL; a file whose header differs from the first one's raises.
+    ``infer`` reads the way schema inference does instead: types guessed from a first pass, one
+    record per line.
+
+    Records of a multi-line dataset may span lines, so each of its files is read by one task,
+    whatever its size; large raw data of that kind belongs in a folder of files.
     """
     if infer:
         return spark.read.option("header", True).option("inferSchema", True).csv(path)
     header = spark.read.options(**CSV).csv(path).columns
     ddl = ", ".join(f"`{name}` {dataset.types.get(name, 'string')}" for name in header)
-    if dataset.multiline:
-        if _largest_file(spark, path) > whole_file_bytes:
-            return _read_long_records(spark, path, ddl)
-        return spark.read.options(**CSV, multiLine=True, enforceSchema=False).schema(ddl).csv(path)
-    return spark.read.options(**CSV, enforceSchema=False).schema(ddl).csv(path)
-
-
-def _largest_file(spark: SparkSession, path: str) -> int:
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length"))
-    return sizes.first()[0] or 0
-
-
-def _read_long_records(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Records with line breaks inside quotes, from files too large for one task.
-
-    The reader's own multi-line mode gives a whole file to one task. Here the file is read as lines
-    in blocks. A line lies inside quotes if the number of quotes before it is odd; that number is
-    the sum of the quotes in earlier blocks, one row per block, and of those on earlier lines of
-    the same block. Lines that are whole records are parsed where they are; the others meet by the
-    running number of their record.
-    """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2).alias("odd"),
-    )
-    in_block = Window.partitionBy("file", "block").orderBy("line")
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = lines.withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
-
-    # Whether a block starts inside quotes decides which of its lines start a record; both cases are
-    # counted before that is known.
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        lines.groupBy("file", "block")
-        .agg(
-            F.sum("odd").alias("quotes"),
-            F.count_if(F.col("inside") == 0).alias("if_outside"),
-            F.count_if(F.col("inside") == 1).alias("if_inside"),
-        )
-        .withColumn("entered", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-        .withColumn("starts", F.when(F.col("entered") == 0, F.col("if_outside")).otherwise(F.col("if_inside")))
-        .select("file", "block", "entered", F.coalesce(F.sum("starts").over(earlier), F.lit(0)).alias("before"))
-    )
-    numbered = (
-        lines.join(blocks, ["file", "block"])
-        .withColumn("first", (F.col("inside") + F.col("entered")) % 2 == 0)
-        .withColumn("record", F.col("before") + F.sum(F.col("first").cast("int")).over(so_far))
-    )
-    whole = F.col("first") & (F.col("odd") == 0)
-    pieces = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
-    records = (
-        numbered.where(whole)
-        .select("record", "value")
-        .unionByName(
-            numbered.where(~whole)
-            .groupBy("file", "record")
-            .agg(F.array_join(pieces.getField("value"), "\n").alias("value"))
-            .select("record", "value")
-        )
-        .where(F.col("record") > 1)
-        .select(_plain_line_ends("value").alias("value"))
-        .where(F.trim("value") != "")
-    )
-    options = {"quote": CSV["quote"], "escape": CSV["escape"], "multiLine": "true"}
-    parsed = records.select(F.from_csv("value", ddl, options).alias("row"))
-    return parsed.select("row.*")
-
-
-def _plain_line_ends(value: str) -> Column:
-    """In a file with CR LF line ends the reader drops every such CR, those inside quotes included."""
-    without_end = F.regexp_replace(value, "\r$", "")
-    return F.when(F.col(value).endswith("\r"), F.regexp_replace(without_end, "\r\n", "\n")).otherwise(F.col(value))
+    return spark.read.options(**CSV, multiLine=dataset.multiline, enforceSchema=False).schema(ddl).csv(path)

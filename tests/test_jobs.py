@@ -9,7 +9,7 @@ from martwright.plans import jobs, kpi
 from martwright.plans.datasets import DATASETS
 from martwright.session import scan_bytes_for, shuffle_partitions_for
 from martwright.sources import scratch
-from martwright.sources.layout import Layout, read_table, stored_bytes, write_table
+from martwright.sources.layout import Layout, publish, read_table, stored_bytes, write_table
 from martwright.testing.queries import Tables
 from tests.conftest import rows
 
@@ -104,6 +104,50 @@ def test_facts_may_be_stored_by_month(spark, layout):
         spark.sql("drop database shop cascade")
 
 
+@pytest.fixture
+def shop(spark):
+    spark.sql("create database shop")
+    yield "shop"
+    spark.sql("drop database shop cascade")
+
+
+def test_publishing_leaves_other_tables_alone(spark, layout, shop, tmp_path):
+    jobs.run_bronze(spark, layout)
+    jobs.run_silver(spark, layout)
+    jobs.run_gold(spark, layout)
+    spark.range(3).write.saveAsTable("shop.dim_sellers")
+    foreign = str(tmp_path / "foreign")
+    spark.range(4).write.parquet(foreign)
+    spark.catalog.createTable("shop.dim_date", path=foreign, source="parquet")
+    for name in ("dim_sellers", "dim_date"):
+        with pytest.raises(ValueError, match=f"`shop`.`{name}`"):
+            publish(spark, layout, "gold", ["dim_customers", name], "shop")
+    assert not spark.catalog.tableExists("shop.dim_customers")
+    assert spark.table("shop.dim_sellers").count() == 3 and spark.table("shop.dim_date").count() == 4
+
+
+def test_published_tables_follow_what_is_written(spark, layout, shop):
+    path = layout.table("gold", "dim_sellers")
+    write_table(spark.range(3), path)
+    publish(spark, layout, "gold", ["dim_sellers"], shop)
+    write_table(spark.range(5), path)
+    publish(spark, layout, "gold", ["dim_sellers"], shop)
+    assert spark.table("shop.dim_sellers").count() == 5
+    write_table(spark.range(5).selectExpr("id", "id as more"), path)
+    with pytest.raises(ValueError, match="other columns"):
+        publish(spark, layout, "gold", ["dim_sellers"], shop)
+
+
+def test_a_view_is_not_published_over(spark, layout):
+    write_table(spark.range(3), layout.table("gold", "dim_sellers"))
+    spark.range(1).createOrReplaceTempView("dim_sellers")
+    try:
+        with pytest.raises(ValueError, match="dim_sellers"):
+            publish(spark, layout, "gold", ["dim_sellers"])
+    finally:
+        spark.catalog.dropTempView("dim_sellers")
+
+
 def test_a_table_is_replaced_as_a_whole(spark, tmp_path, conf):
     conf("spark.sql.sources.partitionOverwriteMode", "dynamic")
     path = str(tmp_path / "t")

@@ -56,14 +56,54 @@ def test_comments_may_span_lines(spark, tmp_path):
     )
     expected = sorted([("r1", "o1", 5, 'a, "b"', "line 1\nline 2"), ("r2", "o2", 4, None, None)], key=repr)
     assert rows(read_raw(spark, path, DATASETS["reviews"])) == expected
-    assert rows(read_raw(spark, path, DATASETS["reviews"], whole_file_bytes=1)) == expected
+
+
+def as_file(folder, text):
+    return write(folder / "r.csv", text)
+
+
+def as_folder(folder, text):
+    (folder / "parts").mkdir()
+    write(folder / "parts" / "a.csv", text)
+    write(folder / "parts" / "b.csv", ",".join(REVIEW_HEADER) + "\nlast,o,3,,\n")
+    return str(folder / "parts")
+
+
+HEAD = ",".join(REVIEW_HEADER)
+
+
+@pytest.mark.parametrize("stored, more", [(as_file, []), (as_folder, [("last", "o", 3, None, None)])])
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        (  # an inch mark within a field that is not quoted is text
+            HEAD + '\nr1,o1,1,t,screen 5" wide\nr2,o2,2,t,b\nr3,o3,3,t,c\nr4,o4,4,t,d\n',
+            [("r1", "o1", 1, "t", 'screen 5" wide'), *[(f"r{i}", f"o{i}", i, "t", " abcd"[i]) for i in (2, 3, 4)]],
+        ),
+        (
+            HEAD + '\nr1,o1,1,t,a 5" b\nr2,o2,2,t,c 6" d\nr3,o3,3,t,e\n',
+            [("r1", "o1", 1, "t", 'a 5" b'), ("r2", "o2", 2, "t", 'c 6" d'), ("r3", "o3", 3, "t", "e")],
+        ),
+        ("\n" + HEAD + "\nr1,o1,1,t,a\nr2,o2,2,t,b\n", [("r1", "o1", 1, "t", "a"), ("r2", "o2", 2, "t", "b")]),
+        (HEAD + "\rr1,o1,1,t,a\rr2,o2,2,t,b\r", [("r1", "o1", 1, "t", "a"), ("r2", "o2", 2, "t", "b")]),
+        (HEAD + "\nr1,o1,1,t,a\n  \nr2,o2,2,t,b\n", [("r1", "o1", 1, "t", "a"), ("  ", *[None] * 4), ("r2", "o2", 2, "t", "b")]),
+        (HEAD + '\nr1,o1,1,t,a\nr2,o2,2,t,"open\n', [("r1", "o1", 1, "t", "a"), ("r2", "o2", 2, "t", "open\n")]),
+    ],
+)
+def test_awkward_files_are_read_alike_in_a_folder(spark, tmp_path, stored, more, text, expected):
+    assert rows(read_raw(spark, stored(tmp_path, text), DATASETS["reviews"])) == sorted(expected + more, key=repr)
+
+
+def test_files_with_another_header_raise(spark, tmp_path):
+    write(tmp_path / "a.csv", HEAD + "\nr1,o1,1,title,comment\n")
+    swapped = [*REVIEW_HEADER[:3], REVIEW_HEADER[4], REVIEW_HEADER[3]]
+    write(tmp_path / "b.csv", ",".join(swapped) + "\nr2,o2,2,comment,title\n")
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, str(tmp_path), DATASETS["reviews"]).collect()
 
 
 @pytest.mark.parametrize("line_end", ["\n", "\r\n"])
-def test_large_files_are_read_in_blocks(spark, tmp_path, conf, line_end):
-    """Blocks of 2 KB, so that records and quoted fields cross their borders."""
-    conf("spark.sql.files.maxPartitionBytes", "2048")
-    conf("spark.sql.files.openCostInBytes", "0")
+def test_written_records_come_back(spark, tmp_path, line_end):
     random.seed(7)
     expected = []
     for part in range(2):
@@ -74,7 +114,4 @@ def test_large_files_are_read_in_blocks(spark, tmp_path, conf, line_end):
                 text = "".join(random.choices(["a", '"', "\n", ",", " ", "é"], k=random.choice([0, 1, 5, 80])))
                 out.writerow([f"r{part}-{i}", f"o{i}", i % 7, "t", text])
                 expected.append((f"r{part}-{i}", f"o{i}", i % 7, "t", text or None))
-    df = read_raw(spark, str(tmp_path), DATASETS["reviews"], whole_file_bytes=1)
-    assert rows(df) == sorted(expected, key=repr)
-    whole = read_raw(spark, str(tmp_path), DATASETS["reviews"])
-    assert rows(df) == rows(whole)
+    assert rows(read_raw(spark, str(tmp_path), DATASETS["reviews"])) == sorted(expected, key=repr)
