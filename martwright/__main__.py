@@ -7,8 +7,8 @@ import logging
 import sys
 
 from martwright.plans import jobs, quality
-from martwright.session import build_session, size_partitions
-from martwright.sources.layout import Layout, new_run_id, stored_bytes
+from martwright.session import build_session
+from martwright.sources.layout import Layout, new_run_id
 
 STAGES = ("bronze", "silver", "gold", "quality", "counts", "publish")
 
@@ -27,10 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     logging.getLogger("py4j").setLevel(logging.WARNING)
     spark = build_session(master=args.master)
     layout, run_id, failed = Layout(args.root.rstrip("/")), new_run_id(), 0
-    inputs = {"bronze": "raw", "silver": "bronze", "gold": "silver", "quality": "bronze"}
     for stage in args.stages:
-        if stage in inputs:
-            size_partitions(spark, stored_bytes(spark, f"{layout.root}/{inputs[stage]}"))
         if stage == "publish":
             jobs.publish_gold(spark, layout, args.database)
             continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 from functools import reduce
 
@@ -38,7 +39,11 @@ class Details:
 
 
 def left_join_details(
-    header: DataFrame, key: str, details: list[Details], chunk_rows: int = CHUNK_ROWS
+    header: DataFrame,
+    key: str,
+    details: list[Details],
+    oversized: Collection[int] = (),
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``header`` left-joined with each detail table on ``key``, one after the other.
 
@@ -47,11 +52,12 @@ def left_join_details(
     rows yields *m x n*.
 
     Adaptive skew handling cannot split the right side of a left join, and one key may hold a large
-    share of the detail rows. Such keys are recognised (see ``_oversized``) and their rows cut into
-    chunks of ``chunk_rows`` sequence numbers; the header row is repeated per chunk and the chunk
-    number joins the key. The result is the same either way.
+    share of the detail rows. ``oversized`` names the detail tables, by their place, in which that
+    may be so (``find_oversized`` looks for them): their rows are cut into chunks of ``chunk_rows``
+    sequence numbers; the header row is repeated per chunk and the chunk number joins the key. The
+    result is the same either way, and no job runs here.
     """
-    cut = [i for i, part in enumerate(details) if _oversized(part, key, chunk_rows)]
+    cut = sorted(oversized)
     if not cut:
         return reduce(lambda left, part: left.join(part.rows, key, "left"), details, header)
 
@@ -88,6 +94,11 @@ def left_join_details(
     return joined.drop(*helpers)
 
 
+def find_oversized(details: list[Details], key: str, chunk_rows: int = CHUNK_ROWS) -> list[int]:
+    """Places of the detail tables in which some key holds more rows than one task should join; runs jobs."""
+    return [i for i, part in enumerate(details) if _oversized(part, key, chunk_rows)]
+
+
 def _oversized(part: Details, key: str, chunk_rows: int) -> bool:
     """Whether some key may hold more detail rows than one task should join.
 

@@ -15,32 +15,41 @@ from martwright.functions.columns import named, number
 class Rule:
     """A labelled rule: a predicate that failing rows meet, or a key that must not repeat.
 
-    A predicate that is NULL for a row does not count as a failure.
+    A predicate that is NULL for a row does not count as a failure. ``columns`` are those it reads.
     """
 
     label: str
+    columns: tuple[str, ...]
     fails: Callable[[DataFrame], Column] | None = None
-    unique: tuple[str, ...] = ()
 
+    @property
+    def unique(self) -> tuple[str, ...]:
+        """The key that must not repeat, empty for a predicate."""
+        return () if self.fails else self.columns
 
+    def applies_to(self, df: DataFrame) -> bool:
+        return set(self.columns) <= set(df.columns)
+
+
+# The labels of the rules.
 def no_null(column: str) -> Rule:
-    return Rule(f"Null check: {column}", lambda df: named(column).isNull())
+    return Rule(f"Null check: {column}", (column,), lambda df: named(column).isNull())
 
 
 def no_negative(column: str) -> Rule:
-    return Rule(f"Negative value check: {column}", lambda df: number(df, column) < F.lit(0))
+    return Rule(f"Negative value check: {column}", (column,), lambda df: number(df, column) < F.lit(0))
 
 
 def no_duplicates(*columns: str) -> Rule:
-    return Rule(f"Duplicate check: {list(columns)}", unique=columns)
+    return Rule(f"Duplicate check: {list(columns)}", columns)
 
 
 def one_of(label: str, column: str, allowed: Sequence[str]) -> Rule:
-    return Rule(label, lambda df: ~named(column).isin(*allowed))
+    return Rule(label, (column,), lambda df: ~named(column).isin(*allowed))
 
 
 def in_range(label: str, column: str, low: int, high: int) -> Rule:
-    return Rule(label, lambda df: (number(df, column) < F.lit(low)) | (number(df, column) > F.lit(high)))
+    return Rule(label, (column,), lambda df: (number(df, column) < F.lit(low)) | (number(df, column) > F.lit(high)))
 
 
 def count_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

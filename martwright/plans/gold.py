@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, functions as F
 
 from martwright.functions.calendar import date_attributes, purchase_date
 from martwright.functions.columns import money
 from martwright.operators.clean import smallest_per_key
-from martwright.operators.joins import Details, left_join_details, left_join_lookup
+from martwright.operators.joins import Details, find_oversized, left_join_details, left_join_lookup
+
+# The columns of the product dimension and of the wide fact, in their order.
+DIM_PRODUCTS = (
+    "product_id",
+    "product_category_name",
+    "product_category_name_english",
+    "product_weight_g",
+    "product_length_cm",
+    "product_height_cm",
+    "product_width_cm",
+)
+FACT_ORDERS = (
+    "order_id",
+    "customer_id",
+    "product_id",
+    "seller_id",
+    "order_purchase_timestamp",
+    "order_status",
+    "price",
+    "freight_value",
+    "payment_value",
+)
 
 
 def dim_customers(customers: DataFrame) -> DataFrame:
@@ -26,29 +50,12 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     keep the smallest translation. Both sides are reduced before the join instead, which gives the
     same rows without the fan-out.
     """
-    rows = smallest_per_key(
-        products.select(
-            "product_id",
-            "product_category_name",
-            "product_weight_g",
-            "product_length_cm",
-            "product_height_cm",
-            "product_width_cm",
-        ),
-        ["product_id"],
-    )
+    own = [column for column in DIM_PRODUCTS if column != "product_category_name_english"]
+    rows = smallest_per_key(products.select(*own), ["product_id"])
     translation = smallest_per_key(
         categories.select("product_category_name", "product_category_name_english"), ["product_category_name"]
     )
-    return left_join_lookup(rows, translation, "product_category_name", spread="product_id").select(
-        "product_id",
-        "product_category_name",
-        "product_category_name_english",
-        "product_weight_g",
-        "product_length_cm",
-        "product_height_cm",
-        "product_width_cm",
-    )
+    return left_join_lookup(rows, translation, "product_category_name", spread="product_id").select(*DIM_PRODUCTS)
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
@@ -56,31 +63,25 @@ def dim_date(orders: DataFrame) -> DataFrame:
     return orders.select(purchase_date()).distinct().select("date", *date_attributes())
 
 
-def fact_orders(orders: DataFrame, order_items: DataFrame, payments: DataFrame) -> DataFrame:
+def fact_orders(
+    orders: DataFrame, order_items: DataFrame, payments: DataFrame, oversized: Collection[str] = ()
+) -> DataFrame:
     """The wide fact: every item of an order beside every payment of it.
 
     Items and payments hang on the order independently, so an order with *m* items and *n* payments
     has *m x n* rows and sums over them overcount. That is what this table holds; sums belong on
     ``fact_order_items`` and ``fact_order_payments``.
+
+    ``oversized`` names those of order_items and payments in which one order may hold more rows than
+    a task should join (see ``oversized_details``).
     """
-    return left_join_details(
-        _order_header(orders), "order_id", [_items(order_items), _payments(payments)]
-    ).select(
-        "order_id",
-        "customer_id",
-        "product_id",
-        "seller_id",
-        "order_purchase_timestamp",
-        "order_status",
-        "price",
-        "freight_value",
-        "payment_value",
-    )
+    parts = {"order_items": _items(order_items), "payments": _payments(payments)}
+    return _with_details(orders, parts, oversized).select(*FACT_ORDERS)
 
 
-def fact_order_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+def fact_order_items(orders: DataFrame, order_items: DataFrame, oversized: Collection[str] = ()) -> DataFrame:
     """One row per order item, and one for an order without items."""
-    return left_join_details(_order_header(orders), "order_id", [_items(order_items)]).select(
+    return _with_details(orders, {"order_items": _items(order_items)}, oversized).select(
         "order_id",
         "order_item_id",
         "customer_id",
@@ -93,6 +94,21 @@ def fact_order_items(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     )
 
 
+def oversized_details(order_items: DataFrame | None = None, payments: DataFrame | None = None) -> set[str]:
+    """Which of the given tables hold orders that are too large for one task; runs jobs, best on stored tables."""
+    parts = {}
+    if order_items is not None:
+        parts["order_items"] = _items(order_items)
+    if payments is not None:
+        parts["payments"] = _payments(payments)
+    return {list(parts)[i] for i in find_oversized(list(parts.values()), "order_id")}
+
+
+def _with_details(orders: DataFrame, parts: dict[str, Details], oversized: Collection[str]) -> DataFrame:
+    cut = [i for i, name in enumerate(parts) if name in oversized]
+    return left_join_details(_order_header(orders), "order_id", list(parts.values()), cut)
+
+
 def fact_order_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """One row per order: number of payments and the amount paid."""
     paid = payments.groupBy("order_id").agg(

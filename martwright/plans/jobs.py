@@ -4,16 +4,26 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martwright.functions.calendar import purchase_month
 from martwright.plans import gold, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import missing_columns, silver
-from martwright.sources.layout import Layout, new_run_id, publish, read_table, write_report, write_table
+from martwright.session import sized_session
+from martwright.sources.layout import (
+    Layout,
+    new_run_id,
+    publish,
+    read_table,
+    stored_bytes,
+    write_report,
+    write_table,
+)
 from martwright.sources.raw_csv import read_raw
 
 log = logging.getLogger("martwright")
@@ -41,13 +51,24 @@ def run_bronze(
     """Raw CSV to Parquet, one parse per dataset; returns the run metrics."""
 
     def ingest(name: str) -> tuple[int, int, str]:
-        raw = read_raw(spark, layout.raw(name), DATASETS[name], infer=infer)
+        own = sized_session(spark, stored_bytes(spark, layout.raw(name)))
+        raw = read_raw(own, layout.raw(name), DATASETS[name], infer=infer)
         rows = write_table(raw, layout.table("bronze", name))
         return rows, rows, SUCCESS
 
     return _run(spark, datasets, ingest, workers)
 
 
+def stored_tables(spark: SparkSession, layout: Layout, layer: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Written tables of one layer, in a session sized for all of them together: what is planned on them keeps it.
+
+    The figures take their tables from here; each job below takes those of the table it builds.
+    """
+    paths = {name: layout.table(layer, name) for name in names}
+    own = sized_session(spark, sum(stored_bytes(spark, path) for path in paths.values()))
+    return {name: read_table(own, path) for name, path in paths.items()}
+
+
 def run_silver(
     spark: SparkSession, layout: Layout, datasets: Iterable[str] = DATASETS, workers: int = 4
 ) -> DataFrame:
@@ -60,7 +81,7 @@ def run_silver(
     """
 
     def clean(name: str) -> tuple[int, int, str]:
-        rows = read_table(spark, layout.table("bronze", name))
+        rows = stored_tables(spark, layout, "bronze", [name])[name]
         missing = missing_columns(name, rows)
         if missing:
             log.warning("%s lacks %s", name, ", ".join(missing))
@@ -80,11 +101,15 @@ def run_gold(
 ) -> DataFrame:
     """Silver to gold; returns the run metrics, with the rows written as both counts.
 
-    ``partition_facts`` stores the facts by year and month of purchase, in two further columns.
+    Orders too large for one task are looked for in the written silver tables first. ``partition_facts``
+    stores the facts by year and month of purchase, in two further columns.
     """
 
     def build(name: str) -> tuple[int, int, str]:
-        table = gold_table(name, lambda source: read_table(spark, layout.table("silver", source)))
+        sources = stored_tables(spark, layout, "silver", GOLD_SOURCES[name])
+        details = {source: sources[source] for source in ("order_items", "payments") if source in sources}
+        oversized = gold.oversized_details(**details) if name in CHUNKED else ()
+        table = gold_table(name, sources.__getitem__, oversized)
         months: tuple[str, ...] = ()
         if partition_facts and name.startswith("fact_"):
             months = ("order_year", "order_month")
@@ -95,19 +120,27 @@ def run_gold(
     return _run(spark, tables, build, workers)
 
 
-def gold_table(name: str, silver_table: Callable[[str], DataFrame]) -> DataFrame:
-    """One gold table from whatever ``silver_table`` supplies."""
-    sources = {
-        "dim_customers": (gold.dim_customers, ["customers"]),
-        "dim_products": (gold.dim_products, ["products", "categories"]),
-        "dim_sellers": (gold.dim_sellers, ["sellers"]),
-        "dim_date": (gold.dim_date, ["orders"]),
-        "fact_orders": (gold.fact_orders, ["orders", "order_items", "payments"]),
-        "fact_order_items": (gold.fact_order_items, ["orders", "order_items"]),
-        "fact_order_payments": (gold.fact_order_payments, ["orders", "payments"]),
-    }
-    plan, inputs = sources[name]
-    return plan(*[silver_table(source) for source in inputs])
+GOLD_SOURCES = {
+    "dim_customers": ("customers",),
+    "dim_products": ("products", "categories"),
+    "dim_sellers": ("sellers",),
+    "dim_date": ("orders",),
+    "fact_orders": ("orders", "order_items", "payments"),
+    "fact_order_items": ("orders", "order_items"),
+    "fact_order_payments": ("orders", "payments"),
+}
+
+# The facts that have a row for every detail row of an order.
+CHUNKED = ("fact_orders", "fact_order_items")
+
+
+def gold_table(
+    name: str, silver_table: Callable[[str], DataFrame], oversized: Collection[str] = ()
+) -> DataFrame:
+    """One gold table from whatever ``silver_table`` supplies; planned without running a job."""
+    plan = getattr(gold, name)
+    inputs = [silver_table(source) for source in GOLD_SOURCES[name]]
+    return plan(*inputs, oversized=oversized) if name in CHUNKED else plan(*inputs)
 
 
 def publish_gold(spark: SparkSession, layout: Layout, database: str | None = None) -> None:
@@ -115,8 +148,11 @@ def publish_gold(spark: SparkSession, layout: Layout, database: str | None = Non
 
 
 def run_quality(spark: SparkSession, layout: Layout, run_id: str | None = None) -> DataFrame:
-    """Check the bronze tables, write the report under a run-stamped path and return it as written."""
-    tables = {name: read_table(spark, layout.table("bronze", name)) for name in quality.SUITE}
+    """Check the bronze tables, write the report under a run-stamped path and return it as written.
+
+    Rules over a table or column that is not there are reported as not checked.
+    """
+    tables = _found(spark, layout, "bronze", quality.SUITE)
     target = layout.report(run_id or new_run_id())
     stamped = quality.report(tables).withColumn("validation_time", F.current_timestamp().cast("string"))
     write_report(stamped, target)
@@ -124,12 +160,21 @@ def run_quality(spark: SparkSession, layout: Layout, run_id: str | None = None)
 
 
 def check_record_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str] = DATASETS) -> DataFrame:
-    """Rows of each bronze table against those of its silver table."""
+    """Rows of each bronze table against those of its silver table; one that is not there is not checked."""
     names = list(datasets)
-    return quality.record_counts(
-        {name: read_table(spark, layout.table("bronze", name)) for name in names},
-        {name: read_table(spark, layout.table("silver", name)) for name in names},
-    )
+    return quality.record_counts(*[_found(spark, layout, layer, names) for layer in ("bronze", "silver")])
+
+
+def _found(spark: SparkSession, layout: Layout, layer: str, names: Iterable[str]) -> dict[str, DataFrame | None]:
+    """The written tables, None for one that cannot be read."""
+    tables: dict[str, DataFrame | None] = {}
+    for name in names:
+        try:
+            tables[name] = read_table(spark, layout.table(layer, name))
+        except AnalysisException as error:
+            log.warning("%s %s cannot be read: %s", layer, name, error.getCondition())
+            tables[name] = None
+    return tables
 
 
 def run_summary(metrics: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martwright.operators.rules import (
     Rule,
@@ -75,17 +75,30 @@ SUITE: dict[str, tuple[Rule, ...]] = {
 }
 
 
-def report(tables: Mapping[str, DataFrame], suite: Mapping[str, tuple[Rule, ...]] = SUITE) -> DataFrame:
-    """One row per rule (dataset, failed_rows, rule, status), all tables in one action."""
-    return stack(
-        count_failures(tables[name], rules).select(
-            F.lit(name).alias("dataset"),
-            "failed_rows",
-            "rule",
-            F.when(F.col("failed_rows") == 0, "PASS").otherwise("FAIL").alias("status"),
-        )
-        for name, rules in suite.items()
-    )
+PASS, FAIL, NOT_CHECKED = "PASS", "FAIL", "NOT CHECKED"
+
+
+def report(
+    tables: Mapping[str, DataFrame | None], suite: Mapping[str, tuple[Rule, ...]] = SUITE
+) -> DataFrame:
+    """One row per rule (dataset, failed_rows, rule, status), all tables in one action.
+
+    A rule whose table is not there, or whose columns its table lacks, is reported as not checked,
+    without a number of rows; the others are checked all the same.
+    """
+    parts, unchecked = [], []
+    for name, rules in suite.items():
+        table = tables.get(name)
+        able = [rule for rule in rules if table is not None and rule.applies_to(table)]
+        unchecked += [(name, rule.label) for rule in rules if rule not in able]
+        if able:
+            counted = count_failures(table, able)
+            parts.append(counted.select(F.lit(name).alias("dataset"), "failed_rows", "rule"))
+    if unchecked:
+        rows = SparkSession.active().createDataFrame(unchecked, "dataset string, rule string")
+        parts.append(rows.select("dataset", F.lit(None).cast("bigint").alias("failed_rows"), "rule"))
+    status = F.when(F.col("failed_rows").isNull(), NOT_CHECKED).when(F.col("failed_rows") == 0, PASS).otherwise(FAIL)
+    return stack(parts).withColumn("status", status)
 
 
 def duplicate_report(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -103,34 +116,44 @@ def duplicate_report(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def summary(report_rows: DataFrame) -> DataFrame:
-    """Failed and total rules; nothing is raised, the caller decides."""
+    """Failed, unchecked and total rules; nothing is raised, the caller decides."""
     return report_rows.agg(
-        F.count_if(F.col("status") == "FAIL").alias("failed_rules"), F.count(F.lit(1)).alias("total_rules")
+        F.count_if(F.col("status") == FAIL).alias("failed_rules"),
+        F.count_if(F.col("status") == NOT_CHECKED).alias("unchecked_rules"),
+        F.count(F.lit(1)).alias("total_rules"),
     )
 
 
 def failure_messages(report_rows: DataFrame) -> DataFrame:
-    """One line of text per failing rule."""
-    return report_rows.where(F.col("status") == "FAIL").select(
-        F.concat("dataset", F.lit(" - "), "rule", F.lit(": "), F.col("failed_rows").cast("string")).alias("message")
+    """One line of text per rule that fails or could not be checked."""
+    found = F.coalesce(F.col("failed_rows").cast("string"), F.lower("status"))
+    return report_rows.where(F.col("status") != PASS).select(
+        F.concat("dataset", F.lit(" - "), "rule", F.lit(": "), found).alias("message")
     )
 
 
-def record_counts(bronze: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per dataset before and after cleaning; PASS if some are left and none were added."""
-    counted = stack(
-        bronze[name]
-        .agg(F.count(F.lit(1)).alias("bronze_rows"), F.lit(None).cast("bigint").alias("silver_rows"))
-        .unionByName(
-            silver[name].agg(F.lit(None).cast("bigint").alias("bronze_rows"), F.count(F.lit(1)).alias("silver_rows"))
-        )
-        .agg(F.max("bronze_rows").alias("bronze_rows"), F.max("silver_rows").alias("silver_rows"))
-        .withColumn("dataset", F.lit(name))
-        for name in bronze
+def record_counts(bronze: Mapping[str, DataFrame | None], silver: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Rows per dataset before and after cleaning; PASS if some are left and none were added.
+
+    A table that is not there has no count, and its dataset is not checked. The tables should be
+    stored ones: their rows are then counted from file footers.
+    """
+    sides = {"bronze_rows": bronze, "silver_rows": silver}
+    counts = []
+    for name in bronze:
+        for column, tables in sides.items():
+            if tables.get(name) is not None:
+                rows = tables[name].agg(F.count(F.lit(1)).alias("rows"))
+                counts.append(rows.select(F.lit(name).alias("dataset"), F.lit(column).alias("side"), "rows"))
+    listed = SparkSession.active().createDataFrame([(name,) for name in bronze], "dataset string")
+    counts.append(listed.select("dataset", F.lit("").alias("side"), F.lit(None).cast("bigint").alias("rows")))
+    counted = stack(counts).groupBy("dataset").agg(
+        *[F.max(F.when(F.col("side") == column, F.col("rows"))).alias(column) for column in sides]
     )
     kept = (F.col("silver_rows") > 0) & (F.col("silver_rows") <= F.col("bronze_rows"))
+    unknown = F.col("silver_rows").isNull() | F.col("bronze_rows").isNull()
     return counted.select(
-        "dataset", "bronze_rows", "silver_rows", F.when(kept, "PASS").otherwise("FAIL").alias("status")
+        "dataset", "bronze_rows", "silver_rows", F.when(unknown, NOT_CHECKED).when(kept, PASS).otherwise(FAIL).alias("status")
     )
 
 

@@ -43,10 +43,13 @@ def build_session(app: str = "martwright", master: str | None = None, **conf: st
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """About 128 MB of decoded rows per partition, at least one partition per core.
+    """About 128 MB of decoded rows per partition, at least one partition per core, at most 50 000.
 
     Parquet is taken to double when decoded. Adaptive execution merges what turns out too small, so
-    erring upwards is cheap, whereas too few partitions spill.
+    erring upwards is cheap, whereas too few partitions spill. Beyond some 3.2 TB of input the cap
+    holds and partitions grow instead: 100 TB give 4 GB of decoded rows each. Aggregates and merge
+    joins then sort and spill to disk, they do not fail; more memory per task or tables stored in
+    ranges of their key (``--partition-facts``) avoid it.
     """
     wanted = -(-2 * input_bytes // PARTITION_BYTES)
     return min(max(wanted, cores, 1), max(MOST_SHUFFLE_PARTITIONS, cores))
@@ -57,8 +60,17 @@ def scan_bytes_for(input_bytes: int) -> int:
     return min(max(PARTITION_BYTES, input_bytes // MOST_SCAN_TASKS), MOST_SCAN_BYTES)
 
 
-def size_partitions(spark: SparkSession, input_bytes: int) -> None:
-    """Size scans and shuffles of the coming jobs for ``input_bytes`` of Parquet."""
+def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session beside ``spark``, with its settings, whose scans and shuffles suit ``input_bytes`` of Parquet.
+
+    Tables read in it, and all that is planned on them, keep these sizes, while other tables worked
+    on at the same time have theirs.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
     cores = spark.sparkContext.defaultParallelism
-    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes_for(input_bytes)))
+    own.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(input_bytes, cores)))
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(scan_bytes_for(input_bytes)))
+    return own

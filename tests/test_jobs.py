@@ -7,7 +7,7 @@ import pytest
 from martwright.__main__ import main
 from martwright.plans import jobs, kpi
 from martwright.plans.datasets import DATASETS
-from martwright.session import scan_bytes_for, shuffle_partitions_for
+from martwright.session import scan_bytes_for, shuffle_partitions_for, sized_session
 from martwright.sources import scratch
 from martwright.sources.layout import Layout, publish, read_table, stored_bytes, write_table
 from martwright.testing.queries import Tables
@@ -212,7 +212,7 @@ def test_command_line(spark, layout, conf, capsys):
     assert rows(runs.groupBy("stage", "status").count()) == [
         ("bronze", "SUCCESS", 9), ("gold", "SUCCESS", 7), ("silver", "SUCCESS", 9)
     ]
-    assert rows(spark.read.parquet(layout.root + "/quality-metrics").drop("run_id")) == [(4, 26)]
+    assert rows(spark.read.parquet(layout.root + "/quality-metrics").drop("run_id")) == [(4, 0, 26)]
 
 
 def test_partitions_follow_the_input_size(spark, layout):
@@ -225,6 +225,42 @@ def test_partitions_follow_the_input_size(spark, layout):
     assert stored_bytes(spark, layout.root + "/raw/orders") == len(RAW["orders"])
 
 
+def test_sizes_are_those_of_a_table(spark, layout, conf):
+    conf("spark.sql.session.timeZone", "Asia/Tokyo")
+    small, large = sized_session(spark, 0), sized_session(spark, 2**40)
+    assert small.conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+    assert large.conf.get("spark.sql.shuffle.partitions") == str(2 * 2**40 // 2**27)
+    assert small.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    jobs.run_bronze(spark, layout)
+    jobs.run_silver(spark, layout)
+    tables = jobs.stored_tables(spark, layout, "silver", ["orders", "order_items"])
+    assert len({id(t.sparkSession) for t in tables.values()}) == 1 and tables["orders"].sparkSession is not spark
+    assert kpi.monthly_revenue(**tables).count() == 2
+
+
+def test_quality_and_counts_survive_bad_tables(spark, layout):
+    jobs.run_bronze(spark, layout, datasets=[name for name in DATASETS if name != "sellers"])
+    write_table(read_table(spark, layout.table("bronze", "order_items")).drop("price").limit(2), layout.root + "/x/")
+    write_table(read_table(spark, layout.root + "/x/"), layout.table("bronze", "order_items"))
+    report = jobs.run_quality(spark, layout, "20200101_000000")
+    assert report.count() == 26
+    assert rows(report.where("status = 'NOT CHECKED'").select("dataset", "rule", "failed_rows")) == [
+        ("order_items", "Negative value check: price", None),
+        ("sellers", "Duplicate check: ['seller_id']", None),
+        ("sellers", "Null check: seller_id", None),
+    ]
+    assert rows(jobs.quality.summary(report)) == [(3, 3, 26)]
+    assert ("sellers - Null check: seller_id: not checked",) in rows(jobs.quality.failure_messages(report))
+    jobs.run_silver(spark, layout, datasets=["customers", "orders"])
+    counts = {r.dataset: (r.bronze_rows, r.silver_rows, r.status) for r in jobs.check_record_counts(spark, layout).collect()}
+    assert counts["orders"] == (2, 2, "PASS") and counts["sellers"] == (None, None, "NOT CHECKED")
+    assert counts["order_items"] == (2, None, "NOT CHECKED") and len(counts) == 9
+    assert main(["--root", layout.root, "quality", "counts"]) == 0
+    nothing = Layout(layout.root + "/nothing")
+    assert {r.status for r in jobs.run_quality(spark, nothing, "r").collect()} == {"NOT CHECKED"}
+
+
 class FakeSession:
     def __init__(self, shared, master):
         self.conf = {"spark.checkpoint.dir": shared} if shared else {}

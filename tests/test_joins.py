@@ -4,7 +4,7 @@ import random
 import pytest
 
 from martwright.operators import joins
-from martwright.operators.joins import Details, left_join_details
+from martwright.operators.joins import Details, find_oversized, left_join_details
 from tests.conftest import rows
 
 
@@ -39,7 +39,8 @@ def test_chunks_do_not_change_the_result(spark, seed):
     head, item_rows, payment_rows = frames(spark, header, items, payments)
     expected = brute_force(header, items, payments)
     for size in (3, 1_000_000):
-        out = left_join_details(head, "order_id", [item_rows, payment_rows], chunk_rows=size)
+        found = find_oversized([item_rows, payment_rows], "order_id", size)
+        out = left_join_details(head, "order_id", [item_rows, payment_rows], found, size)
         assert out.columns == ["order_id", "name", "item", "price", "seq", "value"]
         assert rows(out) == expected
 
@@ -49,7 +50,8 @@ def test_order_whose_rows_all_lie_beyond_the_first_chunk(spark):
     items = [(1, number, 0) for number in range(50, 60)]
     payments = [(1, 1, 10), (2, 1, 20)]
     head, item_rows, payment_rows = frames(spark, header, items, payments)
-    out = left_join_details(head, "order_id", [item_rows, payment_rows], chunk_rows=4)
+    assert find_oversized([item_rows, payment_rows], "order_id", 4) == [0]
+    out = left_join_details(head, "order_id", [item_rows, payment_rows], [0], 4)
     assert rows(out) == brute_force(header, items, payments)
 
 
@@ -75,7 +77,8 @@ def test_null_keys_do_not_count_as_oversized(spark):
 def test_numbers_of_other_types(spark, kind, numbers):
     header = spark.createDataFrame([(1, "a"), (2, "b")], "order_id int, name string")
     rows_ = spark.createDataFrame([(1, number) for number in numbers], f"order_id int, n {kind}")
-    cut = left_join_details(header, "order_id", [Details(rows_, "n")], chunk_rows=4)
+    assert find_oversized([Details(rows_, "n")], "order_id", 4) == [0]
+    cut = left_join_details(header, "order_id", [Details(rows_, "n")], [0], 4)
     whole = header.join(rows_, "order_id", "left")
     assert list(map(repr, rows(cut))) == list(map(repr, rows(whole)))
     assert cut.count() == len(numbers) + 1

@@ -58,6 +58,26 @@ def test_wide_fact_shuffles_each_input_once(spark, bronze):
     assert "order_item_id" not in plan(wide)
 
 
+def test_facts_and_figures_are_planned_without_a_job(spark, bronze):
+    """Orders give the figures their ids only."""
+    sales, products, sellers = (bronze("orders"), bronze("order_items")), bronze("products"), bronze("sellers")
+    categories, payments = bronze("categories"), bronze("payments")
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        frames = [
+            gold.fact_orders(*sales, payments),
+            gold.fact_orders(*sales, payments, {"order_items", "payments"}),
+            gold.fact_order_items(*sales),
+            kpi.top_categories(*sales, gold.dim_products(products, categories)),
+            kpi.top_cities(*sales, sellers),
+        ]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for figure in frames[-2:]:
+        assert "order_id" in plan(figure) and "customer_id" not in plan(figure) and "LeftSemi" in plan(figure)
+
+
 def test_oversized_orders_are_looked_for_by_a_pushed_filter(bronze):
     part = Details(bronze("order_items"), "order_item_id")
     text = plan(_beyond_first(part, 50).select("order_item_id"))

@@ -59,7 +59,7 @@ def test_empty_tables_pass(empty):
     report = quality.report(empty)
     assert report.columns == ["dataset", "failed_rows", "rule", "status"]
     assert rows(report.select("failed_rows", "status").distinct()) == [(0, "PASS")]
-    assert rows(quality.summary(report)) == [(0, 26)]
+    assert rows(quality.summary(report)) == [(0, 0, 26)]
 
 
 def test_failure_messages(spark, empty):
