@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 _local: list[tempfile.TemporaryDirectory] = []
 
 
-def scratch_dir(spark: SparkSession) -> str:
+def scratch_path(spark: SparkSession) -> str:
     """A new path under ``spark.checkpoint.dir``; a temporary folder only in local mode without it."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
@@ -23,12 +23,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return _local[-1].name
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A path to write to that goes with the driver: a folder of its own is made now and removed at exit."""
+    folder, files = _folder(spark, scratch_path(spark))
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{folder.toString()}/data"
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[str]:
     """A scratch folder that is removed afterwards; for results that no longer read from it."""
-    path = scratch_dir(spark)
+    folder, files = _folder(spark, scratch_path(spark))
     try:
-        yield path
+        yield folder.toString()
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        files.delete(folder, True)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -268,10 +268,18 @@ class FakeSession:
 
 
 def test_scratch_folder_follows_the_session():
-    assert scratch.scratch_dir(FakeSession("/shared/", "yarn")).startswith("/shared/martwright-")
-    assert os.path.isdir(scratch.scratch_dir(FakeSession(None, "local[2]")))
+    assert scratch.scratch_path(FakeSession("/shared/", "yarn")).startswith("/shared/martwright-")
+    assert os.path.isdir(scratch.scratch_path(FakeSession(None, "local[2]")))
     with pytest.raises(RuntimeError):
-        scratch.scratch_dir(FakeSession(None, "yarn"))
+        scratch.scratch_path(FakeSession(None, "yarn"))
+
+
+def test_scratch_tables_go_with_the_driver(spark):
+    path = scratch.scratch_dir(spark)
+    assert write_table(spark.range(3), path) == 3
+    folder, files = scratch._folder(spark, os.path.dirname(path))
+    assert files.cancelDeleteOnExit(folder)
+    files.delete(folder, True)
 
 
 def test_scratch_folder_is_removed(spark):
