@@ -6,7 +6,7 @@ quality rule is a count of its own, and the wide fact is summed as it stands.
 
 from __future__ import annotations
 
-from martwright.testing.shapes import HELPERS, SHAPES, TABLES
+from martwright.testing.shapes import HELPERS, RAW, SHAPES, TABLES
 
 # Columns per dataset, and which of them are text.
 COLUMNS = {
@@ -182,7 +182,8 @@ def _with(statement: str) -> str:
     """``statement`` preceded by the shapes, silver and gold tables as common table expressions."""
     parts = {name: text for name, text in HELPERS.items()}
     parts |= {f"b_{name}": text for name, text in SHAPES.items()}
-    names = {name: name for name in (*TABLES, *HELPERS)}
+    parts |= {f"r_{name}": text for name, text in RAW.items()}
+    names = {name: name for name in (*TABLES, *HELPERS, *(f"b_{name}" for name in SHAPES))}
     parts = {name: text.format(**names) for name, text in parts.items()}
     parts |= {f"s_{name}": _silver(name) for name in COLUMNS}
     parts |= GOLD
@@ -278,6 +279,14 @@ def _metrics() -> str:
     )
 
 
+def _records() -> str:
+    columns = COLUMNS | {"reviews": (*COLUMNS["reviews"], "review_comment_title", "review_comment_message")}
+    texts = {name: [f"coalesce(cast({c} as varchar), 'NULL')" for c in own] for name, own in columns.items()}
+    return " union all ".join(
+        f"select '{name}' as dataset, concat_ws('|', {', '.join(own)}) as record from r_{name}" for name, own in texts.items()
+    )
+
+
 MONTHLY = """
     select cast(year(date) as int) as year, cast(month(date) as int) as month, monthname(date) as month_name,
            cast(coalesce(sum(price), 0) as decimal(38,2)) as revenue, count(distinct order_id) as orders
@@ -287,6 +296,7 @@ MONTHLY = """
 
 STATEMENTS = {
     "bronze_csv_ingest": "select * from b_orders",
+    "bronze_contract_ingest": _records(),
     "silver_trim_strings": f"select {_trimmed('customers')} from b_customers",
     "silver_generic_clean": f"select {_trimmed('sellers')} from (select distinct * from b_sellers) "
     f"where {_some_value('sellers')}",
@@ -300,6 +310,12 @@ STATEMENTS = {
                cast(sum(rows_removed) as bigint) as rows_removed
         from ({_metrics()})
     """,
+    "silver_run_failures": """
+        select 'customers' as dataset, b as rows_before, s as rows_after, b - s as rows_removed, 'SUCCESS' as status
+        from (select (select count(*) from b_customers) as b, (select count(*) from s_customers) as s)
+        union all select 'order_items', 0, 0, 0, 'SCHEMA FAILED'
+        union all select 'geolocation', null, null, null, 'FAILED'
+    """,
     **{f"gold_{name}": f"select * from {name}" for name in GOLD},
     "fact_fanout_audit": """
         select * from (with items as (
@@ -352,7 +368,14 @@ STATEMENTS = {
         where f.price is not null
         group by 1 order by revenue desc, seller_city asc nulls first limit 10
     """,
-    "gold_sql_monthly_revenue": MONTHLY,
+    "quality_report_written": _report(),
+    "quality_failure_messages": "select dataset || ' - ' || rule || ': ' || failed_rows as message "
+    f"from ({_report()}) where status = 'FAIL'",
+}
+
+STATEMENTS |= {
+    f"gold_sql_{figure}": STATEMENTS[f"kpi_{figure}"]
+    for figure in ("headline", "monthly_revenue", "revenue_by_state", "top_categories", "top_cities")
 }
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,7 @@ from martwright.operators.clean import generic_clean, trim_strings
 from martwright.plans import gold, jobs, kpi, quality
 from martwright.plans.datasets import DATASETS, Dataset
 from martwright.plans.silver import missing_columns, silver
-from martwright.sources.layout import Layout, read_table, write_table
+from martwright.sources.layout import Layout, publish, read_table, write_table
 from martwright.sources.raw_csv import CSV, read_raw
 from martwright.sources.scratch import scratch, scratch_dir
 from martwright.testing import shapes
@@ -55,6 +56,21 @@ def bronze_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.table("bronze", "orders"))
 
 
+def bronze_contract_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine datasets written as raw CSV, ingested by the job with their contract, each row as one text."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+    as_they_are = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for name in DATASETS:
+        tables.raw(name).write.options(**CSV, **as_they_are).csv(layout.raw(name))
+    jobs.run_bronze(spark, layout)
+    found = []
+    for name in DATASETS:
+        rows = read_table(spark, layout.table("bronze", name))
+        values = [F.coalesce(F.col(column).cast("string"), F.lit("NULL")) for column in rows.columns]
+        found.append(rows.select(F.lit(name).alias("dataset"), F.concat_ws("|", *values).alias("record")))
+    return quality.stack(found)
+
+
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract columns missing from two doctored tables, with the rows they keep out of silver."""
     tables = Tables(spark, sf_dir)
@@ -84,24 +100,58 @@ def silver_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_summary(silver_run_metrics(spark, sf_dir))
 
 
+def silver_run_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job over a good table, one without a contract column and one that is not there."""
+    with scratch(spark) as folder:
+        layout, tables = Layout(folder), Tables(spark, sf_dir)
+        write_table(tables.bronze("customers"), layout.table("bronze", "customers"))
+        write_table(tables.bronze("order_items").drop("price"), layout.table("bronze", "order_items"))
+        return jobs.run_silver(spark, layout, ["customers", "order_items", "geolocation"]).drop("duration")
+
+
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = Tables(spark, sf_dir)
-    return quality.record_counts(
-        {name: tables.bronze(name) for name in DATASETS}, {name: tables.silver(name) for name in DATASETS}
-    )
+    """Counts of the written tables, after the silver job; one row per dataset."""
+    with scratch(spark) as folder:
+        layout = Layout(folder)
+        Tables(spark, sf_dir).write_bronze(layout)
+        jobs.run_silver(spark, layout)
+        counted = jobs.check_record_counts(spark, layout)
+        return spark.createDataFrame(counted.collect(), counted.schema)
 
 
-def gold_sql_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly revenue as SQL text over views of the gold tables."""
-    tables = Tables(spark, sf_dir)
-    views = ("fact_order_items", "dim_date")
-    for name in views:
-        tables.gold(name).createOrReplaceTempView(name)
-    result = spark.sql(kpi.SQL["monthly_revenue"])
-    # The plan is resolved; views left behind would hide published tables of the same name.
-    for name in views:
-        spark.catalog.dropTempView(name)
-    return result
+def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report as the job leaves it, read from its CSV file."""
+    layout = Layout(scratch_dir(spark))
+    Tables(spark, sf_dir).write_bronze(layout)
+    return jobs.run_quality(spark, layout)
+
+
+GOLD_SQL = {
+    "headline": ("fact_order_items", "dim_customers"),
+    "monthly_revenue": ("fact_order_items", "dim_date"),
+    "revenue_by_state": ("fact_order_items", "dim_customers"),
+    "top_categories": ("fact_order_items", "dim_products"),
+    "top_cities": ("fact_order_items", "dim_sellers"),
+}
+
+
+def _gold_sql(figure: str) -> Query:
+    """A figure as SQL text over gold tables that are written and published in a database of their own."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+        for name in GOLD_SQL[figure]:
+            write_table(tables.gold(name), layout.table("gold", name))
+        database, before = f"martwright_{uuid4().hex}", spark.catalog.currentDatabase()
+        publish(spark, layout, "gold", GOLD_SQL[figure], database)
+        spark.catalog.setCurrentDatabase(database)
+        try:
+            return spark.sql(kpi.SQL[figure])
+        finally:  # the plan is resolved and reads the folders, which stay
+            spark.catalog.setCurrentDatabase(before)
+            spark.sql(f"drop database `{database}` cascade")
+
+    return query
 
 
 def _on_bronze(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
@@ -142,22 +192,26 @@ def _kpi(plan: Callable[..., DataFrame], dimension: str) -> Query:
 
 QUERIES: dict[str, Query] = {
     "bronze_csv_ingest": bronze_csv_ingest,
+    "bronze_contract_ingest": bronze_contract_ingest,
     "silver_trim_strings": _on_bronze("customers", trim_strings),
     "silver_generic_clean": _on_bronze("sellers", generic_clean),
     "schema_check": schema_check,
     **{f"silver_{name}": _silver(name) for name in DATASETS},
     "silver_run_metrics": silver_run_metrics,
     "silver_run_summary": silver_run_summary,
+    "silver_run_failures": silver_run_failures,
     **{f"gold_{name}": _gold(name) for name in jobs.GOLD_TABLES},
     "fact_fanout_audit": _on_silver(gold.fanout_audit, "orders", "order_items", "payments"),
     "quality_report": _on_suite(quality.report),
     "quality_duplicate_keys": _on_suite(quality.duplicate_report),
     "quality_summary": _on_suite(lambda tables: quality.summary(quality.report(tables))),
     "quality_record_counts": record_counts,
+    "quality_report_written": lambda spark, sf_dir: _written_report(spark, sf_dir).drop("validation_time"),
+    "quality_failure_messages": lambda spark, sf_dir: quality.failure_messages(_written_report(spark, sf_dir)),
     "kpi_headline": _kpi(kpi.headline, "dim_customers"),
     "kpi_monthly_revenue": _on_silver(kpi.monthly_revenue, "orders", "order_items"),
     "kpi_revenue_by_state": _kpi(kpi.revenue_by_state, "dim_customers"),
     "kpi_top_categories": _kpi(kpi.top_categories, "dim_products"),
     "kpi_top_cities": _kpi(kpi.top_cities, "dim_sellers"),
-    "gold_sql_monthly_revenue": gold_sql_monthly_revenue,
+    **{f"gold_sql_{figure}": _gold_sql(figure) for figure in GOLD_SQL},
 }

@@ -36,5 +36,13 @@ def test_query_matches_its_sql(spark, duck, name):
     assert sorted(map(repr, map(tuple, ours.select(*columns).collect()))) == sorted(map(repr, theirs.fetchall()))
 
 
+@pytest.mark.parametrize("folder", [SF, "/root/testdata/sf0.01"])
+def test_every_rule_fires_and_every_silver_rule_removes_rows(spark, folder):
+    report = registered.QUERIES["quality_report"](spark, folder)
+    assert report.where("failed_rows > 0").count() == report.count() == 26
+    metrics = registered.QUERIES["silver_run_metrics"](spark, folder)
+    assert metrics.where("rows_removed > 0 and rows_after > 0").count() == 9
+
+
 def test_entry(spark):
     assert driver.entry(spark).columns == ["year", "month", "month_name", "revenue", "orders"]
