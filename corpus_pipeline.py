@@ -4,8 +4,8 @@ Every stage reads all that its predecessor kept, applies one operator of ``martw
 the columns of ``documents``, whatever these are; the last one returns token rows. ``run`` writes what a stage returns
 as Parquet to the shared folder and reads it again.
 
-Decisions meet their rows without relying on doc_id, which may be null or repeated: a row is carried through the
-operator, or is found again by a digest of its text, on which alone the decision depends. An empty table gives an empty
+Decisions meet their rows without relying on doc_id, which may be null or repeated: a row is filtered or carried through
+the operator, or is found again by a digest of its text, on which alone the decision depends. An empty table gives an empty
 one in every stage.
 """
 
@@ -38,8 +38,7 @@ def _digest(docs: DataFrame) -> Column:
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier gives at least an even chance of good quality. Empty and null texts score by the bias."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
-    scored = quality_classifier.quality(docs, model, _row(docs))
-    return scored.where(F.col("score") >= LEAST_QUALITY).select("row.*")
+    return quality_classifier.accepted(docs, model, LEAST_QUALITY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -143,20 +143,21 @@ def train(rows: DataFrame, featurize: Featurizer, p: Ftrl) -> LinearModel:
     return LinearModel(p.bits, index.astype(np.int32), w[index], float(-z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha)))
 
 
-def score(rows: DataFrame, model: LinearModel, featurize: Featurizer) -> DataFrame:
-    """``rows`` (text and others) with a column ``score``: sparse dot products, no shuffle; ``text`` itself goes."""
-    kept = [name for name in rows.columns if name != "text"]
-    schema = rows.select(*kept).withColumn("score", F.lit(0.0)).schema
+def score(text: Column, model: LinearModel, featurize: Featurizer) -> Column:
+    """Probability of label 1: sparse dot products over batches of the text alone, whatever else a row has.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The functions of this package must have been shipped to the session's workers.
+    """
+
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = model.dense()
-        for batch in batches:
-            sums = np.full(batch.num_rows, model.bias)
-            for first, count, row, index, value in featurize(batch.column("text")):
+        for batch in texts:
+            sums = np.full(len(batch), model.bias)
+            for first, count, row, index, value in featurize(batch):
                 w = table[index]
                 hit = np.flatnonzero(w)
                 sums[first : first + count] += np.bincount(row[hit], w[hit] * value[hit], minlength=count)
-            columns = [batch.column(name) for name in kept] + [pa.array(sigmoid(sums))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score"])
+            yield pa.array(sigmoid(sums))
 
-    return shipped(rows).mapInArrow(run, schema)
+    return run(text.cast("string"))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.features import counted_ngrams
 from martwright.llm.linear import Ftrl, LinearModel, score, train
+from martwright.llm.ship import shipped
 from martwright.llm.toxicity import labelled
 
 #: Labelled rows that a model is fitted on at most (about: they are chosen by a hash of the id).
@@ -24,10 +25,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT
     return train(labelled(docs, labels, "quality", learn_from, bound), partial(counted_ngrams, bits=p.bits), p)
 
 
-def quality(docs: DataFrame, model: LinearModel, *carried: str | Column) -> DataFrame:
-    """(doc_id, the ``carried`` columns, score) for each row of ``docs``; a null text scores as an empty one, by the bias.
+def quality(docs: DataFrame, model: LinearModel) -> DataFrame:
+    """(doc_id, score) for each row of ``docs`` (doc_id, text), with a score in (0, 1).
 
-    Repeated rows and null ids stay, other columns are dropped.
+    A null text scores as an empty one, by the bias alone. Repeated rows and null ids stay, other columns are dropped.
     """
-    rows = docs.select("doc_id", *carried, F.col("text").cast("string").alias("text"))
-    return score(rows, model, partial(counted_ngrams, bits=model.bits))
+    return shipped(docs).select("doc_id", _probability(model).alias("score"))
+
+
+def accepted(docs: DataFrame, model: LinearModel, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (text and any others) that score at least ``least``, with all their columns."""
+    return shipped(docs).where(_probability(model) >= least)
+
+
+def _probability(model: LinearModel) -> Column:
+    return score(F.col("text"), model, partial(counted_ngrams, bits=model.bits))

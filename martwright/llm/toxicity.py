@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.features import present_ngrams
 from martwright.llm.linear import Ftrl, LinearModel, bounded_sample, score, train
+from martwright.llm.ship import shipped
 
 #: Labelled rows that a model is fitted on at most (about: they are chosen by a hash of the id).
 FIT_ROWS = 24_000
@@ -40,9 +41,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT
 
 
 def toxicity(docs: DataFrame, model: LinearModel) -> DataFrame:
-    """Adds nothing to but takes doc_id and text from ``docs``: (doc_id, score), one row per row, in (0, 1).
+    """(doc_id, score) for each row of ``docs`` (doc_id, text), with a score in (0, 1).
 
     A null text scores as an empty one, by the bias alone. Repeated rows and null ids stay, other columns are dropped.
     """
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return score(rows, model, partial(present_ngrams, bits=model.bits))
+    probability = score(F.col("text"), model, partial(present_ngrams, bits=model.bits))
+    return shipped(docs).select("doc_id", probability.alias("score"))
