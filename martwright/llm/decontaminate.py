@@ -19,7 +19,7 @@ from martwright.llm.ship import shipped
 from martwright.llm.text import ALPHANUMERIC, Hasher, words_of
 
 #: Bytes of document text in a segment; a longer document is a segment of its own.
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = (1 << 20) - 64
 #: Bytes of benchmark text that are sent to the executors at a time.
 BLOCK_BYTES = 8 << 20
 

@@ -116,7 +116,7 @@ def fit(docs: DataFrame, learn_from: Column, bound: int = FIT_ROWS) -> LanguageF
     sent to the driver, so their number is bounded by the n-grams of a document over that share.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = bounded_sample(rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from), "doc_id", bound)
+    rows, _ = bounded_sample(rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from), "doc_id", bound)
     documents = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(documents)
     if not languages:

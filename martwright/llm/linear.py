@@ -1,6 +1,6 @@
 """Logistic regression over hashed features, trained with FTRL-proximal updates in Spark.
 
-A featurizer turns the texts of an Arrow column into sparse rows. Training deals the rows over a fixed number of shards;
+A featurizer turns the texts of an Arrow column into sparse rows. Training deals the rows over shards of bounded size;
 every shard runs the per-coordinate updates over its rows a few times, and the states are averaged (parameter mixing).
 A coordinate is admitted only if enough rows of the shard have it, so a row's own rare words cannot take the blame for
 its label. Only the shards' states reach the driver, at most ``2**bits`` coordinates each. Most weights end as exact
@@ -22,6 +22,10 @@ from martwright.llm.ship import shipped
 Featurizer = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
 
 
+#: Rows that one task trains on, about.
+ROWS_PER_SHARD = 12_000
+
+
 @dataclass(frozen=True)
 class Ftrl:
     """``alpha`` and ``beta`` set the per-coordinate rates alpha / (beta + sqrt(sum of squared gradients))."""
@@ -32,7 +36,6 @@ class Ftrl:
     l1: float = 2.0
     l2: float = 0.0
     rounds: int = 6
-    shards: int = 4
     min_rows: int = 4
 
 
@@ -61,11 +64,11 @@ def weights(z: np.ndarray, n: np.ndarray, p: Ftrl) -> np.ndarray:
 
 
 def update(z: np.ndarray, n: np.ndarray, index: np.ndarray, value: np.ndarray, label: int, p: Ftrl) -> None:
-    """One FTRL-proximal step on a row; the last coordinate is the bias, which has no L1 term."""
+    """One FTRL-proximal step on a row, whose values may be one for all; the last coordinate is the bias, without L1 term."""
     zi, ni = z[index], n[index]
     w = weights(zi, ni, p)
     bias = -z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha)
-    error = float(sigmoid(w @ value + bias)) - label
+    error = float(sigmoid((w * value).sum() + bias)) - label
     gradient = error * value
     root = np.sqrt(ni + gradient * gradient)
     z[index] = zi + gradient - (root - np.sqrt(ni)) / p.alpha * w
@@ -80,10 +83,21 @@ def hash_fraction(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def bounded_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
-    """About ``bound`` of the rows, chosen by a hash of the key; all of them if there are no more."""
+def bounded_sample(rows: DataFrame, key: str, bound: int) -> tuple[DataFrame, int]:
+    """About ``bound`` of the rows, chosen by a hash of the key, or all of them if there are no more; and how many."""
     total = rows.count()
-    return rows if total <= bound else rows.where(hash_fraction(F.col(key)) < bound / total)
+    return (rows, total) if total <= bound else (rows.where(hash_fraction(F.col(key)) < bound / total), bound)
+
+
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """About ``n`` rows (key, text, label) with the number of their shard, by a hash of the key."""
+    shards = max(1, -(-n // ROWS_PER_SHARD))
+    return rows.select(
+        F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"),
+        F.xxhash64("key").alias("key"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("label").cast("int").alias("label"),
+    )
 
 
 def _fit_shard(featurize: Featurizer, p: Ftrl):
@@ -94,11 +108,14 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
         labels = table.column("label").to_numpy()
         seen = np.zeros(1 << p.bits, np.int32)
         found: list[tuple[np.ndarray, np.ndarray]] = []
+        one = np.ones(1)
         for _, count, row, index, value in featurize(table.column("text")):
             ends = np.searchsorted(row, np.arange(count + 1))
-            seen += np.bincount(index, minlength=1 << p.bits).astype(np.int32)
+            np.add.at(seen, index, 1)
+            plain = bool((value == 1).all())
             found += [
-                (index[a:b].astype(np.int32), value[a:b].astype(np.float32)) for a, b in zip(ends[:-1], ends[1:], strict=True)
+                (index[a:b].astype(np.int32), one if plain else value[a:b].astype(np.float32))
+                for a, b in zip(ends[:-1], ends[1:], strict=True)
             ]
         admitted = np.flatnonzero(seen >= p.min_rows)
         place = np.full(1 << p.bits, -1, np.int32)
@@ -106,7 +123,7 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
         z, n = np.zeros(len(admitted) + 1), np.zeros(len(admitted) + 1)
         for i, (index, value) in enumerate(found):
             at = place[index]
-            found[i] = at[at >= 0], value[at >= 0]
+            found[i] = at[at >= 0], value if value is one else value[at >= 0]
         for _ in range(p.rounds):
             for (index, value), label in zip(found, labels, strict=True):
                 update(z, n, index, value, int(label), p)
@@ -116,20 +133,16 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
     return fit
 
 
-def train(rows: DataFrame, featurize: Featurizer, p: Ftrl) -> LinearModel:
-    """Fits ``rows`` (key, text, label 0 or 1), which the caller has bounded. Without rows, every score is 0.5.
+def train(rows: DataFrame, n: int, featurize: Featurizer, p: Ftrl) -> LinearModel:
+    """Fits ``rows`` (key, text, label 0 or 1), about ``n`` as the caller has bounded them. Without rows, scores are 0.5.
 
     The states of the shards, of bounded size, are averaged by their rows; a coordinate a shard has not admitted counts
     as zero there.
     """
-    dealt = rows.select(
-        F.pmod(F.xxhash64("key"), F.lit(p.shards)).cast("int").alias("shard"),
-        F.xxhash64("key").alias("key"),
-        F.coalesce(F.col("text"), F.lit("")).alias("text"),
-        F.col("label").cast("int").alias("label"),
-    )
-    fitted = shipped(dealt).groupBy("shard").applyInArrow(
-        _fit_shard(featurize, p), "rows long, index binary, z binary, n binary"
+    fitted = (
+        shipped(dealt(rows, n))
+        .groupBy("shard")
+        .applyInArrow(_fit_shard(featurize, p), "rows long, index binary, z binary, n binary")
     )
     states = sorted(fitted.collect(), key=lambda s: (s["rows"], s["z"]))
     z, n = np.zeros((1 << p.bits) + 1), np.zeros((1 << p.bits) + 1)

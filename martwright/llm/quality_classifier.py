@@ -16,13 +16,13 @@ from martwright.llm.ship import shipped
 from martwright.llm.toxicity import labelled
 
 #: Labelled rows that a model is fitted on at most (about: they are chosen by a hash of the id).
-FIT_ROWS = 24_000
-PARAMETERS = Ftrl(bits=20, alpha=2.0, l1=0.3, rounds=6, shards=4, min_rows=4)
+FIT_ROWS = 12_000
+PARAMETERS = Ftrl(bits=20, alpha=1.0, l1=0.5, rounds=6, min_rows=4)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT_ROWS, p: Ftrl = PARAMETERS) -> LinearModel:
     """``learn_from`` is a condition on ``doc_id``; ``labels`` has doc_id and quality."""
-    return train(labelled(docs, labels, "quality", learn_from, bound), partial(counted_ngrams, bits=p.bits), p)
+    return train(*labelled(docs, labels, "quality", learn_from, bound), partial(counted_ngrams, bits=p.bits), p)
 
 
 def quality(docs: DataFrame, model: LinearModel) -> DataFrame:

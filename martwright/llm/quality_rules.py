@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martwright.llm.linear import dealt
 from martwright.llm.ship import shipped
 from martwright.llm.text import NOT_SPACE, Hasher, as_bytes, row_chunks, split_words
 from martwright.llm.toxicity import labelled
@@ -25,7 +26,6 @@ LEAST_CONTENT = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 
-_SHARDS = 4
 _STEPS = 150
 _RATE = 0.5
 _L2 = 1e-3
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, bo
 
     Without any labelled line all weights are zero and every line counts as content.
     """
-    rows = labelled(docs, labels, "quality", F.lit(True) if learn_from is None else learn_from, bound)
+    rows, n = labelled(docs, labels, "quality", F.lit(True) if learn_from is None else learn_from, bound)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("label", "ascending"), ("text", "ascending")])
@@ -264,13 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, bo
         weights = np.concatenate([model.feature, model.start, model.transition.ravel()])
         return pa.table({"lines": [len(row)], "weights": [weights.tolist()]})
 
-    dealt = rows.select(
-        F.pmod(F.xxhash64("key"), F.lit(_SHARDS)).cast("int").alias("shard"),
-        F.xxhash64("key").alias("key"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.col("label").cast("int").alias("label"),
-    )
-    fitted = shipped(dealt).groupBy("shard").applyInArrow(run, "lines long, weights array<double>").collect()
+    fitted = shipped(dealt(rows, n)).groupBy("shard").applyInArrow(run, "lines long, weights array<double>").collect()
     total = sum(s["lines"] for s in fitted)
     w = sum((np.array(s["weights"]) * (s["lines"] / total) for s in sorted(fitted) if s["lines"]), np.zeros(FEATURES + 6))
     return LineField(w[:FEATURES], w[FEATURES : FEATURES + 2], w[FEATURES + 2 :].reshape(2, 2))

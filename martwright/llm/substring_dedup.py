@@ -30,7 +30,7 @@ from martwright.sources.scratch import scratch_dir
 
 #: Windows in a hash bucket, about.
 BUCKET_WINDOWS = 4_000_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = (2 << 20) - 64
 
 _anchor = Hasher(51)
 _full = Hasher(52)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = (1 << 20) - 64
 
 _BYTES = np.arange(256)
 #: Word bytes of ``[^\x20\x09-\x0D]+``.
@@ -38,8 +38,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Powers:
+    """Powers of one odd number and of its inverse modulo 2**64, kept for chunks of the usual size."""
+
+    KEPT = 1 << 21
+
+    def __init__(self, base: int) -> None:
+        self.base, self.inverse = base, pow(base, -1, 2**64)
+        self.kept = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        up, down = self.kept
+        while len(up) < n:
+            size = len(up)
+            up = np.concatenate([up, up * np.uint64(pow(self.base, size, 2**64))])
+            down = np.concatenate([down, down * np.uint64(pow(self.inverse, size, 2**64))])
+            if len(up) <= self.KEPT:
+                self.kept = up, down
+        return up, down
+
+
+_powers = _Powers(0x5851F42D4C957F2D)
+
+
 class Hasher:
-    """A family of polynomial hashes modulo 2**64, chosen by ``seed``.
+    """A family of polynomial hashes modulo 2**64, whose values of the bytes are chosen by ``seed``.
 
     ``spans`` hashes byte ranges and ``windows`` hashes runs of word hashes, both from one running sum: the difference of
     two sums times the inverse power of the first position does not depend on where the range stands.
@@ -50,22 +73,12 @@ class Hasher:
         self.byte_values = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         if fold_case:
             self.byte_values = self.byte_values[LOWER]
-        self.base = int(rng.integers(2**40, 2**62)) * 2 + 1
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = np.ones(1, np.uint64)
-        self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        while len(self.powers) < n:
-            size = len(self.powers)
-            self.powers = np.concatenate([self.powers, self.powers * np.uint64(pow(self.base, size, 2**64))])
-            self.inverses = np.concatenate([self.inverses, self.inverses * np.uint64(pow(self.inverse, size, 2**64))])
 
     def _ranges(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(values) + 1)
+        up, down = _powers(len(values) + 1)
         sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self.powers[: len(values)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * self.inverses[starts]
+        np.cumsum(values * up[: len(values)], out=sums[1:])
+        return (sums[ends] - sums[starts]) * down[starts]
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         lengths = (ends - starts).astype(np.uint64)

@@ -15,12 +15,12 @@ from martwright.llm.linear import Ftrl, LinearModel, bounded_sample, score, trai
 from martwright.llm.ship import shipped
 
 #: Labelled rows that a model is fitted on at most (about: they are chosen by a hash of the id).
-FIT_ROWS = 24_000
-PARAMETERS = Ftrl(bits=22, alpha=4.0, l1=2.0, rounds=6, shards=4, min_rows=4)
+FIT_ROWS = 12_000
+PARAMETERS = Ftrl(bits=22, alpha=8.0, l1=4.0, rounds=12, min_rows=5)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, bound: int) -> DataFrame:
-    """(key, text, label) of at most about ``bound`` labelled documents that ``learn_from`` (over doc_id) admits.
+def labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, bound: int) -> tuple[DataFrame, int]:
+    """(key, text, label) of at most about ``bound`` labelled documents that ``learn_from`` (over doc_id) admits, and how many.
 
     A document with several label rows is used once, with its largest label; labels other than 0 and 1 and rows with a
     null id are left out. Repeated documents are repeated rows.
@@ -31,13 +31,13 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column,
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
     )
-    chosen = bounded_sample(wanted, "doc_id", bound)
-    return chosen.join(docs.select("doc_id", "text"), "doc_id").select(F.col("doc_id").alias("key"), "text", "label")
+    chosen, n = bounded_sample(wanted, "doc_id", bound)
+    return chosen.join(docs.select("doc_id", "text"), "doc_id").select(F.col("doc_id").alias("key"), "text", "label"), n
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT_ROWS, p: Ftrl = PARAMETERS) -> LinearModel:
     """``learn_from`` is a condition on ``doc_id``; ``labels`` has doc_id and toxic."""
-    return train(labelled(docs, labels, "toxic", learn_from, bound), partial(present_ngrams, bits=p.bits), p)
+    return train(*labelled(docs, labels, "toxic", learn_from, bound), partial(present_ngrams, bits=p.bits), p)
 
 
 def toxicity(docs: DataFrame, model: LinearModel) -> DataFrame:
