@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -19,13 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, shipped
 from martwright.llm.text import as_bytes, row_chunks
 
 #: A vocabulary beyond this many tokens is refused, as it is sent to every executor.
 MOST_TOKENS = 1_000_000
 #: Merged pre-tokens remembered by a worker; beyond that it starts anew.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 200_000
 #: Longer pre-tokens are merged but not remembered.
 MEMO_BYTES = 64
 CHUNK_BYTES = 1 << 20
@@ -124,7 +126,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec:
-    """Encoder and decoder of one worker."""
+    """Encoder of one worker; ids are little-endian unsigned 32-bit integers in a row."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, hashed: PerfectHash) -> None:
         import regex
@@ -132,30 +134,24 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.ranks = ranks
         self.hashed = hashed
-        self.memo: dict[str, list[int]] = {}
-        self.bytes_of = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
+        self.memo: dict[str, bytes] = {}
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> bytes:
         raw = text.encode("utf-8", "surrogatepass")
         rank = self.hashed.get(raw)
-        ids = [rank] if rank is not None else merge(raw, self.ranks)
+        ids = array("I", [rank] if rank is not None else merge(raw, self.ranks))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        packed = ids.tobytes()
         if len(raw) <= MEMO_BYTES:
             if len(self.memo) >= MEMO_ENTRIES:
                 self.memo.clear()
-            self.memo[text] = ids
-        return ids
+            self.memo[text] = packed
+        return packed
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def encode(self, text: str) -> bytes:
         known = self.memo.get
-        for piece in self.find(text):
-            ids += known(piece) or self.piece(piece)
-        return ids
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        return b"".join([known(piece) or self.piece(piece) for piece in self.find(text)])
 
 
 _codecs: dict[tuple[int, str], Codec] = {}
@@ -169,6 +165,13 @@ class Tokenizer:
         self.hashed = PerfectHash.build(self.ranks)
         self.key = (hash((len(self.ranks), path)), pattern)
 
+    def tokens(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids in their order, and the length of each."""
+        table = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
+            table[rank] = token
+        return np.frombuffer(b"".join(table), np.uint8), np.array([len(t) for t in table], np.int64)
+
     def codec(self) -> Codec:
         """The worker's own codec, whose memo lasts over its tasks."""
         if self.key not in _codecs:
@@ -194,35 +197,27 @@ def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             for a, b in row_chunks(as_bytes(texts)[1], CHUNK_BYTES):
-                ids: list[int] = []
-                ends = [0]
-                for text in texts.slice(a, b - a).to_pylist():
-                    if text:
-                        ids += codec.encode(text)
-                    ends.append(len(ids))
-                ends = np.array(ends, np.int64)
+                ids = [codec.encode(text) if text else b"" for text in texts.slice(a, b - a).to_pylist()]
                 columns = [
                     batch.column("doc_id").slice(a, b - a),
-                    pa.array(np.diff(ends)),
-                    _binary(np.array(ids, "<u4").view(np.uint8), 4 * ends),
+                    pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array(ids, pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids"])
 
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary"
-    return shipped(rows).mapInArrow(run, schema)
+    return shipped(rows).mapInArrow(lean(run), schema)
 
 
 def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """``encoded`` (doc_id, n_tokens, ids) with the column ``decoded``, the bytes of the ids; null ids give no bytes."""
-    sent = encoded.sparkSession.sparkContext.broadcast(tokenizer)
+    sent = encoded.sparkSession.sparkContext.broadcast(tokenizer.tokens())
     names = ["doc_id", "n_tokens", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value.codec().bytes_of
-        lengths = np.array([len(t) for t in table], np.int64)
+        flat, lengths = sent.value
         starts = np.cumsum(lengths) - lengths
-        flat = np.frombuffer(b"".join(table), np.uint8)
         for batch in batches:
             data, offsets = as_bytes(batch.column("ids"))
             for a, b in row_chunks(offsets, CHUNK_BYTES):
@@ -236,4 +231,4 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "decoded"])
 
     schema = f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded binary"
-    return shipped(encoded.select(*names)).mapInArrow(run, schema)
+    return shipped(encoded.select(*names)).mapInArrow(lean(run), schema)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, shipped
 from martwright.llm.text import ALPHANUMERIC, Hasher, words_of
 
 #: Bytes of document text in a segment; a longer document is a segment of its own.
@@ -60,7 +60,7 @@ def positional_index(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     return shipped(rows).mapInArrow(
-        run, f"doc_ids array<{kind}>, doc_words binary, terms binary, counts binary, positions binary"
+        lean(run), f"doc_ids array<{kind}>, doc_words binary, terms binary, counts binary, positions binary"
     )
 
 
@@ -211,7 +211,7 @@ def _search(index: DataFrame, windows: Windows, ids: pa.Array, within: int | Non
                 yield pa.RecordBatch.from_arrays(columns, names=["segment", "place", "doc_id", "n_words", "hits", "items", "near_items"])
 
     return shipped(index).mapInArrow(
-        run,
+        lean(run),
         f"segment long, place int, doc_id {doc_type}, n_words long, hits array<struct<start:long,stop:long>>, "
         f"items array<{item_type}>, near_items array<{item_type}>",
     )

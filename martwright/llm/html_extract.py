@@ -20,7 +20,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, shipped
 from martwright.llm.store import stored
 
 #: A text is constant if this share of the host's distinct pages has it at the same node ...
@@ -325,7 +325,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     pivots = keyed.join(first, ["host", "key"]).groupBy("host").agg(F.first("html").alias("pivot"))
     pivots = stored(pivots)
     shipped(rows)
-    seen = rows.select("host", "html").join(pivots, "host").mapInArrow(_seen, "host string, content long, seen array<int>")
+    seen = rows.select("host", "html").join(pivots, "host").mapInArrow(lean(_seen), "host string, content long, seen array<int>")
     distinct = stored(seen.dropDuplicates(["host", "content"]))
     sizes = distinct.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
     counts = distinct.select("host", F.explode("seen").alias("entry")).groupBy("host", "entry").agg(F.count("*").alias("n"))
@@ -340,5 +340,5 @@ def main_texts(pages: DataFrame) -> DataFrame:
     return (
         rows.join(wrappers, "host")
         .select("page_id", "url", "html", "pivot", "constant")
-        .mapInArrow(_extracted, f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
+        .mapInArrow(lean(_extracted), f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
     )

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.linear import bounded_sample
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, shipped
 from martwright.llm.text import LETTER, LOWER, Hasher, as_bytes, mix, row_chunks
 
 #: Documents that a model is fitted on at most (about: they are chosen by a hash of the id).
@@ -121,7 +121,7 @@ def fit(docs: DataFrame, learn_from: Column, bound: int = FIT_ROWS) -> LanguageF
     languages = sorted(documents)
     if not languages:
         return build([], np.zeros(0, np.uint64), np.zeros((0, 1), np.uint8))
-    counted = shipped(rows.select("lang", "text")).mapInArrow(_document_counts, "lang string, gram long, n long")
+    counted = shipped(rows.select("lang", "text")).mapInArrow(lean(_document_counts), "lang string, gram long, n long")
     sizes = F.create_map(*(F.lit(x) for pair in documents.items() for x in pair))
     rates = counted.groupBy("lang", "gram").agg((F.sum("n") / F.element_at(sizes, F.col("lang"))).alias("rate"))
     chosen = (
@@ -177,4 +177,4 @@ def language(docs: DataFrame, model: LanguageFilters) -> DataFrame:
 
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double"
-    return shipped(rows).mapInArrow(run, schema)
+    return shipped(rows).mapInArrow(lean(run), schema)

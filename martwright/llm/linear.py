@@ -14,9 +14,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.ship import shipped
+from martwright.llm.ship import give_back, lean_group, shipped
 
 #: (column) -> for chunks of rows: first row, rows, row of each feature, its index, its value
 Featurizer = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
@@ -104,7 +105,7 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
     """FTRL over the rows of a shard, in an order that depends on the keys alone."""
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("key", "ascending"), ("label", "ascending"), ("text", "ascending")])
+        order = pc.sort_indices(table, [("key", "ascending"), ("label", "ascending"), ("text", "ascending")]).to_pylist()
         labels = table.column("label").to_numpy()
         seen = np.zeros(1 << p.bits, np.int32)
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -125,8 +126,8 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
             at = place[index]
             found[i] = at[at >= 0], value if value is one else value[at >= 0]
         for _ in range(p.rounds):
-            for (index, value), label in zip(found, labels, strict=True):
-                update(z, n, index, value, int(label), p)
+            for i in order:
+                update(z, n, *found[i], int(labels[i]), p)
         state = [x.tobytes() for x in (admitted.astype(np.int32), z, n)]
         return pa.table({"rows": [len(labels)], **{k: [v] for k, v in zip(("index", "z", "n"), state, strict=True)}})
 
@@ -142,7 +143,7 @@ def train(rows: DataFrame, n: int, featurize: Featurizer, p: Ftrl) -> LinearMode
     fitted = (
         shipped(dealt(rows, n))
         .groupBy("shard")
-        .applyInArrow(_fit_shard(featurize, p), "rows long, index binary, z binary, n binary")
+        .applyInArrow(lean_group(_fit_shard(featurize, p)), "rows long, index binary, z binary, n binary")
     )
     states = sorted(fitted.collect(), key=lambda s: (s["rows"], s["z"]))
     z, n = np.zeros((1 << p.bits) + 1), np.zeros((1 << p.bits) + 1)
@@ -172,5 +173,6 @@ def score(text: Column, model: LinearModel, featurize: Featurizer) -> Column:
                 hit = np.flatnonzero(w)
                 sums[first : first + count] += np.bincount(row[hit], w[hit] * value[hit], minlength=count)
             yield pa.array(sigmoid(sums))
+        give_back()
 
     return run(text.cast("string"))

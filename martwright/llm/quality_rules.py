@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.linear import dealt
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, lean_group, shipped
 from martwright.llm.text import NOT_SPACE, Hasher, as_bytes, row_chunks, split_words
 from martwright.llm.toxicity import labelled
 
@@ -264,7 +264,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, bo
         weights = np.concatenate([model.feature, model.start, model.transition.ravel()])
         return pa.table({"lines": [len(row)], "weights": [weights.tolist()]})
 
-    fitted = shipped(dealt(rows, n)).groupBy("shard").applyInArrow(run, "lines long, weights array<double>").collect()
+    fitted = shipped(dealt(rows, n)).groupBy("shard").applyInArrow(lean_group(run), "lines long, weights array<double>").collect()
     total = sum(s["lines"] for s in fitted)
     w = sum((np.array(s["weights"]) * (s["lines"] / total) for s in sorted(fitted) if s["lines"]), np.zeros(FEATURES + 6))
     return LineField(w[:FEATURES], w[FEATURES : FEATURES + 2], w[FEATURES + 2 :].reshape(2, 2))
@@ -293,7 +293,7 @@ def quality_rules(docs: DataFrame, model: LineField) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     return (
         shipped(rows)
-        .mapInArrow(run, schema)
+        .mapInArrow(lean(run), schema)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("content_share") >= LEAST_CONTENT))
     )

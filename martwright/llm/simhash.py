@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from martwright.llm.components import components
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, shipped
 from martwright.llm.store import stored
 from martwright.llm.text import as_bytes
 
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint long"
-    return shipped(rows).mapInArrow(run, schema)
+    return shipped(rows).mapInArrow(lean(run), schema)
 
 
 class Forest:
@@ -184,7 +184,7 @@ def links(values: DataFrame, radius: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     grouped = sent.repartition(*shard).sortWithinPartitions(*shard)
-    return shipped(grouped).mapInArrow(search, "u long, v long")
+    return shipped(grouped).mapInArrow(lean(search), "u long, v long")
 
 
 def _new_group(table: pa.Table, columns: list[str]) -> np.ndarray:

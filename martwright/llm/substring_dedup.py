@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import Window
 
-from martwright.llm.ship import shipped
+from martwright.llm.ship import lean, lean_group, shipped
 from martwright.llm.text import NOT_SPACE, Hasher, Words, words_of
 from martwright.sources.scratch import scratch_dir
 
@@ -288,13 +288,13 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     shipped(texts)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (6 * BUCKET_WINDOWS)))
     place = "shard int, " + Places.FIELDS
-    probes = texts.select("shard", "place", "text").mapInArrow(_probes(block, buckets), "bucket int, shard int, entries binary, " + Places.FIELDS)
-    anchors = probes.groupBy("bucket").applyInArrow(_anchors, place)
+    probes = texts.select("shard", "place", "text").mapInArrow(lean(_probes(block, buckets)), "bucket int, shard int, entries binary, " + Places.FIELDS)
+    anchors = probes.groupBy("bucket").applyInArrow(lean_group(_anchors), place)
     by_shard = texts.groupBy("shard")
     windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(
-        _windows(window, block, buckets), "bucket int, shard int, entries binary, ids binary, " + Places.FIELDS
+        lean_group(_windows(window, block, buckets)), "bucket int, shard int, entries binary, ids binary, " + Places.FIELDS
     )
-    repeats = windows.groupBy("bucket").applyInArrow(_repeats, place)
+    repeats = windows.groupBy("bucket").applyInArrow(lean_group(_repeats), place)
     return by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(
-        _cut(window, to_arrow_type(doc_type)), f"doc_id {doc_type.simpleString()}, n_words long, n_removed long, kept string"
+        lean_group(_cut(window, to_arrow_type(doc_type))), f"doc_id {doc_type.simpleString()}, n_words long, n_removed long, kept string"
     )
