@@ -17,7 +17,7 @@ from martwright.llm.toxicity import labelled
 
 #: Labelled rows that a model is fitted on at most (about: they are chosen by a hash of the id).
 FIT_ROWS = 12_000
-PARAMETERS = Ftrl(bits=20, alpha=1.0, l1=0.5, rounds=6, min_rows=4)
+PARAMETERS = Ftrl(bits=20, alpha=1.0, l1=0.3, rounds=10, min_rows=2)
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column, bound: int = FIT_ROWS, p: Ftrl = PARAMETERS) -> LinearModel:
