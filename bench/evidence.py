@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
 from martwright.operators.clean import smallest_per_key, trim_strings  # noqa: E402
 from martwright.operators.joins import left_join_lookup  # noqa: E402
@@ -89,14 +89,12 @@ def dedup(spark: SparkSession, folder: str) -> None:
         wide = [f"concat('value {i} of ', cast(id % 1000 as string)) as c{i}" for i in range(8)]
         spark.range(ROWS).selectExpr(key.format(n=ROWS * 9 // 10) + " as k", "id", *wide).write.parquet(path)
         rows = spark.read.parquet(path)
-        order = Window.partitionBy("k").orderBy(*[F.col(c).asc_nulls_first() for c in rows.columns if c != "k"])
+        rest = F.struct(*[c for c in rows.columns if c != "k"])
         compare(
             f"keyed deduplication, {ROWS} rows, {title}",
             {
-                "aggregate": lambda rows=rows: noop(smallest_per_key(rows, ["k"])),
-                "window": lambda rows=rows, order=order: noop(
-                    rows.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
-                ),
+                "aggregate": lambda rows=rows, rest=rest: noop(rows.groupBy("k").agg(F.min(rest))),
+                "window": lambda rows=rows: noop(smallest_per_key(rows, ["k"])),
             },
         )
 

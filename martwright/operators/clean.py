@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from martwright.functions.columns import named, trimmed
 
@@ -27,20 +27,14 @@ def smallest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the smallest one, comparing the other columns left to right, NULLs first.
 
     ``dropDuplicates(keys)`` keeps whichever row arrives first, so its result (and the count after
-    any later filter) depends on the task order. A minimum over a struct of the remaining columns
-    is the same on every run. It aggregates on the map side, so each task sends at most one row per
-    key and a key that holds a large share of all rows costs its reducer one row per map task. NULL
-    keys form a group of their own.
+    any later filter) depends on the task order. The first row of a window is the same on every run.
+    Spark keeps the first row of a key in each task before it shuffles, so a key that holds a large
+    share of all rows costs its reducer one row per map task. NULL keys form a group of their own.
     """
     rest = [column for column in df.columns if column not in set(keys)]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*[named(key) for key in keys]).agg(
-        F.min(F.struct(*[named(column) for column in rest])).alias("__kept")
-    )
-    return kept.select(
-        *[
-            F.col("__kept").getField(column).alias(column) if column in set(rest) else named(column)
-            for column in df.columns
-        ]
+    smallest_first = Window.partitionBy(*[named(key) for key in keys]).orderBy(
+        *[named(column).asc_nulls_first() for column in rest]
     )
+    return df.withColumn("__place", F.row_number().over(smallest_first)).where("__place = 1").drop("__place")
