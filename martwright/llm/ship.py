@@ -24,9 +24,10 @@ def ship(spark: SparkSession) -> None:
 
     Batches that the session has set to something smaller stay as they are.
     """
-    if int(str(spark.conf.get(_BATCH)).rstrip("b") or 0) > BATCH_BYTES:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
     context = spark.sparkContext
+    in_bytes = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(str(spark.conf.get(_BATCH))) > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
     if context.applicationId in _done:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
