@@ -247,8 +247,8 @@ def contamination(index: DataFrame, items: DataFrame, size: int = 10, within: in
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
         ids = own.column("item_id").combine_chunks()
-        ids = ids if pa.types.is_integer(ids.type) else ids.cast(pa.string())
-        found.append(_search(index, windows_of(own.column("text").to_pylist(), size), ids.cast(pa.int64()) if pa.types.is_integer(ids.type) else ids, within))
+        ids = ids.cast(pa.int64() if pa.types.is_integer(ids.type) else pa.string())
+        found.append(_search(index, windows_of(own.column("text").to_pylist(), size), ids, within))
     rows = found[0]
     if blocks > 1:
         for other in found[1:]:

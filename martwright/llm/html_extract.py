@@ -320,7 +320,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         "page_id", "url", host(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
-    keyed = rows.withColumn("key", F.struct(F.coalesce(F.length("html") == 0, F.lit(True)).alias("empty"), "page_id", F.xxhash64("html").alias("hash")))
+    key = F.struct((F.length("html") == 0).alias("empty"), "page_id", F.xxhash64("html").alias("hash"))
+    keyed = rows.withColumn("key", key)
     first = stored(keyed.groupBy("host").agg(F.min("key").alias("key")))
     pivots = keyed.join(first, ["host", "key"]).groupBy("host").agg(F.first("html").alias("pivot"))
     pivots = stored(pivots)

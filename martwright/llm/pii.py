@@ -275,7 +275,11 @@ def written(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     kinds = F.array(*(F.lit(k) for k in BASE_KINDS + ADDED_KINDS))
     return F.concat_ws(
-        ",", F.transform(spans, lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")))
+        ",",
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string")),
+        ),
     )
 
 

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.llm import bpe, decontaminate, html_extract, language_id, pii, quality_classifier, quality_rules, simhash, substring_dedup, toxicity
+from martwright.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    language_id,
+    pii,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    toxicity,
+)
 from martwright.llm.store import stored
 
 Query = Callable[[SparkSession, str], DataFrame]

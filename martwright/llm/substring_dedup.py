@@ -148,7 +148,13 @@ _PLACES = [pa.field("rows", pa.binary()), pa.field("counts", pa.binary()), pa.fi
 _PROBE = pa.schema([pa.field("bucket", pa.int32()), pa.field("shard", pa.int32()), pa.field("entries", pa.binary()), *_PLACES])
 _FOUND = pa.schema([pa.field("shard", pa.int32()), *_PLACES])
 _WINDOW = pa.schema(
-    [pa.field("bucket", pa.int32()), pa.field("shard", pa.int32()), pa.field("entries", pa.binary()), pa.field("ids", pa.binary()), *_PLACES]
+    [
+        pa.field("bucket", pa.int32()),
+        pa.field("shard", pa.int32()),
+        pa.field("entries", pa.binary()),
+        pa.field("ids", pa.binary()),
+        *_PLACES,
+    ]
 )
 
 
@@ -219,7 +225,12 @@ def _windows(window: int, block: int, buckets: int):
                 packed = Places.pack(places[row[at]], position[start[at]])
                 rows = row[at][np.append(True, np.diff(row[at]) != 0)]
                 out.append(
-                    {"bucket": bucket, "shard": texts.column("shard")[0].as_py(), "entries": hashes[at].tobytes(), "ids": ids[rows].tobytes()}
+                    {
+                        "bucket": bucket,
+                        "shard": texts.column("shard")[0].as_py(),
+                        "entries": hashes[at].tobytes(),
+                        "ids": ids[rows].tobytes(),
+                    }
                     | packed
                 )
         return pa.Table.from_pylist(out, schema=_WINDOW)
@@ -266,7 +277,8 @@ def _cut(window: int, doc_type: pa.DataType):
             n_removed.append(n_words[-1] - len(words))
             kept.append(b" ".join(words))
         text = pa.array(kept, pa.binary()).cast(pa.string())
-        return pa.Table.from_arrays([texts.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), text], schema=schema)
+        counts = [pa.array(x, pa.int64()) for x in (n_words, n_removed)]
+        return pa.Table.from_arrays([texts.column("doc_id"), *counts, text], schema=schema)
 
     return run
 

@@ -113,9 +113,6 @@ class Words:
         left = np.repeat(self.row_words[1:], np.diff(self.row_words)) - np.arange(len(self.starts))
         return left >= size
 
-    def text(self, row: int) -> bytes:
-        return self.data[self.row_bytes[row] : self.row_bytes[row + 1]].tobytes()
-
 
 def as_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string (UTF-8) or binary column and the offsets of its rows; nulls are empty."""

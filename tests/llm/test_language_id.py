@@ -3,8 +3,6 @@ from llm_helpers import rows
 from pyspark.sql import functions as F
 
 from martwright.llm import language_id, queries
-from martwright.llm.text import Hasher
-
 import numpy as np
 
 SF = "/root/testdata/sf0.01"
