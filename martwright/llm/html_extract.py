@@ -29,20 +29,27 @@ CONSTANT_SHARE = 0.9
 LEAST_PAGES = 5
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
+_RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template annotation annotation-xml".split())
 _SKIPPED = frozenset(
-    "head script style title noscript iframe template svg math canvas object audio video select option datalist button"
-    " textarea form nav footer aside menu dialog input label fieldset figcaption".split()
+    "head script style title noscript iframe template canvas object audio video select option datalist button"
+    " textarea nav footer aside input".split()
 )
+#: Skipped too, but not in an article.
+_SKIPPED_OUTSIDE = frozenset("header svg menu label".split())
+#: Tags that are evidence as words in class, id and role are: a form may well hold the whole page.
+_MARKED = frozenset("form fieldset dialog".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q ruby rt rp s samp small span strike"
-    " strong sub sup time tt u var wbr img br".split()
+    " strong sub sup time tt u var wbr img br math mi mn mo ms mtext mspace mrow msup msub msubsup mfrac msqrt mroot mover"
+    " munder munderover mstyle mpadded semantics".split()
 )
 _CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figure footer form h1 h2 h3 h4 h5 h6"
     " header hgroup hr main menu nav ol p pre section table ul".split()
 )
-_KNOWN = _VOID | _RAW | _SKIPPED | _CLOSES_P | frozenset("html body li dt dd tr td th thead tbody tfoot caption legend summary".split())
+_KNOWN = (_VOID | _RAW | _SKIPPED | _SKIPPED_OUTSIDE | _MARKED | _CLOSES_P) | frozenset(
+    "html body li dt dd tr td th thead tbody tfoot caption legend summary math figcaption".split()
+)
 #: Elements that an element of the same group ends, up to the nearest of the others.
 _SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -60,6 +67,22 @@ _MARKS = frozenset(
     " footer comment comments commentlist disqus reply replies respond share sharing social related recommended"
     " newsletter subscribe subscription signup login search widget toolbar pagination pager copyright".split()
 )
+_COMMENTS = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: The marks that count in class and role of an article's own parts, unless they are one of _TEXTS. Ids there are anchors.
+_MARKS_INSIDE = _COMMENTS | frozenset(
+    "ad ads advert adverts advertisement advertising sponsored sponsor promo promotion gdpr sidebar nav navbar navigation"
+    " breadcrumb breadcrumbs share sharing social recommended newsletter subscribe subscription signup toolbar pagination"
+    " pager".split()
+)
+_TEXTS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup header blockquote pre figure figcaption table caption thead tbody tfoot tr td th dl dt dd li"
+    " address".split()
+)
+#: Words that make a name tell how the page is, not what the element is: with-sidebar, comments-open.
+_STATES = frozenset("no not with without has have is layout open opened closed enabled disabled status on off".split())
+#: A marked element with more than this share of the varying text is no menu or advert, and one with so much no comments.
+MOST = 0.5
+MOST_COMMENTS = 0.9
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)|([^<]+|<)",
     re.S,
@@ -77,6 +100,18 @@ class Block:
     skipped: bool
     main: bool
     linked: bool
+    #: Numbers of the marked elements around it, outermost first.
+    marked: tuple[int, ...] = ()
+
+
+@dataclass
+class Marked:
+    """An element whose marks are evidence that it is no article."""
+
+    comments: bool
+    inside: bool
+    has_article: bool = False
+    has_main: bool = False
 
 
 @dataclass
@@ -86,28 +121,50 @@ class Page:
     parents: list[int] = field(default_factory=lambda: [-1])
     labels: list[str] = field(default_factory=lambda: ["#"])
     blocks: list[Block] = field(default_factory=list)
+    marked: list[Marked] = field(default_factory=list)
+
+
+def _marks(attributes: str) -> tuple[set[str], set[str], set[str]]:
+    """Marks in class, id and role: all, those that tell what the element is, and of these the ones not from the id."""
+    marks: set[str] = set()
+    own: set[str] = set()
+    styled: set[str] = set()
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        for token in (a or b or c).lower().split():
+            words = _WORD.findall(token)
+            found = _MARKS.intersection(words)
+            marks |= found
+            if found and not _STATES.intersection(words):
+                own |= found
+                if name.lower() != "id":
+                    styled |= found
+                elif found <= _COMMENTS and len(words) <= 2:
+                    styled |= found
+    return marks, own, styled
 
 
 def parse(html: str) -> Page:
     page = Page()
     folded: dict[tuple[int, str], int] = {}
-    # open elements: tag, folded node, inside something skipped, inside the article, inside a link
-    stack: list[tuple[str, int, bool, bool, bool]] = [("#", 0, False, False, False)]
+    # open elements: tag, folded node, inside something skipped, inside the article, inside a link, marked elements around
+    stack: list[tuple[str, int, bool, bool, bool, tuple[int, ...]]] = [("#", 0, False, False, False, ())]
     pieces: list[str] = []
     linked = True
     at: tuple[int, bool, bool] = (0, False, False)
+    around: tuple[int, ...] | None = None
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, around
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                page.blocks.append(Block(text, at[0], at[1], at[2], linked))
+                page.blocks.append(Block(text, at[0], at[1], at[2], linked, around or ()))
             pieces.clear()
         linked = True
+        around = None
 
-    def push(tag: str, marks: frozenset[str] | set[str]) -> None:
-        _, parent, skipped, main, link = stack[-1]
+    def push(tag: str, marks: set[str], own: set[str], styled: set[str]) -> None:
+        _, parent, skipped, main, link, marked = stack[-1]
         node = parent
         if tag not in _INLINE and len(stack) < _MOST_DEPTH:
             label = ".".join([tag if tag in _KNOWN else "custom", *sorted(marks)])
@@ -115,11 +172,21 @@ def parse(html: str) -> Page:
             if node == len(page.labels):
                 page.labels.append(label)
                 page.parents.append(parent)
-        comment = bool(marks & {"comment", "comments", "reply", "replies"})
-        header = tag == "header" and not main
-        skipped = skipped or tag in _SKIPPED or header or bool(marks and tag not in ("html", "body", "main", "article")) or comment
-        main = (main or tag in ("article", "main")) and not comment
-        stack.append((tag, node, skipped, main, link or tag == "a"))
+        skipped = skipped or tag in _SKIPPED or (tag in _SKIPPED_OUTSIDE and not main)
+        if main:
+            evidence = set() if tag in _TEXTS else styled & _MARKS_INSIDE
+        else:
+            evidence = set() if tag in ("html", "body", "main", "article") else own
+        if (evidence or tag in _MARKED) and len(marked) < _MOST_DEPTH:
+            page.marked.append(Marked(bool(evidence & _COMMENTS), main))
+            marked = (*marked, len(page.marked) - 1)
+        # a comment that is an article by its tag is not the page's article, nor skipped where nothing else is one
+        if tag == "main" or tag == "article" and not own & _COMMENTS:
+            for i in marked:
+                page.marked[i].has_article = True
+                page.marked[i].has_main |= tag == "main"
+            main = True
+        stack.append((tag, node, skipped, main, link or tag == "a", marked))
 
     def pop_to(depth: int) -> None:
         if any(entry[0] not in _INLINE for entry in stack[depth:]):
@@ -139,8 +206,14 @@ def parse(html: str) -> Page:
             top = stack[-1]
             if not pieces:
                 at = (top[1], top[2], top[3])
-            if not top[4] and not text.isspace():
-                linked = False
+            if not text.isspace():
+                if not top[4]:
+                    linked = False
+                if around is None or around == top[5]:
+                    around = top[5]
+                else:  # an inline element does not mark the whole block
+                    common = (i for i, (x, y) in enumerate(zip(around, top[5])) if x != y)
+                    around = around[: next(common, min(len(around), len(top[5])))]
             pieces.append(text)
             continue
         if tag is None:
@@ -180,11 +253,7 @@ def parse(html: str) -> Page:
             continue
         if tag not in _INLINE:
             flush()
-        marks: set[str] = set()
-        if attributes and "=" in attributes:
-            for _, a, b, c in _ATTRIBUTE.findall(attributes):
-                marks.update(_MARKS.intersection(_WORD.findall((a or b or c).lower())))
-        push(tag, marks)
+        push(tag, *(_marks(attributes) if attributes and "=" in attributes else (set(), set(), set())))
     flush()
     return page
 
@@ -266,13 +335,45 @@ def _pivot(cache: dict[str, Pivot], html: str) -> Pivot:
     return cache[html]
 
 
+def judged(page: Page, varying: list[Block]) -> tuple[list[Block], set[int]]:
+    """The blocks of ``varying`` that are in nothing marked, and the marked elements around the article.
+
+    Marks are no evidence against an element that holds the article's tag, where no other has it, or most of the text.
+    """
+    if not page.marked:
+        return varying, set()
+    weight = [0] * len(page.marked)
+    whole = article = 0
+    plain = False
+    for b in varying:
+        if b.main or not b.linked:
+            size = len(b.text)
+            whole += size
+            article += size if b.main else 0
+            plain = plain or b.main and all(page.marked[i].inside for i in b.marked)
+            for i in b.marked:
+                weight[i] += size
+    kept, around = set(), set()
+    for i, element in enumerate(page.marked):
+        share = weight[i] / ((article if element.inside else whole) or 1)
+        most = share >= MOST_COMMENTS if element.comments else share > MOST
+        if element.has_main and not element.inside or most and (element.inside or not plain):
+            kept.add(i)
+            around.add(i)
+        elif element.has_article and not (element.inside or plain or element.comments):
+            kept.add(i)  # maybe teasers beside an article without a tag: its own tags do not rule out the rest
+    return [b for b in varying if kept.issuperset(b.marked)], around
+
+
 def main_text(page: Page, entries: list[int], constant: set[int]) -> str:
     """The varying blocks of the article, or of the whole page if it marks no article."""
     blocks = [b for b, entry in zip(page.blocks, entries, strict=True) if not b.skipped and entry not in constant]
-    if any(b.main for b in page.blocks if not b.skipped):
-        blocks = [b for b in blocks if b.main]
+    blocks, around = judged(page, blocks)
+    main = [b for b in blocks if b.main and around.issuperset(i for i in b.marked if not page.marked[i].inside)]
+    if main or any(b.main and not b.skipped and not b.marked for b in page.blocks):
+        blocks = main
     else:
-        blocks = [b for b in blocks if not b.linked]
+        blocks = [b for b in blocks if not b.linked or b.main]
     return "\n".join(b.text for b in blocks)
 
 
@@ -288,7 +389,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests, seen = [], []
         for html, pivot in zip(batch.column("html").to_pylist(), batch.column("pivot").to_pylist(), strict=True):
             page = parse(html)
-            varying = "\n".join(b.text for b in page.blocks if not b.skipped)
+            varying = "\n".join(b.text for b in judged(page, [b for b in page.blocks if not b.skipped])[0])
             digests.append(int.from_bytes(blake2b(varying.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
             seen.append(sorted({e for e in _pivot(cache, pivot).entries_of(page) if e >= 0}))
         yield pa.RecordBatch.from_arrays(

@@ -49,6 +49,32 @@ def test_pages(page, wanted):
     assert text(page) == wanted
 
 
+@pytest.mark.parametrize("around", ["id=page class='with-sidebar'", "class=right-sidebar", "class=no-header", "id='layout-menu'"])
+def test_marks_around_the_article_do_not_skip_it(around):
+    page = f"<body><div {around}><div class=sidebar>side</div><article><h1>T</h1><p>what it says</p></article></div><p>more of it"
+    assert text(page) == "T\nwhat it says"
+
+
+@pytest.mark.parametrize(
+    "page, wanted",
+    [
+        ("<article><section id='related-work'>a</section><p class='notice'>b</p><h1 class='header'>c</h1>d</article>", "a\nb\nc\nd"),
+        ("<body class='comments-open'><article>a</article>", "a"),
+        ("<article class='comment-status-open'>a</article>", "a"),
+        ("<div class='comments-open'><p>a</p></div>", "a"),
+        ("<article>a<figure><img><figcaption>b</figcaption></figure><p>c <math><mi>d</mi><mo>=</mo><mn>1</mn></math></article>", "a\nb\nc d=1"),
+        ("<form class=layout><nav>x</nav><main><p>a</p></main></form>", "a"),
+        ("<div class='widget'><p>most of the text</p></div><p>b", "most of the text\nb"),
+        ("<article><p><span class=ad>a</span> b</p><div class=share>x</div><p>more</p></article>", "a b\nmore"),
+        ("<main>the text</main><div class=related><article>teaser</article></div>", "the text"),
+        ("<div>post text</div><div class=related><article>x</article></div>", "post text\nx"),
+        ("<article>the text</article><section id=comments><article>long comment of a reader</article></section>", "the text"),
+    ],
+)
+def test_marks_are_evidence_only(page, wanted):
+    assert text(page) == wanted
+
+
 def test_deep_and_wide_pages():
     assert text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
     assert text("<p>a</p><h2>b</h2>" * 5_000).count("\n") == 9_999
