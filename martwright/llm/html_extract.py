@@ -1,16 +1,19 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host are made by the same program. One page of each host is its pivot; the DOM trees of all other pages are
-aligned with it by simple tree matching, with equal siblings folded into one repeated node. A text that stands
-at the same node on nearly all pages of the host whose texts differ is part of the template; what varies is content. The
-tree's own marks (navigation, adverts, forms, comments and the like) tell which of the varying slots are no article.
-
-Counts of aligned texts are summed over all pages of a host; only the pivots and the constant texts, one row per host,
-meet the pages again.
+Pages of a host are made by the same programs. Each page is a DOM tree with equal siblings folded into one repeated node.
+The trees that occur on a host are grouped by simple tree matching into layouts, the most frequent tree of each being its
+leader; a tree belongs to the first leader that it is much like. A text that stands at the same node of the leader on nearly
+all pages of a layout whose texts differ is part of the template, and so is one on nearly all pages of the host, aligned
+with the most frequent tree of all. What varies is content. The tree's own marks (navigation, adverts, forms, comments and
+the like) tell which of the varying slots are no article.
+
+Trees are counted over all pages before they are compared, and texts as hashes at aligned nodes; only the leaders and the
+constant texts, one row per host, meet the pages again.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,13 +23,19 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.ship import lean, shipped
+from martwright.llm.ship import lean, lean_group, shipped
 from martwright.llm.store import stored
 
-#: A text is constant if this share of the host's distinct pages has it at the same node ...
+#: A text is constant if this share of the distinct pages of a layout, or of the host, has it at the same node.
 CONSTANT_SHARE = 0.9
-#: ... and the host has at least so many.
-LEAST_PAGES = 5
+#: So many distinct pages induce a wrapper ...
+LEAST_PAGES = 2
+#: ... but with fewer than these, pages that share most of their texts are taken for versions of one page, and what
+#: article marks hold is no template.
+SURE_PAGES = 5
+VERSION_SHARE = 2 / 3
+#: Trees are of one layout if this share of their nodes is aligned.
+ALIKE = 0.75
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template annotation annotation-xml".split())
@@ -303,36 +312,90 @@ def _children(parents: list[int]) -> list[list[int]]:
     return children
 
 
-class Pivot:
-    """A host's pivot page: the number of each of its texts at each node, and the alignments worked out so far."""
+def alike(nodes: list[int], other: int) -> float:
+    """Share of the nodes of two trees that are aligned; ``other`` is the second tree's number of nodes."""
+    return 2 * sum(n >= 0 for n in nodes) / (len(nodes) + other)
 
-    def __init__(self, html: str) -> None:
-        self.page = parse(html)
-        self.entries: dict[tuple[int, str], int] = {}
-        for block in self.page.blocks:
-            self.entries.setdefault((block.node, block.text), len(self.entries))
-        self.known: dict[tuple, list[int]] = {}
 
-    def entries_of(self, page: Page) -> list[int]:
-        """For each block the number of the pivot's equal text at the aligned node, or -1."""
-        shape = (tuple(page.parents), tuple(page.labels))
-        nodes = self.known.get(shape)
-        if nodes is None:
-            if len(self.known) >= 500:
-                self.known.clear()
-            nodes = self.known[shape] = match_trees(page, self.page)
-        return [self.entries.get((nodes[b.node], b.text), -1) for b in page.blocks]
+def written_tree(page: Page) -> str:
+    return json.dumps([page.parents, page.labels], separators=(",", ":"))
+
+
+def read_tree(tree: str) -> Page:
+    return Page(*json.loads(tree))
 
 
-_MOST_PIVOTS = 200
+def digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _pivot(cache: dict[str, Pivot], html: str) -> Pivot:
-    if html not in cache:
-        if len(cache) >= _MOST_PIVOTS:
+def first_alike(page: Page, leaders: list[Page]) -> tuple[int, list[int]]:
+    """The first of ``leaders`` that the tree of ``page`` is much like and its alignment, or -1."""
+    size = len(page.labels)
+    for i, leader in enumerate(leaders):
+        other = len(leader.labels)
+        if 2 * min(size, other) >= ALIKE * (size + other):
+            nodes = match_trees(page, leader)
+            if alike(nodes, other) >= ALIKE:
+                return i, nodes
+    return -1, []
+
+
+class Wrapper:
+    """What is known of a host: the leaders of its layouts, and the constant texts at their nodes."""
+
+    def __init__(self, written: str) -> None:
+        groups = sorted(json.loads(written), key=lambda g: g["layout"])
+        self.groups = [(g["pages"], set(zip(g.get("nodes") or (), g.get("texts") or (), strict=True))) for g in groups]
+        self.leaders = [read_tree(g["tree"]) for g in groups]
+        #: The first group is that of all pages.
+        self.whole = bool(groups) and groups[0]["layout"] < 0
+        self.known: dict[tuple, list[tuple[int, list[int]]]] = {}
+
+    def alignments(self, page: Page) -> list[tuple[int, list[int]]]:
+        """The groups that the page belongs to, with the leader's node for each of its own."""
+        shape = (tuple(page.parents), tuple(page.labels))
+        found = self.known.get(shape)
+        if found is None:
+            if len(self.known) >= 500:
+                self.known.clear()
+            found = self.known[shape] = [(0, match_trees(page, self.leaders[0]))] if self.whole else []
+            i, nodes = first_alike(page, self.leaders[self.whole :])
+            if i >= 0:
+                found.append((i + self.whole, nodes))
+        return found
+
+    def entries_of(self, page: Page) -> list[int]:
+        """For each block 0 if it is part of the template, or -1."""
+        entries = [-1] * len(page.blocks)
+        for group, nodes in self.alignments(page):
+            pages, constant = self.groups[group]
+            slots = {node for node, _ in constant}
+            at = [
+                i
+                for i, b in enumerate(page.blocks)
+                if not b.skipped and nodes[b.node] in slots and (nodes[b.node], digest(b.text)) in constant
+            ]
+            if pages < SURE_PAGES:
+                own = [b for b in page.blocks if not b.skipped]
+                same = sum(len(page.blocks[i].text) for i in at)
+                if len(at) > VERSION_SHARE * len(own) and same > VERSION_SHARE * sum(len(b.text) for b in own):
+                    continue
+                at = [i for i in at if not page.blocks[i].main]
+            for i in at:
+                entries[i] = 0
+        return entries
+
+
+_MOST_WRAPPERS = 200
+
+
+def _wrapper(cache: dict[str, Wrapper], written: str) -> Wrapper:
+    if written not in cache:
+        if len(cache) >= _MOST_WRAPPERS:
             cache.clear()
-        cache[html] = Pivot(html)
-    return cache[html]
+        cache[written] = Wrapper(written)
+    return cache[written]
 
 
 def judged(page: Page, varying: list[Block]) -> tuple[list[Block], set[int]]:
@@ -382,30 +445,92 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
+_SEEN = pa.schema(
+    [
+        pa.field("host", pa.string()),
+        pa.field("shape", pa.int64()),
+        pa.field("tree", pa.string()),
+        pa.field("content", pa.int64()),
+        pa.field("nodes", pa.list_(pa.int32())),
+        pa.field("texts", pa.list_(pa.int64())),
+    ]
+)
+_MOST_SHAPES = 100_000
+
+
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page the host, a hash of all its texts, and the pivot's texts that it has at the aligned nodes."""
-    cache: dict[str, Pivot] = {}
+    """Of each page the host, hashes of its tree, of all its texts and of each at its node; a tree once for a host and task."""
+    sent: set[tuple[str, int]] = set()
     for batch in batches:
-        digests, seen = [], []
-        for html, pivot in zip(batch.column("html").to_pylist(), batch.column("pivot").to_pylist(), strict=True):
+        rows = []
+        for name, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = parse(html)
-            varying = "\n".join(b.text for b in judged(page, [b for b in page.blocks if not b.skipped])[0])
-            digests.append(int.from_bytes(blake2b(varying.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
-            seen.append(sorted({e for e in _pivot(cache, pivot).entries_of(page) if e >= 0}))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), pa.array(digests, pa.int64()), pa.array(seen, pa.list_(pa.int32()))], names=["host", "content", "seen"]
-        )
+            blocks = [b for b in page.blocks if not b.skipped]
+            tree = written_tree(page)
+            shape = digest(tree)
+            entries = sorted({(b.node, digest(b.text)) for b in blocks})
+            rows.append(
+                {
+                    "host": name,
+                    "shape": shape,
+                    "tree": None if (name, shape) in sent else tree,
+                    "content": digest("\n".join(b.text for b in judged(page, blocks)[0])),
+                    "nodes": [n for n, _ in entries],
+                    "texts": [t for _, t in entries],
+                }
+            )
+            if len(sent) >= _MOST_SHAPES:
+                sent.clear()
+            sent.add((name, shape))
+        yield pa.RecordBatch.from_pylist(rows, schema=_SEEN)
+
+
+_LAYOUT = pa.schema(
+    [
+        pa.field("host", pa.string()),
+        pa.field("shape", pa.int64()),
+        pa.field("layout", pa.int32()),
+        pa.field("tree", pa.string()),
+        pa.field("aligned", pa.list_(pa.int32())),
+    ]
+)
+
+
+def _layouts(table: pa.Table) -> pa.Table:
+    """Groups of the trees of a host: all of them (-1) and, if there are several, the layouts.
+
+    ``tree`` is a group's leader, in the leader's row.
+    """
+    shapes = sorted(table.select(["shape", "n", "tree"]).to_pylist(), key=lambda r: (-r["n"], r["shape"]))
+    name = table.column("host")[0].as_py()
+    pages = [read_tree(r["tree"]) for r in shapes]
+    leaders: list[Page] = []
+    found = []
+    for page in pages:
+        layout, nodes = first_alike(page, leaders)
+        tree = None
+        if layout < 0:
+            layout, nodes, tree = len(leaders), list(range(len(page.labels))), written_tree(page)
+            leaders.append(page)
+        found.append((layout, tree, nodes))
+    out = []
+    for r, page, (layout, tree, nodes) in zip(shapes, pages, found, strict=True):
+        row = {"host": name, "shape": r["shape"]}
+        whole = nodes if layout == 0 else match_trees(page, leaders[0])
+        out.append(row | {"layout": -1, "tree": None if out else tree, "aligned": whole})
+        if len(leaders) > 1:
+            out.append(row | {"layout": layout, "tree": tree, "aligned": nodes})
+    return pa.Table.from_pylist(out, schema=_LAYOUT)
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cache: dict[str, Pivot] = {}
+    cache: dict[str, Wrapper] = {}
     for batch in batches:
         texts = []
-        columns = (batch.column(name).to_pylist() for name in ("html", "pivot", "constant"))
-        for html, pivot, constant in zip(*columns, strict=True):
+        for html, written in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
             page = parse(html)
-            entries = _pivot(cache, pivot).entries_of(page) if constant else [-1] * len(page.blocks)
-            texts.append(main_text(page, entries, set(constant or ())))
+            entries = _wrapper(cache, written).entries_of(page) if written else [-1] * len(page.blocks)
+            texts.append(main_text(page, entries, {0}))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
@@ -421,26 +546,39 @@ def main_texts(pages: DataFrame) -> DataFrame:
     rows = pages.select(
         "page_id", "url", host(F.col("url")).alias("host"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
     )
-    key = F.struct((F.length("html") == 0).alias("empty"), "page_id", F.xxhash64("html").alias("hash"))
-    keyed = rows.withColumn("key", key)
-    first = stored(keyed.groupBy("host").agg(F.min("key").alias("key")))
-    pivots = keyed.join(first, ["host", "key"]).groupBy("host").agg(F.first("html").alias("pivot"))
-    pivots = stored(pivots)
     shipped(rows)
-    seen = rows.select("host", "html").join(pivots, "host").mapInArrow(lean(_seen), "host string, content long, seen array<int>")
-    distinct = stored(seen.dropDuplicates(["host", "content"]))
-    sizes = distinct.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
-    counts = distinct.select("host", F.explode("seen").alias("entry")).groupBy("host", "entry").agg(F.count("*").alias("n"))
+    seen = rows.select("host", "html").mapInArrow(
+        lean(_seen), "host string, shape long, tree string, content long, nodes array<int>, texts array<long>"
+    )
+    seen = stored(seen)
+    distinct = seen.groupBy("host", "content").agg(F.min(F.struct("shape", "nodes", "texts")).alias("page"))
+    distinct = stored(distinct.select("host", "page.*"))
+    trees = seen.where(F.col("tree").isNotNull()).groupBy("host", "shape").agg(F.max("tree").alias("tree"))
+    shapes = distinct.groupBy("host", "shape").agg(F.count("*").alias("n")).join(trees, ["host", "shape"])
+    layouts = shapes.groupBy("host").applyInArrow(
+        lean_group(_layouts), "host string, shape long, layout int, tree string, aligned array<int>"
+    )
+    layouts = stored(layouts)
+    leaders = layouts.where(F.col("tree").isNotNull()).select("host", "layout", "tree")
+    members = distinct.join(layouts.drop("tree"), ["host", "shape"])
+    group = ["host", "layout"]
+    sizes = members.groupBy(*group).agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
+    groups = stored(leaders.join(sizes, group))
+    at = F.arrays_zip(F.transform("nodes", lambda n: F.element_at("aligned", n + 1)).alias("node"), F.col("texts").alias("text"))
+    entries = members.select(*group, F.explode(at).alias("entry")).select(*group, "entry.*").where(F.col("node") >= 0)
+    counts = entries.groupBy(*group, "node", "text").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
     constant = (
-        counts.join(sizes, "host")
+        counts.join(groups.drop("tree"), group)
         .where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
-        .groupBy("host")
-        .agg(F.array_sort(F.collect_list("entry")).alias("constant"))
+        .groupBy(*group)
+        .agg(F.array_sort(F.collect_list(F.struct("node", "text"))).alias("constant"))
+        .select(*group, F.col("constant.node").alias("nodes"), F.col("constant.text").alias("texts"))
     )
-    wrappers = stored(pivots.join(constant, "host", "left"))
+    wrapper = F.to_json(F.array_sort(F.collect_list(F.struct("layout", "pages", "tree", "nodes", "texts"))))
+    wrappers = stored(groups.join(constant, group, "left").groupBy("host").agg(wrapper.alias("wrapper")))
     kinds = {name: pages.schema[name].dataType.simpleString() for name in ("page_id", "url")}
     return (
-        rows.join(wrappers, "host")
-        .select("page_id", "url", "html", "pivot", "constant")
+        rows.join(wrappers, "host", "left")
+        .select("page_id", "url", "html", "wrapper")
         .mapInArrow(lean(_extracted), f"page_id {kinds['page_id']}, url {kinds['url']}, text string")
     )

@@ -109,6 +109,42 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r["text"] for r in found.collect()} == {"the same text"}
 
 
+def framed(spark, bodies):
+    pages = [(i, f"http://two.example.com/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    return spark.createDataFrame(pages, "page_id long, url string, html string")
+
+
+def news(i):
+    extra = f"<blockquote>Quote {i}</blockquote>" if i % 3 == 0 else ""
+    body = f"<p>The daily news</p><h1>Title {i}</h1><p>What page {i} says.</p>{extra}<p>Read our terms.</p>"
+    wanted = f"Title {i}\nWhat page {i} says." + (f"\nQuote {i}" if extra else "")
+    return f"<div>{body}</div>", wanted
+
+
+def shop(i):
+    rows = f"<tr><th>Article<td>Thing {i}<tr><th>Price<td>{i} pence"
+    return f"<section><h2>The shop</h2><table>{rows}</table><ul><li>Free delivery</ul></section>", f"Thing {i}\n{i} pence"
+
+
+@pytest.mark.parametrize("odd", [[], ["<h3>Error 500</h3>"]])
+def test_a_host_with_two_layouts(spark, odd):
+    made = [(b, b[4:-5]) for b in odd] + [news(i) for i in range(12)] + [shop(i) for i in range(8)]
+    found = {r["page_id"]: r["text"] for r in main_texts(framed(spark, [b for b, _ in made]).repartition(3)).collect()}
+    assert found == dict(enumerate(w for _, w in made))
+
+
+def test_two_pages_of_a_host_are_aligned(spark):
+    made = [news(1), news(2)]
+    found = {r["page_id"]: r["text"] for r in main_texts(framed(spark, [b for b, _ in made])).collect()}
+    assert found == dict(enumerate(w for _, w in made))
+
+
+def test_versions_of_a_page_are_no_template(spark):
+    bodies = ["".join(f"<p>Paragraph {k} of it, revision {v if k == 3 else 0}</p>" for k in range(6)) for v in range(2)]
+    found = {r["page_id"]: r["text"].count("\n") + 1 for r in main_texts(framed(spark, bodies)).collect()}
+    assert found == {0: 6, 1: 6}
+
+
 def test_awkward_pages(spark):
     schema = "page_id long, url string, html string, host string, text string, pivot int, constant int, n_chars int, key int"
     pages = [(1, None, None), (None, "no url", "<p>a"), (None, "no url", "<p>a"), (2, "", ""), (2, "http://x.y/", " "), (None, None, None)]
