@@ -7,10 +7,12 @@ windows of full length around the anchors are then compared among themselves: a
 starts in a document with a smaller id is part of a repeat, and the union of such windows are the maximal exact
 repeats.
 
-Probes and windows are shuffled by hash, packed: a row of the shuffle has the entries of one hash bucket and one chunk of
-texts, as arrays. Groups of equal hashes are handled by sorting a bucket, so a window that very many documents share
-costs no pairs. The texts themselves are not shuffled: they are written once, as a table bucketed by the task that
-read them, and later steps meet them there.
+Only hashes are shuffled, packed: a row of the shuffle has those of one hash bucket and one chunk of texts, as an array.
+They are counted before: a chunk of texts sends a probe at most twice, and what one task has read (a shard) sends a window
+once, with its smallest id. So a window that very many documents share, or a text of one word, is a few entries of its
+bucket for each chunk. Hashes that decide go back to the shards that have them, which find their places anew. The texts
+themselves are not shuffled: they are written once, as a table bucketed by the task that read them, and later steps
+meet them there.
 """
 
 from __future__ import annotations
@@ -104,154 +106,173 @@ class Places:
         return np.repeat(rows, counts), sums - np.repeat(sums[first] - steps[first], counts)
 
 
-def _by_bucket(hashes: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Buckets and the places of their hashes, in order."""
-    bucket = (hashes >> np.uint64(32)) % np.uint64(buckets)
-    order = np.argsort(bucket.astype(np.int32), kind="stable")
-    ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
-    for i in np.flatnonzero(np.diff(ends)):
-        yield int(i), order[ends[i] : ends[i + 1]]
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (hashes >> np.uint64(32)) % np.uint64(buckets)
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin, and the end."""
+    if not len(values):
+        return np.zeros(1, np.int64)
+    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]))
 
 
 def _positions(words: Words) -> np.ndarray:
     return np.arange(len(words.starts)) - np.repeat(words.row_words[:-1], np.diff(words.row_words))
 
 
+def _probe_hashes(words: Words, block: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the windows of block length begin, and of each the bucket and 31 bits of the hash beside the bucket's."""
+    start = np.flatnonzero(words.window_starts(block))
+    hashes = _anchor.windows(_anchor.spans(words.data, words.starts, words.ends), block)[start]
+    return start, _bucket(hashes, buckets) << np.uint64(31) | hashes & np.uint64(0x7FFFFFFF)
+
+
 def _probes(block: int, buckets: int):
-    """Rolling windows of block length: 31 bits of the hash beside the bucket's, and whether it is an indexed block."""
+    """Rolling windows of block length, and whether they are indexed blocks: of equal ones of a chunk the first and last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shards = batch.column("shard").to_numpy()
-            places = batch.column("place").to_numpy()
             for words in words_of(batch.column("text"), NOT_SPACE, CHUNK_BYTES):
-                hashes = _anchor.windows(_anchor.spans(words.data, words.starts, words.ends), block)
-                start = np.flatnonzero(words.window_starts(block))
-                hashes, position = hashes[start], _positions(words)[start]
-                row = words.row_of_words()[start] + words.first_row
-                entry = ((hashes & np.uint64(0x7FFFFFFF)) << np.uint64(1) | (position % block == 0)).astype("<u4")
+                start, keys = _probe_hashes(words, block, buckets)
+                shard = shards[words.row_of_words()[start] + words.first_row]
+                entry = keys << np.uint64(1) | (_positions(words)[start] % block == 0).astype(np.uint64)
                 rows = []
-                for bucket, at in _by_bucket(hashes, buckets):
-                    borders = np.flatnonzero(np.diff(shards[row[at]])) + 1
-                    for part in np.split(at, borders):
-                        rows.append(
-                            {"bucket": bucket, "shard": int(shards[row[part[0]]]), "entries": entry[part].tobytes()}
-                            | Places.pack(places[row[part]], position[part])
-                        )
+                borders = _runs(shard)
+                for a, b in zip(borders[:-1], borders[1:], strict=True):
+                    sent = np.sort(entry[a:b])  # equal hashes together, indexed blocks last
+                    ends = _runs(sent >> np.uint64(1))
+                    sent = sent[np.unique(np.concatenate((ends[:-1], ends[1:] - 1)))]
+                    parts = _runs(sent >> np.uint64(32))
+                    low = sent.astype("<u4")
+                    for i, j in zip(parts[:-1], parts[1:], strict=True):
+                        rows.append({"bucket": int(sent[i] >> np.uint64(32)), "shard": int(shard[a]), "entries": low[i:j].tobytes()})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=_PROBE)
 
     return run
 
 
-_PLACES = [pa.field("rows", pa.binary()), pa.field("counts", pa.binary()), pa.field("steps", pa.binary())]
-_PROBE = pa.schema([pa.field("bucket", pa.int32()), pa.field("shard", pa.int32()), pa.field("entries", pa.binary()), *_PLACES])
-_FOUND = pa.schema([pa.field("shard", pa.int32()), *_PLACES])
-_WINDOW = pa.schema(
-    [
-        pa.field("bucket", pa.int32()),
-        pa.field("shard", pa.int32()),
-        pa.field("entries", pa.binary()),
-        pa.field("ids", pa.binary()),
-        *_PLACES,
-    ]
-)
-
-
-def _kept_places(table: pa.Table, sizes: list[int], keep: np.ndarray) -> pa.Table:
-    """Of each row of ``table`` the places that ``keep`` (over the entries of all rows) marks."""
-    out, begin = [], 0
-    for i, size in enumerate(sizes):
-        own = np.flatnonzero(keep[begin : begin + size])
-        begin += size
-        if len(own):
-            packed = {name: table.column(name)[i].as_py() for name in ("rows", "counts", "steps")}
-            place, position = Places.unpack(packed)
-            out.append({"shard": table.column("shard")[i].as_py()} | Places.pack(place[own], position[own]))
-    return pa.Table.from_pylist(out, schema=_FOUND)
+_PROBE = pa.schema([pa.field("bucket", pa.int32()), pa.field("shard", pa.int32()), pa.field("entries", pa.binary())])
+_WINDOW = pa.schema([*_PROBE, pa.field("ids", pa.binary()), pa.field("several", pa.binary())])
+_REPEAT = pa.schema([pa.field("shard", pa.int32()), pa.field("entries", pa.binary()), pa.field("ids", pa.binary())])
+
+
+def _arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), kind) for x in column]
 
 
 def _anchors(table: pa.Table) -> pa.Table:
-    """Probes of a bucket that meet an indexed block at another place."""
-    parts = [np.frombuffer(x.as_buffer(), "<u4") for x in table.column("entries")]
-    entries = np.concatenate(parts)
-    order = np.argsort(entries)
-    sorted_hash = entries[order] >> 1
-    first = np.flatnonzero(np.append(True, sorted_hash[1:] != sorted_hash[:-1]))
-    size = np.diff(np.append(first, len(order)))
-    blocks = np.add.reduceat((entries[order] & 1).astype(np.int64), first)
-    keep = np.zeros(len(order), bool)
-    keep[order] = np.repeat((size > 1) & (blocks > 0), size)
-    return _kept_places(table, [len(p) for p in parts], keep)
-
-
-def _places_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """All places of the rows of ``table``, sorted."""
-    parts = [Places.unpack(row) for row in table.select(["rows", "counts", "steps"]).to_pylist()]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    place, position = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((position, place))
-    return place[order], position[order]
-
-
-def _marks(words: Words, places: np.ndarray, found: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Word indexes in ``words`` of the found places; ``places`` of the rows of ``words``."""
-    begin, end = np.searchsorted(found[0], places), np.searchsorted(found[0], places, "right")
-    n = end - begin
-    at = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    return np.repeat(words.row_words[:-1], n) + found[1][at]
+    """Of each row the probes of a bucket that meet an indexed block at another place."""
+    parts = _arrays(table.column("entries"), "<u4")
+    entries = np.sort(np.concatenate(parts))
+    ends = _runs(entries >> 1)
+    found = entries[ends[:-1]][(np.diff(ends) > 1) & (entries[ends[1:] - 1] & 1 == 1)] >> 1
+    out = []
+    for bucket, shard, part in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), parts, strict=True):
+        own = np.unique(part >> 1)
+        own = own[_among(own, found)[0]]
+        if len(own):
+            out.append({"bucket": bucket, "shard": shard, "entries": own.astype("<u4").tobytes()})
+    return pa.Table.from_pylist(out, schema=_PROBE)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of ``values`` is one of the sorted ``known``, and its place there if so."""
+    if not len(known):
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values, at
+
+
+def _words_of(texts: pa.Table) -> Iterator[tuple[int, Words]]:
+    """The words of all rows, chunk by chunk, and the chunk's first row."""
+    row = 0
+    for part in texts.column("text").chunks:
+        for words in words_of(part, NOT_SPACE, CHUNK_BYTES):
+            yield row + words.first_row, words
+        row += len(part)
+
+
+def _window_hashes(words: Words, window: int, start: np.ndarray) -> np.ndarray:
+    return _full.windows(_full.spans(words.data, words.starts, words.ends), window)[start]
+
+
+def _summed(hashes: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes with the least and the most."""
+    if not len(hashes):
+        return hashes, least, most
+    order = np.argsort(hashes)
+    ends = _runs(hashes[order])
+    first = ends[:-1]
+    return hashes[order][first], np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
 
 
 def _windows(window: int, block: int, buckets: int):
-    """Full windows around the anchors of a shard, with the document's id."""
+    """The distinct full windows around the anchors of a shard, with the smallest id and whether there are several."""
 
     def run(texts: pa.Table, anchors: pa.Table) -> pa.Table:
-        out = []
-        found = _places_of(anchors)
-        texts = texts.filter(pa.array(np.isin(texts.column("place").to_numpy(), found[0]))).sort_by("place")
-        places, ids = texts.column("place").to_numpy(), texts.column("id").to_numpy()
-        for words in words_of(texts.column("text"), NOT_SPACE, CHUNK_BYTES) if len(places) else ():
-            own = slice(words.first_row, words.first_row + words.rows)
-            anchor = _marks(words, places[own], found)
+        if not anchors.num_rows or not texts.num_rows:
+            return _WINDOW.empty_table()
+        parts = _arrays(anchors.column("entries"), "<u4")
+        number = anchors.column("bucket").to_numpy().astype(np.uint64)
+        found = np.repeat(number << np.uint64(31), [len(p) for p in parts]) | np.concatenate(parts)
+        found = np.unique(found)
+        ids = texts.column("id").to_numpy()
+        seen = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        waiting, size = [], 0
+        for first_row, words in _words_of(texts):
+            start, keys = _probe_hashes(words, block, buckets)
+            anchor = start[_among(keys, found)[0]]
+            if not len(anchor):
+                continue
             position = _positions(words)
             change = np.zeros(len(words.starts) + 1, np.int64)
             np.add.at(change, anchor - np.minimum(position[anchor], window - block), 1)
             np.add.at(change, anchor + 1, -1)
             start = np.flatnonzero((np.cumsum(change[:-1]) > 0) & words.window_starts(window))
-            hashes = _full.windows(_full.spans(words.data, words.starts, words.ends), window)[start]
-            row = words.row_of_words()[start] + words.first_row
-            for bucket, at in _by_bucket(hashes, buckets):
-                packed = Places.pack(places[row[at]], position[start[at]])
-                rows = row[at][np.append(True, np.diff(row[at]) != 0)]
-                out.append(
-                    {
-                        "bucket": bucket,
-                        "shard": texts.column("shard")[0].as_py(),
-                        "entries": hashes[at].tobytes(),
-                        "ids": ids[rows].tobytes(),
-                    }
-                    | packed
-                )
+            own = ids[words.row_of_words()[start] + first_row]
+            waiting.append(_summed(_window_hashes(words, window, start), own, own))
+            size += len(waiting[-1][0])
+            if size > len(seen[0]) + BUCKET_WINDOWS:
+                seen, waiting, size = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True))), [], 0
+        hashes, least, most = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True)))
+        bucket = _bucket(hashes, buckets)
+        order = np.argsort(bucket, kind="stable")
+        ends = _runs(bucket[order])
+        shard = texts.column("shard")[0].as_py()
+        out = []
+        for i, j in zip(ends[:-1], ends[1:], strict=True):
+            at = order[i:j]
+            out.append(
+                {
+                    "bucket": int(bucket[at[0]]),
+                    "shard": shard,
+                    "entries": hashes[at].tobytes(),
+                    "ids": least[at].tobytes(),
+                    "several": (most[at] > least[at]).tobytes(),
+                }
+            )
         return pa.Table.from_pylist(out, schema=_WINDOW)
 
     return run
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """Windows of a bucket whose words also start in a document with a smaller id."""
-    parts = [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("entries")]
-    ids = [
-        np.repeat(np.frombuffer(i.as_buffer(), "<i8"), _from_planes(c.as_buffer()))
-        for i, c in zip(table.column("ids"), table.column("counts"), strict=True)
-    ]
-    entries, ids = np.concatenate(parts), np.concatenate(ids)
-    order = np.argsort(entries)
-    first = np.flatnonzero(np.append(True, entries[order][1:] != entries[order][:-1]))
-    smallest = np.repeat(np.minimum.reduceat(ids[order], first), np.diff(np.append(first, len(order))))
-    keep = np.zeros(len(order), bool)
-    keep[order] = ids[order] > smallest
-    return _kept_places(table, [len(p) for p in parts], keep)
+    """Of each row the windows of a bucket that also start in a document with a smaller id than one of the shard's."""
+    parts, ids = _arrays(table.column("entries"), "<u8"), _arrays(table.column("ids"), "<i8")
+    entries = np.concatenate(parts)
+    every = np.concatenate(ids)
+    hashes, smallest, _ = _summed(entries, every, every)
+    out = []
+    rows = zip(table.column("shard").to_pylist(), parts, ids, _arrays(table.column("several"), "?"), strict=True)
+    for shard, own, least, several in rows:
+        known = smallest[np.searchsorted(hashes, own)]
+        keep = several | (least > known)
+        if keep.any():
+            out.append({"shard": shard, "entries": own[keep].tobytes(), "ids": known[keep].tobytes()})
+    return pa.Table.from_pylist(out, schema=_REPEAT)
 
 
 def _cut(window: int, doc_type: pa.DataType):
@@ -261,21 +282,35 @@ def _cut(window: int, doc_type: pa.DataType):
     )
 
     def run(texts: pa.Table, repeats: pa.Table) -> pa.Table:
-        found = _places_of(repeats)
-        places = texts.column("place").to_numpy()
-        begin, end = np.searchsorted(found[0], places), np.searchsorted(found[0], places, "right")
+        hashes, smallest = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if repeats.num_rows:
+            hashes = np.concatenate(_arrays(repeats.column("entries"), "<u8"))
+            smallest = np.concatenate(_arrays(repeats.column("ids"), "<i8"))
+            order = np.argsort(hashes)
+            hashes, smallest = hashes[order], smallest[order]
+        ids = texts.column("id").to_numpy()
         n_words, n_removed, kept = [], [], []
-        for text, a, b in zip(texts.column("text"), begin.tolist(), end.tolist(), strict=True):
-            words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-            n_words.append(len(words))
-            if a < b:
-                change = np.zeros(len(words) + 1, np.int64)
-                change[found[1][a:b]] += 1
-                np.subtract.at(change, found[1][a:b] + window, 1)
-                keep = np.cumsum(change[:-1]) == 0
-                words = list(compress(words, keep.tolist()))
-            n_removed.append(n_words[-1] - len(words))
-            kept.append(b" ".join(words))
+        for first_row, chunk in _words_of(texts):
+            row, position = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            if len(hashes):
+                start = np.flatnonzero(chunk.window_starts(window))
+                found, at = _among(_window_hashes(chunk, window, start), hashes)
+                start, at = start[found], at[found]
+                row = chunk.row_of_words()[start]
+                later = ids[row + first_row] > smallest[at]
+                row, position = row[later], _positions(chunk)[start[later]]
+            begin, end = (np.searchsorted(row, np.arange(chunk.rows), side) for side in ("left", "right"))
+            for text, a, b in zip(texts.column("text").slice(first_row, chunk.rows), begin.tolist(), end.tolist(), strict=True):
+                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
+                n_words.append(len(words))
+                if a < b:
+                    change = np.zeros(len(words) + 1, np.int64)
+                    change[position[a:b]] += 1
+                    np.subtract.at(change, position[a:b] + window, 1)
+                    keep = np.cumsum(change[:-1]) == 0
+                    words = list(compress(words, keep.tolist()))
+                n_removed.append(n_words[-1] - len(words))
+                kept.append(b" ".join(words))
         text = pa.array(kept, pa.binary()).cast(pa.string())
         counts = [pa.array(x, pa.int64()) for x in (n_words, n_removed)]
         return pa.Table.from_arrays([texts.column("doc_id"), *counts, text], schema=schema)
@@ -299,14 +334,14 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     spark = docs.sparkSession
     shipped(texts)
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (6 * BUCKET_WINDOWS)))
-    place = "shard int, " + Places.FIELDS
-    probes = texts.select("shard", "place", "text").mapInArrow(lean(_probes(block, buckets)), "bucket int, shard int, entries binary, " + Places.FIELDS)
-    anchors = probes.groupBy("bucket").applyInArrow(lean_group(_anchors), place)
+    probe = "bucket int, shard int, entries binary"
+    probes = texts.select("shard", "text").mapInArrow(lean(_probes(block, buckets)), probe)
+    anchors = probes.groupBy("bucket").applyInArrow(lean_group(_anchors), probe)
     by_shard = texts.groupBy("shard")
     windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(
-        lean_group(_windows(window, block, buckets)), "bucket int, shard int, entries binary, ids binary, " + Places.FIELDS
+        lean_group(_windows(window, block, buckets)), probe + ", ids binary, several binary"
     )
-    repeats = windows.groupBy("bucket").applyInArrow(lean_group(_repeats), place)
+    repeats = windows.groupBy("bucket").applyInArrow(lean_group(_repeats), "shard int, entries binary, ids binary")
     return by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(
         lean_group(_cut(window, to_arrow_type(doc_type))), f"doc_id {doc_type.simpleString()}, n_words long, n_removed long, kept string"
     )

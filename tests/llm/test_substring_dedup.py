@@ -2,9 +2,11 @@ import random
 
 from llm_helpers import documents, rows  # noqa: F401
 
-from martwright.llm.substring_dedup import Places, without_repeats
+from martwright.llm.substring_dedup import Places, _anchors, _probes, _windows, without_repeats
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 
 def plain(docs, window):
@@ -44,6 +46,27 @@ def test_a_third_of_all_rows_is_one_text(spark):
     assert rows(without_repeats(frame)) == plain(docs, 50)
 
 
+def test_texts_of_one_word(spark):
+    docs = [(i, "word " * n) for i, n in enumerate([3000, 49, 50, 51, 700, 0])] + [(3, "word " * 60 + "other " * 60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert rows(without_repeats(frame)) == plain(docs, 50)
+
+
+def test_a_bucket_gets_equal_windows_once_per_chunk():
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = ["word " * 20_000, *[f"own{i} {passage}" for i in range(500)]]
+    n = len(texts)
+    table = pa.table({"shard": pa.array([7] * n, pa.int32()), "place": range(n), "id": range(n), "text": texts})
+    (sent,) = _probes(25, 4)(table.to_batches())
+    probes = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in sent.column("entries")])
+    assert len(probes) <= 2 * (1 + 36) + 500
+    sent = pa.Table.from_batches([sent])
+    anchors = [_anchors(sent.filter(pc.equal(sent.column("bucket"), b))) for b in set(sent.column("bucket").to_pylist())]
+    windows = _windows(50, 25, 4)(table, pa.concat_tables(anchors))
+    found = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in windows.column("entries")])
+    assert len(found) == len(np.unique(found)) == 1 + 11 + 500
+
+
 def test_whole_documents(spark, documents):
     frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
     assert rows(without_repeats(frame)) == plain(documents, 50)
