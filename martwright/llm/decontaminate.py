@@ -16,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.ship import lean, shipped
+from martwright.llm.store import stored
 from martwright.llm.text import ALPHANUMERIC, Hasher, words_of
 
 #: Bytes of document text in a segment; a longer document is a segment of its own.
 SEGMENT_BYTES = (1 << 20) - 64
 #: Bytes of benchmark text that are sent to the executors at a time.
 BLOCK_BYTES = 8 << 20
+#: Positions of the windows' rarest terms that are looked at together.
+FRONTIER = 1 << 20
 
 _terms = Hasher(21, fold_case=True)
 _POSITION_BITS = np.int64(36)
@@ -134,9 +137,28 @@ def match(segment: Segment, windows: Windows, within: int | None = None) -> tupl
     order = np.argsort(counts[alive], axis=1, kind="stable")  # rarest first, unused places last
     rarest = order[:, 0]
     term = windows.terms[alive, rarest]
-    n = segment.counts[term]
-    window = np.repeat(np.arange(len(alive)), n)
-    source = np.repeat(segment.begins[term] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    ends = np.cumsum(segment.counts[term])
+    found = [
+        _matches(segment, windows, within, alive, order, ends, first, min(first + FRONTIER, int(ends[-1])))
+        for first in range(0, int(ends[-1]) if len(ends) else 0, FRONTIER)
+    ]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    window, position = (np.concatenate(x) for x in zip(*found, strict=True))
+    return window, position
+
+
+def _matches(
+    segment: Segment, windows: Windows, within: int | None, alive: np.ndarray, order: np.ndarray, ends: np.ndarray, first: int, last: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The matches from the positions ``first`` to ``last`` of all rarest terms' positions, which end at ``ends``."""
+    rarest = order[:, 0]
+    some = np.arange(np.searchsorted(ends, first, "right"), np.searchsorted(ends, last, "left") + 1)
+    term = windows.terms[alive[some], rarest[some]]
+    begins = ends[some] - segment.counts[term]
+    low, high = np.maximum(begins, first), np.minimum(ends[some], last)
+    window = np.repeat(some, high - low)
+    source = np.repeat(segment.begins[term] - begins, high - low) + np.arange(first, last)
     position = segment.keys[source] & ((np.int64(1) << _POSITION_BITS) - 1)
     for step in range(1, windows.size):
         place = order[window, step]
@@ -174,6 +196,7 @@ def _search(index: DataFrame, windows: Windows, ids: pa.Array, within: int | Non
         length = (windows.terms >= 0).sum(axis=1)
 
         def items_by_document(window: np.ndarray, document: np.ndarray, documents: int) -> pa.Array:
+            document, window = np.divmod(np.unique(document * len(windows.terms) + window), max(1, len(windows.terms)))
             n = np.diff(windows.item_ends)[window]
             source = np.repeat(windows.item_ends[:-1][window] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             pairs = np.unique(np.stack([np.repeat(document, n), windows.items[source]]), axis=1)
@@ -240,7 +263,7 @@ def contamination(index: DataFrame, items: DataFrame, size: int = 10, within: in
     windows of an item with a null id mark words, but the id is not listed. Without items or windows nothing is hit.
     """
     index = index.select(F.monotonically_increasing_id().alias("segment"), "doc_ids", "doc_words", "terms", "counts", "positions")
-    items = items.select("item_id", F.col("text").cast("string").alias("text"))
+    items = stored(items.select("item_id", F.col("text").cast("string").alias("text")).dropDuplicates())
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))
     found = []
@@ -248,7 +271,8 @@ def contamination(index: DataFrame, items: DataFrame, size: int = 10, within: in
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).toArrow()
         ids = own.column("item_id").combine_chunks()
         ids = ids.cast(pa.int64() if pa.types.is_integer(ids.type) else pa.string())
-        found.append(_search(index, windows_of(own.column("text").to_pylist(), size), ids, within))
+        matches = _search(index, windows_of(own.column("text").to_pylist(), size), ids, within)
+        found.append(matches if blocks == 1 else stored(matches))  # so that the driver and executors hold one block
     rows = found[0]
     if blocks > 1:
         for other in found[1:]:

@@ -1,6 +1,9 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from llm_helpers import documents, rows  # noqa: F401
 from pyspark.sql import functions as F
@@ -82,3 +85,65 @@ def test_proximity(spark):
     assert found == {1: ([], []), 2: ([], [9]), 3: ([], []), 4: ([], [])}
     found = {r["doc_id"]: r["near_items"] for r in contamination(index, items, within=7).collect()}
     assert found == {1: [9], 2: [9], 3: [], 4: [9]}
+
+
+def test_many_common_windows_are_matched_in_bounded_memory():
+    words = ["a" if i % 2 else "b" for i in range(20_000)]
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("ab", k=10)) for _ in range(1500)]
+    windows = decontaminate.windows_of(texts, 10)
+    hashes = decontaminate._terms.spans(*one_row(docs))
+    segment = segment_of(hashes, windows)
+    tracemalloc.start()
+    try:
+        found, position = decontaminate.match(segment, windows)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    same = {p for p, w in enumerate(zip(*(words[i:] for i in range(10)))) if " ".join(w) in set(texts)}
+    assert set(position.tolist()) == same
+    assert len(set(found.tolist())) <= 2
+    assert int(segment.counts.min()) * len(windows.terms) > 4 << 20
+    assert peak < 200 << 20
+
+
+def test_runs_of_positions_give_the_same_matches(monkeypatch):
+    rng = random.Random(4)
+    words = rng.choices("abc", k=400)
+    windows = decontaminate.windows_of([" ".join(rng.choices("abc", k=3)) for _ in range(30)], 3)
+    docs = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})
+    segment = segment_of(decontaminate._terms.spans(*one_row(docs)), windows)
+    for within in (None, 2):
+        whole = decontaminate.match(segment, windows, within)
+        monkeypatch.setattr(decontaminate, "FRONTIER", 7)
+        parts = decontaminate.match(segment, windows, within)
+        monkeypatch.undo()
+        assert [x.tolist() for x in whole] == [x.tolist() for x in parts]
+
+
+def one_row(batch):
+    (words,) = decontaminate.words_of(batch.column("text"), decontaminate.ALPHANUMERIC)
+    return words.data, words.starts, words.ends
+
+
+def segment_of(hashes, windows):
+    order = np.argsort(hashes, kind="stable")
+    terms, counts = np.unique(hashes, return_counts=True)
+    row = {"doc_words": [len(hashes)], "terms": terms, "counts": counts, "positions": order}
+    row = {k: np.asarray(v).astype("<u8" if k == "terms" else "<u4").tobytes() for k, v in row.items()}
+    return decontaminate.open_segment(row, windows.vocabulary)
+
+
+def test_repeated_items_are_looked_up_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "doc_id long, text string")
+    items = spark.createDataFrame([(i % 2, "two three four") for i in range(50)], "item_id long, text string")
+    blocks = []
+    plain = decontaminate.windows_of
+    monkeypatch.setattr(decontaminate, "windows_of", lambda texts, size: blocks.append(len(texts)) or plain(texts, size))
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 28)
+    found = decontaminate.contamination(decontaminate.positional_index(docs), items).collect()
+    assert blocks == [2] and [(r["n_hit"], sorted(r["items"])) for r in found] == [(3, [0, 1])]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 14)
+    found = decontaminate.contamination(decontaminate.positional_index(docs), items).collect()
+    assert sum(blocks[1:]) == 2 and [(r["n_hit"], sorted(r["items"])) for r in found] == [(3, [0, 1])]
