@@ -14,11 +14,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.linear import bounded_sample
+from martwright.llm.linear import bounded_classes
 from martwright.llm.ship import lean, shipped
 from martwright.llm.text import LETTER, LOWER, Hasher, as_bytes, mix, row_chunks
 
-#: Documents that a model is fitted on at most (about: they are chosen by a hash of the id).
+#: Documents that a model is fitted on at most (about: they are chosen by a hash of the id), an equal share of each language
+#: or all of one that has fewer.
 FIT_ROWS = 16_000
 #: Bytes in an n-gram; every run of other bytes than letters is one space, and words are padded by it.
 SIZES = (3, 4)
@@ -116,7 +117,8 @@ def fit(docs: DataFrame, learn_from: Column, bound: int = FIT_ROWS) -> LanguageF
     sent to the driver, so their number is bounded by the n-grams of a document over that share.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows, _ = bounded_sample(rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from), "doc_id", bound)
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & learn_from)
+    rows = bounded_classes(rows, "doc_id", "lang", bound)
     documents = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(documents)
     if not languages:

@@ -90,6 +90,25 @@ def bounded_sample(rows: DataFrame, key: str, bound: int) -> tuple[DataFrame, in
     return (rows, total) if total <= bound else (rows.where(hash_fraction(F.col(key)) < bound / total), bound)
 
 
+def even_shares(counts: dict, bound: int) -> dict:
+    """Of each class the share of its rows so that about ``bound`` are left: as many of each, or all of a smaller one."""
+    shares, left = {}, bound
+    for i, (name, n) in enumerate(sorted(counts.items(), key=lambda x: x[1])):
+        quota = min(n, max(1, left // (len(counts) - i)))
+        shares[name] = quota / n
+        left -= quota
+    return shares
+
+
+def bounded_classes(rows: DataFrame, key: str, label: str, bound: int) -> DataFrame:
+    """About ``bound`` of the rows, about as many of each value of ``label``, chosen by a hash of the key, or all rows."""
+    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    if sum(counts.values()) <= bound:
+        return rows
+    shares = F.create_map(*(F.lit(x) for pair in even_shares(counts, bound).items() for x in pair))
+    return rows.where(hash_fraction(F.col(key)) < F.element_at(shares, F.col(label)))
+
+
 def dealt(rows: DataFrame, n: int) -> DataFrame:
     """About ``n`` rows (key, text, label) with the number of their shard, by a hash of the key."""
     shards = max(1, -(-n // ROWS_PER_SHARD))

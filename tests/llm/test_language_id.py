@@ -2,7 +2,7 @@ import pytest
 from llm_helpers import rows
 from pyspark.sql import functions as F
 
-from martwright.llm import language_id, queries
+from martwright.llm import language_id, linear, queries
 import numpy as np
 
 SF = "/root/testdata/sf0.01"
@@ -56,3 +56,21 @@ def test_no_letters_or_nothing_learnt(spark):
     nothing = language_id.fit(docs, F.lit(False))
     assert {r[1:] for r in language_id.language(docs, nothing).collect()} == {("und", 0.0)}
     assert rows(language_id.language(docs.limit(0), model)) == []
+
+
+def test_a_rare_language_is_learnt(spark):
+    docs = [(i, f"the houses of the town {i}", "en") for i in range(3000)] + [(-i, f"les maisons et les villes {i}", "fr") for i in range(1, 7)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = language_id.fit(frame, F.lit(True), bound=100)
+    assert model.languages == ["en", "fr"]
+    found = language_id.language(frame, model).where("doc_id < 0").collect()
+    assert {r["lang_pred"] for r in found} == {"fr"}
+    sampled = linear.bounded_classes(frame, "doc_id", "lang", 100).groupBy("lang").count().collect()
+    counts = {r["lang"]: r["count"] for r in sampled}
+    assert counts["fr"] == 6 and 60 <= counts["en"] <= 130
+
+
+def test_even_shares_use_up_the_bound():
+    counts = {"a": 10, "b": 1000, "c": 5, "d": 4000}
+    shares = linear.even_shares(counts, 415)
+    assert shares == {"a": 1.0, "c": 1.0, "b": 0.2, "d": 0.05}
