@@ -1,4 +1,4 @@
-"""The ten operators as queries over the driver's tables: whole tables, production parameters, the contract's columns."""
+"""The operators as queries over the driver's tables: whole tables, production parameters, the contract's columns."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from martwright.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     html_extract,
     language_id,
     pii,
@@ -121,6 +122,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -132,6 +137,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -189,4 +195,45 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 as contaminated
         from d left join h using (doc_id) left join s using (doc_id)
     """,
+    "op12_filter_audit": """
+        with d as (
+            select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+                   coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) as w
+            from documents
+        ), known as (
+            select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id
+        ), f as (
+            select part, (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int
+                   + 4 * (100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t))::int
+                   + 8 * regexp_matches(t, '[#$%&*|]')::int
+                   + 16 * coalesce(d.doc_id > min(d.doc_id) over (partition by t), false)::int as mask,
+                   coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+            from d left join known on d.doc_id = known.doc_id
+        ), counts as (
+            select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by part, mask
+        ), letters as (
+            select substr('ABCDE', i, 1) as x, 1 << (i - 1) as bit from (select unnest(range(1, 6))::int as i)
+        ), orders as (
+            select a.x || b.x || c.x || d.x || e.x as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+            from letters a, letters b, letters c, letters d, letters e
+            where a.bit + b.bit + c.bit + d.bit + e.bit = 31 and len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), steps as (
+            select filter_order, step, bits[step] as own, coalesce(list_sum(bits[1 : step - 1]), 0)::int as before
+            from orders, (select unnest(range(1, 6))::int as step)
+        ), fate as (
+            select part, filter_order, step, substr(filter_order, step, 1) as filter,
+                   sum(case when mask & (before + own) = 0 then n else 0 end) as kept,
+                   sum(case when mask & before = 0 and mask & own <> 0 then n else 0 end) as removed,
+                   sum(case when mask & before <> 0 and mask & own <> 0 then n else 0 end) as redundant,
+                   sum(case when mask = own then n else 0 end) as unique_fails,
+                   sum(case when mask & before = 0 and mask & own <> 0 then good else 0 end) as good_lost,
+                   sum(case when mask & before = 0 and mask & own <> 0 then toxic else 0 end) as toxic_lost
+            from counts, steps group by part, filter_order, step
+        )
+        select part, filter_order, step, filter, kept::bigint as kept, removed::bigint as removed,
+               redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost,
+               toxic_lost::bigint as toxic_lost,
+               (sum(removed) over (partition by part, filter))::bigint as shapley
+        from fate
+    """,
 }

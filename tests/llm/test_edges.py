@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from martwright.llm import queries
 
-ON_DOCUMENTS = [name for name in queries.QUERIES if "html" not in name]
+#: Queries with a row for each document.
+ON_DOCUMENTS = [name for name in queries.QUERIES if name not in ("op5_html_extraction", "op11_nn_descent", "op12_filter_audit")]
 
 
 @pytest.mark.parametrize("name", ON_DOCUMENTS)
