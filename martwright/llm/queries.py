@@ -12,6 +12,7 @@ from martwright.llm import (
     filter_audit,
     html_extract,
     language_id,
+    periodic_runs,
     pii,
     quality_classifier,
     quality_rules,
@@ -122,6 +123,45 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which the words of one document in ten, by a hash of its id, repeat from some word on.
+
+    With h = crc32 of the id as text, g = h div 10 and n words, the document is chosen if h is a multiple of 10; its words
+    from a = g mod n on are those of one period of 1 + (n - a) div (3 + g mod 8) words. Others, null ids too, stay as they are.
+    """
+    h = F.crc32(docs["doc_id"].cast("string"))
+    text = docs["text"].cast("string")
+    split = docs.select(
+        docs["doc_id"].alias("doc_id"), text.alias("text"), F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, filter_audit.words(text)).alias("words"),
+    )
+    n = F.size("words")
+    a = (F.col("g") % n).cast("int")
+    sized = split.select("doc_id", "text", "words", "g", n.alias("n"), F.when(n > 0, a).alias("a"))
+    period = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    left = F.col("n") - F.col("a")
+    repeats = F.ceil(left / F.col("p")).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), repeats))
+    repeated = F.concat_ws(" ", F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), left)))
+    return sized.withColumn("p", period).select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_repeated_tails(table(spark, sf_dir, "documents")))
+    longest = found.withColumn("longest", periodic_runs.longest("runs"))
+    line = lambda x: F.concat(x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n"))
+    return longest.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start",
+        "longest.length",
+        "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -138,6 +178,7 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
     "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -1,0 +1,186 @@
+"""Periodic runs against a plain search over all periods, and the wavelet tree against sorting."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from llm_helpers import SF, awkward_documents
+from pyspark.sql import functions as F
+
+from martwright.llm import periodic_runs, queries
+
+SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def words_in(text):
+    for x in SPACE[1:]:
+        text = text.replace(x, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def smallest_period(words):
+    n = len(words)
+    return next(q for q in range(1, n + 1) if words[q:] == words[: n - q])
+
+
+def plain_runs(words):
+    """Maximal stretches of every period, kept if the period is the smallest of the stretch."""
+    found, n = [], len(words)
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            start = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i + q - start >= max(6, 4 * q) and smallest_period(words[start : i + q]) == q:
+                found.append((start, i + q - start, q))
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def plain_collapsed(words, runs):
+    dropped = {i for start, length, period in runs for i in range(start + period, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in dropped)
+
+
+def found_in(texts):
+    """Runs of several texts that are worked on together."""
+    import pyarrow as pa
+
+    from martwright.llm.text import NOT_SPACE, words_of
+
+    result = []
+    for chunk in words_of(pa.array(texts, pa.string()), NOT_SPACE):
+        runs, collapsed = periodic_runs._of_chunk(chunk)
+        result += [([tuple(x.values()) for x in r], c) for r, c in zip(runs.to_pylist(), collapsed.to_pylist(), strict=True)]
+    return result
+
+
+def check(texts):
+    for text, (runs, collapsed) in zip(texts, found_in(texts), strict=True):
+        words = words_in(text or "")
+        expected = plain_runs(words)
+        assert runs == expected, text
+        assert collapsed == plain_collapsed(words, expected)
+
+
+def power(rng, letters, length, times):
+    part = [rng.choice(letters) for _ in range(length)]
+    return part * times + part[: rng.randint(0, length)]
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 12])
+def test_random_words(letters):
+    rng = random.Random(letters)
+    texts = []
+    for _ in range(150):
+        words = [rng.choice("abcdefghijkl"[:letters]) for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randint(0, len(words))
+            words[at:at] = power(rng, "abcdefghijkl"[:letters], rng.randint(1, 9), rng.randint(2, 7))
+        texts.append(rng.choice([" ", "\n", " \t "]).join(words))
+    check([*texts, None, "", " \n", "x"])
+
+
+def test_runs_within_runs():
+    inner = ["a"] * 9 + ["b"]
+    outer = (inner * 5 + ["c"]) * 6
+    fibonacci = ["a"], ["a", "b"]
+    while len(fibonacci[1]) < 300:
+        fibonacci = fibonacci[1], fibonacci[1] + fibonacci[0]
+    thue_morse = ["ab"[bin(i).count("1") % 2] for i in range(256)]
+    check([" ".join(words) for words in (outer, fibonacci[1], fibonacci[1] * 5, thue_morse, thue_morse * 4, outer[7:] * 4)])
+
+
+def test_every_period_and_length():
+    texts = []
+    for period in range(1, 40):
+        part = [f"w{i}" for i in range(period)]
+        for length in (4 * period - 1, 4 * period, 4 * period + 1, 9 * period + period // 2):
+            words = (part * 10)[:length]
+            texts.append(" ".join(["u", "v", *words, "x", "y"]))
+    check(texts)
+
+
+def test_words_are_compared_by_bytes():
+    """Two words that a polynomial hash modulo a power of two cannot tell apart are no repetition of each other."""
+    left, right = (("abba" * 512).translate(str.maketrans("ab", pair)) for pair in ("ab", "ba"))
+    for _ in range(3):
+        left, right = left + right, right + left
+    check([" ".join([left, right] * 6), " ".join([left, right, left, left, right, left]), " ".join([left] * 3 + [right] * 3)])
+
+
+def test_wavelet_tree():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 63, 64, 65, 1000):
+        values = rng.permutation(n)
+        tree = periodic_runs.WaveletTree(values)
+        low = rng.integers(0, n, 200)
+        high = low + 1 + (rng.random(200) * (n - low)).astype(np.int64)
+        than, nth = rng.integers(0, n + 1, 200), (rng.random(200) * (high - low)).astype(np.int64)
+        assert tree.smaller(low, high, than).tolist() == [(values[a:b] < t).sum() for a, b, t in zip(low, high, than, strict=True)]
+        assert tree.smallest(low, high, nth).tolist() == [np.sort(values[a:b])[k] for a, b, k in zip(low, high, nth, strict=True)]
+
+
+def test_long_texts():
+    """Time and memory follow the length: 300 000 words, all equal, with a long period, and without a run."""
+    period = [f"w{i}" for i in range(40_000)]
+    texts = [" ".join(["x"] * 300_000), " ".join((period * 8)[:300_000]), " ".join(f"w{i}" for i in range(300_000))]
+    found = found_in(texts)
+    assert [runs for runs, _ in found] == [[(0, 300_000, 1)], [(0, 300_000, 40_000)], []]
+    assert [c for _, c in found] == ["x", " ".join(period), texts[2]]
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def plain_query(doc_id, text):
+    words = planted(doc_id, words_in(text or ""))
+    runs = plain_runs(words)
+    start, length, period = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    exponent = 1000 * length // period if runs else None
+    written = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+    return doc_id, len(runs), start, length, period, exponent, digest(written), digest(plain_collapsed(words, runs))
+
+
+def test_query_against_plain_search(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where(F.length("text") < 6000)
+    # only for the comparison: the plain search is quadratic
+    expected = [plain_query(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sum(e[1] > 0 for e in expected) > 10
+    found = {r["doc_id"]: tuple(r) for r in queries.op13_periodic_runs(spark, SF).collect()}
+    assert len(found) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert [found[e[0]] for e in expected] == expected
+
+
+def test_awkward_documents(spark, tmp_path):
+    docs = awkward_documents(spark).withColumns({name: F.lit("x") for name in ("words", "g", "n", "runs", "collapsed", "start")})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op13_periodic_runs(spark, str(tmp_path)).collect()
+    short = [(r["doc_id"], r["text"]) for r in docs.collect() if len(r["text"] or "") < 100_000]
+    expected = sorted((plain_query(*row) for row in short), key=repr)
+    kept = sorted((tuple(r) for r in found if r["doc_id"] not in (7, 8)), key=repr)
+    assert kept == expected and len(found) == 14
+
+
+def test_operator_returns_texts_and_spans(spark):
+    docs = spark.createDataFrame([(1, "so it goes " * 5 + "on"), (2, None)], "doc_id int, text string")
+    found = {r["doc_id"]: r for r in periodic_runs.periodic_runs(docs).collect()}
+    assert [tuple(x) for x in found[1]["runs"]] == [(0, 15, 3)] and found[1]["collapsed"] == "so it goes on"
+    assert found[2]["runs"] == [] and found[2]["collapsed"] == ""
+    assert periodic_runs.periodic_runs(docs.limit(0)).collect() == []
