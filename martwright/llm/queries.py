@@ -12,6 +12,7 @@ from martwright.llm import (
     filter_audit,
     html_extract,
     language_id,
+    nn_descent,
     periodic_runs,
     pii,
     quality_classifier,
@@ -123,6 +124,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def with_repeated_tails(docs: DataFrame) -> DataFrame:
     """(doc_id, text) in which the words of one document in ten, by a hash of its id, repeat from some word on.
 
@@ -177,6 +182,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_nn_descent": op11_nn_descent,
     "op12_filter_audit": op12_filter_audit,
     "op13_periodic_runs": op13_periodic_runs,
 }
