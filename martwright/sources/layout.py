@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans.datasets import DATASETS
+from martwright.sources import versions
 
 
 @dataclass(frozen=True)
@@ -36,29 +37,25 @@ def new_run_id() -> str:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The rows of the table's current version; what is committed later does not change them."""
+    return versions.frame(spark, path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Replace the table at ``path`` and return its rows; no plan may read the table it replaces.
-
-    The rows are counted in what was written, which reads Parquet footers only. That count is exact
-    even if tasks were repeated after a lost executor; counters filled in while writing are not.
-
-    With ``partition_by`` the rows are first rebalanced on those columns: a task then writes to few
-    folders, and adaptive execution splits the partitions that are too large for one task.
-    """
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    buckets: int = 0,
+    made_from: Mapping[str, str] | None = None,
+) -> int:
+    """Replace the table at ``path`` as a whole and return its rows; if the write fails, it stays as it was."""
+    return versions.replace(df, path, partition_by, bucket_by, buckets, made_from).rows
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of all files under ``path``, from the file system's own listing."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    """Size of the files of a table's current version, or of all files of a folder, from the file system's listing."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(versions.folder_of(spark, path))
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return int(files.getContentSummary(target).getLength())
 
@@ -71,9 +68,10 @@ def write_report(report: DataFrame, path: str) -> None:
 def publish(spark: SparkSession, layout: Layout, layer: str, names: Sequence[str], database: str | None = None) -> None:
     """Register written tables in the session catalog as external tables, ready for ``spark.sql``.
 
-    Nothing is dropped or replaced: a table that is already registered for the same folder with the
-    same columns is refreshed. Any other table or view of that name raises before anything is
-    registered, and so does one whose columns have changed since.
+    A table is registered at the folder of its current version and stays there until it is published again; that folder
+    is kept for some time after it was replaced (``versions.GRACE``). A table that is already registered for a version of
+    the same table with the same columns is moved to the current one; no data is touched. Any other table or view of
+    that name raises before anything is registered, and so does one whose columns have changed since.
     """
     if database:
         spark.sql(f"create database if not exists `{database}`")
@@ -82,17 +80,31 @@ def publish(spark: SparkSession, layout: Layout, layer: str, names: Sequence[str
     for table in sorted(known):
         _check_registered(spark, table, wanted[table])
     for table, path in wanted.items():
-        if table in known:
+        version = versions.current(spark, path)
+        folder = _qualified(spark, version.folder if version else path)
+        if table in known and not _has_partitions(spark, table):
+            spark.sql(f"alter table {table} set location '{folder}'")
             spark.catalog.refreshTable(table)
+            continue
+        if table in known:  # its partitions lie in the folder it was at; the table is external, so only the entry goes
+            spark.sql(f"drop table {table}")
+        if version and version.partitioned_by:
+            columns = ", ".join(f"`{name}`" for name in version.partitioned_by)
+            spark.sql(f"create table {table} ({version.ddl}) using parquet partitioned by ({columns}) location '{folder}'")
         else:
-            spark.catalog.createTable(table, path=path, source="parquet")
-        if any(column.isPartition for column in spark.catalog.listColumns(table)):
+            spark.catalog.createTable(table, path=folder, source="parquet")
+        if _has_partitions(spark, table):
             spark.catalog.recoverPartitions(table)
 
 
+def _has_partitions(spark: SparkSession, table: str) -> bool:
+    return any(column.isPartition for column in spark.catalog.listColumns(table))
+
+
 def _check_registered(spark: SparkSession, table: str, path: str) -> None:
     described = {row["col_name"]: row["data_type"] for row in spark.sql(f"describe table extended {table}").collect()}
-    if described.get("Type") != "EXTERNAL" or _qualified(spark, described["Location"]) != _qualified(spark, path):
+    root = _qualified(spark, path).rstrip("/")
+    if described.get("Type") != "EXTERNAL" or not (_qualified(spark, described["Location"]) + "/").startswith(f"{root}/"):
         raise ValueError(f"{table} exists and is not the external table at {path}; rename or drop it to publish there")
     stored = {(field.name, field.dataType) for field in read_table(spark, path).schema.fields}
     if {(field.name, field.dataType) for field in spark.table(table).schema.fields} != stored:
