@@ -2,31 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.functions.columns import number
+from martwright.functions.columns import named, number
+from martwright.operators.hitters import HEAVY_TASKS, NONE, Hitters, heavy_hitters, pieces
 
 # A merge join holds the matches of one key on the heap: 100 000 rows are some 30 MB per task.
 CHUNK_ROWS = 100_000
 
-# Few copies, since each also multiplies what a broadcast would hold; adaptive execution does the rest.
-SALTS = 8
+# The summary of such keys has at most a quarter of so many: 2.5 billion rows in oversized keys before it is unsure.
+_SUMMARY_TASKS = 100_000
 
 
-def left_join_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+def left_join_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str, hitters: Hitters = NONE) -> DataFrame:
     """``rows`` left-joined with ``table``, which holds one row per key.
 
-    Any number of rows may share a key or have none. They are spread by the hash of their ``spread``
-    column over ``SALTS`` copies of each table row, which also gives the join shuffles of its own on
-    both sides: adaptive execution splits such partitions further where they are still too large,
-    and replaces the join by a broadcast where the table turns out small.
+    Any number of rows may share a key or have none. ``hitters`` are the heavy values of the key as measured
+    (``heavy_hitters``): their rows are dealt by the hash of the ``spread`` column over as many tasks as they would
+    fill, and only their rows of ``table`` are repeated, once for each. Without any this is the plain join, and other
+    keys are joined as in the plain join. The result is the same whatever ``hitters`` says.
     """
-    salt = F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")
-    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if not hitters.any:
+        return rows.join(table, key, "left")
+    own = pieces(named(key), hitters)
+    salt = F.when(own > 1, F.pmod(F.xxhash64(spread), own).cast("int")).otherwise(0)
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), own - 1)))
     return rows.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
 
 
@@ -42,7 +46,7 @@ def left_join_details(
     header: DataFrame,
     key: str,
     details: list[Details],
-    oversized: Collection[int] = (),
+    oversized: Collection[int] | Mapping[int, Collection | None] = (),
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``header`` left-joined with each detail table on ``key``, one after the other.
@@ -54,17 +58,24 @@ def left_join_details(
     Adaptive skew handling cannot split the right side of a left join, and one key may hold a large
     share of the detail rows. ``oversized`` names the detail tables, by their place, in which that
     may be so (``find_oversized`` looks for them): their rows are cut into chunks of ``chunk_rows``
-    sequence numbers; the header row is repeated per chunk and the chunk number joins the key. The
-    result is the same either way, and no job runs here.
+    sequence numbers; the header row is repeated per chunk and the chunk number joins the key. Where
+    it is a mapping to the keys that hold so many rows, only these are cut. The result is the same
+    either way, and no job runs here.
     """
     cut = sorted(oversized)
+    only = {i: oversized[i] for i in cut if oversized[i] is not None} if isinstance(oversized, Mapping) else {}
+
+    def number_of(i: int) -> Column:
+        chunks = _chunk_number(details[i].sequence, chunk_rows)
+        return F.when(named(key).isin(list(only[i])), chunks).otherwise(0).cast("bigint") if i in only else chunks
+
     if not cut:
         return reduce(lambda left, part: left.join(part.rows, key, "left"), details, header)
 
     chunk = {i: f"__chunk{i}" for i in cut}
     cells = {
         i: _beyond_first(details[i], chunk_rows)
-        .select(key, _chunk_number(details[i].sequence, chunk_rows).alias(chunk[i]))
+        .select(key, number_of(i).alias(chunk[i]))
         .where(F.col(chunk[i]) != 0)
         .distinct()
         for i in cut
@@ -80,7 +91,7 @@ def left_join_details(
     for i, part in enumerate(details):
         rows = part.rows.withColumn(f"__found{i}", F.lit(True))
         if i in chunk:
-            rows = rows.withColumn(chunk[i], _chunk_number(part.sequence, chunk_rows))
+            rows = rows.withColumn(chunk[i], number_of(i))
         for j in cut:
             if j != i:
                 rows = rows.withColumn(chunk[j], F.lit(0).cast("bigint")).unionByName(cells[j].join(rows, key))
@@ -99,6 +110,21 @@ def find_oversized(details: list[Details], key: str, chunk_rows: int = CHUNK_ROW
     return [i for i, part in enumerate(details) if _oversized(part, key, chunk_rows)]
 
 
+def oversized_keys(details: list[Details], key: str, chunk_rows: int = CHUNK_ROWS) -> dict[int, list | None]:
+    """The places of ``find_oversized``, each with the keys to cut, for ``left_join_details``; runs jobs.
+
+    The keys are the heavy hitters of the rows beyond the first chunk, if the summary is sure to hold every key with more
+    than ``chunk_rows`` rows there; a key that is not cut then has a few chunks' rows at most. None, where there are too
+    many rows for that, stands for all keys with numbers beyond the first chunk.
+    """
+    found: dict[int, list | None] = {}
+    for i in find_oversized(details, key, chunk_rows):
+        beyond = heavy_hitters(_beyond_first(details[i], chunk_rows), key, _SUMMARY_TASKS)
+        sure = beyond.rows * HEAVY_TASKS <= chunk_rows * _SUMMARY_TASKS
+        found[i] = beyond.values if sure else None
+    return found
+
+
 def _oversized(part: Details, key: str, chunk_rows: int) -> bool:
     """Whether some key may hold more detail rows than one task should join.
 

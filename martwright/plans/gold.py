@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
 from martwright.functions.calendar import date_attributes, purchase_date
 from martwright.functions.columns import money
 from martwright.operators.clean import smallest_per_key
-from martwright.operators.joins import Details, find_oversized, left_join_details, left_join_lookup
+from martwright.operators.hitters import NONE, Hitters, heavy_hitters
+from martwright.operators.joins import CHUNK_ROWS, Details, left_join_details, left_join_lookup, oversized_keys
 
 # The columns of the product dimension and of the wide fact, in their order.
 DIM_PRODUCTS = (
@@ -34,6 +35,10 @@ FACT_ORDERS = (
 )
 
 
+# Names of the detail tables that hold oversized orders, as a mapping with these orders.
+Oversized = Collection[str] | Mapping[str, Collection | None]
+
+
 def dim_customers(customers: DataFrame) -> DataFrame:
     rows = customers.select("customer_id", "customer_unique_id", "customer_city", "customer_state")
     return smallest_per_key(rows, ["customer_id"])
@@ -43,9 +48,11 @@ def dim_sellers(sellers: DataFrame) -> DataFrame:
     return smallest_per_key(sellers.select("seller_id", "seller_city", "seller_state"), ["seller_id"])
 
 
-def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
+def dim_products(products: DataFrame, categories: DataFrame, hitters: Hitters = NONE) -> DataFrame:
     """Products with the English category name, NULL where there is no translation.
 
+    ``hitters`` are the categories that hold many products (see ``category_hitters``); they do not change the rows.
+
     A category with several translations would repeat its products, and the deduplication would
     keep the smallest translation. Both sides are reduced before the join instead, which gives the
     same rows without the fan-out.
@@ -55,7 +62,13 @@ def dim_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     translation = smallest_per_key(
         categories.select("product_category_name", "product_category_name_english"), ["product_category_name"]
     )
-    return left_join_lookup(rows, translation, "product_category_name", spread="product_id").select(*DIM_PRODUCTS)
+    joined = left_join_lookup(rows, translation, "product_category_name", spread="product_id", hitters=hitters)
+    return joined.select(*DIM_PRODUCTS)
+
+
+def category_hitters(products: DataFrame, tasks: int) -> Hitters:
+    """The categories that would fill several of so many tasks; runs a job, best on a stored table."""
+    return heavy_hitters(products, "product_category_name", tasks)
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
@@ -63,8 +76,22 @@ def dim_date(orders: DataFrame) -> DataFrame:
     return orders.select(purchase_date()).distinct().select("date", *date_attributes())
 
 
+def dim_calendar(orders: DataFrame) -> DataFrame:
+    """Every date from the first to the last purchase, with its attributes, whether or not it occurs.
+
+    Only the first and last date leave the tasks that read orders; the days between are generated from that row.
+    """
+    ends = orders.agg(F.min(purchase_date()).alias("first"), F.max(purchase_date()).alias("last"))
+    days = ends.where(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("date"))
+    return days.select("date", *date_attributes())
+
+
 def fact_orders(
-    orders: DataFrame, order_items: DataFrame, payments: DataFrame, oversized: Collection[str] = ()
+    orders: DataFrame,
+    order_items: DataFrame,
+    payments: DataFrame,
+    oversized: Oversized = (),
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """The wide fact: every item of an order beside every payment of it.
 
@@ -76,12 +103,14 @@ def fact_orders(
     a task should join (see ``oversized_details``).
     """
     parts = {"order_items": _items(order_items), "payments": _payments(payments)}
-    return _with_details(orders, parts, oversized).select(*FACT_ORDERS)
+    return _with_details(orders, parts, oversized, chunk_rows).select(*FACT_ORDERS)
 
 
-def fact_order_items(orders: DataFrame, order_items: DataFrame, oversized: Collection[str] = ()) -> DataFrame:
+def fact_order_items(
+    orders: DataFrame, order_items: DataFrame, oversized: Oversized = (), chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """One row per order item, and one for an order without items."""
-    return _with_details(orders, {"order_items": _items(order_items)}, oversized).select(
+    return _with_details(orders, {"order_items": _items(order_items)}, oversized, chunk_rows).select(
         "order_id",
         "order_item_id",
         "customer_id",
@@ -94,19 +123,26 @@ def fact_order_items(orders: DataFrame, order_items: DataFrame, oversized: Colle
     )
 
 
-def oversized_details(order_items: DataFrame | None = None, payments: DataFrame | None = None) -> set[str]:
-    """Which of the given tables hold orders that are too large for one task; runs jobs, best on stored tables."""
+def oversized_details(
+    order_items: DataFrame | None = None, payments: DataFrame | None = None, chunk_rows: int = CHUNK_ROWS
+) -> dict[str, list | None]:
+    """Which of the given tables hold orders that are too large for one task, and these orders.
+
+    None stands for all orders with sequence numbers from ``chunk_rows`` on. Runs jobs, best on stored tables.
+    """
     parts = {}
     if order_items is not None:
         parts["order_items"] = _items(order_items)
     if payments is not None:
         parts["payments"] = _payments(payments)
-    return {list(parts)[i] for i in find_oversized(list(parts.values()), "order_id")}
+    found = oversized_keys(list(parts.values()), "order_id", chunk_rows)
+    return {list(parts)[i]: keys for i, keys in found.items()}
 
 
-def _with_details(orders: DataFrame, parts: dict[str, Details], oversized: Collection[str]) -> DataFrame:
-    cut = [i for i, name in enumerate(parts) if name in oversized]
-    return left_join_details(_order_header(orders), "order_id", list(parts.values()), cut)
+def _with_details(orders: DataFrame, parts: dict[str, Details], oversized: Oversized, chunk_rows: int) -> DataFrame:
+    keys = oversized if isinstance(oversized, Mapping) else dict.fromkeys(oversized)
+    cut = {i: keys[name] for i, name in enumerate(parts) if name in keys}
+    return left_join_details(_order_header(orders), "order_id", list(parts.values()), cut, chunk_rows)
 
 
 def fact_order_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.operators.clean import smallest_per_key
+from martwright.operators.hitters import Hitters
 from martwright.operators.joins import Details, _beyond_first
 from martwright.plans import gold, kpi, quality
 from martwright.plans.datasets import DATASETS
@@ -140,7 +141,8 @@ def test_a_hot_category_is_spread_over_tasks(spark, conf):
         [("hot", "HOT"), ("hot", "WARM"), ("c1", "C1")],
         "product_category_name string, product_category_name_english string",
     )
-    out = gold.dim_products(hot_products(spark, 60_000), categories)
+    products = hot_products(spark, 60_000)
+    out = gold.dim_products(products, categories, gold.category_hitters(products, 64))
     assert out.where("product_category_name_english = 'HOT'").count() == 20_000
     assert out.where("product_category_name_english is null").count() == 39_999
     sizes = [row["count"] for row in out.groupBy(F.spark_partition_id()).count().collect()]
@@ -158,6 +160,7 @@ def test_adaptive_execution_splits_what_is_still_too_large(spark, conf):
     categories = spark.createDataFrame(
         [("hot", "HOT")], "product_category_name string, product_category_name_english string"
     )
-    out = gold.dim_products(hot_products(spark, 60_000), categories)
+    few_pieces = Hitters(60_000, 20_000, (("hot", 20_000),), tasks=12)
+    out = gold.dim_products(hot_products(spark, 60_000), categories, few_pieces)
     assert len(out.collect()) == 60_000
     assert "skew=true" in plan(out)
