@@ -18,6 +18,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True, help="folder that holds raw/ and receives the layers")
     parser.add_argument("--master", help="Spark master, if not set by spark-submit")
     parser.add_argument("--infer", action="store_true", help="infer raw column types instead of using the contract")
+    parser.add_argument("--strict", action="store_true", help="leave records that do not fit the contract out of bronze")
+    parser.add_argument("--resume", action="store_true", help="leave tables that are made from the inputs as they are now")
     parser.add_argument("--partition-facts", action="store_true", help="store the facts by month of purchase")
     parser.add_argument("--database", help="database to publish the gold tables in")
     parser.add_argument("stages", nargs="+", choices=STAGES)
@@ -42,11 +44,11 @@ def main(argv: list[str] | None = None) -> int:
             quality.failure_messages(report).show(50, truncate=False)
             continue
         if stage == "bronze":
-            metrics = jobs.run_bronze(spark, layout, infer=args.infer)
+            metrics = jobs.run_bronze(spark, layout, infer=args.infer, strict=args.strict, resume=args.resume)
         elif stage == "silver":
-            metrics = jobs.run_silver(spark, layout)
+            metrics = jobs.run_silver(spark, layout, resume=args.resume)
         else:
-            metrics = jobs.run_gold(spark, layout, partition_facts=args.partition_facts)
+            metrics = jobs.run_gold(spark, layout, partition_facts=args.partition_facts, resume=args.resume)
         metrics.write.mode("overwrite").parquet(layout.run_metrics(run_id, stage))
         metrics.show(truncate=False)
         summary = jobs.run_summary(metrics)

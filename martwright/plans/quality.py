@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from martwright.functions.columns import named, present
 from martwright.operators.rules import (
     Rule,
     count_failures,
@@ -75,6 +77,31 @@ SUITE: dict[str, tuple[Rule, ...]] = {
 }
 
 
+@dataclass(frozen=True)
+class Reference:
+    """Rows of ``child`` whose ``column`` is set should find it in the column ``target`` of ``parent``."""
+
+    child: str
+    column: str
+    parent: str
+    target: str
+
+    @property
+    def label(self) -> str:
+        return f"Reference check: {self.column} in {self.parent}"
+
+
+# The relations between the tables.
+REFERENCES = (
+    Reference("orders", "customer_id", "customers", "customer_id"),
+    Reference("order_items", "order_id", "orders", "order_id"),
+    Reference("order_items", "product_id", "products", "product_id"),
+    Reference("order_items", "seller_id", "sellers", "seller_id"),
+    Reference("payments", "order_id", "orders", "order_id"),
+    Reference("reviews", "order_id", "orders", "order_id"),
+    Reference("products", "product_category_name", "categories", "product_category_name"),
+)
+
 PASS, FAIL, NOT_CHECKED = "PASS", "FAIL", "NOT CHECKED"
 
 
@@ -97,8 +124,47 @@ def report(
     if unchecked:
         rows = SparkSession.active().createDataFrame(unchecked, "dataset string, rule string")
         parts.append(rows.select("dataset", F.lit(None).cast("bigint").alias("failed_rows"), "rule"))
-    status = F.when(F.col("failed_rows").isNull(), NOT_CHECKED).when(F.col("failed_rows") == 0, PASS).otherwise(FAIL)
-    return stack(parts).withColumn("status", status)
+    return stack(parts).withColumn("status", _status())
+
+
+def reference_report(
+    tables: Mapping[str, DataFrame | None], references: Iterable[Reference] = REFERENCES
+) -> DataFrame:
+    """One row per relation: orphaned rows and keys, in the columns of ``report`` with ``failed_keys``.
+
+    A row without a key is no orphan; the null rules count it. Child rows are summed per key before they meet the
+    parent, so a key with very many rows reaches the join as one. A relation whose table or column is not there is not
+    checked.
+    """
+    parts, unchecked = [], []
+    for reference in references:
+        child, parent = tables.get(reference.child), tables.get(reference.parent)
+        able = child is not None and parent is not None
+        if not able or reference.column not in child.columns or reference.target not in parent.columns:
+            unchecked.append((reference.child, reference.label))
+            continue
+        keys = child.where(present(child, reference.column)).groupBy(named(reference.column).alias("key")).agg(
+            F.count(F.lit(1)).alias("rows")
+        )
+        known = parent.select(named(reference.target).alias("key"))
+        orphans = keys.join(known, "key", "left_anti").agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("failed_rows"), F.count(F.lit(1)).alias("failed_keys")
+        )
+        parts.append(
+            orphans.select(
+                F.lit(reference.child).alias("dataset"), F.lit(reference.label).alias("rule"), "failed_rows", "failed_keys"
+            )
+        )
+    if unchecked:
+        rows = SparkSession.active().createDataFrame(unchecked, "dataset string, rule string")
+        none = F.lit(None).cast("bigint")
+        parts.append(rows.select("dataset", "rule", none.alias("failed_rows"), none.alias("failed_keys")))
+    return stack(parts).withColumn("status", _status())
+
+
+def _status() -> Column:
+    failed = F.col("failed_rows")
+    return F.when(failed.isNull(), NOT_CHECKED).when(failed == 0, PASS).otherwise(FAIL)
 
 
 def duplicate_report(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -21,9 +21,14 @@ def silver(dataset: Dataset | str, bronze: DataFrame) -> DataFrame:
     NULL. All other rules stay behind it, since a survivor that fails a rule takes its key along.
     """
     spec = DATASETS[dataset] if isinstance(dataset, str) else dataset
+    return passing(spec, smallest_per_key(candidates(spec, bronze), spec.key or bronze.columns))
+
+
+def candidates(spec: Dataset, bronze: DataFrame) -> DataFrame:
+    """The rows of which the smallest per key is looked for, trimmed."""
     if not spec.key:
-        return trim_strings(bronze.na.drop(how="any")).distinct()
-    key_rules = [name for name in spec.not_null if name in spec.key]
+        return trim_strings(bronze.na.drop(how="any"))
+    key_rules = _key_rules(spec)
     if key_rules:
         rows = bronze.where(_all_of([present(bronze, name) for name in key_rules]))
     else:
@@ -32,7 +37,12 @@ def silver(dataset: Dataset | str, bronze: DataFrame) -> DataFrame:
     if spec.first_between:
         column, low, high = spec.first_between
         rows = rows.where(number(rows, column).between(low, high))
-    rows = smallest_per_key(rows, spec.key)
+    return rows
+
+
+def passing(spec: Dataset, rows: DataFrame) -> DataFrame:
+    """Those of the smallest rows that meet the rules which come after the deduplication."""
+    key_rules = _key_rules(spec)
     later = (
         [present(rows, name) for name in spec.not_null if name not in key_rules]
         + [number(rows, name) > F.lit(0) for name in spec.positive]
@@ -41,6 +51,10 @@ def silver(dataset: Dataset | str, bronze: DataFrame) -> DataFrame:
     return rows.where(_all_of(later)) if later else rows
 
 
+def _key_rules(spec: Dataset) -> list[str]:
+    return [name for name in spec.not_null if name in spec.key]
+
+
 def _all_of(rules: list[Column]) -> Column:
     return reduce(Column.__and__, rules)
 

@@ -120,11 +120,11 @@ def _some_value(name: str) -> str:
     return "(" + " or ".join(f"{c} is not null" for c in COLUMNS[name]) + ")"
 
 
-def _silver(name: str) -> str:
+def _silver(name: str, source: str = "b") -> str:
     columns = COLUMNS[name]
     if name == "categories":
         return (
-            f"select distinct {_trimmed(name)} from b_{name} where "
+            f"select distinct {_trimmed(name)} from {source}_{name} where "
             + " and ".join(f"{c} is not null" for c in columns)
         )
     key, before, after = RULES[name]
@@ -132,7 +132,7 @@ def _silver(name: str) -> str:
     return f"""
         select {", ".join(columns)} from (
             select *, row_number() over (partition by {key} order by {order}) as rn
-            from (select {_trimmed(name)} from b_{name} where {_some_value(name)}) where {before}
+            from (select {_trimmed(name)} from {source}_{name} where {_some_value(name)}) where {before}
         ) where rn = 1 and {after}
     """
 
@@ -186,6 +186,7 @@ def _with(statement: str) -> str:
     names = {name: name for name in (*TABLES, *HELPERS, *(f"b_{name}" for name in SHAPES))}
     parts = {name: text.format(**names) for name, text in parts.items()}
     parts |= {f"s_{name}": _silver(name) for name in COLUMNS}
+    parts |= {f"x_{name}": f"select * from b_{name} union all select * from b_{name}" for name in COLUMNS}
     parts |= GOLD
     return "with " + ",\n".join(f"{name} as ({text})" for name, text in parts.items()) + "\n" + statement
 
@@ -246,9 +247,9 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _report() -> str:
+def _report(source: str = "b") -> str:
     rows = " union all ".join(
-        f"select {_text(table)} as dataset, {_text(label)} as rule, ({count}) as failed_rows"
+        f"select {_text(table)} as dataset, {_text(label)} as rule, ({count.replace('from b_', f'from {source}_')}) as failed_rows"
         for table, label, count in QUALITY
     )
     status = "case when failed_rows = 0 then 'PASS' else 'FAIL' end"
@@ -287,6 +288,107 @@ def _records() -> str:
     )
 
 
+# (child, column, parent): the column has the same name in both tables
+REFERENCES = [
+    ("orders", "customer_id", "customers"),
+    ("order_items", "order_id", "orders"),
+    ("order_items", "product_id", "products"),
+    ("order_items", "seller_id", "sellers"),
+    ("payments", "order_id", "orders"),
+    ("reviews", "order_id", "orders"),
+    ("products", "product_category_name", "categories"),
+]
+
+
+def _references() -> str:
+    rows = " union all ".join(
+        f"select '{child}' as dataset, 'Reference check: {column} in {parent}' as rule, count(*) as failed_rows, "
+        f"count(distinct c.{column}) as failed_keys from b_{child} c where c.{column} is not null "
+        f"and not exists (select 1 from b_{parent} p where p.{column} = c.{column})"
+        for child, column, parent in REFERENCES
+    )
+    return f"select *, case when failed_rows = 0 then 'PASS' else 'FAIL' end as status from ({rows})"
+
+
+def _texts(columns: tuple[str, ...]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({c} as varchar), 'NULL')" for c in columns) + ")"
+
+
+def _rejected() -> str:
+    bad_installments = "(payment_sequential = 3 and payment_installments is not null)"
+    bad_value = "(payment_type = 'boleto' and payment_installments = 2 and payment_value is not null)"
+    reasons = (
+        f"concat_ws('; ', case when {bad_installments} then 'payment_installments: no int: about ' || payment_installments end, "
+        f"case when {bad_value} then 'payment_value: no decimal(18,2): ' || payment_value || 'x' end)"
+    )
+    bad = f"coalesce({bad_installments}, false) or coalesce({bad_value}, false)"
+    reviews = (*COLUMNS["reviews"], "review_comment_title", "review_comment_message")
+    four = "coalesce(review_score = 4, false)"
+    return f"""
+        select 'payments' as dataset, {_texts(COLUMNS["payments"])} as record, 'parsed' as fate
+        from r_payments where not ({bad})
+        union all select 'payments', {reasons}, 'rejected' from r_payments where {bad}
+        union all select 'reviews', {_texts(reviews)}, 'parsed' from r_reviews where not {four}
+        union all select 'reviews', 'review_score: no int: four', 'rejected' from r_reviews where {four}
+    """
+
+
+def _merged() -> str:
+    return " union all ".join(
+        f"select '{name}' as dataset, {_texts(COLUMNS[name])} as record from s_{name}"
+        for name in ("customers", "orders", "order_items", "categories")
+    )
+
+
+def _run_history() -> str:
+    runs = " union all ".join(
+        f"select 'run{number}' as run_id, '{name}' as dataset, "
+        + ("'SCHEMA FAILED' as status, 0 as rows_after" if (number, name) == (2, "sellers") else
+           f"'SUCCESS' as status, (select count(*) from s_{name}) as rows_after")
+        for number in range(1, 5)
+        for name in ("customers", "sellers")
+    )
+    return f"""
+        select * from (with runs as ({runs}), written as (
+            select a.*, (select b.rows_after from runs b where b.dataset = a.dataset and b.status = 'SUCCESS'
+                         and b.run_id < a.run_id order by b.run_id desc limit 1) as last_written,
+                   (select b.status from runs b where b.dataset = a.dataset and b.run_id < a.run_id
+                    order by b.run_id desc limit 1) as last_status,
+                   (select max(b.run_id) from runs b where b.dataset = a.dataset and b.run_id < a.run_id
+                    and b.status <> a.status) as last_other
+            from runs a
+        )
+        select run_id, 'silver' as stage, dataset, status, cast(rows_after as bigint) as rows_after,
+               case when status = 'SUCCESS' then rows_after - last_written end as rows_change,
+               cast(case when status = 'SUCCESS' and last_written > 0
+                         then round((rows_after - last_written) * 100.0 / last_written, 2) end as decimal(20,2)) as percent_change,
+               status <> last_status as status_change,
+               (select count(*) from runs b where b.dataset = w.dataset and b.run_id <= w.run_id
+                and b.run_id > coalesce(w.last_other, '')) as runs_in_status
+        from written w)
+    """
+
+
+def _rule_history() -> str:
+    runs = zip(("20240101_000000", "20240102_000000", "20240103_000000"), ("b", "s", "x"), strict=True)
+    reports = " union all ".join(f"select '{run}' as run_id, * from ({_report(source)})" for run, source in runs)
+    return f"""
+        select * from (with reports as ({reports}), beside as (
+            select a.*, b.status as last_status, b.failed_rows as last_rows,
+                   (select max(c.run_id) from reports c where c.dataset = a.dataset and c.rule = a.rule
+                    and c.run_id < a.run_id and c.status = 'PASS') as last_pass
+            from reports a left join reports b on a.dataset = b.dataset and a.rule = b.rule
+                 and b.run_id = (select max(c.run_id) from reports c where c.run_id < a.run_id)
+        )
+        select run_id, dataset, rule, status, failed_rows, failed_rows - last_rows as rows_change,
+               case when last_status is null then 'FIRST CHECK' when status = 'FAIL' and last_status = 'FAIL' then 'STILL FAILING'
+                    when status = 'FAIL' then 'NEWLY FAILING' when last_status = 'FAIL' then 'MENDED' else 'PASS' end as trend,
+               case when status = 'FAIL' then (select min(c.run_id) from reports c where c.dataset = b.dataset
+                    and c.rule = b.rule and c.status = 'FAIL' and c.run_id > coalesce(b.last_pass, '')) end as failing_since
+        from beside b)
+    """
+
+
 MONTHLY = """
     select cast(year(date) as int) as year, cast(month(date) as int) as month, monthname(date) as month_name,
            cast(coalesce(sum(price), 0) as decimal(38,2)) as revenue, count(distinct order_id) as orders
@@ -316,7 +418,27 @@ STATEMENTS = {
         union all select 'order_items', 0, 0, 0, 'SCHEMA FAILED'
         union all select 'geolocation', null, null, null, 'FAILED'
     """,
+    "silver_failed_rewrite": "select * from s_customers",
+    "silver_merged": _merged(),
+    "silver_stream": _silver("orders", "r"),
+    "bronze_rejected": _rejected(),
+    "run_history": _run_history(),
+    "rule_history": _rule_history(),
     **{f"gold_{name}": f"select * from {name}" for name in GOLD},
+    "gold_dim_calendar": """
+        select date, cast(day(date) as int) as day, cast(month(date) as int) as month,
+               monthname(date) as month_name, cast(quarter(date) as int) as quarter,
+               cast(year(date) as int) as year, cast(week(date) as int) as week, dayname(date) as weekday
+        from (select cast(unnest(generate_series(first, last, interval 1 day)) as date) as date
+              from (select min(cast(order_purchase_timestamp as date)) as first,
+                           max(cast(order_purchase_timestamp as date)) as last from s_orders))
+    """,
+    "gold_dim_products_spread": "select * from dim_products",
+    "gold_fact_orders_chunked": "select * from fact_orders",
+    "gold_fact_order_items_chunked": "select * from fact_order_items",
+    "gold_fact_orders_colocated": "select * from fact_orders",
+    "kpi_monthly_revenue_colocated": MONTHLY,
+    "quality_references": _references(),
     "fact_fanout_audit": """
         select * from (with items as (
             select o.order_id, count(oi.order_id) as items, coalesce(sum(oi.price), 0) as revenue

@@ -10,15 +10,18 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martwright.operators.clean import generic_clean, trim_strings
-from martwright.plans import gold, jobs, kpi, quality
+from martwright.plans import gold, history, jobs, kpi, quality
+from martwright.plans.changes import apply_batch, current_silver
 from martwright.plans.datasets import DATASETS, Dataset
 from martwright.plans.silver import missing_columns, silver
 from martwright.sources.layout import Layout, publish, read_table, write_table
 from martwright.sources.raw_csv import CSV, read_raw
 from martwright.sources.scratch import scratch, scratch_dir
+from martwright.streaming import silver as stream
 from martwright.testing import shapes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,17 +61,10 @@ def bronze_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_contract_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine datasets written as raw CSV, ingested by the job with their contract, each row as one text."""
-    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
-    as_they_are = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    for name in DATASETS:
-        tables.raw(name).write.options(**CSV, **as_they_are).csv(layout.raw(name))
+    layout = Layout(scratch_dir(spark))
+    _raw_files(layout, Tables(spark, sf_dir), *DATASETS)
     jobs.run_bronze(spark, layout)
-    found = []
-    for name in DATASETS:
-        rows = read_table(spark, layout.table("bronze", name))
-        values = [F.coalesce(F.col(column).cast("string"), F.lit("NULL")) for column in rows.columns]
-        found.append(rows.select(F.lit(name).alias("dataset"), F.concat_ws("|", *values).alias("record")))
-    return quality.stack(found)
+    return quality.stack(_as_text(name, read_table(spark, layout.table("bronze", name))) for name in DATASETS)
 
 
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +122,144 @@ def _written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.run_quality(spark, layout)
 
 
+AS_THEY_ARE = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _raw_files(layout: Layout, tables: Tables, *names: str) -> None:
+    for name in names:
+        tables.raw(name).write.options(**CSV, **AS_THEY_ARE).csv(layout.raw(name))
+
+
+def _as_text(name: str, rows: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Each row as one text beside the name of its dataset."""
+    values = [F.coalesce(F.col(column).cast("string"), F.lit("NULL")) for column in columns or rows.columns]
+    return rows.select(F.lit(name).alias("dataset"), F.concat_ws("|", *values).alias("record"))
+
+
+def bronze_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files with bad fields, ingested strictly: the rows that fit, and the reasons of those that do not."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+    for name in shapes.DIRTY:
+        tables.dirty(name).write.options(**CSV, **AS_THEY_ARE).csv(layout.raw(name))
+    jobs.run_bronze(spark, layout, list(shapes.DIRTY), strict=True)
+    found = []
+    for name in shapes.DIRTY:
+        parsed = _as_text(name, read_table(spark, layout.table("bronze", name)))
+        rejected = read_table(spark, layout.table("rejected", name))
+        reasons = rejected.select(F.lit(name).alias("dataset"), F.concat_ws("; ", "reasons").alias("record"))
+        found += [parsed.withColumn("fate", F.lit("parsed")), reasons.withColumn("fate", F.lit("rejected"))]
+    return quality.stack(found)
+
+
+def silver_failed_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A silver table whose second write fails in its tasks, as it is read afterwards."""
+    path, customers = Layout(scratch_dir(spark)).table("silver", "customers"), Tables(spark, sf_dir).silver("customers")
+    write_table(customers, path)
+    city = F.col("customer_city")
+    doomed = customers.withColumn("customer_city", F.when(city.isNotNull(), F.raise_error(F.lit("made to fail"))).otherwise(city))
+    try:
+        write_table(doomed, path)
+    except PySparkException:
+        return read_table(spark, path)
+    raise AssertionError("the second write should have failed")
+
+
+#: Batches that a dataset is split into, and the datasets that are merged from them.
+BATCHES = 3
+MERGED = ("customers", "orders", "order_items", "categories")
+
+
+def silver_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of some datasets whose bronze rows arrive in batches and are merged by key, each row as one text."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+
+    def merge(name: str) -> DataFrame:
+        rows = tables.bronze(name)
+        batch = F.pmod(F.xxhash64(*rows.columns), F.lit(BATCHES))
+        for number in range(BATCHES):
+            apply_batch(spark, layout, name, rows.where(batch == number), parts=16)
+        return _as_text(name, current_silver(spark, layout, name))
+
+    with ThreadPoolExecutor(max_workers=len(MERGED)) as pool:
+        return quality.stack(pool.map(merge, MERGED))
+
+
+def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders from raw files that are streamed, stopped after a part of them, and streamed on."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+    rows, checkpoint = tables.raw("orders"), scratch_dir(spark)
+    first = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 0
+    for part in (rows.where(first), rows.where(~first)):
+        part.write.mode("append").options(**CSV).csv(layout.raw("orders"))
+        query = stream.start(spark, layout, "orders", checkpoint, files_per_batch=2, parts=16, columns=rows.columns)
+        query.awaitTermination()
+    return current_silver(spark, layout, "orders")
+
+
+def _colocated(plan: Callable[..., DataFrame], *names: str) -> Query:
+    """A plan over silver tables that the job has stored in buckets."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+        for name in names:
+            write_table(tables.bronze(name), layout.table("bronze", name))
+        jobs.run_silver(spark, layout, names)
+        return plan(**jobs.stored_tables(spark, layout, "silver", names))
+
+    return query
+
+
+#: Rows of an order that a task joins at a time in the chunked facts, and tasks for which a category counts as hot.
+FEW_ROWS, MANY_TASKS = 2, 200
+
+
+def _chunked(name: str) -> Query:
+    """A fact whose larger orders are found in the silver tables and cut into chunks."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = Tables(spark, sf_dir)
+        details = {part: tables.silver(part) for part in ("order_items", "payments") if part in jobs.GOLD_SOURCES[name]}
+        oversized = gold.oversized_details(**details, chunk_rows=FEW_ROWS)
+        return jobs.gold_table(name, tables.silver, oversized=oversized, chunk_rows=FEW_ROWS)
+
+    return query
+
+
+def dim_products_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product dimension with the categories that hold many products dealt over tasks."""
+    tables = Tables(spark, sf_dir)
+    hitters = gold.category_hitters(tables.silver("products"), MANY_TASKS)
+    return jobs.gold_table("dim_products", tables.silver, hitters=hitters)
+
+
+RUN_IDS = ("20240101_000000", "20240102_000000", "20240103_000000")
+
+
+def rule_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of the quality job: over bronze, over the cleaned rows instead, and over bronze twice."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+    states = (tables.bronze, tables.silver, lambda name: tables.bronze(name).union(tables.bronze(name)))
+    for run_id, state in zip(RUN_IDS, states, strict=True):
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(lambda name, state=state: write_table(state(name), layout.table("bronze", name)), quality.SUITE))
+        jobs.run_quality(spark, layout, run_id)
+    return history.rule_changes(history.stored_reports(spark, layout))
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs of the silver job: as it is, with a column missing, as it is again, and with the cleaned rows as input."""
+    layout, tables = Layout(scratch_dir(spark)), Tables(spark, sf_dir)
+    names = ("customers", "sellers")
+    broken = {"sellers": lambda: tables.bronze("sellers").drop("seller_city")}
+    for number, state in enumerate(("bronze", "broken", "bronze", "silver"), 1):
+        for name in names:
+            source = tables.silver(name) if state == "silver" else tables.bronze(name)
+            write_table(broken[name]() if state == "broken" and name in broken else source, layout.table("bronze", name))
+        metrics = jobs.run_silver(spark, layout, names)
+        metrics.write.parquet(layout.run_metrics(f"run{number}", "silver"))
+    return history.run_changes(history.stored_metrics(spark, layout))
+
+
 GOLD_SQL = {
     "headline": ("fact_order_items", "dim_customers"),
     "monthly_revenue": ("fact_order_items", "dim_date"),
@@ -200,7 +334,22 @@ QUERIES: dict[str, Query] = {
     "silver_run_metrics": silver_run_metrics,
     "silver_run_summary": silver_run_summary,
     "silver_run_failures": silver_run_failures,
+    "silver_failed_rewrite": silver_failed_rewrite,
+    "silver_merged": silver_merged,
+    "silver_stream": silver_stream,
+    "bronze_rejected": bronze_rejected,
     **{f"gold_{name}": _gold(name) for name in jobs.GOLD_TABLES},
+    "gold_dim_calendar": _on_silver(gold.dim_calendar, "orders"),
+    "gold_dim_products_spread": dim_products_spread,
+    "gold_fact_orders_chunked": _chunked("fact_orders"),
+    "gold_fact_order_items_chunked": _chunked("fact_order_items"),
+    "gold_fact_orders_colocated": _colocated(gold.fact_orders, "orders", "order_items", "payments"),
+    "kpi_monthly_revenue_colocated": _colocated(kpi.monthly_revenue, "orders", "order_items"),
+    "run_history": run_history,
+    "rule_history": rule_history,
+    "quality_references": lambda spark, sf_dir: quality.reference_report(
+        {name: Tables(spark, sf_dir).bronze(name) for name in DATASETS}
+    ),
     "fact_fanout_audit": _on_silver(gold.fanout_audit, "orders", "order_items", "payments"),
     "quality_report": _on_suite(quality.report),
     "quality_duplicate_keys": _on_suite(quality.duplicate_report),

@@ -10,6 +10,7 @@ from martwright.plans.datasets import DATASETS
 from martwright.session import scan_bytes_for, shuffle_partitions_for, sized_session
 from martwright.sources import scratch
 from martwright.sources.layout import Layout, publish, read_table, stored_bytes, write_table
+from martwright.sources.versions import folder_of
 from martwright.testing.queries import Tables
 from tests.conftest import rows
 
@@ -93,7 +94,7 @@ def test_facts_may_be_stored_by_month(spark, layout):
     jobs.run_silver(spark, layout)
     metrics = jobs.run_gold(spark, layout, partition_facts=True)
     assert rows(metrics.where("dataset = 'fact_orders'").select("rows_after", "status")) == [(5, "SUCCESS")]
-    assert os.path.isdir(layout.table("gold", "fact_orders") + "order_year=2017/order_month=9")
+    assert os.path.isdir(folder_of(spark, layout.table("gold", "fact_orders")) + "/order_year=2017/order_month=9")
     jobs.publish_gold(spark, layout, database="shop")
     try:
         assert spark.sql("select count(*) from shop.fact_orders").first()[0] == 5
