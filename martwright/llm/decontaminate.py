@@ -13,11 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.ship import lean, shipped
 from martwright.llm.store import stored
-from martwright.llm.text import ALPHANUMERIC, Hasher, words_of
+from martwright.llm.text import ALPHANUMERIC, LOWER, Words, ranges, words_of
 
 #: Bytes of document text in a segment; a longer document is a segment of its own.
 SEGMENT_BYTES = (1 << 20) - 64
@@ -26,12 +27,33 @@ BLOCK_BYTES = 8 << 20
 #: Positions of the windows' rarest terms that are looked at together.
 FRONTIER = 1 << 20
 
-_terms = Hasher(21, fold_case=True)
 _POSITION_BITS = np.int64(36)
+_SEGMENT = ("doc_words", "terms", "lengths", "counts", "positions")
+
+
+def _terms(words: Words) -> pa.DictionaryArray:
+    """The lower-cased words, told apart by their bytes."""
+    return ranges(LOWER[words.data], words.starts, words.ends).dictionary_encode()
+
+
+def packed(words: Words) -> dict[str, bytes]:
+    """The documents' words as the fields of a segment."""
+    terms = _terms(words)
+    code = terms.indices.to_numpy(zero_copy_only=False)
+    position = np.arange(len(code)) + words.row_of_words()
+    lengths = pc.binary_length(terms.dictionary).to_numpy(zero_copy_only=False)
+    numbers = {
+        "doc_words": np.diff(words.row_words),
+        "lengths": lengths,
+        "counts": np.bincount(code, minlength=len(lengths)),
+        "positions": position[np.argsort(code, kind="stable")],
+    }
+    fields = {name: x.astype("<u4").tobytes() for name, x in numbers.items()}
+    return fields | {"terms": b"".join(terms.dictionary.to_pylist())}
 
 
 def positional_index(docs: DataFrame) -> DataFrame:
-    """One row per segment: its documents, and for every term, by its hash, the positions in ascending order.
+    """One row per segment: its documents, its terms, and for every term the positions in ascending order.
 
     Documents stand one after the other, one position apart, so no run of positions spans two of them. Every row of
     ``docs`` is indexed with its whole text; a null text has no words. Rows with equal or null ids stay apart.
@@ -40,30 +62,18 @@ def positional_index(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in words_of(batch.column("text"), ALPHANUMERIC, SEGMENT_BYTES):
-                hashes = _terms.spans(words.data, words.starts, words.ends)
-                position = np.arange(len(hashes)) + words.row_of_words()
-                order = np.argsort(hashes, kind="stable")
-                hashes, position = hashes[order], position[order]
-                first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
-                counts = np.diff(np.append(first, len(hashes)))
+                segment = packed(words)
+                ids = batch.column("doc_id").slice(words.first_row, words.rows)
                 columns = [
-                    pa.array([batch.column("doc_id").slice(words.first_row, words.rows)], pa.list_(batch.schema.field("doc_id").type)),
-                    *(
-                        pa.array([x.tobytes()], pa.binary())
-                        for x in (
-                            np.diff(words.row_words).astype("<u4"),
-                            hashes[first].astype("<u8"),
-                            counts.astype("<u4"),
-                            position.astype("<u4"),
-                        )
-                    ),
+                    pa.array([ids], pa.list_(batch.schema.field("doc_id").type)),
+                    *(pa.array([segment[name]], pa.binary()) for name in _SEGMENT),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_ids", "doc_words", "terms", "counts", "positions"])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_ids", *_SEGMENT])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
     return shipped(rows).mapInArrow(
-        lean(run), f"doc_ids array<{kind}>, doc_words binary, terms binary, counts binary, positions binary"
+        lean(run), f"doc_ids array<{kind}>, " + ", ".join(f"{name} binary" for name in _SEGMENT)
     )
 
 
@@ -72,7 +82,7 @@ class Windows:
     """Distinct windows of benchmark items of up to ``size`` terms; the unused places of a shorter one have no term."""
 
     size: int
-    vocabulary: np.ndarray  # sorted hashes
+    vocabulary: pa.Array  # distinct terms
     terms: np.ndarray  # windows x size, places in the vocabulary, -1 beyond the window's end
     items: np.ndarray  # item of each occurrence of a window, sorted by window
     item_ends: np.ndarray
@@ -81,20 +91,22 @@ class Windows:
 def windows_of(texts: list[str | None], size: int) -> Windows:
     """``items`` are places in ``texts``. An item of fewer words, but not none, is one window."""
     found: dict[bytes, set[int]] = {}
+    vocabulary: dict[bytes, int] = {}
     for words in words_of(pa.array(texts, pa.string()), ALPHANUMERIC):
-        hashes = _terms.spans(words.data, words.starts, words.ends)
+        own_terms = _terms(words)
+        place = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in own_terms.dictionary.to_pylist()], np.int64)
+        term = place[own_terms.indices.to_numpy(zero_copy_only=False)]
         for row in range(words.rows):
-            own = hashes[words.row_words[row] : words.row_words[row + 1]]
+            own = term[words.row_words[row] : words.row_words[row + 1]]
             for i in range(max(1, len(own) - size + 1) if len(own) else 0):
                 found.setdefault(own[i : i + size].tobytes(), set()).add(words.first_row + row)
-    hashes = [np.frombuffer(w, np.uint64) for w in found]
-    vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-    terms = np.full((len(hashes), size), -1, np.int64)
-    for i, w in enumerate(hashes):
-        terms[i, : len(w)] = np.searchsorted(vocabulary, w)
+    terms = np.full((len(found), size), -1, np.int64)
+    for i, window in enumerate(found):
+        terms[i, : len(window) // 8] = np.frombuffer(window, np.int64)
     items = [sorted(x) for x in found.values()]
+    known = pa.array(list(vocabulary), pa.large_binary())
     return Windows(
-        size, vocabulary, terms, np.array([x for own in items for x in own], np.int64), np.cumsum([0, *map(len, items)])
+        size, known, terms, np.array([x for own in items for x in own], np.int64), np.cumsum([0, *map(len, items)])
     )
 
 
@@ -106,15 +118,15 @@ class Segment:
     document_starts: np.ndarray
 
 
-def open_segment(row: dict, vocabulary: np.ndarray) -> Segment:
+def open_segment(row: dict, vocabulary: pa.Array) -> Segment:
     """The postings of the vocabulary's terms in a segment."""
-    terms, counts = np.frombuffer(row["terms"], "<u8"), np.frombuffer(row["counts"], "<u4").astype(np.int64)
-    positions = np.frombuffer(row["positions"], "<u4")
+    counts, positions = np.frombuffer(row["counts"], "<u4").astype(np.int64), np.frombuffer(row["positions"], "<u4")
+    offsets = np.concatenate([[0], np.cumsum(np.frombuffer(row["lengths"], "<u4"), dtype=np.int64)])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(row["terms"])]
+    terms = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), buffers)
     ends = np.cumsum(counts)
-    at = np.searchsorted(terms, vocabulary)
-    there = np.zeros(len(vocabulary), bool)
-    inside = at < len(terms)
-    there[inside] = terms[at[inside]] == vocabulary[inside]
+    at = pc.fill_null(pc.index_in(vocabulary, value_set=terms), -1).to_numpy(zero_copy_only=False)
+    there = at >= 0
     own = np.zeros(len(vocabulary), np.int64)
     own[there] = counts[at[there]]
     begins = np.cumsum(own) - own
@@ -205,7 +217,7 @@ def _search(index: DataFrame, windows: Windows, ids: pa.Array, within: int | Non
 
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i].as_buffer() for name in ("doc_words", "terms", "counts", "positions")}
+                row = {name: batch.column(name)[i].as_buffer() for name in _SEGMENT}
                 segment = open_segment(row, windows.vocabulary)
                 words = np.frombuffer(row["doc_words"], "<u4").astype(np.int64)
                 documents = len(words)
@@ -262,7 +274,7 @@ def contamination(index: DataFrame, items: DataFrame, size: int = 10, within: in
     at most ``within`` words from an occurrence of its rarest term; null unless asked for. Null texts have no windows;
     windows of an item with a null id mark words, but the id is not listed. Without items or windows nothing is hit.
     """
-    index = index.select(F.monotonically_increasing_id().alias("segment"), "doc_ids", "doc_words", "terms", "counts", "positions")
+    index = index.select(F.monotonically_increasing_id().alias("segment"), "doc_ids", *_SEGMENT)
     items = stored(items.select("item_id", F.col("text").cast("string").alias("text")).dropDuplicates())
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_BYTES))

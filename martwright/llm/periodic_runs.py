@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.ship import lean, shipped
-from martwright.llm.text import NOT_SPACE, Words, words_of
+from martwright.llm.text import NOT_SPACE, Words, codes, words_of
 
 #: Least words of a run, and least periods in it.
 LEAST_WORDS = 6
@@ -220,15 +220,6 @@ class Texts:
         return start[order], end[order], q[order]
 
 
-def word_codes(words: Words) -> tuple[np.ndarray, pa.Array]:
-    """A number for each word, equal for equal bytes only; and the words."""
-    ends = np.zeros(len(words.starts) + 1, np.int64)
-    np.cumsum(words.ends - words.starts, out=ends[1:])
-    letters = words.data[NOT_SPACE[words.data]]
-    column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(letters)])
-    return column.dictionary_encode().indices.to_numpy(zero_copy_only=False), column
-
-
 def _joined(words: Words, column: pa.Array, keep: np.ndarray) -> pa.Array:
     """The kept words of each row, joined by one space."""
     kept = column.filter(pa.array(keep))
@@ -239,10 +230,11 @@ def _joined(words: Words, column: pa.Array, keep: np.ndarray) -> pa.Array:
 
 def _of_chunk(words: Words) -> tuple[pa.Array, pa.Array]:
     """The runs and the collapsed text of each row."""
-    codes, column = word_codes(words)
-    start, end, period = Texts(codes, words.row_words).runs()
+    column = words.texts()
+    code = codes(column)
+    start, end, period = Texts(code, words.row_words).runs()
     row = np.searchsorted(words.row_words, start, "right") - 1
-    change = np.zeros(len(codes) + 1, np.int64)
+    change = np.zeros(len(code) + 1, np.int64)
     np.add.at(change, start + period, 1)
     np.add.at(change, end, -1)
     keep = np.cumsum(change)[:-1] == 0

@@ -7,7 +7,10 @@ windows of full length around the anchors are then compared among themselves: a
 starts in a document with a smaller id is part of a repeat, and the union of such windows are the maximal exact
 repeats.
 
-Only hashes are shuffled, packed: a row of the shuffle has those of one hash bucket and one chunk of texts, as an array.
+Anchors are found by a hash, which only chooses the windows that are looked at; windows are equal if 96-bit digests of
+their words are (BLAKE2b), which no two unequal ones that anyone can make have in common.
+
+Only hashes and digests are shuffled, packed: a row of the shuffle has those of one hash bucket and one chunk of texts, as an array.
 They are counted before: a chunk of texts sends a probe at most twice, and what one task has read (a shard) sends a window
 once, with its smallest id. So a window that very many documents share, or a text of one word, is a few entries of its
 bucket for each chunk. Hashes that decide go back to the shards that have them, which find their places anew. The texts
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import Window
 
 from martwright.llm.ship import lean, lean_group, shipped
-from martwright.llm.text import NOT_SPACE, Hasher, Words, words_of
+from martwright.llm.text import NOT_SPACE, Hasher, Words, digests, words_of
 from martwright.sources.scratch import scratch_dir
 
 #: Windows in a hash bucket, about.
@@ -75,38 +78,8 @@ def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
     return table, total
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, all low bytes first: the high ones are mostly zero and compress to nothing."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def _from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
-
-
-class Places:
-    """Word places, sorted by row and position, packed as distinct rows, their counts and the steps between positions."""
-
-    FIELDS = "rows binary, counts binary, steps binary"
-
-    @staticmethod
-    def pack(place: np.ndarray, position: np.ndarray) -> dict[str, bytes]:
-        new = np.append(True, place[1:] != place[:-1])[: len(place)]
-        first = np.flatnonzero(new)
-        steps = position.copy()
-        steps[1:] -= np.where(new[1:], 0, position[:-1])
-        counts = np.diff(np.append(first, len(place)))
-        return {"rows": _planes(np.diff(place[first], prepend=0)), "counts": _planes(counts), "steps": _planes(steps)}
-
-    @staticmethod
-    def unpack(row: dict) -> tuple[np.ndarray, np.ndarray]:
-        rows, counts, steps = np.cumsum(_from_planes(row["rows"])), _from_planes(row["counts"]), _from_planes(row["steps"])
-        first = np.cumsum(counts) - counts
-        sums = np.cumsum(steps)
-        return np.repeat(rows, counts), sums - np.repeat(sums[first] - steps[first], counts)
-
-
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Of 64-bit hashes."""
     return (hashes >> np.uint64(32)) % np.uint64(buckets)
 
 
@@ -195,8 +168,22 @@ def _words_of(texts: pa.Table) -> Iterator[tuple[int, Words]]:
         row += len(part)
 
 
-def _window_hashes(words: Words, window: int, start: np.ndarray) -> np.ndarray:
-    return _full.windows(_full.spans(words.data, words.starts, words.ends), window)[start]
+#: A window as 16 bytes: 4 of a rolling hash, by which it is looked for, and a digest of 12 (BLAKE2b), which tells it
+#: from every other window.
+_ENTRY = "S16"
+
+
+def _quick(words: Words, window: int, start: np.ndarray) -> np.ndarray:
+    return _full.windows(_full.spans(words.data, words.starts, words.ends), window)[start].astype("<u4")
+
+
+def _window_entries(words: Words, window: int, start: np.ndarray, quick: np.ndarray) -> np.ndarray:
+    digest = digests(words, start, window, 12)
+    return np.hstack([quick.view(np.uint8).reshape(-1, 4), digest]).view(_ENTRY).ravel()
+
+
+def _digest_bucket(entries: np.ndarray, buckets: int) -> np.ndarray:
+    return _bucket(np.ascontiguousarray(entries.view(np.uint8).reshape(-1, 16)[:, 4:12]).view("<u8").ravel(), buckets)
 
 
 def _summed(hashes: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,7 +207,7 @@ def _windows(window: int, block: int, buckets: int):
         found = np.repeat(number << np.uint64(31), [len(p) for p in parts]) | np.concatenate(parts)
         found = np.unique(found)
         ids = texts.column("id").to_numpy()
-        seen = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        seen = (np.zeros(0, _ENTRY), np.zeros(0, np.int64), np.zeros(0, np.int64))
         waiting, size = [], 0
         for first_row, words in _words_of(texts):
             start, keys = _probe_hashes(words, block, buckets)
@@ -233,12 +220,12 @@ def _windows(window: int, block: int, buckets: int):
             np.add.at(change, anchor + 1, -1)
             start = np.flatnonzero((np.cumsum(change[:-1]) > 0) & words.window_starts(window))
             own = ids[words.row_of_words()[start] + first_row]
-            waiting.append(_summed(_window_hashes(words, window, start), own, own))
+            waiting.append(_summed(_window_entries(words, window, start, _quick(words, window, start)), own, own))
             size += len(waiting[-1][0])
             if size > len(seen[0]) + BUCKET_WINDOWS:
                 seen, waiting, size = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True))), [], 0
         hashes, least, most = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True)))
-        bucket = _bucket(hashes, buckets)
+        bucket = _digest_bucket(hashes, buckets)
         order = np.argsort(bucket, kind="stable")
         ends = _runs(bucket[order])
         shard = texts.column("shard")[0].as_py()
@@ -261,7 +248,7 @@ def _windows(window: int, block: int, buckets: int):
 
 def _repeats(table: pa.Table) -> pa.Table:
     """Of each row the windows of a bucket that also start in a document with a smaller id than one of the shard's."""
-    parts, ids = _arrays(table.column("entries"), "<u8"), _arrays(table.column("ids"), "<i8")
+    parts, ids = _arrays(table.column("entries"), _ENTRY), _arrays(table.column("ids"), "<i8")
     entries = np.concatenate(parts)
     every = np.concatenate(ids)
     hashes, smallest, _ = _summed(entries, every, every)
@@ -282,19 +269,23 @@ def _cut(window: int, doc_type: pa.DataType):
     )
 
     def run(texts: pa.Table, repeats: pa.Table) -> pa.Table:
-        hashes, smallest = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        known, quick, smallest = np.zeros(0, _ENTRY), np.zeros(0, "<u4"), np.zeros(0, np.int64)
         if repeats.num_rows:
-            hashes = np.concatenate(_arrays(repeats.column("entries"), "<u8"))
+            known = np.concatenate(_arrays(repeats.column("entries"), _ENTRY))
             smallest = np.concatenate(_arrays(repeats.column("ids"), "<i8"))
-            order = np.argsort(hashes)
-            hashes, smallest = hashes[order], smallest[order]
+            order = np.argsort(known)
+            known, smallest = known[order], smallest[order]
+            quick = np.unique(np.ascontiguousarray(known.view(np.uint8).reshape(-1, 16)[:, :4]).view("<u4").ravel())
         ids = texts.column("id").to_numpy()
         n_words, n_removed, kept = [], [], []
         for first_row, chunk in _words_of(texts):
             row, position = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(hashes):
+            if len(known):
                 start = np.flatnonzero(chunk.window_starts(window))
-                found, at = _among(_window_hashes(chunk, window, start), hashes)
+                own = _quick(chunk, window, start)
+                likely = _among(own, quick)[0]
+                start = start[likely]
+                found, at = _among(_window_entries(chunk, window, start, own[likely]), known)
                 start, at = start[found], at[found]
                 row = chunk.row_of_words()[start]
                 later = ids[row + first_row] > smallest[at]

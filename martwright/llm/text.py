@@ -6,6 +6,7 @@ number of rows in an Arrow batch. A null text counts as empty.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,9 @@ _powers = _Powers(0x5851F42D4C957F2D)
 class Hasher:
     """A family of polynomial hashes modulo 2**64, whose values of the bytes are chosen by ``seed``.
 
+    Unequal texts with equal hashes can be made, so a hash only finds candidates; ``codes`` and ``digests`` tell
+    whether they are equal.
+
     ``spans`` hashes byte ranges and ``windows`` hashes runs of word hashes, both from one running sum: the difference of
     two sums times the inverse power of the first position does not depend on where the range stands.
     """
@@ -90,6 +94,37 @@ class Hasher:
         return mix(self._ranges(hashes, starts, starts + size))
 
 
+def ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The bytes of ranges, which ascend and do not overlap, as an array."""
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    change = np.zeros(len(data) + 1, np.int8)
+    some = ends > starts
+    np.add.at(change, starts[some], 1)
+    np.subtract.at(change, ends[some], 1)
+    inside = data[np.cumsum(change[:-1], dtype=np.int8).astype(bool)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(inside)])
+
+
+def codes(values: pa.Array) -> np.ndarray:
+    """A number for each value from 0 on, the same for values with the same bytes and for no others."""
+    return values.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def run_codes(numbers: np.ndarray, size: int) -> np.ndarray:
+    """A number for each run of ``size`` codes, the same for equal runs and for no others."""
+    count = max(0, len(numbers) - size + 1)
+    found, most = numbers[:count], int(numbers.max(initial=0)) + 1
+    room = int(found.max(initial=0)) + 1
+    for step in range(1, size):
+        if room * most >= 1 << 62:
+            found = np.unique(found, return_inverse=True)[1]
+            room = count
+        found = found * most + numbers[step : step + count]
+        room *= most
+    return found
+
+
 @dataclass
 class Words:
     """The words of some consecutive rows: byte ranges in ``data``, and where each row's words begin in them."""
@@ -105,6 +140,10 @@ class Words:
     def rows(self) -> int:
         return len(self.row_bytes) - 1
 
+    def texts(self) -> pa.LargeBinaryArray:
+        """The words themselves."""
+        return ranges(self.data, self.starts, self.ends)
+
     def row_of_words(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), np.diff(self.row_words))
 
@@ -137,6 +176,32 @@ def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
         row = min(end, rows)
 
 
+def digests(words: Words, start: np.ndarray, size: int, digest_bytes: int) -> np.ndarray:
+    """Digests of the runs of ``size`` words from ``start`` on, a row of bytes each.
+
+    Digested are the words joined by one space, so equal runs have equal digests whatever stands between the words
+    (BLAKE2b).
+    """
+    joined, begins = normal_form(words)
+    ends = np.append(begins[1:], len(joined)) - 1
+    view, digest = memoryview(joined), hashlib.blake2b
+    parts = [
+        digest(view[a:b], digest_size=digest_bytes).digest()
+        for a, b in zip(begins[start].tolist(), ends[start + size - 1].tolist(), strict=True)
+    ]
+    return np.frombuffer(b"".join(parts), np.uint8).reshape(-1, digest_bytes)
+
+
+def normal_form(words: Words) -> tuple[bytes, np.ndarray]:
+    """All words, each with one space behind it, and where they begin there."""
+    lengths = words.ends - words.starts + 1
+    begins = np.cumsum(lengths) - lengths
+    source = np.repeat(words.starts - begins, lengths) + np.arange(int(lengths.sum()))
+    joined = words.data[np.minimum(source, max(0, len(words.data) - 1))] if len(source) else np.zeros(0, np.uint8)
+    joined[begins + lengths - 1] = 32
+    return joined.tobytes(), begins
+
+
 def split_words(data: np.ndarray, row_bytes: np.ndarray, word_byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, and where each row's words begin; no word spans two rows."""
     inside = word_byte[data]

@@ -31,6 +31,14 @@ def tables(tmp_path, spark):
     return write
 
 
+def equal_hashes(letters="ab"):
+    """Two words of 2048 letters with equal polynomial hashes modulo 2**64, whatever the base and the letters' values."""
+    word = ""
+    for i in range(2048):
+        word += letters[bin(i).count("1") % 2]
+    return word, word.translate(str.maketrans(letters, letters[::-1]))
+
+
 def awkward_documents(spark, empty=False):
     """Nulls in every column, empty, blank and long texts, repeated rows and ids, columns whose names the operators use."""
     rows = [

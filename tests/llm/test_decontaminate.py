@@ -5,7 +5,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_helpers import documents, rows  # noqa: F401
+from llm_helpers import documents, equal_hashes, rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from martwright.llm import decontaminate
@@ -93,8 +93,7 @@ def test_many_common_windows_are_matched_in_bounded_memory():
     rng = random.Random(3)
     texts = [" ".join(rng.choices("ab", k=10)) for _ in range(1500)]
     windows = decontaminate.windows_of(texts, 10)
-    hashes = decontaminate._terms.spans(*one_row(docs))
-    segment = segment_of(hashes, windows)
+    segment = segment_of(docs, windows)
     tracemalloc.start()
     try:
         found, position = decontaminate.match(segment, windows)
@@ -113,7 +112,7 @@ def test_runs_of_positions_give_the_same_matches(monkeypatch):
     words = rng.choices("abc", k=400)
     windows = decontaminate.windows_of([" ".join(rng.choices("abc", k=3)) for _ in range(30)], 3)
     docs = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})
-    segment = segment_of(decontaminate._terms.spans(*one_row(docs)), windows)
+    segment = segment_of(docs, windows)
     for within in (None, 2):
         whole = decontaminate.match(segment, windows, within)
         monkeypatch.setattr(decontaminate, "FRONTIER", 7)
@@ -122,17 +121,18 @@ def test_runs_of_positions_give_the_same_matches(monkeypatch):
         assert [x.tolist() for x in whole] == [x.tolist() for x in parts]
 
 
-def one_row(batch):
-    (words,) = decontaminate.words_of(batch.column("text"), decontaminate.ALPHANUMERIC)
-    return words.data, words.starts, words.ends
+def segment_of(docs, windows):
+    (words,) = decontaminate.words_of(docs.column("text"), decontaminate.ALPHANUMERIC)
+    return decontaminate.open_segment(decontaminate.packed(words), windows.vocabulary)
 
 
-def segment_of(hashes, windows):
-    order = np.argsort(hashes, kind="stable")
-    terms, counts = np.unique(hashes, return_counts=True)
-    row = {"doc_words": [len(hashes)], "terms": terms, "counts": counts, "positions": order}
-    row = {k: np.asarray(v).astype("<u8" if k == "terms" else "<u4").tobytes() for k, v in row.items()}
-    return decontaminate.open_segment(row, windows.vocabulary)
+def test_words_with_equal_hashes_are_told_apart(spark):
+    left, right = equal_hashes()
+    item = f"a question about the word {left} and four more words"
+    docs = [(1, item.replace(left, right)), (2, item), (3, f"{item.upper()} {right}")]
+    index = positional_index(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = contamination(index, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in found} == {1: (0, []), 2: (10, [7]), 3: (10, [7])}
 
 
 def test_repeated_items_are_looked_up_once(spark, monkeypatch):

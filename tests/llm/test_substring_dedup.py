@@ -1,8 +1,8 @@
 import random
 
-from llm_helpers import documents, rows  # noqa: F401
+from llm_helpers import documents, equal_hashes, rows  # noqa: F401
 
-from martwright.llm.substring_dedup import Places, _anchors, _probes, _windows, without_repeats
+from martwright.llm.substring_dedup import _anchors, _probes, _windows, without_repeats
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +63,7 @@ def test_a_bucket_gets_equal_windows_once_per_chunk():
     sent = pa.Table.from_batches([sent])
     anchors = [_anchors(sent.filter(pc.equal(sent.column("bucket"), b))) for b in set(sent.column("bucket").to_pylist())]
     windows = _windows(50, 25, 4)(table, pa.concat_tables(anchors))
-    found = np.concatenate([np.frombuffer(x.as_buffer(), "<u8") for x in windows.column("entries")])
+    found = np.concatenate([np.frombuffer(x.as_buffer(), "S16") for x in windows.column("entries")])
     assert len(found) == len(np.unique(found)) == 1 + 11 + 500
 
 
@@ -72,11 +72,12 @@ def test_whole_documents(spark, documents):
     assert rows(without_repeats(frame)) == plain(documents, 50)
 
 
-def test_places_round_trip():
-    place = np.array([0, 0, 0, 3, 3, 70_000])
-    position = np.array([0, 5, 100_000, 7, 8, 0])
-    back = Places.unpack(Places.pack(place, position))
-    assert [x.tolist() for x in back] == [place.tolist(), position.tolist()]
+def test_windows_with_equal_hashes_are_told_apart(spark):
+    left, right = equal_hashes()
+    words = [f"w{i}" for i in range(61)]
+    texts = [" ".join([*words[:30], middle, *words[31:]]) for middle in (left, right, left)]
+    found = without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {0: 0, 1: 0, 2: 61}
 
 
 def test_texts_are_not_shuffled(spark, documents):
