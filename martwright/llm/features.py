@@ -34,9 +34,20 @@ def _pairs(hashes: np.ndarray, row: np.ndarray, gap: int) -> tuple[np.ndarray, n
     return both[same], row[:-gap][same]
 
 
-def present_ngrams(column: pa.Array, bits: int) -> Rows:
+def _wanted(hashes: np.ndarray, row: np.ndarray, bits: int, known: np.ndarray | None) -> np.ndarray:
+    """Row and index of each feature in one number, of those that are ``known``."""
+    index = _index(hashes, bits)
+    if known is not None:
+        some = known[index]
+        index, row = index[some], row[some]
+    return row << bits | index
+
+
+def present_ngrams(column: pa.Array, bits: int, known: np.ndarray | None = None) -> Rows:
     """Letter words, lower-cased: words, pairs and pairs that skip one or two words; each at most once a row, value 1.
 
+    With ``known``, true at the indexes that are wanted, the others are left out before anything is sorted.
+
     Symbols and digits are left out, so a word is the same with and without punctuation around it.
     """
     data, offsets = as_bytes(column)
@@ -46,12 +57,11 @@ def present_ngrams(column: pa.Array, bits: int) -> Rows:
         hashes = _lower.spans(part, starts, ends)
         row = np.repeat(np.arange(b - a), np.diff(of_row))
         found = [(hashes, row)] + [_pairs(hashes, row, gap) for gap in (1, 2, 3)]
-        index = _index(np.concatenate([f[0] for f in found]), bits)
-        once = np.unique(np.concatenate([f[1] for f in found]) << bits | index)
+        once = np.unique(np.concatenate([_wanted(*f, bits, known) for f in found]))
         yield a, b - a, once >> bits, once & ((1 << bits) - 1), np.ones(len(once))
 
 
-def counted_ngrams(column: pa.Array, bits: int) -> Rows:
+def counted_ngrams(column: pa.Array, bits: int, known: np.ndarray | None = None) -> Rows:
     """Runs of letters and runs of symbols, with their case: tokens and pairs, value count / sqrt(tokens of the row).
 
     A token equal to the one before it is written as a back-reference, so repetition looks alike whatever the word.
@@ -68,9 +78,8 @@ def counted_ngrams(column: pa.Array, bits: int) -> Rows:
         again = np.zeros(len(hashes), bool)
         again[1:] = (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1])
         hashes[again] = _SAME
-        pairs, pair_row = _pairs(hashes, row, 1)
-        index = _index(np.concatenate([hashes, pairs]), bits)
-        key, count = np.unique(np.concatenate([row, pair_row]) << bits | index, return_counts=True)
+        found = [(hashes, row), _pairs(hashes, row, 1)]
+        key, count = np.unique(np.concatenate([_wanted(*f, bits, known) for f in found]), return_counts=True)
         of_row = key >> bits
         tokens = np.bincount(row, minlength=b - a)
         yield a, b - a, of_row, key & ((1 << bits) - 1), count / np.sqrt(tokens[of_row])

@@ -1,10 +1,10 @@
 """Logistic regression over hashed features, trained with FTRL-proximal updates in Spark.
 
-A featurizer turns the texts of an Arrow column into sparse rows. Training deals the rows over shards of bounded size;
-every shard runs the per-coordinate updates over its rows a few times, and the states are averaged (parameter mixing).
-A coordinate is admitted only if enough rows of the shard have it, so a row's own rare words cannot take the blame for
-its label. Only the shards' states reach the driver, at most ``2**bits`` coordinates each. Most weights end as exact
-zeros by the L1 term; the others are sent out with the scoring function.
+A featurizer turns the texts of an Arrow column into sparse rows. One task runs the per-coordinate updates over a sample
+of rows and bytes that the caller has bounded, a few times; averaging the states of several tasks was measured to be
+worse. A coordinate is admitted only if enough rows of the sample have it, so a row's own rare words cannot take the
+blame for its label. Only the state reaches the driver, at most ``2**bits`` coordinates. Most weights end as exact zeros
+by the L1 term; the others are sent out with the scoring function, which looks at no other features.
 """
 
 from __future__ import annotations
@@ -19,12 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.ship import give_back, lean_group, shipped
 
-#: (column) -> for chunks of rows: first row, rows, row of each feature, its index, its value
-Featurizer = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
-
-
-#: Rows that one task trains on, about.
-ROWS_PER_SHARD = 12_000
+#: (column, known=None) -> for chunks of rows: first row, rows, row of each feature, its index, its value. ``known`` is
+#: true at the indexes that are wanted; without it all are.
+Featurizer = Callable[..., Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]]
 
 
 @dataclass(frozen=True)
@@ -84,12 +81,6 @@ def hash_fraction(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def bounded_sample(rows: DataFrame, key: str, bound: int) -> tuple[DataFrame, int]:
-    """About ``bound`` of the rows, chosen by a hash of the key, or all of them if there are no more; and how many."""
-    total = rows.count()
-    return (rows, total) if total <= bound else (rows.where(hash_fraction(F.col(key)) < bound / total), bound)
-
-
 def even_shares(counts: dict, bound: int) -> dict:
     """Of each class the share of its rows so that about ``bound`` are left: as many of each, or all of a smaller one."""
     shares, left = {}, bound
@@ -109,19 +100,18 @@ def bounded_classes(rows: DataFrame, key: str, label: str, bound: int) -> DataFr
     return rows.where(hash_fraction(F.col(key)) < F.element_at(shares, F.col(label)))
 
 
-def dealt(rows: DataFrame, n: int) -> DataFrame:
-    """About ``n`` rows (key, text, label) with the number of their shard, by a hash of the key."""
-    shards = max(1, -(-n // ROWS_PER_SHARD))
+def in_one_task(rows: DataFrame) -> DataFrame:
+    """Rows (key, text, label) as one group: the caller has bounded their number and bytes."""
     return rows.select(
-        F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard"),
+        F.lit(0).alias("task"),
         F.xxhash64("key").alias("key"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         F.col("label").cast("int").alias("label"),
     )
 
 
-def _fit_shard(featurize: Featurizer, p: Ftrl):
-    """FTRL over the rows of a shard, in an order that depends on the keys alone."""
+def _fit(featurize: Featurizer, p: Ftrl):
+    """FTRL over the rows, in an order that depends on the keys alone."""
 
     def fit(table: pa.Table) -> pa.Table:
         order = pc.sort_indices(table, [("key", "ascending"), ("label", "ascending"), ("text", "ascending")]).to_pylist()
@@ -153,27 +143,20 @@ def _fit_shard(featurize: Featurizer, p: Ftrl):
     return fit
 
 
-def train(rows: DataFrame, n: int, featurize: Featurizer, p: Ftrl) -> LinearModel:
-    """Fits ``rows`` (key, text, label 0 or 1), about ``n`` as the caller has bounded them. Without rows, scores are 0.5.
-
-    The states of the shards, of bounded size, are averaged by their rows; a coordinate a shard has not admitted counts
-    as zero there.
-    """
+def train(rows: DataFrame, featurize: Featurizer, p: Ftrl) -> LinearModel:
+    """Fits ``rows`` (key, text, label 0 or 1), whose number and bytes the caller has bounded. Without rows, scores are 0.5."""
     fitted = (
-        shipped(dealt(rows, n))
-        .groupBy("shard")
-        .applyInArrow(lean_group(_fit_shard(featurize, p)), "rows long, index binary, z binary, n binary")
-    )
-    states = sorted(fitted.collect(), key=lambda s: (s["rows"], s["z"]))
-    z, n = np.zeros((1 << p.bits) + 1), np.zeros((1 << p.bits) + 1)
-    for s in states:
-        share = s["rows"] / sum(x["rows"] for x in states)
-        at = np.append(np.frombuffer(s["index"], np.int32), 1 << p.bits)
-        z[at] += np.frombuffer(s["z"]) * share
-        n[at] += np.frombuffer(s["n"]) * share
+        shipped(in_one_task(rows))
+        .groupBy("task")
+        .applyInArrow(lean_group(_fit(featurize, p)), "rows long, index binary, z binary, n binary")
+    ).collect()
+    if not fitted:
+        return LinearModel(p.bits, np.zeros(0, np.int32), np.zeros(0))
+    index = np.frombuffer(fitted[0]["index"], np.int32)
+    z, n = np.frombuffer(fitted[0]["z"]), np.frombuffer(fitted[0]["n"])
     w = weights(z[:-1], n[:-1], p)
-    index = np.flatnonzero(w)
-    return LinearModel(p.bits, index.astype(np.int32), w[index], float(-z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha)))
+    some = np.flatnonzero(w)
+    return LinearModel(p.bits, index[some], w[some], float(-z[-1] / ((p.beta + np.sqrt(n[-1])) / p.alpha)))
 
 
 def score(text: Column, model: LinearModel, featurize: Featurizer) -> Column:
@@ -185,12 +168,11 @@ def score(text: Column, model: LinearModel, featurize: Featurizer) -> Column:
     @F.arrow_udf("double")
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = model.dense()
+        known = table != 0
         for batch in texts:
             sums = np.full(len(batch), model.bias)
-            for first, count, row, index, value in featurize(batch):
-                w = table[index]
-                hit = np.flatnonzero(w)
-                sums[first : first + count] += np.bincount(row[hit], w[hit] * value[hit], minlength=count)
+            for first, count, row, index, value in featurize(batch, known=known):
+                sums[first : first + count] += np.bincount(row, table[index] * value, minlength=count)
             yield pa.array(sigmoid(sums))
         give_back()
 

@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martwright.llm.linear import dealt
+from martwright.llm.linear import in_one_task
 from martwright.llm.ship import lean, lean_group, shipped
-from martwright.llm.text import NOT_SPACE, Hasher, as_bytes, row_chunks, split_words
+from martwright.llm.text import NOT_SPACE, as_bytes, codes, ranges, row_chunks, run_codes, split_words
 from martwright.llm.toxicity import labelled
 
 #: Labelled documents that the field is fitted on at most (about: they are chosen by a hash of the id).
@@ -39,9 +39,6 @@ _PUNCTUATION = (_BYTES > 0x20) & (_BYTES < 0x7F) & ~_UPPER & ~_LOWER & ~_DIGIT
 _HEAD = (_BYTES & 0xC0) != 0x80
 _STOP = np.isin(_BYTES, [ord(c) for c in ".!?:;"])
 
-_words = Hasher(41)
-_lines = Hasher(42)
-
 #: Upper bounds of the bins of each measure of a line; a line has one feature for each measure.
 BINS = {
     "words": (3, 10, 25, 60),
@@ -78,11 +75,11 @@ def _sums(flags: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
 
 
-def _repeats(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether an equal (row, hash) stands anywhere else, and whether it stands before."""
-    order = np.lexsort((hashes, row))
+def _repeats(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether an equal (row, code) stands anywhere else, and whether it stands before."""
+    order = np.lexsort((code, row))
     same = np.zeros(len(order), bool)
-    same[1:] = (row[order][1:] == row[order][:-1]) & (hashes[order][1:] == hashes[order][:-1])
+    same[1:] = (row[order][1:] == row[order][:-1]) & (code[order][1:] == code[order][:-1])
     before, anywhere = np.zeros(len(order), bool), np.zeros(len(order), bool)
     before[order] = same
     anywhere[order] = same | np.append(same[1:], False)[: len(order)]
@@ -96,13 +93,13 @@ def measure(column: pa.Array) -> Iterator[Measured]:
         rows = b - a
         starts, ends, of_row = split_words(part, borders, NOT_SPACE)
         row = np.repeat(np.arange(rows), np.diff(of_row))
-        hashes = _words.spans(part, starts, ends)
+        code = codes(ranges(part, starts, ends))
 
         heads = _sums(_HEAD[part])
         chars = _sums(heads[ends] - heads[starts])
         symbols = _sums(_SYMBOL[part])
         triple = row[:-2] == row[2:] if len(row) > 2 else np.zeros(0, bool)
-        windows = _words.windows(hashes, 3)[triple] if len(row) > 2 else np.zeros(0, np.uint64)
+        windows = run_codes(code, 3)[triple]
         again, _ = _repeats(row[:-2][triple] if len(row) > 2 else row[:0], windows)
         first = np.flatnonzero(triple)[again]
         covered = np.zeros(len(row) + 2, bool)
@@ -118,12 +115,12 @@ def measure(column: pa.Array) -> Iterator[Measured]:
         some = n > 0
         line_start, line_end, n, first_word = line_start[some], line_end[some], n[some], words_before[:-1][some]
         line_row = np.searchsorted(borders, line_start, "right") - 1
-        _, duplicate = _repeats(line_row, _lines.spans(part, line_start, line_end))
+        _, duplicate = _repeats(line_row, codes(ranges(part, line_start, line_end)))
 
         line_of_word = np.repeat(np.arange(len(n)), n)
-        _, seen = _repeats(line_of_word, hashes)
-        as_before = np.zeros(len(hashes), bool)
-        as_before[1:] = (hashes[1:] == hashes[:-1]) & (line_of_word[1:] == line_of_word[:-1])
+        _, seen = _repeats(line_of_word, code)
+        as_before = np.zeros(len(code), bool)
+        as_before[1:] = (code[1:] == code[:-1]) & (line_of_word[1:] == line_of_word[:-1])
         last_word = first_word + n
 
         def share(flags: np.ndarray, start=line_start, end=line_end, part=part) -> np.ndarray:
@@ -249,11 +246,11 @@ def fit_lines(features: np.ndarray, row: np.ndarray, label: np.ndarray) -> LineF
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, bound: int = FIT_ROWS) -> LineField:
-    """Weights from labelled documents (labels: doc_id, quality): shards are fitted apart and averaged by their lines.
+    """Weights from labelled documents (labels: doc_id, quality), fitted in one task on a bounded sample.
 
     Without any labelled line all weights are zero and every line counts as content.
     """
-    rows, n = labelled(docs, labels, "quality", F.lit(True) if learn_from is None else learn_from, bound)
+    rows = labelled(docs, labels, "quality", F.lit(True) if learn_from is None else learn_from, bound)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("label", "ascending"), ("text", "ascending")])
@@ -264,9 +261,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from: Column | None = None, bo
         weights = np.concatenate([model.feature, model.start, model.transition.ravel()])
         return pa.table({"lines": [len(row)], "weights": [weights.tolist()]})
 
-    fitted = shipped(dealt(rows, n)).groupBy("shard").applyInArrow(lean_group(run), "lines long, weights array<double>").collect()
-    total = sum(s["lines"] for s in fitted)
-    w = sum((np.array(s["weights"]) * (s["lines"] / total) for s in sorted(fitted) if s["lines"]), np.zeros(FEATURES + 6))
+    fitted = shipped(in_one_task(rows)).groupBy("task").applyInArrow(lean_group(run), "lines long, weights array<double>").collect()
+    w = np.array(fitted[0]["weights"]) if fitted else np.zeros(FEATURES + 6)
     return LineField(w[:FEATURES], w[FEATURES : FEATURES + 2], w[FEATURES + 2 :].reshape(2, 2))
 
 

@@ -60,3 +60,84 @@ def test_nothing_to_learn_from(spark, fit, apply):
     labels = spark.createDataFrame([(None, 1, 1), (1, None, None), (1, 7, 7)], "doc_id long, quality int, toxic int")
     model = fit(docs, labels, F.lit(True))
     assert rows(apply(docs, model)) == [(1, 0.5), (None, 0.5)]
+
+
+WORDS = "the cat sat on a mat and you are vile you vile dog very nice indeed nice mat".split()
+
+
+def small_corpus(n=120):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(rng.choice(WORDS, rng.integers(0, 14))) for _ in range(n)]
+    return [(i, text, int("vile" in text), int("nice" in text)) for i, text in enumerate(texts)]
+
+
+def plain_ngrams(text):
+    words = text.lower().split()
+    found = {("word", w) for w in words}
+    return found | {(gap, a, b) for gap in (1, 2, 3) for a, b in zip(words, words[gap:], strict=False)}
+
+
+def plain_fit(rows, p):
+    """FTRL-proximal over dictionaries; rows: (features, label) in order. Returns weights and bias."""
+    z, n = {}, {}
+    seen = {}
+    for features, _ in rows:
+        for f in features:
+            seen[f] = seen.get(f, 0) + 1
+
+    def weight(f, l1):
+        value = z.get(f, 0.0)
+        return 0.0 if abs(value) <= l1 else -(value - np.sign(value) * l1) / ((p.beta + n.get(f, 0.0) ** 0.5) / p.alpha + p.l2)
+
+    for _ in range(p.rounds):
+        for features, label in rows:
+            own = {f: weight(f, p.l1) for f in features if seen[f] >= p.min_rows} | {"bias": weight("bias", 0.0)}
+            error = 1 / (1 + np.exp(-sum(own.values()))) - label
+            for f, w in own.items():
+                root = (n.get(f, 0.0) + error * error) ** 0.5
+                z[f] = z.get(f, 0.0) + error - (root - n.get(f, 0.0) ** 0.5) / p.alpha * w
+                n[f] = n.get(f, 0.0) + error * error
+    return {f: weight(f, 0.0 if f == "bias" else p.l1) for f in z}
+
+
+def test_training_and_scores_against_dictionaries(spark):
+    corpus = small_corpus()
+    docs = spark.createDataFrame([(i, text) for i, text, _, _ in corpus], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, toxic) for i, _, toxic, _ in corpus if i % 4], "doc_id long, toxic int")
+    order = [r["doc_id"] for r in docs.orderBy(F.xxhash64("doc_id")).collect()]
+    rows_in_order = [(plain_ngrams(corpus[i][1]), corpus[i][2]) for i in order if i % 4]
+    expected = plain_fit(rows_in_order, toxicity.PARAMETERS)
+    found = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, toxicity.fit(docs, labels, F.lit(True))).collect()}
+    for i, text, _, _ in corpus:
+        score = sum(expected.get(f, 0.0) for f in plain_ngrams(text) | {"bias"})
+        assert abs(found[i] - 1 / (1 + np.exp(-score))) < 1e-9
+
+
+@pytest.mark.parametrize("featurize", [features.present_ngrams, features.counted_ngrams])
+def test_features_without_weight_are_left_out_early(featurize):
+    import pyarrow as pa
+
+    column = pa.array([text for _, text, _, _ in small_corpus()] + [None, ""])
+    ((_, _, row, index, value),) = featurize(column, 20)
+    known = np.zeros(1 << 20, bool)
+    known[np.unique(index)[::3]] = True
+    ((_, count, some_row, some_index, some_value),) = featurize(column, 20, known=known)
+    keep = known[index]
+    assert count == len(column) and keep.any() and not keep.all()
+    assert (some_row == row[keep]).all() and (some_index == index[keep]).all() and (some_value == value[keep]).all()
+
+
+def test_the_sample_is_bounded_whatever_one_id_holds(spark, monkeypatch):
+    """A drawn id that holds a third of all rows, repeated texts, long texts, and a rare label."""
+    corpus = [(7, f"text number {i}") for i in range(3000)] + [(7, "again")] * 500 + [(i, f"own text {i}") for i in range(100, 6100)]
+    docs = spark.createDataFrame(corpus, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 100 == 0)) for i in [7, *range(100, 6100)]], "doc_id long, toxic int")
+    found = toxicity.labelled(docs, labels, "toxic", F.lit(True), 10_000)
+    assert found.count() == 6000 + 3001  # all, copies once
+    found = toxicity.labelled(docs, labels.where("doc_id = 7"), "toxic", F.lit(True), 100)
+    assert 100 < found.count() < 320
+    counts = dict(toxicity.labelled(docs, labels.where("doc_id > 7"), "toxic", F.lit(True), 400).groupBy("label").count().collect())
+    assert 30 < counts[1] <= 60 and 320 < counts[0] < 480
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 20_000)
+    size = toxicity.labelled(docs, labels, "toxic", F.lit(True), 10_000).agg(F.sum(F.length("text"))).first()[0]
+    assert size < 30_000

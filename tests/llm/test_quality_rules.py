@@ -4,10 +4,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from llm_helpers import equal_hashes
 from pyspark.sql import functions as F
 
 from martwright.llm import quality_rules, queries
 from martwright.llm.quality_rules import FEATURES, LineField, fit_lines, measure, viterbi
+from martwright.llm.text import run_codes
 
 SF = "/root/testdata/sf0.01"
 TEXTS = ["a b c a b c", "", None, " \n\t\n", "x\nx\n\nx \nx", "#é|日\n$ 1", "w " * 200, "a b a b a", "one\ntwo\none\ntwo\n"]
@@ -36,6 +38,23 @@ def test_measures():
     assert [tuple(map(int, x)) for x in found] == [plain(t) for t in TEXTS]
 
 
+def test_words_and_lines_with_equal_hashes_are_told_apart():
+    left, right = equal_hashes()
+    texts = [f"{left}\n{right}\n{left}", f"a {left} b a {right} b", f"a {left} b a {left} b"]
+    found = [(int(d), int(r)) for m in measure(pa.array(texts)) for d, r in zip(m.n_dup_lines, m.n_repeat_words, strict=True)]
+    assert found == [(1, 0), (0, 0), (0, 6)] == [plain(t)[3:] for t in texts]
+
+
+def test_run_codes():
+    rng = np.random.default_rng(2)
+    for most in (3, 1 << 40):
+        numbers = rng.integers(0, 3, 200) * (most // 3)
+        found = run_codes(numbers, 3)
+        runs = [tuple(numbers[i : i + 3]) for i in range(198)]
+        assert [[a == b for b in found] for a in found] == [[a == b for b in runs] for a in runs]
+    assert len(run_codes(numbers[:2], 3)) == 0 and len(run_codes(numbers[:0], 3)) == 0
+
+
 def test_whole_documents_and_clean_ones_stay(spark):
     found = {r["doc_id"]: r for r in queries.op8_quality_rules(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
