@@ -8,6 +8,7 @@ expectation-maximisation and the logistic fit run over their counts in the drive
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import exp, log
 
@@ -38,6 +39,9 @@ _CUES = (
 )
 _AGAINST = r"(?i)(?:page|version|chapter|figure|isbn|order|year|vol|no|nr|seite|página|§)\W{0,3}$"
 
+#: Items that are folded at a time.
+RUN = 256
+
 #: Characters before a span that the context labeler sees.
 CONTEXT = 24
 
@@ -49,33 +53,74 @@ FIT_ROUNDS = 400
 LEAST_PROBABILITY = 0.5
 
 
-def spans(text: Column, pattern: str) -> Column:
-    """Array of (start, end, value) of the matches of ``pattern``, leftmost and non-overlapping, in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used in lambdas."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def scanned(
+    items: Column, zero: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str
+) -> Column:
+    """``emit(state, item)`` of every item in order, of type ``kind``, where ``step(state, item)`` is the next state.
 
-    def place(found: Column, gaps: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("done"))
+    What a fold appends to is copied, so items are folded in runs of ``RUN`` and the runs' results are flattened: the
+    time is in proportion to the items. ``items`` should be a plain column or a lambda's variable.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def run(before: Column, own: Column) -> Column:
         return F.aggregate(
-            F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("value")),
-            zero,
+            own,
+            F.struct(before.alias("state"), none.alias("done")),
             lambda acc, x: F.struct(
-                (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-                F.concat(
-                    acc["done"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(x["gap"])).alias("start"),
-                            (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"),
-                            x["value"].alias("value"),
-                        )
-                    ),
-                ).alias("done"),
+                step(acc["state"], x).alias("state"), F.concat(acc["done"], F.array(emit(acc["state"], x))).alias("done")
             ),
-            lambda acc: acc["done"],
         )
 
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(F.size(found) > 0, place(found, F.split(text, pattern, -1))).otherwise(none)
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / RUN).cast("int")), lambda i: F.slice(items, i * RUN + 1, F.lit(RUN))
+    )
+    start = F.array(F.struct(zero.alias("state"), none.alias("done")))
+    folded = F.aggregate(runs, start, lambda acc, own: F.concat(acc, F.array(run(F.element_at(acc, -1)["state"], own))))
+    return F.when(F.size(items) > 0, F.flatten(F.transform(folded, lambda r: r["done"]))).otherwise(none)
+
+
+_SPAN = "struct<start:int,end:int,value:string,before:string>"
+
+
+def spans(text: Column, pattern: str) -> Column:
+    """Array of (start, end, value, before) of the matches of ``pattern``, leftmost and non-overlapping, in code points.
+
+    ``before`` are the last ``CONTEXT`` characters in front of the match.
+    """
+
+    def place(zipped: Column) -> Column:
+        after = lambda at, x: at["at"] + F.length(x["gap"])
+        return scanned(
+            zipped,
+            F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")),
+            lambda at, x: F.struct(
+                (after(at, x) + F.length(x["value"])).alias("at"), _last(F.concat(at["tail"], x["gap"], x["value"])).alias("tail")
+            ),
+            lambda at, x: F.struct(
+                after(at, x).alias("start"),
+                (after(at, x) + F.length(x["value"])).alias("end"),
+                x["value"].alias("value"),
+                _last(F.concat(at["tail"], x["gap"])).alias("before"),
+            ),
+            _SPAN,
+        )
+
+    def found(values: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values))
+        some = let(F.arrays_zip(gaps.alias("gap"), values.alias("value")), place)
+        return F.when(F.size(values) > 0, some).otherwise(F.array().cast(f"array<{_SPAN}>"))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
+
+
+def _last(text: Column) -> Column:
+    return F.right(text, F.lit(CONTEXT))
 
 
 def digits(value: Column) -> Column:
@@ -98,7 +143,7 @@ def _base(text: Column) -> dict[str, Column]:
     parts = lambda x: F.transform(F.split(x["value"], r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
     small = lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255"))
     n_digits = lambda x: F.length(digits(x["value"]))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast(f"array<{_SPAN}>")
     return {
         "email": F.when(F.contains(text, F.lit("@")), spans(text, _EMAIL)).otherwise(none),
         "ip": F.filter(spans(text, _IP), lambda x: F.forall(parts(x), small)),
@@ -113,29 +158,27 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def _judged(text: Column, kind: int, candidate: Column, base: Column) -> Column:
-    """A candidate span with its votes and features; ``known`` if a base span overlaps it."""
-    value = candidate["value"]
-    before = F.substring(text, F.greatest(candidate["start"] - (CONTEXT - 1), F.lit(1)), F.least(candidate["start"], F.lit(CONTEXT)))
+def _judged(candidate: Column) -> Column:
+    """A candidate span with its votes and features; ``overlaps`` says whether a base span does."""
+    value, before, kind, overlaps = (candidate[name] for name in ("value", "before", "kind", "overlaps"))
     n, size = F.length(digits(value)), F.length(value)
-    number, secret = F.lit(kind == 0), F.lit(kind == 1)
-    overlaps = F.exists(base, lambda b: (b["start"] < candidate["end"]) & (candidate["start"] < b["end"]))
+    number, secret, name = kind == 0, kind == 1, kind == 2
     cue, against = before.rlike(_CUES), before.rlike(_AGAINST)
-    known = value.rlike(_PREFIXES) | F.lit(kind == 2)
+    known = value.rlike(_PREFIXES) | name
     grouped = value.rlike(r"^\+?[0-9]{1,3} \(?[0-9]{2,4}\)? ?[0-9]{3}|^(?:[0-9]{4}[ -]){3}[0-9]{4}|^\+[0-9]")
     mixed = value.rlike("[a-z]") & value.rlike("[A-Z]") | value.rlike("^[0-9A-Fa-f]{32,}$") | value.rlike("^[0-9A-Z]{20}$")
     # the base patterns drop a run of several numbers, of which one may pass
     part = F.exists(F.split(value, "[ -]"), lambda p: F.length(digits(p)).between(12, 19) & luhn(p))
     sound = number & (n.between(12, 19) & luhn(value) | (n > 19) & part)
     votes = {
-        "regex": _vote(overlaps | number & grouped | secret & mixed | F.lit(kind == 2), number & (n < 9) & ~grouped),
+        "regex": _vote(overlaps | number & grouped | secret & mixed | name, number & (n < 9) & ~grouped),
         "gazetteer": _vote(known, against),
         "context": _vote(cue, against),
         "checksum": _vote(sound | overlaps | secret & mixed, number & n.between(12, 19)),
-        "length": _vote(number & n.between(9, 19) | secret & (size >= 20) | F.lit(kind == 2), number & (n < 9)),
+        "length": _vote(number & n.between(9, 19) | secret & (size >= 20) | name, number & (n < 9)),
     }
     features = {
-        "kind": F.lit(kind),
+        "kind": kind,
         "digits": F.when(n < 9, 0).when(n < 12, 1).when(n < 20, 2).otherwise(3),
         "length": F.when(size < 16, 0).when(size < 32, 1).otherwise(2),
         "cue": F.when(cue, 2).when(against, 0).otherwise(1),
@@ -144,7 +187,7 @@ def _judged(text: Column, kind: int, candidate: Column, base: Column) -> Column:
         "mixed": (secret & mixed | number & grouped).cast("int"),
     }
     return F.struct(
-        F.lit(kind).alias("kind"),
+        kind.alias("kind"),
         candidate["start"].alias("start"),
         candidate["end"].alias("end"),
         overlaps.alias("overlaps"),
@@ -153,24 +196,69 @@ def _judged(text: Column, kind: int, candidate: Column, base: Column) -> Column:
     )
 
 
+_EVENT = "struct<start:int,candidate:int,kind:int,end:int,value:string,before:string,overlaps:boolean>"
+
+
+def _events(spans: Column, kind: int, candidate: bool) -> Column:
+    return F.transform(
+        spans,
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            F.lit(int(candidate)).alias("candidate"),
+            F.lit(kind).alias("kind"),
+            x["end"].alias("end"),
+            x["value"].alias("value"),
+            x["before"].alias("before"),
+            F.lit(False).alias("overlaps"),
+        ),
+    )
+
+
+def _marked(events: Column) -> Column:
+    """Events in order of their start, base spans first, with ``overlaps`` where a base span has a character of a
+    candidate: one that began before and reaches into it, or the next one that begins. One pass in each direction."""
+
+    def told(x: Column, overlaps: Column) -> Column:
+        kept = [x[name].alias(name) for name in ("start", "candidate", "kind", "end", "value", "before")]
+        return F.struct(*kept, (x["overlaps"] | overlaps).alias("overlaps"))
+
+    is_base = lambda x: x["candidate"] == 0
+    forward = lambda x: scanned(
+        x,
+        F.lit(0),
+        lambda reach, x: F.when(is_base(x), F.greatest(reach, x["end"])).otherwise(reach),
+        lambda reach, x: told(x, reach > x["start"]),
+        _EVENT,
+    )
+    backward = lambda x: scanned(
+        x,
+        F.lit((1 << 31) - 1),
+        lambda begin, x: F.when(is_base(x), x["start"]).otherwise(begin),
+        lambda begin, x: told(x, begin < x["end"]),
+        _EVENT,
+    )
+    return let(F.reverse(let(F.array_sort(events), forward)), backward)
+
+
 def candidates(docs: DataFrame, carried: Column) -> DataFrame:
     """(doc_id, carried, base, added) of each row: base spans (kind, start, end), and judged candidates for more."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select("doc_id", carried.alias("carried"), text.alias("text"))
     base = _base(F.col("text"))
-    rows = rows.select("doc_id", "carried", "text", *(base[k].alias(k) for k in BASE_KINDS))
+    more = [spans(F.col("text"), p).alias(k) for k, p in zip(ADDED_KINDS, (_NUMBER, _SECRET, _NAME), strict=True)]
+    rows = rows.select("doc_id", "carried", *(base[k].alias(k) for k in BASE_KINDS), *more)
 
     def tag(kind: int):
         return lambda x: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"))
 
-    def judge(kind: int):
-        return lambda x: _judged(F.col("text"), kind, x, F.col("base"))
-
     tagged = [F.transform(k, tag(i)) for i, k in enumerate(BASE_KINDS)]
-    more = [spans(F.col("text"), p).alias(k) for k, p in zip(ADDED_KINDS, (_NUMBER, _SECRET, _NAME), strict=True)]
-    rows = rows.select("doc_id", "carried", "text", F.array_sort(F.concat(*tagged)).alias("base"), *more)
-    judged = [F.transform(k, judge(i)) for i, k in enumerate(ADDED_KINDS)]
-    return rows.select("doc_id", "carried", "base", F.concat(*judged).alias("added"))
+    asked = [_events(F.col(k), i, True) for i, k in enumerate(ADDED_KINDS)]
+    fixed = [_events(F.col(k), i, False) for i, k in enumerate(BASE_KINDS)]
+    some = sum((F.size(k) for k in ADDED_KINDS), F.lit(0)) > 0
+    marked = F.when(some, _marked(F.concat(*asked, *fixed))).otherwise(F.array().cast(f"array<{_EVENT}>"))
+    rows = rows.select("doc_id", "carried", F.array_sort(F.concat(*tagged)).alias("base"), marked.alias("marked"))
+    added = F.transform(F.filter("marked", lambda x: x["candidate"] == 1), _judged)
+    return rows.select("doc_id", "carried", "base", added.alias("added"))
 
 
 def reliabilities(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict[tuple[int, int], float]]]:
@@ -287,22 +375,40 @@ def count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == BASE_KINDS.index(kind))).cast("long")
 
 
+#: Characters in the pieces that a text is cut into before it is put together again.
+_PIECE = 1024
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end of a text in pieces; only the pieces that hold some of them are looked at."""
+    first, last = F.floor(start / _PIECE).cast("int"), F.floor((end - 1) / _PIECE).cast("int")
+
+    def own(piece: Column, i: Column) -> Column:
+        begin = F.when(i == 0, start % _PIECE).otherwise(0)
+        stop = F.when(i == last - first, (end - 1) % _PIECE + 1).otherwise(_PIECE)
+        return F.substring(piece, begin + 1, stop - begin)
+
+    some = F.array_join(F.transform(F.slice(pieces, first + 1, last - first + 1), own), "")
+    return F.when(end > start, some).otherwise("")
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """``text`` with every span written as its kind in brackets; overlapping spans are one, of the first one's kind."""
     kinds = F.array(*(F.lit(f"[{k.upper()}]") for k in BASE_KINDS + ADDED_KINDS))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-    joined = F.aggregate(
-        spans,
-        zero,
-        lambda acc, s: F.when(
-            s["start"] >= acc["at"],
-            F.struct(
-                s["end"].alias("at"),
-                F.concat(
-                    acc["done"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.element_at(kinds, s["kind"] + 1)
-                ).alias("done"),
-            ),
-        ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["done"].alias("done"))),
-        lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) > 0, joined).otherwise(text)
+
+    def put(v: Column) -> Column:
+        parts = scanned(
+            v["spans"],
+            F.lit(0),
+            lambda at, s: F.greatest(at, s["end"]),
+            lambda at, s: F.when(
+                s["start"] >= at, F.concat(_between(v["pieces"], at, s["start"]), F.element_at(kinds, s["kind"] + 1))
+            ).otherwise(""),
+            "string",
+        )
+        reach = F.aggregate(v["spans"], F.lit(0), lambda at, s: F.greatest(at, s["end"]))
+        return F.concat(F.array_join(parts, ""), _between(v["pieces"], reach, v["length"]))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    cut = F.struct(pieces.alias("pieces"), spans.alias("spans"), F.length(text).alias("length"))
+    return F.when(F.size(spans) > 0, let(cut, put)).otherwise(text)

@@ -1,4 +1,5 @@
 import re
+import time
 from math import isclose
 
 import pytest
@@ -85,6 +86,56 @@ def test_em_separates_good_labelers_from_bad_ones():
     assert tables[0][1, 1] > 0.9 and tables[3][1, 1] < 0.1 and isclose(tables[4][0, 1], tables[4][0, 0], abs_tol=0.03)
 
 
+def many(n):
+    """A text of n matches of all kinds, some of them of two patterns."""
+    kinds = ("call 0176 5{i:06d}", "jo{i}@mail.example.com", "1.2.3.{i}", "Dr. Smith", "key sk-{i}aB3dE5gH7jK9mN1pQ", "4539 1488 0343 6467")
+    return ", ".join(kinds[i % 6].format(i=i % 256) for i in range(n))
+
+
+def test_many_matches_in_one_text(spark):
+    """More than one run of a fold, whose places, contexts and overlaps must not depend on it."""
+    text = many(2_000)
+    frame = spark.createDataFrame([(1, text), (2, text[:3000]), (3, "é" + text)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in personal_data(frame, F.col("text")).collect()}
+    for i, t in ((1, text), (2, text[:3000]), (3, "é" + text)):
+        assert [tuple(s) for s in found[i]["base"]] == plain(t)
+        kept = {tuple(s) for s in found[i]["spans"]} - set(map(tuple, found[i]["base"]))
+        assert all(not (b[0] < s[2] and s[0] < b[2]) for s in kept for b in found[i]["base"])
+    shown = personal_data(frame, F.col("text")).select("doc_id", redacted(F.col("carried"), F.col("spans")).alias("t")).collect()
+    for r in shown:
+        source, at, done = found[r["doc_id"]]["carried"], 0, []
+        for start, kind, end in found[r["doc_id"]]["spans"]:
+            if start >= at:
+                done += [source[at:start], f"[{(BASE_KINDS + pii.ADDED_KINDS)[kind].upper()}]"]
+            at = max(at, end)
+        assert r["t"] == "".join([*done, source[at:]])
+
+
+def test_candidates_know_their_context_and_the_spans_they_overlap(spark):
+    text = many(700)
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = frame.select(pii.spans(F.col("text"), pii._NUMBER).alias("s")).first()["s"]
+    assert len(spans) > 200
+    assert all(s["before"] == text[max(0, s["start"] - 24) : s["start"]] and text[s["start"] : s["end"]] == s["value"] for s in spans)
+    base = plain(text)
+    added = pii.candidates(frame, F.lit(1)).first()["added"]
+    assert all(a["overlaps"] == any(b[0] < a["end"] and a["start"] < b[2] for b in base) for a in added)
+    assert {a["overlaps"] for a in added} == {True, False}
+
+
+def test_time_is_in_proportion_to_the_matches(spark):
+    def seconds(n):
+        frame = spark.createDataFrame([(1, many(n))], "doc_id long, text string")
+        started = time.perf_counter()
+        found = personal_data(frame, F.col("text"))
+        found.select(F.length(redacted(F.col("carried"), F.col("spans")))).collect()
+        return time.perf_counter() - started
+
+    seconds(1_000)
+    few, more = seconds(40_000), seconds(160_000)
+    assert more < 8 * few  # sixteen times as long if any step were quadratic
+
+
 def test_no_python_in_the_plan(spark):
     frame = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
     for plan in (personal_data(frame), pii.candidates(frame, F.lit(1))):
