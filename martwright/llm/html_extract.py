@@ -34,6 +34,9 @@ LEAST_PAGES = 2
 #: article marks hold is no template.
 SURE_PAGES = 5
 VERSION_SHARE = 2 / 3
+#: The article's holder is looked for from the root down: an element that holds this share of the varying text of its
+#: parent, over all pages of the layout, is gone into.
+HELD = 0.75
 #: Trees are of one layout if this share of their nodes is aligned.
 ALIKE = 0.75
 
@@ -99,7 +102,10 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in _RAW}
 _WORD = re.compile(r"[a-z]+")
-_MOST_DEPTH = 64
+#: Elements that hold parts of a page of any kind. Those that differ in what they hold are told apart when equal siblings
+#: are folded: only links, only a text of its own, or other elements.
+_HOLDERS = frozenset("div section article main center form nav header footer aside custom".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
 
 
 @dataclass
@@ -109,8 +115,8 @@ class Block:
     skipped: bool
     main: bool
     linked: bool
-    #: Numbers of the marked elements around it, outermost first.
-    marked: tuple[int, ...] = ()
+    #: Number of the innermost marked element around it, or -1.
+    marked: int = -1
 
 
 @dataclass
@@ -119,6 +125,8 @@ class Marked:
 
     comments: bool
     inside: bool
+    #: The next marked element around it, or -1.
+    around: int = -1
     has_article: bool = False
     has_main: bool = False
 
@@ -132,6 +140,13 @@ class Page:
     blocks: list[Block] = field(default_factory=list)
     marked: list[Marked] = field(default_factory=list)
 
+    def marks_around(self, block: Block) -> Iterator[int]:
+        """Numbers of the marked elements around a block, innermost first."""
+        i = block.marked
+        while i >= 0:
+            yield i
+            i = self.marked[i].around
+
 
 def _marks(attributes: str) -> tuple[set[str], set[str], set[str]]:
     """Marks in class, id and role: all, those that tell what the element is, and of these the ones not from the id."""
@@ -152,48 +167,82 @@ def _marks(attributes: str) -> tuple[set[str], set[str], set[str]]:
     return marks, own, styled
 
 
+def _fold(page: Page, parents: list[int], labels: list[str]) -> None:
+    """The page's tree from its elements (parents first): equal siblings are one node."""
+    n = len(parents)
+    texts, links, holds = [0] * n, [0] * n, [False] * n
+    for block in page.blocks:
+        texts[block.node] += 1
+        links[block.node] += block.linked
+    for node in range(n - 1, 0, -1):
+        parent = parents[node]
+        texts[parent] += texts[node]
+        links[parent] += links[node]
+        holds[parent] = True
+    folded: dict[tuple[int, str], int] = {}
+    place = [0] * n
+    for node in range(1, n):
+        label = labels[node]
+        if label.partition(".")[0] in _HOLDERS and texts[node]:
+            label += "~links" if links[node] == texts[node] else "" if holds[node] else "~text"
+        key = place[parents[node]], label
+        place[node] = folded.setdefault(key, len(page.labels))
+        if place[node] == len(page.labels):
+            page.labels.append(label)
+            page.parents.append(key[0])
+    for block in page.blocks:
+        block.node = place[block.node]
+
+
 def parse(html: str) -> Page:
     page = Page()
-    folded: dict[tuple[int, str], int] = {}
-    # open elements: tag, folded node, inside something skipped, inside the article, inside a link, marked elements around
-    stack: list[tuple[str, int, bool, bool, bool, tuple[int, ...]]] = [("#", 0, False, False, False, ())]
+    parents, labels = [-1], ["#"]
+    # open elements: tag, element, inside something skipped, inside the article, inside a link, innermost marked element
+    stack: list[tuple[str, int, bool, bool, bool, int]] = [("#", 0, False, False, False, -1)]
     pieces: list[str] = []
     linked = True
     at: tuple[int, bool, bool] = (0, False, False)
-    around: tuple[int, ...] | None = None
+    around: int | None = None
 
     def flush() -> None:
         nonlocal linked, around
         if pieces:
             text = " ".join(unescape("".join(pieces)).split())
             if text:
-                page.blocks.append(Block(text, at[0], at[1], at[2], linked, around or ()))
+                page.blocks.append(Block(text, at[0], at[1], at[2], linked, -1 if around is None else around))
             pieces.clear()
         linked = True
         around = None
 
+    def shared(a: int, b: int) -> int:
+        """The innermost marked element around both."""
+        while a != b:
+            if a < b:  # numbers grow inwards
+                a, b = b, a
+            a = page.marked[a].around
+        return a
+
     def push(tag: str, marks: set[str], own: set[str], styled: set[str]) -> None:
-        _, parent, skipped, main, link, marked = stack[-1]
-        node = parent
-        if tag not in _INLINE and len(stack) < _MOST_DEPTH:
-            label = ".".join([tag if tag in _KNOWN else "custom", *sorted(marks)])
-            node = folded.setdefault((parent, label), len(page.labels))
-            if node == len(page.labels):
-                page.labels.append(label)
-                page.parents.append(parent)
+        _, node, skipped, main, link, marked = stack[-1]
+        if tag not in _INLINE:
+            parents.append(node)
+            labels.append(".".join([tag if tag in _KNOWN else "custom", *sorted(marks)]))
+            node = len(parents) - 1
         skipped = skipped or tag in _SKIPPED or (tag in _SKIPPED_OUTSIDE and not main)
         if main:
             evidence = set() if tag in _TEXTS else styled & _MARKS_INSIDE
         else:
             evidence = set() if tag in ("html", "body", "main", "article") else own
-        if (evidence or tag in _MARKED) and len(marked) < _MOST_DEPTH:
-            page.marked.append(Marked(bool(evidence & _COMMENTS), main))
-            marked = (*marked, len(page.marked) - 1)
+        if evidence or tag in _MARKED:
+            page.marked.append(Marked(bool(evidence & _COMMENTS), main, marked))
+            marked = len(page.marked) - 1
         # a comment that is an article by its tag is not the page's article, nor skipped where nothing else is one
         if tag == "main" or tag == "article" and not own & _COMMENTS:
-            for i in marked:
+            i = marked
+            while i >= 0 and not (page.marked[i].has_article and (page.marked[i].has_main or tag != "main")):
                 page.marked[i].has_article = True
                 page.marked[i].has_main |= tag == "main"
+                i = page.marked[i].around
             main = True
         stack.append((tag, node, skipped, main, link or tag == "a", marked))
 
@@ -218,11 +267,8 @@ def parse(html: str) -> Page:
             if not text.isspace():
                 if not top[4]:
                     linked = False
-                if around is None or around == top[5]:
-                    around = top[5]
-                else:  # an inline element does not mark the whole block
-                    common = (i for i, (x, y) in enumerate(zip(around, top[5])) if x != y)
-                    around = around[: next(common, min(len(around), len(top[5])))]
+                # an inline element does not mark the whole block
+                around = top[5] if around is None else shared(around, top[5])
             pieces.append(text)
             continue
         if tag is None:
@@ -264,43 +310,47 @@ def parse(html: str) -> Page:
             flush()
         push(tag, *(_marks(attributes) if attributes and "=" in attributes else (set(), set(), set())))
     flush()
+    _fold(page, parents, labels)
     return page
 
 
 def match_trees(left: Page, right: Page) -> list[int]:
     """Simple tree matching: for each node of ``left`` the node of ``right`` that it is aligned with, or -1."""
     a_children, b_children = _children(left.parents), _children(right.parents)
+    #: Of pairs of nodes with one label: the size of their best matching, and the pairs of children in it.
     done: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-
-    def size(a: int, b: int) -> int:
-        if left.labels[a] != right.labels[b]:
-            return 0
-        if (a, b) not in done:
-            xs, ys = a_children[a], b_children[b]
-            weight = [[size(x, y) for y in ys] for x in xs]
-            best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-            for i in range(len(xs)):
-                for j in range(len(ys)):
-                    best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight[i][j])
-            pairs, i, j = [], len(xs), len(ys)
-            while i and j:
-                if best[i][j] == best[i - 1][j]:
-                    i -= 1
-                elif best[i][j] == best[i][j - 1]:
-                    j -= 1
-                else:
-                    i, j = i - 1, j - 1
-                    pairs.append((xs[i], ys[j]))
-            done[a, b] = 1 + best[len(xs)][len(ys)], pairs
-        return done[a, b][0]
-
-    found = [-1] * len(left.labels)
-    size(0, 0)
-    waiting = [(0, 0)]
+    waiting = [(0, 0)] if left.labels[0] == right.labels[0] else []
     while waiting:
-        a, b = waiting.pop()
+        a, b = waiting[-1]
+        xs, ys = a_children[a], b_children[b]
+        below = [(x, y) for x in xs for y in ys if left.labels[x] == right.labels[y] and (x, y) not in done]
+        if below and (a, b) not in done:
+            waiting += below
+            continue
+        waiting.pop()
+        if (a, b) in done:
+            continue
+        weight = [[done[x, y][0] if (x, y) in done else 0 for y in ys] for x in xs]
+        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+        for i in range(len(xs)):
+            for j in range(len(ys)):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + weight[i][j])
+        pairs, i, j = [], len(xs), len(ys)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((xs[i], ys[j]))
+        done[a, b] = 1 + best[len(xs)][len(ys)], pairs
+    found = [-1] * len(left.labels)
+    agreed = [(0, 0)] if (0, 0) in done else []
+    while agreed:
+        a, b = agreed.pop()
         found[a] = b
-        waiting += done[a, b][1]
+        agreed += done[a, b][1]
     return found
 
 
@@ -341,13 +391,46 @@ def first_alike(page: Page, leaders: list[Page]) -> tuple[int, list[int]]:
     return -1, []
 
 
+def _tag(label: str) -> str:
+    return re.split(r"[.~]", label, maxsplit=1)[0]
+
+
+def content_slots(tree: Page, mass: dict[int, int]) -> set[int]:
+    """The nodes of a layout that hold its content, from the characters that vary at each node over all pages.
+
+    Beside an element that holds most of what varies, other slots (adverts, footers, teasers) vary little or are short on
+    every page. So the holder is the deepest element on the way of ``HELD`` from the root; it and all in it are content,
+    and so are the headings beside an element on that way. Nothing varies: no node.
+    """
+    children = _children(tree.parents)
+    total = [mass.get(node, 0) for node in range(len(tree.labels))]
+    for node in range(len(total) - 1, 0, -1):  # parents come first
+        total[tree.parents[node]] += total[node]
+    if not total[0]:
+        return set()
+    at, found = 0, set()
+    while True:
+        below = [c for c in children[at] if _tag(tree.labels[c]) in _HOLDERS or _tag(tree.labels[c]) in ("html", "body")]
+        best = max(below, key=lambda c: total[c], default=0)
+        if not best or total[best] < HELD * total[at]:
+            break
+        found |= {c for c in children[at] if c != best and _tag(tree.labels[c]) in _HEADINGS}
+        at = best
+    inside = [False] * len(total)
+    for node in range(len(total)):
+        inside[node] = node == at or node in found or (node > 0 and inside[tree.parents[node]])
+    return {node for node in range(len(total)) if inside[node]}
+
+
 class Wrapper:
-    """What is known of a host: the leaders of its layouts, and the constant texts at their nodes."""
+    """What is known of a host: the leaders of its layouts, the constant texts at their nodes, and the nodes with content."""
 
     def __init__(self, written: str) -> None:
         groups = sorted(json.loads(written), key=lambda g: g["layout"])
         self.groups = [(g["pages"], set(zip(g.get("nodes") or (), g.get("texts") or (), strict=True))) for g in groups]
         self.leaders = [read_tree(g["tree"]) for g in groups]
+        masses = [dict(zip(g.get("slots") or (), g.get("masses") or (), strict=True)) for g in groups]
+        self.content = [content_slots(tree, mass) for tree, mass in zip(self.leaders, masses, strict=True)]
         #: The first group is that of all pages.
         self.whole = bool(groups) and groups[0]["layout"] < 0
         self.known: dict[tuple, list[tuple[int, list[int]]]] = {}
@@ -387,6 +470,21 @@ class Wrapper:
         return entries
 
 
+    def content_of(self, page: Page) -> list[bool] | None:
+        """For each block whether it is in the content of the page's layout; None if no layout tells.
+
+        A node that the leader lacks is content if its parent is.
+        """
+        for group, nodes in reversed(self.alignments(page)):
+            content = self.content[group]
+            if content:
+                inside = [False] * len(nodes)
+                for node, aligned in enumerate(nodes):
+                    inside[node] = aligned in content if aligned >= 0 else node > 0 and inside[page.parents[node]]
+                return [inside[b.node] for b in page.blocks]
+        return None
+
+
 _MOST_WRAPPERS = 200
 
 
@@ -413,9 +511,12 @@ def judged(page: Page, varying: list[Block]) -> tuple[list[Block], set[int]]:
             size = len(b.text)
             whole += size
             article += size if b.main else 0
-            plain = plain or b.main and all(page.marked[i].inside for i in b.marked)
-            for i in b.marked:
-                weight[i] += size
+            plain = plain or b.main and all(page.marked[i].inside for i in page.marks_around(b))
+            if b.marked >= 0:
+                weight[b.marked] += size
+    for i in range(len(page.marked) - 1, -1, -1):  # numbers grow inwards
+        if page.marked[i].around >= 0:
+            weight[page.marked[i].around] += weight[i]
     kept, around = set(), set()
     for i, element in enumerate(page.marked):
         share = weight[i] / ((article if element.inside else whole) or 1)
@@ -425,15 +526,24 @@ def judged(page: Page, varying: list[Block]) -> tuple[list[Block], set[int]]:
             around.add(i)
         elif element.has_article and not (element.inside or plain or element.comments):
             kept.add(i)  # maybe teasers beside an article without a tag: its own tags do not rule out the rest
-    return [b for b in varying if kept.issuperset(b.marked)], around
+    return [b for b in varying if kept.issuperset(page.marks_around(b))], around
+
 
+def main_text(page: Page, entries: list[int], constant: set[int], content: list[bool] | None = None) -> str:
+    """The varying blocks in the layout's content, without what marks tell is no part of the article.
 
-def main_text(page: Page, entries: list[int], constant: set[int]) -> str:
-    """The varying blocks of the article, or of the whole page if it marks no article."""
+    Where the layout says nothing, or the page marks an article outside of what the layout holds for content, the marks
+    decide on the whole page.
+    """
     blocks = [b for b, entry in zip(page.blocks, entries, strict=True) if not b.skipped and entry not in constant]
+    if content is not None:
+        held = {id(b) for b, inside in zip(page.blocks, content, strict=True) if inside}
+        inner = [b for b in blocks if id(b) in held]
+        if any(b.main for b in inner) or inner and not any(b.main for b in blocks):
+            blocks = inner
     blocks, around = judged(page, blocks)
-    main = [b for b in blocks if b.main and around.issuperset(i for i in b.marked if not page.marked[i].inside)]
-    if main or any(b.main and not b.skipped and not b.marked for b in page.blocks):
+    main = [b for b in blocks if b.main and around.issuperset(i for i in page.marks_around(b) if not page.marked[i].inside)]
+    if main or any(b.main and not b.skipped and b.marked < 0 for b in page.blocks):
         blocks = main
     else:
         blocks = [b for b in blocks if not b.linked or b.main]
@@ -453,13 +563,15 @@ _SEEN = pa.schema(
         pa.field("content", pa.int64()),
         pa.field("nodes", pa.list_(pa.int32())),
         pa.field("texts", pa.list_(pa.int64())),
+        pa.field("sizes", pa.list_(pa.int64())),
     ]
 )
 _MOST_SHAPES = 100_000
 
 
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page the host, hashes of its tree, of all its texts and of each at its node; a tree once for a host and task."""
+    """Of each page the host, hashes of its tree, of all its texts and of each at its node, with the characters there that
+    are neither links nor readers' comments; a tree once for a host and task."""
     sent: set[tuple[str, int]] = set()
     for batch in batches:
         rows = []
@@ -468,7 +580,12 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             blocks = [b for b in page.blocks if not b.skipped]
             tree = written_tree(page)
             shape = digest(tree)
-            entries = sorted({(b.node, digest(b.text)) for b in blocks})
+            sizes: dict[tuple[int, int], int] = {}
+            for b in blocks:
+                comment = any(page.marked[i].comments for i in page.marks_around(b))
+                key = b.node, digest(b.text)
+                sizes[key] = sizes.get(key, 0) + (0 if b.linked or comment else len(b.text))
+            entries = sorted(sizes)
             rows.append(
                 {
                     "host": name,
@@ -477,6 +594,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "content": digest("\n".join(b.text for b in judged(page, blocks)[0])),
                     "nodes": [n for n, _ in entries],
                     "texts": [t for _, t in entries],
+                    "sizes": [sizes[e] for e in entries],
                 }
             )
             if len(sent) >= _MOST_SHAPES:
@@ -529,8 +647,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for html, written in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), strict=True):
             page = parse(html)
-            entries = _wrapper(cache, written).entries_of(page) if written else [-1] * len(page.blocks)
-            texts.append(main_text(page, entries, {0}))
+            wrapper = _wrapper(cache, written) if written else None
+            entries = wrapper.entries_of(page) if wrapper else [-1] * len(page.blocks)
+            texts.append(main_text(page, entries, {0}, wrapper.content_of(page) if wrapper else None))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
         )
@@ -548,10 +667,11 @@ def main_texts(pages: DataFrame) -> DataFrame:
     )
     shipped(rows)
     seen = rows.select("host", "html").mapInArrow(
-        lean(_seen), "host string, shape long, tree string, content long, nodes array<int>, texts array<long>"
+        lean(_seen),
+        "host string, shape long, tree string, content long, nodes array<int>, texts array<long>, sizes array<long>",
     )
     seen = stored(seen)
-    distinct = seen.groupBy("host", "content").agg(F.min(F.struct("shape", "nodes", "texts")).alias("page"))
+    distinct = seen.groupBy("host", "content").agg(F.min(F.struct("shape", "nodes", "texts", "sizes")).alias("page"))
     distinct = stored(distinct.select("host", "page.*"))
     trees = seen.where(F.col("tree").isNotNull()).groupBy("host", "shape").agg(F.max("tree").alias("tree"))
     shapes = distinct.groupBy("host", "shape").agg(F.count("*").alias("n")).join(trees, ["host", "shape"])
@@ -564,18 +684,33 @@ def main_texts(pages: DataFrame) -> DataFrame:
     group = ["host", "layout"]
     sizes = members.groupBy(*group).agg(F.count("*").alias("pages")).where(F.col("pages") >= LEAST_PAGES)
     groups = stored(leaders.join(sizes, group))
-    at = F.arrays_zip(F.transform("nodes", lambda n: F.element_at("aligned", n + 1)).alias("node"), F.col("texts").alias("text"))
+    nodes = F.transform("nodes", lambda n: F.element_at("aligned", n + 1))
+    at = F.arrays_zip(nodes.alias("node"), F.col("texts").alias("text"), F.col("sizes").alias("size"))
     entries = members.select(*group, F.explode(at).alias("entry")).select(*group, "entry.*").where(F.col("node") >= 0)
-    counts = entries.groupBy(*group, "node", "text").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_PAGES)
-    constant = (
-        counts.join(groups.drop("tree"), group)
-        .where(F.col("n") >= CONSTANT_SHARE * F.col("pages"))
-        .groupBy(*group)
+    counts = (
+        entries.groupBy(*group, "node", "text")
+        .agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+        .where(F.col("n") >= LEAST_PAGES)
+    )
+    constant = stored(counts.join(groups.drop("tree"), group).where(F.col("n") >= CONSTANT_SHARE * F.col("pages")))
+    texts = (
+        constant.groupBy(*group)
         .agg(F.array_sort(F.collect_list(F.struct("node", "text"))).alias("constant"))
         .select(*group, F.col("constant.node").alias("nodes"), F.col("constant.text").alias("texts"))
     )
-    wrapper = F.to_json(F.array_sort(F.collect_list(F.struct("layout", "pages", "tree", "nodes", "texts"))))
-    wrappers = stored(groups.join(constant, group, "left").groupBy("host").agg(wrapper.alias("wrapper")))
+    # characters that vary: all at a node but those of its constant texts
+    sums = entries.select(*group, "node", "size").union(constant.select(*group, "node", (-F.col("size")).alias("size")))
+    varying = (
+        sums.groupBy(*group, "node")
+        .agg(F.sum("size").alias("mass"))
+        .where("mass > 0")
+        .groupBy(*group)
+        .agg(F.array_sort(F.collect_list(F.struct("node", "mass"))).alias("slots"))
+        .select(*group, F.col("slots.node").alias("slots"), F.col("slots.mass").alias("masses"))
+    )
+    about = groups.join(texts, group, "left").join(varying, group, "left")
+    parts = F.struct("layout", "pages", "tree", "nodes", "texts", "slots", "masses")
+    wrappers = stored(about.groupBy("host").agg(F.to_json(F.array_sort(F.collect_list(parts))).alias("wrapper")))
     kinds = {name: pages.schema[name].dataType.simpleString() for name in ("page_id", "url")}
     return (
         rows.join(wrappers, "host", "left")

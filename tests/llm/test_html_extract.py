@@ -26,6 +26,42 @@ def test_articles_of_whole_pages(spark):
     assert found == {r["page_id"]: article_of(r["html"]) for r in pages.collect()}
 
 
+def stripped(page):
+    """The page without any tag or mark that says what an element is."""
+    body = page[page.index("<body>") :]
+    body = re.sub(r"<(/?)(?:article|nav|header|footer|aside|form)\b[^>]*>", r"<\1div>", body)
+    return re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", body)
+
+
+def test_layouts_tell_the_article_without_tags_and_marks(spark):
+    """The given pages stripped: all that is left are the layouts of their hosts."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    frame = spark.createDataFrame([(r["page_id"], r["url"], stripped(r["html"])) for r in pages], "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in main_texts(frame.repartition(8)).collect()}
+    right = sum(found[r["page_id"]] == article_of(r["html"]) for r in pages)
+    assert right >= 0.9 * len(pages)
+
+
+def test_headings_and_odd_parts_of_the_content_stay(spark):
+    """A heading beside the holder, and an element that only one page has."""
+    filler = "and so it goes on for quite some words on this page"
+    bodies = [
+        f"<div>Ad {i * 37}</div><h1>Title {i}</h1><div><p>Page {i} says {filler} {i}</p>{'<pre>code</pre>' if i == 3 else ''}</div><div>Foot {i * 7}</div>"
+        for i in range(9)
+    ]
+    found = {r["page_id"]: r["text"] for r in main_texts(framed(spark, bodies)).collect()}
+    assert found == {i: f"Title {i}\nPage {i} says {filler} {i}" + ("\ncode" if i == 3 else "") for i in range(9)}
+
+
+def test_deep_templates_go(spark):
+    """Pages of 300 levels, whose frame and content lie at the bottom."""
+    deep = "<div><section>" * 150
+    end = "</section></div>" * 150
+    bodies = [f"{deep}<p>The frame</p><p>Page {i} says so</p><div>{'<b>' * 90}Terms of use</div>{end}" for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in main_texts(framed(spark, bodies)).collect()}
+    assert found == {i: f"Page {i} says so" for i in range(6)}
+
+
 @pytest.mark.parametrize(
     "page, wanted",
     [
