@@ -16,6 +16,7 @@ from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ MEMO_ENTRIES = 200_000
 #: Longer pre-tokens are merged but not remembered.
 MEMO_BYTES = 64
 CHUNK_BYTES = 1 << 20
+#: Longer texts, and more tokens, are worked off in runs of so many pre-tokens or tokens.
+LONG = 1 << 18
 
 _MASK = (1 << 64) - 1
 
@@ -131,7 +134,7 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, hashed: PerfectHash) -> None:
         import regex
 
-        self.find = regex.compile(pattern).findall
+        self.pattern = regex.compile(pattern)
         self.ranks = ranks
         self.hashed = hashed
         self.memo: dict[str, bytes] = {}
@@ -151,7 +154,11 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         known = self.memo.get
-        return b"".join([known(piece) or self.piece(piece) for piece in self.find(text)])
+        if len(text) <= LONG:
+            return b"".join([known(piece) or self.piece(piece) for piece in self.pattern.findall(text)])
+        found = (match.group() for match in self.pattern.finditer(text))  # so that not all of them are held
+        runs = iter(lambda: b"".join([known(piece) or self.piece(piece) for piece in islice(found, LONG)]), b"")
+        return b"".join(runs)
 
 
 _codecs: dict[tuple[int, str], Codec] = {}
@@ -224,7 +231,12 @@ def decode(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
                 ids = np.frombuffer(data[offsets[a] : offsets[b]].tobytes(), "<u4")
                 size = lengths[ids]
                 into = np.concatenate([[0], np.cumsum(size)])
-                decoded = flat[np.repeat(starts[ids] - into[:-1], size) + np.arange(into[-1])]
+                decoded = np.empty(into[-1], np.uint8)
+                for first in range(0, len(ids), LONG):
+                    last = min(first + LONG, len(ids))
+                    low, high = into[first], into[last]
+                    source = np.repeat(starts[ids[first:last]] - into[first:last], size[first:last]) + np.arange(low, high)
+                    decoded[low:high] = flat[source]
                 part = batch.slice(a, b - a)
                 columns = [part.column(name) for name in names]
                 columns.append(_binary(decoded, into[(offsets[a : b + 1] - offsets[a]) // 4]))

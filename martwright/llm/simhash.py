@@ -10,6 +10,7 @@ the linked fingerprints it has found, not their pairs, and the stars are joined
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -23,30 +24,56 @@ from martwright.llm.store import stored
 from martwright.llm.text import as_bytes
 
 BITS = 64
+#: Bytes of a text whose words are looked at together, about.
+PIECE = 1 << 20
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 #: Fingerprints in a tree, and in the part of a shard that searches it.
 CHUNK = 8192
 #: Pairs of query and node that are looked at together.
 FRONTIER = 2 << 20
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """Majority bits of the XXH64 of all shingles; 0 for a text without words."""
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """``text`` cut where it has white space, into pieces of about ``PIECE`` bytes."""
+    start = 0
+    while start < len(text):
+        found = _SPACE.search(text, start + PIECE)
+        end = found.start() if found else len(text)
+        yield text[start:end]
+        start = end
+
+
+def _hashes(words: list[bytes], size: int) -> np.ndarray:
+    """XXH64 of all runs of ``size`` of the words, joined by a space; as rows of bytes."""
     import xxhash
 
-    words = text.lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = ends - [len(w) for w in words]
-    size = min(shingle, len(words))
     digest = xxhash.xxh64_intdigest
     hashes = np.array(
         [digest(joined[a:b], 42) for a, b in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)],
         "<u8",
     )
-    counts = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(hashes), bitorder="little").tobytes(), "little")
+    return hashes.view(np.uint8).reshape(-1, 8)
+
+
+def fingerprint(text: bytes, shingle: int) -> int:
+    """Majority bits of the XXH64 of all shingles; 0 for a text without words. Long texts are worked off in pieces."""
+    counts, total = np.zeros(BITS, np.int64), 0
+    words: list[bytes] = []
+    for piece in _pieces(text):
+        words += piece.lower().split()
+        if len(words) >= shingle:
+            hashes = _hashes(words, shingle)
+            counts += np.unpackbits(hashes, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+            total += len(hashes)
+            words = words[len(words) - shingle + 1 :]
+    if not total:
+        if not words:
+            return 0
+        counts, total = np.unpackbits(_hashes(words, len(words)), axis=1, bitorder="little").sum(axis=0, dtype=np.int64), 1
+    return int.from_bytes(np.packbits(counts * 2 > total, bitorder="little").tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

@@ -76,3 +76,20 @@ def test_memo_is_bounded(tokenizer, monkeypatch):
     ids = np.frombuffer(codec.encode(text), "<u4")
     tokens = {rank: token for token, rank in tokenizer.ranks.items()}
     assert b"".join(tokens[i] for i in ids.tolist()) == text.encode() and len(codec.memo) <= 5
+
+
+@pytest.mark.parametrize("run", [1, 5, 1 << 18])
+def test_long_texts_in_runs(spark, tokenizer, reference, monkeypatch, run):
+    monkeypatch.setattr(bpe, "LONG", run)
+    codec = bpe.Codec(tokenizer.ranks, tokenizer.pattern, tokenizer.hashed)
+    for text in TEXTS:
+        assert np.frombuffer(codec.encode(text or ""), "<u4").tolist() == reference.encode_ordinary(text or "")
+
+
+def test_a_text_of_many_megabytes(spark, tokenizer, reference):
+    text = "The 1,234 quick brown foxes don't jump; été, 日本語.\n" * 160_000
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (found,) = bpe.decode(bpe.encode(frame, tokenizer), tokenizer).collect()
+    assert len(text.encode()) > 8e6 and bytes(found["decoded"]) == text.encode()
+    once = reference.encode_ordinary(text[: text.index("\n") + 1] * 3)
+    assert found["n_tokens"] == len(once) // 3 * 160_000

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -101,3 +102,23 @@ def test_components_of_paths_and_stars(spark):
     found = dict(rows(components(frame)))
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 160)}, 500: 499}
     assert rows(components(frame.limit(0))) == []
+
+
+@pytest.mark.parametrize("shingle", [1, 2, 3, 5])
+def test_texts_in_pieces(monkeypatch, shingle):
+    rng = random.Random(shingle)
+    texts = ["", "  ", "one", "one two", " a\n\nb\tc  d ", *(" ".join(rng.choices(["ab", "C", "déf", "g" * 9], k=rng.randint(0, 90))) for _ in range(40))]
+    for piece in (1, 7, 1 << 20):
+        monkeypatch.setattr(simhash, "PIECE", piece)
+        assert [fingerprint(t.encode(), shingle) for t in texts] == [plain_fingerprint(t, shingle) for t in texts]
+
+
+def test_memory_of_a_long_text():
+    text = b" ".join(b"word%d" % (i % 50_000) for i in range(2_000_000))
+    tracemalloc.start()
+    try:
+        fingerprint(text, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(text) > 18e6 and peak < 60e6
