@@ -28,52 +28,85 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import IntegralType
 
 from martwright.llm.ship import lean, lean_group, shipped
+from martwright.llm.store import stored
 from martwright.llm.text import NOT_SPACE, Hasher, Words, digests, words_of
 from martwright.sources.scratch import scratch_dir
 
 #: Windows in a hash bucket, about.
-BUCKET_WINDOWS = 4_000_000
+BUCKET_WINDOWS = 16_000_000
+#: Bytes of text that are hashed at a time: more, up to a bound, where there are so many buckets that a chunk would send
+#: each of them a few windows only.
 CHUNK_BYTES = (2 << 20) - 64
+MOST_CHUNK_BYTES = (16 << 20) - 64
+_BYTES_PER_BUCKET = 400
+#: Text of a shard, about, which two of the steps hold in one worker; and how many times as large texts are as their files.
+SHARD_BYTES = 256 << 20
+_UNPACKED = 4
 
 _anchor = Hasher(51)
 _full = Hasher(52)
 _LAST = (1 << 63) - 1
 
 
+def _order(docs: DataFrame) -> DataFrame:
+    """(id, doc_id, text): ``id`` is a long in the order of doc_id; a null doc_id is the largest.
+
+    Whole numbers are their own; other ids, such as text, are numbered in the order of their type.
+    """
+    rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), "doc_id", "text")
+    ids = rows.select(F.col("doc_id").alias("own")).where("own is not null").distinct().orderBy("own")
+    numbered = stored(ids.select("own", F.monotonically_increasing_id().alias("number")))
+    known = rows.join(numbered, rows["doc_id"] == numbered["own"], "left")
+    return known.select(F.coalesce("number", F.lit(_LAST)).alias("id"), "doc_id", "text")
+
+
 def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(shard, place, id, doc_id, text) as a bucketed table, and its bytes of text.
+    """(shard, place, id, doc_id, text) as a bucketed table sorted by shard, and its bytes of text.
 
-    A shard is what one task has read. Its number is chosen so that the shards spread evenly over the buckets.
+    A shard is what one task has read, or one of several equal parts of it where tasks may read more than
+    ``SHARD_BYTES``. Its number is chosen so that the shards spread evenly over the buckets. The numbers reach the tasks as
+    a table of a row for each shard.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", docs["text"].cast("string").alias("text"))
-    tasks = max(1, rows.rdd.getNumPartitions())
-    buckets = min(tasks, 4096)
-    candidate = spark.range(40 * tasks + 1000).select(F.col("id").cast("int").alias("shard"))
+    rows = _order(docs)
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    each = max(1, -(-_UNPACKED * in_bytes(str(spark.conf.get("spark.sql.files.maxPartitionBytes"))) // SHARD_BYTES))
+    shards = max(1, rows.rdd.getNumPartitions()) * each
+    buckets = min(shards, 4096)
+    candidate = spark.range(40 * shards + 1000).select(F.col("id").cast("int").alias("shard"))
     candidate = candidate.withColumn("bucket", F.pmod(F.hash("shard"), F.lit(buckets)))
     candidate = candidate.withColumn("round", F.row_number().over(Window.partitionBy("bucket").orderBy("shard")) - 1)
-    chosen = candidate.where(F.col("round") * buckets + F.col("bucket") < tasks).collect()
-    shard_of = {r["round"] * buckets + r["bucket"]: r["shard"] for r in chosen}
-    numbers = F.array(*(F.lit(shard_of[i]) for i in range(tasks)))
-    name, path = f"martwright_{uuid4().hex}", scratch_dir(spark)
-    (
-        rows.select(
-            F.element_at(numbers, F.spark_partition_id() + 1).alias("shard"),
-            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-            F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"),
-            "doc_id",
-            "text",
-        )
-        .write.format("parquet")
-        .option("path", path)
-        .option("compression", "zstd")
-        .bucketBy(buckets, "shard")
-        .saveAsTable(name)
+    numbered = candidate.withColumn("number", F.col("round") * buckets + F.col("bucket")).where(F.col("number") < shards)
+    place = F.monotonically_increasing_id()
+    read = rows.select(
+        (F.spark_partition_id() * each + F.pmod(F.xxhash64(place), F.lit(each))).cast("int").alias("number"),
+        place.bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+        "id",
+        "doc_id",
+        "text",
     )
-    table = spark.table(name)
-    spark.sql(f"drop table {name}")  # leaves the files, which the plan names by itself
+    path = scratch_dir(spark)
+    database = f"martwright_{uuid4().hex}"
+    spark.sql(f"create database `{database}`")
+    try:
+        (
+            read.join(F.broadcast(numbered.select("number", "shard")), "number")
+            .select("shard", "place", "id", "doc_id", "text")
+            .write.format("parquet")
+            .option("path", path)
+            .option("compression", "zstd")
+            .bucketBy(buckets, "shard")
+            .sortBy("shard")
+            .saveAsTable(f"`{database}`.`shards`")
+        )
+        table = spark.table(f"`{database}`.`shards`")
+    finally:  # the files stay, which the plan names by itself
+        spark.sql(f"drop database `{database}` cascade")
     total = table.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     return table, total
 
@@ -101,13 +134,17 @@ def _probe_hashes(words: Words, block: int, buckets: int) -> tuple[np.ndarray, n
     return start, _bucket(hashes, buckets) << np.uint64(31) | hashes & np.uint64(0x7FFFFFFF)
 
 
+def chunk_bytes(buckets: int) -> int:
+    return min(max(CHUNK_BYTES, _BYTES_PER_BUCKET * buckets), MOST_CHUNK_BYTES)
+
+
 def _probes(block: int, buckets: int):
     """Rolling windows of block length, and whether they are indexed blocks: of equal ones of a chunk the first and last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shards = batch.column("shard").to_numpy()
-            for words in words_of(batch.column("text"), NOT_SPACE, CHUNK_BYTES):
+            for words in words_of(batch.column("text"), NOT_SPACE, chunk_bytes(buckets)):
                 start, keys = _probe_hashes(words, block, buckets)
                 shard = shards[words.row_of_words()[start] + words.first_row]
                 entry = keys << np.uint64(1) | (_positions(words)[start] % block == 0).astype(np.uint64)
@@ -314,8 +351,8 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 
     Words are runs of other characters than ASCII white space; ``kept`` joins them by one space. A word goes if a window
     of ``window`` words covers it whose word sequence also starts in a document with a smaller doc_id, as the input has
-    it. Ids are compared as integers; a null id is larger than all others, and rows with the same id (or with null)
-    are one document, which repeats nothing of its own. Null texts have no words. Other columns are dropped.
+    it. Ids are compared in the order of their type; a null id is larger than all others, and rows with the same id (or
+    with null) are one document, which repeats nothing of its own. Null texts have no words. Other columns are dropped.
     """
     from pyspark.sql.pandas.types import to_arrow_type
 

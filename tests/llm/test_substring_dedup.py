@@ -80,6 +80,39 @@ def test_windows_with_equal_hashes_are_told_apart(spark):
     assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {0: 0, 1: 0, 2: 61}
 
 
+def test_ids_of_other_types(spark):
+    same = " ".join(f"w{i}" for i in range(60))
+    for kind, ids in (("string", ["b", "a", "10", "9", None]), ("decimal(5,1)", [3, 2, 1, 5, None]), ("double", [1.5, -2.0, 7.0, 0.0, None])):
+        frame = spark.createDataFrame([(str(i) if i is not None else None, same) for i in ids], "doc_id string, text string")
+        found = without_repeats(frame.selectExpr(f"cast(doc_id as {kind}) as doc_id", "text")).collect()
+        kept = [r["doc_id"] for r in found if r["n_removed"] == 0]
+        known = [r["doc_id"] for r in found if r["doc_id"] is not None]
+        assert kept == [min(known)] and len(found) == 5
+
+
+def test_shards_are_bounded_and_their_numbers_no_part_of_the_plan(spark, documents, monkeypatch):
+    from martwright.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 100 << 20)  # tasks of 128 MB of files: six shards each
+    frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
+    table, total = substring_dedup._shards(frame)
+    sizes = {r["shard"]: r["n"] for r in table.groupBy("shard").agg({"place": "count"}).withColumnRenamed("count(place)", "n").collect()}
+    assert len(sizes) > 12 and sum(sizes.values()) == len(documents) and max(sizes.values()) < len(documents) / 4
+    assert total == sum(len((t or "").encode()) for _, t in documents)
+    assert not [x for x in spark.catalog.listDatabases() if x.name.startswith("martwright_")]
+    assert rows(without_repeats(frame)) == plain(documents, 50)
+
+
+def test_a_chunk_sends_a_bounded_number_of_rows():
+    """With more buckets the chunks grow, so rows hold tens of windows until the chunks' own bound is met."""
+    from martwright.llm import substring_dedup
+
+    assert substring_dedup.chunk_bytes(12) == substring_dedup.CHUNK_BYTES
+    for buckets in (12, 1_000, 20_000, 40_000, 300_000):
+        words = substring_dedup.chunk_bytes(buckets) / 6.2
+        assert words / buckets >= min(60, substring_dedup.MOST_CHUNK_BYTES / 6.2 / buckets)
+
+
 def test_texts_are_not_shuffled(spark, documents):
     frame = spark.createDataFrame(documents, "doc_id long, text string")
     plan = without_repeats(frame)._jdf.queryExecution().executedPlan().toString()
