@@ -29,7 +29,8 @@ from martwright.llm.components import components
 from martwright.llm.ship import lean, shipped
 from martwright.llm.store import stored
 
-#: Places in a neighbour list at first, and projection trees.
+#: Places in a neighbour list at first, and projection trees. A tree's blocks are islands, so there must be two at least for
+#: a neighbour's neighbour to lie beyond.
 NEIGHBOURS = 12
 TREES = 4
 #: Rows of a block of a tree.
@@ -454,7 +455,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, neighbours: int
         F.count("*").alias("copies"), F.min("vec_id").alias("smallest"), F.any_value("label").alias("label"), F.any_value("vector").alias("vector")
     )
     points = stored(classes.withColumn("cid", F.monotonically_increasing_id()))
-    home, counts = neighbour_graph(points, threshold, neighbours, trees)
+    home, counts = neighbour_graph(points, threshold, neighbours, max(2, trees))
     rooted = _at_home(points.select("cid", "key", "copies", "smallest"), home)
     named = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     about = rooted.join(named, "root").join(counts, "cid", "left").select(
