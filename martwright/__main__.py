@@ -6,11 +6,11 @@ import argparse
 import logging
 import sys
 
-from martwright.plans import jobs, quality
+from martwright.plans import history, jobs, quality
 from martwright.session import build_session
 from martwright.sources.layout import Layout, new_run_id
 
-STAGES = ("bronze", "silver", "gold", "quality", "counts", "publish")
+STAGES = ("bronze", "silver", "gold", "quality", "references", "counts", "history", "publish")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--strict", action="store_true", help="leave records that do not fit the contract out of bronze")
     parser.add_argument("--resume", action="store_true", help="leave tables that are made from the inputs as they are now")
     parser.add_argument("--partition-facts", action="store_true", help="store the facts by month of purchase")
+    parser.add_argument("--no-buckets", action="store_true", help="do not store silver orders, items and payments in buckets")
     parser.add_argument("--database", help="database to publish the gold tables in")
     parser.add_argument("stages", nargs="+", choices=STAGES)
     args = parser.parse_args(argv)
@@ -33,6 +34,13 @@ def main(argv: list[str] | None = None) -> int:
         if stage == "publish":
             jobs.publish_gold(spark, layout, args.database)
             continue
+        if stage == "references":
+            jobs.check_references(spark, layout).show(50, truncate=False)
+            continue
+        if stage == "history":
+            history.run_changes(history.stored_metrics(spark, layout)).orderBy("stage", "dataset", "run_id").show(200, truncate=False)
+            history.rule_changes(history.stored_reports(spark, layout)).orderBy("dataset", "rule", "run_id").show(200, truncate=False)
+            continue
         if stage == "counts":
             jobs.check_record_counts(spark, layout).show(truncate=False)
             continue
@@ -46,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         if stage == "bronze":
             metrics = jobs.run_bronze(spark, layout, infer=args.infer, strict=args.strict, resume=args.resume)
         elif stage == "silver":
-            metrics = jobs.run_silver(spark, layout, resume=args.resume)
+            metrics = jobs.run_silver(spark, layout, colocate=not args.no_buckets, resume=args.resume)
         else:
             metrics = jobs.run_gold(spark, layout, partition_facts=args.partition_facts, resume=args.resume)
         metrics.write.mode("overwrite").parquet(layout.run_metrics(run_id, stage))

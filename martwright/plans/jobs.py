@@ -237,6 +237,11 @@ def run_quality(spark: SparkSession, layout: Layout, run_id: str | None = None)
     return spark.read.schema(REPORT).option("header", True).csv(target)
 
 
+def check_references(spark: SparkSession, layout: Layout, layer: str = "bronze") -> DataFrame:
+    """Orphans of each relation between the tables of a layer; one over a table that is not there is not checked."""
+    return quality.reference_report(_found(spark, layout, layer, DATASETS))
+
+
 def check_record_counts(spark: SparkSession, layout: Layout, datasets: Iterable[str] = DATASETS) -> DataFrame:
     """Rows of each bronze table against those of its silver table; one that is not there is not checked."""
     names = list(datasets)

@@ -203,8 +203,10 @@ def test_silver_of_silver_is_silver(spark, tmp_path):
 def test_command_line(spark, layout, conf, capsys):
     conf("spark.sql.shuffle.partitions", "8")
     conf("spark.sql.files.maxPartitionBytes", "128MB")
-    assert main(["--root", layout.root, "bronze", "silver", "gold", "quality", "counts", "publish"]) == 0
+    stages = ["bronze", "silver", "gold", "quality", "references", "counts", "history", "publish"]
+    assert main(["--root", layout.root, *stages]) == 0
     out = capsys.readouterr().out
+    assert "Reference check: customer_id in customers" in out and "FIRST CHECK" in out
     assert "customers - Duplicate check: ['customer_id']: 1" in out
     assert spark.sql("select count(*) from fact_orders").first()[0] == 5
     for name in jobs.GOLD_TABLES:
