@@ -29,7 +29,7 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 _NUMBER = r"(?<![0-9A-Za-z.@-])\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z@])"
 _SECRET = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])(?=[0-9_+/-]*+[A-Za-z])[A-Za-z0-9_+/-]{16,}+"
-_NAME = r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Señor|Señora)\.? \p{Lu}\p{L}+"
+_NAME = r"(?<!\p{L})(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Mme|Señor|Señora)\.? \p{Lu}[\p{L}'-]*+(?: \p{Lu}[\p{L}'-]++){0,2}"
 
 #: Gazetteers of the labelers: how secrets begin, and words before a span that speak for or against personal data.
 _PREFIXES = r"^(?:AKIA|ASIA|gh[pousr]_|sk-|pk_|xox[abp]-|AIza|eyJ)"
@@ -39,6 +39,13 @@ _CUES = (
 )
 _AGAINST = r"(?i)(?:page|version|chapter|figure|isbn|order|year|vol|no|nr|seite|página|§)\W{0,3}$"
 
+#: Titles that nothing but a name follows, and offices and other words that follow titles and are no names.
+_TITLES = r"^(?:Mrs?|Herr|Frau|Mme|Señora?)\b"
+_OFFICES = (
+    r"^\p{L}+\.? (?:Speaker|President|Chairman|Chairwoman|Chair|Minister|Ministerin|Secretary|Ambassador|Professor|Doctor|Doktor|Justice"
+    r"|Right|Wrong|Nobody|Präsident|Präsidentin|Kanzler|Kanzlerin|Président|Présidente|Ministre|Presidente|Presidenta|Ministra|Ministro)\b"
+)
+
 #: Items that are folded at a time.
 RUN = 256
 
@@ -164,18 +171,21 @@ def _judged(candidate: Column) -> Column:
     n, size = F.length(digits(value)), F.length(value)
     number, secret, name = kind == 0, kind == 1, kind == 2
     cue, against = before.rlike(_CUES), before.rlike(_AGAINST)
-    known = value.rlike(_PREFIXES) | name
+    # a name has small letters, and more than two of all in its first word
+    office, spelt, short = value.rlike(_OFFICES), value.rlike(r" \p{Lu}['-]?\p{Ll}"), ~value.rlike(r"^\p{L}+\.? [\p{L}'-]{3}")
+    shaped = name & spelt & ~short & ~office
+    known = value.rlike(_PREFIXES) | name & ~office & value.rlike(_TITLES) | shaped & value.rlike(r"^\p{L}+\.? \S+ ")
     grouped = value.rlike(r"^\+?[0-9]{1,3} \(?[0-9]{2,4}\)? ?[0-9]{3}|^(?:[0-9]{4}[ -]){3}[0-9]{4}|^\+[0-9]")
     mixed = value.rlike("[a-z]") & value.rlike("[A-Z]") | value.rlike("^[0-9A-Fa-f]{32,}$") | value.rlike("^[0-9A-Z]{20}$")
     # the base patterns drop a run of several numbers, of which one may pass
     part = F.exists(F.split(value, "[ -]"), lambda p: F.length(digits(p)).between(12, 19) & luhn(p))
     sound = number & (n.between(12, 19) & luhn(value) | (n > 19) & part)
     votes = {
-        "regex": _vote(overlaps | number & grouped | secret & mixed | name, number & (n < 9) & ~grouped),
-        "gazetteer": _vote(known, against),
+        "regex": _vote(overlaps | number & grouped | secret & mixed | shaped, number & (n < 9) & ~grouped | name & ~shaped),
+        "gazetteer": _vote(known, against | name & office),
         "context": _vote(cue, against),
         "checksum": _vote(sound | overlaps | secret & mixed, number & n.between(12, 19)),
-        "length": _vote(number & n.between(9, 19) | secret & (size >= 20) | name, number & (n < 9)),
+        "length": _vote(number & n.between(9, 19) | secret & (size >= 20) | name & ~short, number & (n < 9) | name & short),
     }
     features = {
         "kind": kind,
@@ -184,7 +194,7 @@ def _judged(candidate: Column) -> Column:
         "cue": F.when(cue, 2).when(against, 0).otherwise(1),
         "known": known.cast("int"),
         "checksum": sound.cast("int"),
-        "mixed": (secret & mixed | number & grouped).cast("int"),
+        "mixed": (secret & mixed | number & grouped | shaped).cast("int"),
     }
     return F.struct(
         kind.alias("kind"),
