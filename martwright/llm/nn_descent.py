@@ -51,6 +51,8 @@ HALF = 0.002
 
 EDGES = "a long, b long, sim double"
 Batches = Iterator[pa.RecordBatch]
+#: Of a group: columns of rows, any number of times.
+Work = Callable[[pa.Table], Iterator[tuple[np.ndarray, ...]]]
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -84,7 +86,7 @@ def _new(table: pa.Table, names: list[str]) -> np.ndarray:
     return new
 
 
-def grouped(work: Callable[[pa.Table], Iterator[tuple[np.ndarray, ...]]], names: list[str], most: int, schema: list[str]) -> Callable[[Batches], Batches]:
+def grouped(work: Work, names: list[str], most: int, schema: list[str]) -> Callable[[Batches], Batches]:
     """A function of sorted batches that calls ``work`` with groups: rows with equal ``names``, or ``most`` rows of them."""
 
     def cut(rest: pa.Table, last: bool) -> tuple[list[pa.Table], pa.Table]:
@@ -266,8 +268,8 @@ def cosine(a: Column, b: Column) -> Column:
 def links_of(points: DataFrame, edges: DataFrame, threshold: float) -> DataFrame:
     """(a, b) with a < b: the pairs of ``edges`` whose cosine in double precision is at the threshold or above."""
     near = edges.where(F.col("sim") >= threshold - HALF)
-    pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sim").groupBy("a", "b").agg(F.max("sim").alias("sim"))
-    pairs = stored(pairs)
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    pairs = stored(near.select(*ends, "sim").groupBy("a", "b").agg(F.max("sim").alias("sim")))
     sure = pairs.where(F.col("sim") >= threshold + HALF).select("a", "b")
     left, right = (points.select(F.col("cid").alias(side), F.col("vector").alias(f"vector_{side}")) for side in "ab")
     close = pairs.where(F.col("sim") < threshold + HALF).join(left, "a").join(right, "b")
@@ -316,14 +318,16 @@ class Graph:
 
     def saturated(self, most: int) -> DataFrame:
         """Roots of components with a point all of whose places are links."""
-        full = self.lists.where(F.col("sim") >= self.threshold - HALF).groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= most)
+        near = self.lists.where(F.col("sim") >= self.threshold - HALF)
+        full = near.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") >= most)
         return _at_home(full.select(F.col("a").alias("cid")), self.home).select("root").distinct()
 
     def outside(self) -> None:
         """Only the edges between components are left in the lists."""
-        there = _at_home(self.lists.withColumnRenamed("a", "cid"), self.home).select(F.col("cid").alias("a"), F.col("b").alias("cid"), "sim", "born", F.col("root").alias("root_a"))
-        both = _at_home(there.withColumnRenamed("root_a", "other"), self.home)
-        self.lists = stored(both.where("root <> other").select("a", F.col("cid").alias("b"), "sim", "born"))
+        left = _at_home(self.lists.withColumnRenamed("a", "cid"), self.home)
+        there = left.select(F.col("cid").alias("a"), F.col("b").alias("cid"), "sim", "born", F.col("root").alias("own"))
+        both = _at_home(there, self.home)
+        self.lists = stored(both.where("root <> own").select("a", F.col("cid").alias("b"), "sim", "born"))
 
 
 def neighbour_graph(points: DataFrame, threshold: float, most: int, trees: int) -> tuple[DataFrame, DataFrame]:
@@ -426,7 +430,8 @@ def audit(points: DataFrame, found: DataFrame, threshold: float) -> float:
                 near = (asks @ unit(np.stack([rows[i] for i in at])).T >= threshold) & (of[:, None] != own[at][None, :])
                 yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(near @ copies[at])], names=["cid", "n"])
 
-    true = points.select("cid", "label", "vector", "copies").mapInArrow(lean(run), "cid long, n long").groupBy("cid").agg(F.sum("n").alias("true"))
+    compared = points.select("cid", "label", "vector", "copies").mapInArrow(lean(run), "cid long, n long")
+    true = compared.groupBy("cid").agg(F.sum("n").alias("true"))
     met = true.join(found, "cid", "left").agg(F.sum("true"), F.sum(F.least(F.col("true"), F.coalesce("n", F.lit(0))))).first()
     return met[1] / met[0] if met[0] else 1.0
 
@@ -451,8 +456,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, neighbours: int
     )
     key = F.unhex(F.sha2(F.concat_ws(" ", F.col("label"), F.col("vector").cast("string")), 256))
     keyed = rows.withColumn("key", F.when(F.col("label").isNotNull() & usable(F.col("vector")), key))
+    alike = [F.any_value(name).alias(name) for name in ("label", "vector")]
     classes = keyed.where("key is not null").groupBy("key").agg(
-        F.count("*").alias("copies"), F.min("vec_id").alias("smallest"), F.any_value("label").alias("label"), F.any_value("vector").alias("vector")
+        F.count("*").alias("copies"), F.min("vec_id").alias("smallest"), *alike
     )
     points = stored(classes.withColumn("cid", F.monotonically_increasing_id()))
     home, counts = neighbour_graph(points, threshold, neighbours, max(2, trees))

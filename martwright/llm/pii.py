@@ -42,8 +42,9 @@ _AGAINST = r"(?i)(?:page|version|chapter|figure|isbn|order|year|vol|no|nr|seite|
 #: Titles that nothing but a name follows, and offices and other words that follow titles and are no names.
 _TITLES = r"^(?:Mrs?|Herr|Frau|Mme|Señora?)\b"
 _OFFICES = (
-    r"^\p{L}+\.? (?:Speaker|President|Chairman|Chairwoman|Chair|Minister|Ministerin|Secretary|Ambassador|Professor|Doctor|Doktor|Justice"
-    r"|Right|Wrong|Nobody|Präsident|Präsidentin|Kanzler|Kanzlerin|Président|Présidente|Ministre|Presidente|Presidenta|Ministra|Ministro)\b"
+    r"^\p{L}+\.? (?:Speaker|President|Chairman|Chairwoman|Chair|Minister|Ministerin|Secretary|Ambassador|Professor|Doctor|Doktor"
+    r"|Justice|Right|Wrong|Nobody|Präsident|Präsidentin|Kanzler|Kanzlerin|Président|Présidente|Ministre|Presidente|Presidenta"
+    r"|Ministra|Ministro)\b"
 )
 
 #: Items that are folded at a time.

@@ -46,7 +46,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column,
         wanted = wanted.where(hash_fraction(F.col("doc_id")) < F.element_at(rate, F.col("label")))
     # ``wanted`` has no more than about ``bound`` rows of an id and a number, so the documents need not be shuffled
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    met = F.broadcast(wanted).join(docs.select("doc_id", text.alias("text")), "doc_id").select(F.col("doc_id").alias("key"), "text", "label")
+    met = F.broadcast(wanted).join(docs.select("doc_id", text.alias("text")), "doc_id")
+    met = met.select(F.col("doc_id").alias("key"), "text", "label")
     kept = bounded_rows(met.withColumn("digest", F.xxhash64("key", "text")), 2 * bound, FIT_BYTES)
     return kept.dropDuplicates(["key", "text"]).select("key", "text", "label")
 
