@@ -37,6 +37,10 @@ VERSION_SHARE = 2 / 3
 #: The article's holder is looked for from the root down: an element that holds this share of the varying text of its
 #: parent, over all pages of the layout, is gone into.
 HELD = 0.75
+#: Distinct trees of a host that meet in one task, about; a host with more has them dealt over several. That is done again
+#: with the leaders found as long as this share of them is left at most.
+SHAPES = 2000
+MOST_LEFT = 0.9
 #: Trees are of one layout if this share of their nodes is aligned.
 ALIKE = 0.75
 
@@ -614,33 +618,81 @@ _LAYOUT = pa.schema(
 )
 
 
-def _layouts(table: pa.Table) -> pa.Table:
-    """Groups of the trees of a host: all of them (-1) and, if there are several, the layouts.
+_LEADER = pa.schema([pa.field("host", pa.string()), pa.field("shape", pa.int64()), pa.field("n", pa.int64()), pa.field("tree", pa.string())])
 
-    ``tree`` is a group's leader, in the leader's row.
-    """
-    shapes = sorted(table.select(["shape", "n", "tree"]).to_pylist(), key=lambda r: (-r["n"], r["shape"]))
-    name = table.column("host")[0].as_py()
-    pages = [read_tree(r["tree"]) for r in shapes]
+
+def _by_frequency(table: pa.Table) -> list[dict]:
+    return sorted(table.select(["shape", "n", "tree"]).to_pylist(), key=lambda r: (-r["n"], r["shape"]))
+
+
+def _leaders(table: pa.Table) -> pa.Table:
+    """Of some trees of a host those that are like none that is more frequent."""
     leaders: list[Page] = []
-    found = []
-    for page in pages:
-        layout, nodes = first_alike(page, leaders)
-        tree = None
-        if layout < 0:
-            layout, nodes, tree = len(leaders), list(range(len(page.labels))), written_tree(page)
+    out = []
+    for row in _by_frequency(table):
+        page = read_tree(row["tree"])
+        if first_alike(page, leaders)[0] < 0:
             leaders.append(page)
-        found.append((layout, tree, nodes))
+            out.append({"host": table.column("host")[0].as_py(), **row})
+    return pa.Table.from_pylist(out, schema=_LEADER)
+
+
+def _assigned(trees: pa.Table, leaders: pa.Table) -> pa.Table:
+    """The groups of some trees of a host, given all its leaders: all trees (-1) and, if there are several, the layouts.
+
+    ``tree`` is a group's leader, in the leader's row.
+    """
+    if not trees.num_rows:
+        return _LAYOUT.empty_table()
+    name, known = trees.column("host")[0].as_py(), _by_frequency(leaders)
+    pages = [read_tree(r["tree"]) for r in known]
     out = []
-    for r, page, (layout, tree, nodes) in zip(shapes, pages, found, strict=True):
+    for r in trees.select(["shape", "tree"]).to_pylist():
+        page = read_tree(r["tree"])
         row = {"host": name, "shape": r["shape"]}
-        whole = nodes if layout == 0 else match_trees(page, leaders[0])
-        out.append(row | {"layout": -1, "tree": None if out else tree, "aligned": whole})
-        if len(leaders) > 1:
-            out.append(row | {"layout": layout, "tree": tree, "aligned": nodes})
+        layout, nodes = first_alike(page, pages)
+        whole = nodes if layout == 0 else match_trees(page, pages[0])
+        out.append(row | {"layout": -1, "tree": r["tree"] if r["shape"] == known[0]["shape"] else None, "aligned": whole})
+        if len(pages) > 1 and layout >= 0:
+            out.append(row | {"layout": layout, "tree": r["tree"] if r["shape"] == known[layout]["shape"] else None, "aligned": nodes})
     return pa.Table.from_pylist(out, schema=_LAYOUT)
 
 
+def _salted(trees: DataFrame) -> DataFrame:
+    """Trees of a host dealt into as many groups as it needs for ``SHAPES`` in each, about: (host, salt, salts, ...)."""
+    salts = trees.groupBy("host").agg(F.ceil(F.count("*") / SHAPES).cast("int").alias("salts"))
+    return trees.join(salts, "host").withColumn("salt", F.pmod(F.xxhash64("shape"), F.col("salts")).cast("int"))
+
+
+def layouts_of(trees: DataFrame) -> DataFrame:
+    """(host, shape, layout, tree, aligned) of the trees (host, shape, n, tree), n being the pages of a tree.
+
+    Leaders are looked for in groups of bounded size, then among the leaders found, until each host has one group or
+    its leaders are no fewer than before; then each tree is compared with its host's leaders, in groups again.
+    """
+    found = trees
+    while True:
+        count, most = found.groupBy("host").count().agg(F.sum("count"), F.max("count")).first()
+        done = not most or most <= SHAPES
+        dealt = found.withColumn("salt", F.lit(0)) if done else _salted(found).drop("salts")
+        leaders = dealt.groupBy("host", "salt").applyInArrow(lean_group(_leaders), "host string, shape long, n long, tree string")
+        found = stored(leaders)
+        if done:
+            break
+        if found.count() > MOST_LEFT * count:  # nearly every tree is a layout of its own
+            found = stored(found.groupBy("host").applyInArrow(lean_group(_leaders), "host string, shape long, n long, tree string"))
+            break
+    own = _salted(trees)
+    sent = found.join(own.groupBy("host").agg(F.max("salts").alias("salts")), "host")
+    sent = sent.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return (
+        own.drop("salts")
+        .groupBy("host", "salt")
+        .cogroup(sent.groupBy("host", "salt"))
+        .applyInArrow(lean_group(_assigned), "host string, shape long, layout int, tree string, aligned array<int>")
+    )
+
+
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache: dict[str, Wrapper] = {}
     for batch in batches:
@@ -675,10 +727,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     distinct = stored(distinct.select("host", "page.*"))
     trees = seen.where(F.col("tree").isNotNull()).groupBy("host", "shape").agg(F.max("tree").alias("tree"))
     shapes = distinct.groupBy("host", "shape").agg(F.count("*").alias("n")).join(trees, ["host", "shape"])
-    layouts = shapes.groupBy("host").applyInArrow(
-        lean_group(_layouts), "host string, shape long, layout int, tree string, aligned array<int>"
-    )
-    layouts = stored(layouts)
+    layouts = stored(layouts_of(stored(shapes.select("host", "shape", "n", "tree"))))
     leaders = layouts.where(F.col("tree").isNotNull()).select("host", "layout", "tree")
     members = distinct.join(layouts.drop("tree"), ["host", "shape"])
     group = ["host", "layout"]

@@ -169,6 +169,34 @@ def test_a_host_with_two_layouts(spark, odd):
     assert found == dict(enumerate(w for _, w in made))
 
 
+@pytest.mark.parametrize("shapes", [1, 2, 3, 1000])
+def test_layouts_do_not_depend_on_how_trees_are_dealt(spark, monkeypatch, shapes):
+    """All distinct trees of a host in groups of any size; each tree is as like its leader as in one group."""
+    from martwright.llm import html_extract
+    from martwright.llm.html_extract import digest, layouts_of, read_tree, written_tree
+
+    def variant(kind, i):
+        extra = "<blockquote>q</blockquote>" * (i % 2) + "<pre>c</pre>" * (i // 2 % 2) + "<h2>t</h2>" * (i // 4 % 2)
+        frame = "<div><p>a</p><ul><li>b</ul>{}<h1>c</h1><table><tr><td>d</table></div>"
+        return (frame if kind == 0 else "<section><h3>x</h3><dl><dt>y<dd>z</dl>{}<ol><li>w</ol></section><hr>").format(extra)
+
+    trees = [written_tree(parse(variant(kind, i))) for kind in (0, 1) for i in range(8)]
+    rows_of = [(h, digest(t), 100 - i if h == "a" else 50 + i, t) for h in ("a", "b") for i, t in enumerate(trees)]
+    monkeypatch.setattr(html_extract, "SHAPES", shapes)
+    frame = spark.createDataFrame(rows_of, "host string, shape long, n long, tree string")
+    found = layouts_of(frame).collect()
+    for h in ("a", "b"):
+        own = [r for r in found if r["host"] == h]
+        assert sorted(r["shape"] for r in own if r["layout"] == -1) == sorted(digest(t) for t in trees)
+        leaders = {r["layout"]: r for r in own if r["tree"]}
+        assert set(leaders) == {-1, 0, 1} and leaders[-1]["shape"] == leaders[0]["shape"]
+        kinds = {r["shape"]: r["layout"] for r in own if r["layout"] >= 0}
+        assert len({kinds[digest(t)] for t in trees[:8]}) == len({kinds[digest(t)] for t in trees[8:]}) == 1
+        for r in own:
+            tree = read_tree(next(t for t in trees if digest(t) == r["shape"]))
+            assert r["aligned"] == match_trees(tree, read_tree(leaders[r["layout"]]["tree"]))
+
+
 def test_two_pages_of_a_host_are_aligned(spark):
     made = [news(1), news(2)]
     found = {r["page_id"]: r["text"] for r in main_texts(framed(spark, [b for b, _ in made])).collect()}
