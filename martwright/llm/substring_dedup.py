@@ -40,7 +40,7 @@ BUCKET_WINDOWS = 16_000_000
 #: Bytes of text that are hashed at a time: more, up to a bound, where there are so many buckets that a chunk would send
 #: each of them a few windows only.
 CHUNK_BYTES = (2 << 20) - 64
-MOST_CHUNK_BYTES = (16 << 20) - 64
+MOST_CHUNK_BYTES = (8 << 20) - 64
 _BYTES_PER_BUCKET = 400
 #: Text of a shard, about, which two of the steps hold in one worker; and how many times as large texts are as their files.
 SHARD_BYTES = 256 << 20
