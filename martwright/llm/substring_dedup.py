@@ -10,7 +10,8 @@ repeats.
 Anchors are found by a hash, which only chooses the windows that are looked at; windows are equal if 96-bit digests of
 their words are (BLAKE2b), which no two unequal ones that anyone can make have in common.
 
-Only hashes and digests are shuffled, packed: a row of the shuffle has those of one hash bucket and one chunk of texts, as an array.
+Only hashes and digests are shuffled, packed (``hops``): a row of the shuffle has those of one hash bucket and one chunk of
+texts, as an array, or of a range of buckets where there are very many.
 They are counted before: a chunk of texts sends a probe at most twice, and what one task has read (a shard) sends a window
 once, with its smallest id. So a window that very many documents share, or a text of one word, is a few entries of its
 bucket for each chunk. Hashes that decide go back to the shards that have them, which find their places anew. The texts
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import Window
 from pyspark.sql.types import IntegralType
 
+from martwright.llm.hops import DDL, SCHEMA, Way, runs
 from martwright.llm.ship import lean, lean_group, shipped
 from martwright.llm.store import stored
 from martwright.llm.text import NOT_SPACE, Hasher, Words, digests, words_of
@@ -37,11 +39,7 @@ from martwright.sources.scratch import scratch_dir
 
 #: Windows in a hash bucket, about.
 BUCKET_WINDOWS = 16_000_000
-#: Bytes of text that are hashed at a time: more, up to a bound, where there are so many buckets that a chunk would send
-#: each of them a few windows only.
 CHUNK_BYTES = (2 << 20) - 64
-MOST_CHUNK_BYTES = (8 << 20) - 64
-_BYTES_PER_BUCKET = 400
 #: Text of a shard, about, which two of the steps hold in one worker; and how many times as large texts are as their files.
 SHARD_BYTES = 256 << 20
 _UNPACKED = 4
@@ -65,8 +63,9 @@ def _order(docs: DataFrame) -> DataFrame:
     return known.select(F.coalesce("number", F.lit(_LAST)).alias("id"), "doc_id", "text")
 
 
-def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(shard, place, id, doc_id, text) as a bucketed table sorted by shard, and its bytes of text.
+def _shards(docs: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """(shard, place, id, doc_id, text) as a bucketed table sorted by shard, its bytes of text, the number of shards, and a
+    number that those of the shards are below.
 
     A shard is what one task has read, or one of several equal parts of it where tasks may read more than
     ``SHARD_BYTES``. Its number is chosen so that the shards spread evenly over the buckets. The numbers reach the tasks as
@@ -78,7 +77,8 @@ def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
     each = max(1, -(-_UNPACKED * in_bytes(str(spark.conf.get("spark.sql.files.maxPartitionBytes"))) // SHARD_BYTES))
     shards = max(1, rows.rdd.getNumPartitions()) * each
     buckets = min(shards, 4096)
-    candidate = spark.range(40 * shards + 1000).select(F.col("id").cast("int").alias("shard"))
+    most = 40 * shards + 1000
+    candidate = spark.range(most).select(F.col("id").cast("int").alias("shard"))
     candidate = candidate.withColumn("bucket", F.pmod(F.hash("shard"), F.lit(buckets)))
     candidate = candidate.withColumn("round", F.row_number().over(Window.partitionBy("bucket").orderBy("shard")) - 1)
     numbered = candidate.withColumn("number", F.col("round") * buckets + F.col("bucket")).where(F.col("number") < shards)
@@ -108,7 +108,7 @@ def _shards(docs: DataFrame) -> tuple[DataFrame, int]:
     finally:  # the files stay, which the plan names by itself
         spark.sql(f"drop database `{database}` cascade")
     total = table.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    return table, total
+    return table, total, shards, most
 
 
 def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -116,13 +116,6 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes >> np.uint64(32)) % np.uint64(buckets)
 
 
-def _runs(values: np.ndarray) -> np.ndarray:
-    """Where the runs of equal values begin, and the end."""
-    if not len(values):
-        return np.zeros(1, np.int64)
-    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]))
-
-
 def _positions(words: Words) -> np.ndarray:
     return np.arange(len(words.starts)) - np.repeat(words.row_words[:-1], np.diff(words.row_words))
 
@@ -134,58 +127,44 @@ def _probe_hashes(words: Words, block: int, buckets: int) -> tuple[np.ndarray, n
     return start, _bucket(hashes, buckets) << np.uint64(31) | hashes & np.uint64(0x7FFFFFFF)
 
 
-def chunk_bytes(buckets: int) -> int:
-    return min(max(CHUNK_BYTES, _BYTES_PER_BUCKET * buckets), MOST_CHUNK_BYTES)
-
-
-def _probes(block: int, buckets: int):
+def _probes(block: int, buckets: int, way: Way):
     """Rolling windows of block length, and whether they are indexed blocks: of equal ones of a chunk the first and last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shards = batch.column("shard").to_numpy()
-            for words in words_of(batch.column("text"), NOT_SPACE, chunk_bytes(buckets)):
+            for words in words_of(batch.column("text"), NOT_SPACE, CHUNK_BYTES):
                 start, keys = _probe_hashes(words, block, buckets)
                 shard = shards[words.row_of_words()[start] + words.first_row]
                 entry = keys << np.uint64(1) | (_positions(words)[start] % block == 0).astype(np.uint64)
                 rows = []
-                borders = _runs(shard)
+                borders = runs(shard)
                 for a, b in zip(borders[:-1], borders[1:], strict=True):
                     sent = np.sort(entry[a:b])  # equal hashes together, indexed blocks last
-                    ends = _runs(sent >> np.uint64(1))
+                    ends = runs(sent >> np.uint64(1))
                     sent = sent[np.unique(np.concatenate((ends[:-1], ends[1:] - 1)))]
-                    parts = _runs(sent >> np.uint64(32))
-                    low = sent.astype("<u4")
-                    for i, j in zip(parts[:-1], parts[1:], strict=True):
-                        rows.append({"bucket": int(sent[i] >> np.uint64(32)), "shard": int(shard[a]), "entries": low[i:j].tobytes()})
+                    rows += way.rows((sent >> np.uint64(32)).astype(np.int64), int(shard[a]), sent.astype("<u4"))
                 if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_PROBE)
+                    yield pa.RecordBatch.from_pylist(rows, schema=SCHEMA)
 
     return run
 
 
-_PROBE = pa.schema([pa.field("bucket", pa.int32()), pa.field("shard", pa.int32()), pa.field("entries", pa.binary())])
-_WINDOW = pa.schema([*_PROBE, pa.field("ids", pa.binary()), pa.field("several", pa.binary())])
-_REPEAT = pa.schema([pa.field("shard", pa.int32()), pa.field("entries", pa.binary()), pa.field("ids", pa.binary())])
-
-
-def _arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), kind) for x in column]
+def _anchors(probes: Way, way: Way):
+    """To each shard its probes of a bucket that meet an indexed block at another place, as bucket and 31 bits."""
 
+    def run(table: pa.Table) -> pa.Table:
+        shard, entries, _ = probes.unpacked(table)
+        bucket = np.uint64(table.column("target")[0].as_py())
+        every = np.sort(entries)
+        ends = runs(every >> 1)
+        found = every[ends[:-1]][(np.diff(ends) > 1) & (every[ends[1:] - 1] & 1 == 1)] >> 1
+        hit = _among(entries >> 1, found)[0]
+        own = np.unique(shard[hit].astype(np.uint64) << np.uint64(32) | (entries[hit] >> 1))
+        keys = bucket << np.uint64(31) | own & np.uint64(0x7FFFFFFF)
+        return pa.Table.from_pylist(way.rows((own >> np.uint64(32)).astype(np.int64), 0, keys), schema=SCHEMA)
 
-def _anchors(table: pa.Table) -> pa.Table:
-    """Of each row the probes of a bucket that meet an indexed block at another place."""
-    parts = _arrays(table.column("entries"), "<u4")
-    entries = np.sort(np.concatenate(parts))
-    ends = _runs(entries >> 1)
-    found = entries[ends[:-1]][(np.diff(ends) > 1) & (entries[ends[1:] - 1] & 1 == 1)] >> 1
-    out = []
-    for bucket, shard, part in zip(table.column("bucket").to_pylist(), table.column("shard").to_pylist(), parts, strict=True):
-        own = np.unique(part >> 1)
-        own = own[_among(own, found)[0]]
-        if len(own):
-            out.append({"bucket": bucket, "shard": shard, "entries": own.astype("<u4").tobytes()})
-    return pa.Table.from_pylist(out, schema=_PROBE)
+    return run
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,21 +207,18 @@ def _summed(hashes: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np
     if not len(hashes):
         return hashes, least, most
     order = np.argsort(hashes)
-    ends = _runs(hashes[order])
+    ends = runs(hashes[order])
     first = ends[:-1]
     return hashes[order][first], np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
 
 
-def _windows(window: int, block: int, buckets: int):
+def _windows(window: int, block: int, buckets: int, keyed: Way, way: Way):
     """The distinct full windows around the anchors of a shard, with the smallest id and whether there are several."""
 
     def run(texts: pa.Table, anchors: pa.Table) -> pa.Table:
         if not anchors.num_rows or not texts.num_rows:
-            return _WINDOW.empty_table()
-        parts = _arrays(anchors.column("entries"), "<u4")
-        number = anchors.column("bucket").to_numpy().astype(np.uint64)
-        found = np.repeat(number << np.uint64(31), [len(p) for p in parts]) | np.concatenate(parts)
-        found = np.unique(found)
+            return SCHEMA.empty_table()
+        found = np.unique(keyed.unpacked(anchors)[1])
         ids = texts.column("id").to_numpy()
         seen = (np.zeros(0, _ENTRY), np.zeros(0, np.int64), np.zeros(0, np.int64))
         waiting, size = [], 0
@@ -262,44 +238,27 @@ def _windows(window: int, block: int, buckets: int):
             if size > len(seen[0]) + BUCKET_WINDOWS:
                 seen, waiting, size = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True))), [], 0
         hashes, least, most = _summed(*(np.concatenate(x) for x in zip(seen, *waiting, strict=True)))
-        bucket = _digest_bucket(hashes, buckets)
-        order = np.argsort(bucket, kind="stable")
-        ends = _runs(bucket[order])
-        shard = texts.column("shard")[0].as_py()
-        out = []
-        for i, j in zip(ends[:-1], ends[1:], strict=True):
-            at = order[i:j]
-            out.append(
-                {
-                    "bucket": int(bucket[at[0]]),
-                    "shard": shard,
-                    "entries": hashes[at].tobytes(),
-                    "ids": least[at].tobytes(),
-                    "several": (most[at] > least[at]).tobytes(),
-                }
-            )
-        return pa.Table.from_pylist(out, schema=_WINDOW)
+        bucket, shard = _digest_bucket(hashes, buckets).astype(np.int64), texts.column("shard")[0].as_py()
+        return pa.Table.from_pylist(way.rows(bucket, shard, hashes, ids=least, several=most > least), schema=SCHEMA)
 
     return run
 
 
-def _repeats(table: pa.Table) -> pa.Table:
-    """Of each row the windows of a bucket that also start in a document with a smaller id than one of the shard's."""
-    parts, ids = _arrays(table.column("entries"), _ENTRY), _arrays(table.column("ids"), "<i8")
-    entries = np.concatenate(parts)
-    every = np.concatenate(ids)
-    hashes, smallest, _ = _summed(entries, every, every)
-    out = []
-    rows = zip(table.column("shard").to_pylist(), parts, ids, _arrays(table.column("several"), "?"), strict=True)
-    for shard, own, least, several in rows:
-        known = smallest[np.searchsorted(hashes, own)]
-        keep = several | (least > known)
-        if keep.any():
-            out.append({"shard": shard, "entries": own[keep].tobytes(), "ids": known[keep].tobytes()})
-    return pa.Table.from_pylist(out, schema=_REPEAT)
+def _repeats(windows: Way, way: Way):
+    """To each shard its windows of a bucket that also start in a document with a smaller id, and that id."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shard, entries, more = windows.unpacked(table)
+        least, several = more["ids"], more["several"]
+        known, smallest, _ = _summed(entries, least, least)
+        first = smallest[np.searchsorted(known, entries)]
+        keep = several | (least > first)
+        return pa.Table.from_pylist(way.rows(shard[keep].astype(np.int64), 0, entries[keep], ids=first[keep]), schema=SCHEMA)
+
+    return run
 
 
-def _cut(window: int, doc_type: pa.DataType):
+def _cut(window: int, doc_type: pa.DataType, way: Way):
     """Rows of a shard without the words in repeats."""
     schema = pa.schema(
         [pa.field("doc_id", doc_type), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()), pa.field("kept", pa.string())]
@@ -308,10 +267,9 @@ def _cut(window: int, doc_type: pa.DataType):
     def run(texts: pa.Table, repeats: pa.Table) -> pa.Table:
         known, quick, smallest = np.zeros(0, _ENTRY), np.zeros(0, "<u4"), np.zeros(0, np.int64)
         if repeats.num_rows:
-            known = np.concatenate(_arrays(repeats.column("entries"), _ENTRY))
-            smallest = np.concatenate(_arrays(repeats.column("ids"), "<i8"))
+            _, known, more = way.unpacked(repeats)
             order = np.argsort(known)
-            known, smallest = known[order], smallest[order]
+            known, smallest = known[order], more["ids"][order]
             quick = np.unique(np.ascontiguousarray(known.view(np.uint8).reshape(-1, 16)[:, :4]).view("<u4").ravel())
         ids = texts.column("id").to_numpy()
         n_words, n_removed, kept = [], [], []
@@ -358,18 +316,24 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 
     block = window // 2
     doc_type = docs.schema["doc_id"].dataType
-    texts, total = _shards(docs)
-    spark = docs.sparkSession
+    texts, total, shards, span = _shards(docs)
     shipped(texts)
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (6 * BUCKET_WINDOWS)))
-    probe = "bucket int, shard int, entries binary"
-    probes = texts.select("shard", "text").mapInArrow(lean(_probes(block, buckets)), probe)
-    anchors = probes.groupBy("bucket").applyInArrow(lean_group(_anchors), probe)
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (6 * BUCKET_WINDOWS)))
+    to_bucket = {kind: Way.to(buckets, buckets, kind) for kind in ("<u4", _ENTRY)}
+    to_shard = {kind: Way.to(shards, span, kind) for kind in ("<u8", _ENTRY)}
     by_shard = texts.groupBy("shard")
-    windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(
-        lean_group(_windows(window, block, buckets)), probe + ", ids binary, several binary"
+
+    probes = texts.select("shard", "text").mapInArrow(lean(_probes(block, buckets, to_bucket["<u4"])), DDL)
+    met = to_bucket["<u4"].arrived(probes).groupBy("target")
+    anchors = met.applyInArrow(lean_group(_anchors(to_bucket["<u4"], to_shard["<u8"])), DDL)
+    asked = to_shard["<u8"].arrived(anchors).groupBy("target")
+    found = by_shard.cogroup(asked).applyInArrow(
+        lean_group(_windows(window, block, buckets, to_shard["<u8"], to_bucket[_ENTRY])), DDL
     )
-    repeats = windows.groupBy("bucket").applyInArrow(lean_group(_repeats), "shard int, entries binary, ids binary")
-    return by_shard.cogroup(repeats.groupBy("shard")).applyInArrow(
-        lean_group(_cut(window, to_arrow_type(doc_type))), f"doc_id {doc_type.simpleString()}, n_words long, n_removed long, kept string"
+    compared = to_bucket[_ENTRY].arrived(found).groupBy("target")
+    repeats = compared.applyInArrow(lean_group(_repeats(to_bucket[_ENTRY], to_shard[_ENTRY])), DDL)
+    gone = to_shard[_ENTRY].arrived(repeats).groupBy("target")
+    return by_shard.cogroup(gone).applyInArrow(
+        lean_group(_cut(window, to_arrow_type(doc_type), to_shard[_ENTRY])),
+        f"doc_id {doc_type.simpleString()}, n_words long, n_removed long, kept string",
     )

@@ -2,11 +2,14 @@ import random
 
 from llm_helpers import documents, equal_hashes, rows  # noqa: F401
 
+from martwright.llm import hops
+from martwright.llm.hops import Way
 from martwright.llm.substring_dedup import _anchors, _probes, _windows, without_repeats
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pytest
 
 
 def plain(docs, window):
@@ -57,13 +60,15 @@ def test_a_bucket_gets_equal_windows_once_per_chunk():
     texts = ["word " * 20_000, *[f"own{i} {passage}" for i in range(500)]]
     n = len(texts)
     table = pa.table({"shard": pa.array([7] * n, pa.int32()), "place": range(n), "id": range(n), "text": texts})
-    (sent,) = _probes(25, 4)(table.to_batches())
-    probes = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in sent.column("entries")])
-    assert len(probes) <= 2 * (1 + 36) + 500
+    to_bucket = {kind: Way(4, kind) for kind in ("<u4", "S16")}
+    to_shard = Way(9, "<u8")
+    (sent,) = _probes(25, 4, to_bucket["<u4"])(table.to_batches())
     sent = pa.Table.from_batches([sent])
-    anchors = [_anchors(sent.filter(pc.equal(sent.column("bucket"), b))) for b in set(sent.column("bucket").to_pylist())]
-    windows = _windows(50, 25, 4)(table, pa.concat_tables(anchors))
-    found = np.concatenate([np.frombuffer(x.as_buffer(), "S16") for x in windows.column("entries")])
+    assert len(to_bucket["<u4"].unpacked(sent)[1]) <= 2 * (1 + 36) + 500
+    match = _anchors(to_bucket["<u4"], to_shard)
+    anchors = [match(sent.filter(pc.equal(sent.column("target"), b))) for b in set(sent.column("target").to_pylist())]
+    windows = _windows(50, 25, 4, to_shard, to_bucket["S16"])(table, pa.concat_tables(anchors))
+    found = to_bucket["S16"].unpacked(windows)[1]
     assert len(found) == len(np.unique(found)) == 1 + 11 + 500
 
 
@@ -95,22 +100,46 @@ def test_shards_are_bounded_and_their_numbers_no_part_of_the_plan(spark, documen
 
     monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 100 << 20)  # tasks of 128 MB of files: six shards each
     frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
-    table, total = substring_dedup._shards(frame)
+    table, total, shards, span = substring_dedup._shards(frame)
     sizes = {r["shard"]: r["n"] for r in table.groupBy("shard").agg({"place": "count"}).withColumnRenamed("count(place)", "n").collect()}
     assert len(sizes) > 12 and sum(sizes.values()) == len(documents) and max(sizes.values()) < len(documents) / 4
+    assert shards == 24 and max(sizes) < span
     assert total == sum(len((t or "").encode()) for _, t in documents)
     assert not [x for x in spark.catalog.listDatabases() if x.name.startswith("martwright_")]
     assert rows(without_repeats(frame)) == plain(documents, 50)
 
 
-def test_a_chunk_sends_a_bounded_number_of_rows():
-    """With more buckets the chunks grow, so rows hold tens of windows until the chunks' own bound is met."""
-    from martwright.llm import substring_dedup
-
-    assert substring_dedup.chunk_bytes(12) == substring_dedup.CHUNK_BYTES
-    for buckets in (12, 1_000, 20_000, 40_000, 300_000):
-        words = substring_dedup.chunk_bytes(buckets) / 6.2
-        assert words / buckets >= min(60, substring_dedup.MOST_CHUNK_BYTES / 6.2 / buckets)
+@pytest.mark.parametrize("targets", [10, 5_000, 300_000, 20_000_000])
+def test_a_chunk_sends_a_bounded_number_of_rows(targets):
+    """Whatever the number of buckets or shards, and every entry arrives with its source and what goes along."""
+    rng = np.random.default_rng(targets)
+    way = Way.to(targets, targets, "<u4")
+    sent, expected = [], set()
+    for source in (3, 70_000):
+        target, entries, ids = rng.integers(0, targets, 40_000), rng.integers(0, 1 << 32, 40_000).astype("<u4"), rng.integers(0, 99, 40_000)
+        rows = way.rows(target, source, entries, ids=ids)
+        assert len(rows) <= hops.MOST_TARGETS
+        sent += rows
+        expected |= set(zip(target.tolist(), [source] * 40_000, entries.tolist(), ids.tolist(), strict=True))
+    if way.ranges:
+        table = pa.Table.from_pylist(sorted(sent, key=lambda r: r["target"]), schema=hops.SCHEMA)
+        arrived = [row for batch in way._stop(iter(table.to_batches(max_chunksize=100))) for row in batch.to_pylist()]
+    else:
+        arrived = sent
+    found = set()
+    for row in arrived:
+        source, entries, more = way.unpacked(pa.Table.from_pylist([row], schema=hops.SCHEMA))
+        found |= set(zip([row["target"]] * len(source), source.tolist(), entries.tolist(), more["ids"].tolist(), strict=True))
+    assert found == expected
+
+
+def test_entries_over_a_stop_give_the_same_result(spark, documents, monkeypatch):
+    frame = spark.createDataFrame(documents, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(hops, "MOST_TARGETS", 3)
+    plan = without_repeats(frame)
+    monkeypatch.undo()
+    assert plan._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 5
+    assert rows(plan) == rows(without_repeats(frame)) == plain(documents, 50)
 
 
 def test_texts_are_not_shuffled(spark, documents):
