@@ -27,8 +27,9 @@ from martwright.llm.text import as_bytes, row_chunks
 
 #: A vocabulary beyond this many tokens is refused, as it is sent to every executor.
 MOST_TOKENS = 1_000_000
-#: Merged pre-tokens remembered by a worker; beyond that it starts anew.
-MEMO_ENTRIES = 200_000
+#: Pre-tokens in each of a worker's two memos. When the newer one is full it becomes the older one, and those of the older
+#: one that were not met since are forgotten.
+MEMO_ENTRIES = 150_000
 #: Longer pre-tokens are merged but not remembered.
 MEMO_BYTES = 64
 CHUNK_BYTES = 1 << 20
@@ -138,8 +139,14 @@ class Codec:
         self.ranks = ranks
         self.hashed = hashed
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def piece(self, text: str) -> bytes:
+        """The ids of a pre-token that is not in the newer memo."""
+        known = self.older.get(text)
+        if known is not None:
+            self.remember(text, known)
+            return known
         raw = text.encode("utf-8", "surrogatepass")
         rank = self.hashed.get(raw)
         ids = array("I", [rank] if rank is not None else merge(raw, self.ranks))
@@ -147,11 +154,14 @@ class Codec:
             ids.byteswap()
         packed = ids.tobytes()
         if len(raw) <= MEMO_BYTES:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()
-            self.memo[text] = packed
+            self.remember(text, packed)
         return packed
 
+    def remember(self, text: str, packed: bytes) -> None:
+        if len(self.memo) >= MEMO_ENTRIES:
+            self.older, self.memo = self.memo, {}
+        self.memo[text] = packed
+
     def encode(self, text: str) -> bytes:
         known = self.memo.get
         if len(text) <= LONG:

@@ -93,3 +93,13 @@ def test_a_text_of_many_megabytes(spark, tokenizer, reference):
     assert len(text.encode()) > 8e6 and bytes(found["decoded"]) == text.encode()
     once = reference.encode_ordinary(text[: text.index("\n") + 1] * 3)
     assert found["n_tokens"] == len(once) // 3 * 160_000
+
+
+def test_the_memos_are_bounded_and_change_nothing(tokenizer, reference, documents, monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 50)
+    codec = bpe.Codec(tokenizer.ranks, tokenizer.pattern, tokenizer.hashed)
+    for _, text in documents[:60]:
+        assert np.frombuffer(codec.encode(text or ""), "<u4").tolist() == reference.encode_ordinary(text or "")
+        assert len(codec.memo) <= 50 and len(codec.older) <= 50
+    codec.memo, codec.older = {"new": b"1234"}, {"old": b"5678"}
+    assert codec.encode("old") == b"5678" and "old" in codec.memo
