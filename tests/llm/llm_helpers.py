@@ -22,7 +22,7 @@ def tables(tmp_path, spark):
     """Writes tables into a folder and returns it; the others are those of the smallest size."""
 
     def write(**frames):
-        for name in ("documents", "labels", "benchmark", "pages"):
+        for name in ("documents", "labels", "benchmark", "pages", "embeddings"):
             frame = frames.get(name)
             path = f"{tmp_path}/{name}.parquet"
             (spark.read.parquet(f"{SF}/{name}.parquet") if frame is None else frame).write.parquet(path)

@@ -22,7 +22,7 @@ def test_awkward_documents(spark, tables, name):  # noqa: F811
 
 @pytest.mark.parametrize("name", queries.QUERIES)
 def test_empty_tables(spark, tables, name):  # noqa: F811
-    empty = {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0) for t in ("labels", "benchmark", "pages")}
+    empty = {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").limit(0) for t in ("labels", "benchmark", "pages", "embeddings")}
     folder = tables(documents=awkward_documents(spark, empty=True), **empty)
     assert queries.QUERIES[name](spark, folder).collect() == []
 
