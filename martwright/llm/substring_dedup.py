@@ -84,7 +84,8 @@ def _shards(docs: DataFrame) -> tuple[DataFrame, int, int, int]:
     numbered = candidate.withColumn("number", F.col("round") * buckets + F.col("bucket")).where(F.col("number") < shards)
     place = F.monotonically_increasing_id()
     read = rows.select(
-        (F.spark_partition_id() * each + F.pmod(F.xxhash64(place), F.lit(each))).cast("int").alias("number"),
+        # adaptive execution may have more tasks than were counted: they share shards
+        F.pmod(F.spark_partition_id() * each + F.pmod(F.xxhash64(place), F.lit(each)), F.lit(shards)).cast("int").alias("number"),
         place.bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
         "id",
         "doc_id",

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
+from pyspark.sql import functions as F
 
 
 def plain(docs, window):
@@ -85,6 +86,13 @@ def test_windows_with_equal_hashes_are_told_apart(spark):
     assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {0: 0, 1: 0, 2: 61}
 
 
+def test_rows_of_an_adaptive_plan_are_all_kept(spark, documents):
+    """The tasks of the input may be others than those that were counted."""
+    frame = spark.createDataFrame(documents, "doc_id long, text string").repartition("doc_id")
+    frame = frame.groupBy("doc_id").agg(F.max("text").alias("text")).join(frame.select("doc_id").distinct(), "doc_id")
+    assert rows(without_repeats(frame)) == plain(documents, 50)
+
+
 def test_ids_of_other_types(spark):
     same = " ".join(f"w{i}" for i in range(60))
     for kind, ids in (("string", ["b", "a", "10", "9", None]), ("decimal(5,1)", [3, 2, 1, 5, None]), ("double", [1.5, -2.0, 7.0, 0.0, None])):
