@@ -6,6 +6,7 @@ import pytest
 from martwright.operators import joins
 from martwright.operators.joins import Details, find_oversized, left_join_details
 from tests.conftest import rows
+from tests.test_plans import exchanges
 
 
 def brute_force(header, items, payments):
@@ -82,3 +83,21 @@ def test_numbers_of_other_types(spark, kind, numbers):
     whole = header.join(rows_, "order_id", "left")
     assert list(map(repr, rows(cut))) == list(map(repr, rows(whole)))
     assert cut.count() == len(numbers) + 1
+
+
+def test_no_summary_of_keys_that_would_be_unsure(spark, monkeypatch):
+    """More rows beyond the first chunk than the summary has room for: they were counted before, so it is not made."""
+    part = Details(spark.createDataFrame([(k, n) for k in range(50) for n in range(30)], "k int, n int"), "n")
+    monkeypatch.setattr(joins, "heavy_hitters", lambda *_: pytest.fail("a summary was made"))
+    monkeypatch.setattr(joins, "_SUMMARY_TASKS", 300)
+    assert joins.oversized_keys([part], "k", 10) == {0: None}
+
+
+def test_chunk_numbers_are_gathered_in_one_shuffle_per_table(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    header, items, payments = frames(spark, [(1, "a")], [(1, n, n) for n in range(9)], [(1, n, n) for n in range(9)])
+    out = left_join_details(header, "order_id", [items, payments], [0, 1], 3)
+    assert len(rows(out)) == 81
+    # each table by its key and by its cells, and the chunk numbers of either table, once for each side that they meet
+    assert exchanges(out) <= 10

@@ -164,3 +164,10 @@ def test_adaptive_execution_splits_what_is_still_too_large(spark, conf):
     out = gold.dim_products(hot_products(spark, 60_000), categories, few_pieces)
     assert len(out.collect()) == 60_000
     assert "skew=true" in plan(out)
+
+
+@pytest.mark.parametrize("fact", ["fact_orders", "fact_order_items"])
+def test_chunked_facts_read_written_silver_tables(spark, fact):
+    """The silver rows are looked over and joined several times, so they are made once."""
+    files = QUERIES[f"gold_{fact}_chunked"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all("/silver/" in name for name in files)
