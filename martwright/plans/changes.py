@@ -2,9 +2,13 @@
 
 The state of a dataset is the smallest row of every key, before the rules that come after the deduplication: a later
 batch may bring a smaller row than the one that passes, or than the one that fails. It is a table in parts, dealt by a
-hash of the key. A batch is reduced to its own smallest rows, meets the rows of its parts only, and replaces these parts
-in one commit. Since a smallest row of smallest rows is the smallest, any split of the input into batches, in any order
-and with any batch applied twice, gives the state of the whole input at once; silver is the state's rows that pass.
+hash of the key. A batch meets rows of its parts only. A part may lie in several folders, each with one row per key: a
+batch adds a folder, and takes up those last ones that are no larger than what it brings, so that each folder is larger
+than all later ones together. A part of *n* rows thus has some log2(*n*) folders at most, and in any number of batches a row
+is written again as many times, instead of once for every batch; readers take the smallest of a key's rows. All is
+replaced in one commit. Since a smallest row of smallest rows is the smallest, any split of the input into batches, in
+any order and with any batch applied twice, gives the state of the whole input at once; silver is the state's rows that
+pass.
 """
 
 from __future__ import annotations
@@ -17,12 +21,15 @@ from martwright.plans.datasets import DATASETS, Dataset
 from martwright.plans.silver import candidates, missing_columns, passing
 from martwright.session import shuffle_partitions_for
 from martwright.sources import versions
-from martwright.sources.layout import Layout, read_table
+from martwright.sources.layout import Layout
 
 #: Parts for each task's worth of the first batch: a small batch then touches a small share of a table.
 PARTS_PER_TASK = 4
 MOST_PARTS = 20_000
 
+#: Folders of so few rows are always taken up.
+FEW_ROWS = 10_000
+
 #: Times that a batch is merged again because another writer was first.
 ATTEMPTS = 5
 
@@ -64,21 +71,36 @@ def _merged(
     spark: SparkSession, spec: Dataset, batch: DataFrame, path: str, base: versions.Version | None, of: int, batch_id: str
 ) -> versions.Version:
     key = list(spec.key or batch.columns)
-    new = smallest_per_key(candidates(spec, batch), key)
+    new = candidates(spec, batch)
     if base:
         columns = spark.createDataFrame([], base.ddl).columns
         if set(columns) != set(new.columns):
             raise ValueError(f"{path} has the columns {columns}, the batch {new.columns}")
         new = new.select(*[named(column) for column in columns])
-    touched = [row[0] for row in new.select(_part(key, of)).distinct().collect()]
+    brought = {str(part): rows for part, rows in new.groupBy(_part(key, of)).count().collect()}
+    staying = {part: _staying([at[1] for at in base.runs(part)], rows) for part, rows in brought.items()} if base else {}
     if base:
-        old = versions.part_rows(spark, path, base, touched)
-        new = smallest_per_key(old.unionByName(new), key)
+        new = versions.part_rows(spark, path, base, brought, staying).unionByName(new)
     return versions.replace_parts(
-        new.withColumn(versions.PART, _part(key, of)), path, touched, of, base, {"batch": batch_id} if batch_id else None
+        smallest_per_key(new, key).withColumn(versions.PART, _part(key, of)),
+        path,
+        brought,
+        of,
+        base,
+        {"batch": batch_id} if batch_id else None,
+        after=staying,
     )
 
 
+def _staying(folders: list[int], rows: int) -> int:
+    """How many of a part's folders stay beside ``rows`` further rows; the others are merged with these."""
+    left = len(folders)
+    while left and folders[left - 1] <= max(rows, FEW_ROWS):
+        left -= 1
+        rows += folders[left]
+    return left
+
+
 def _part(key: list[str], of: int) -> Column:
     return F.pmod(F.xxhash64(*[named(name) for name in key]), F.lit(of)).cast("int")
 
@@ -90,4 +112,10 @@ def _parts_for(batch: DataFrame) -> int:
 
 def current_silver(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """The silver rows of the merged state."""
-    return passing(DATASETS[name], read_table(spark, state_path(layout, name)))
+    spec, path = DATASETS[name], state_path(layout, name)
+    version = versions.current(spark, path)
+    state = versions.frame(spark, path, version)
+    if version and version.later:
+        several = smallest_per_key(versions.part_rows(spark, path, version, version.later), spec.key or state.columns)
+        state = versions.part_rows(spark, path, version, version.parts.keys() - version.later).unionByName(several)
+    return passing(spec, state)

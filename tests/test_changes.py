@@ -49,6 +49,36 @@ def test_only_touched_parts_are_rewritten(spark, tmp_path):
     assert second.rows == first.rows == 300
 
 
+@pytest.mark.parametrize("name", ["orders", "categories"])
+def test_many_batches_do_not_write_every_row_again(spark, tmp_path, monkeypatch, name):
+    """Sixteen equal batches, with keys that come in several: the rows of a rebuild, and log2(16) further writes at most."""
+    monkeypatch.setattr(changes, "FEW_ROWS", 0)
+    bronze, layout = Tables(spark, SF).bronze(name).distinct(), Layout(str(tmp_path))
+    lot = F.pmod(F.xxhash64(*bronze.columns), F.lit(16))
+    path = changes.state_path(layout, name)
+    for number in range(16):
+        version = changes.apply_batch(spark, layout, name, bronze.where(lot == number), parts=2)
+    assert rows(changes.current_silver(spark, layout, name)) == rows(silver(name, bronze))
+    written = spark.read.option("recursiveFileLookup", True).parquet(path, pathGlobFilter="*.parquet").count()
+    assert written <= 5 * bronze.count()
+    assert version.later or name == "categories"
+    for part in version.parts:
+        sizes = [found for _, found in version.runs(part)]
+        assert all(size > sum(sizes[i + 1 :]) for i, size in enumerate(sizes))
+    again = changes.apply_batch(spark, layout, name, bronze)
+    assert rows(changes.current_silver(spark, layout, name)) == rows(silver(name, bronze))
+    assert not again.later and again.rows <= version.rows
+
+
+def test_folders_that_stay():
+    """Each is larger than what comes after it; small ones never stay."""
+    assert changes._staying([100_000, 40_000], 30_000) == 2
+    assert changes._staying([100_000, 40_000], 40_000) == 1
+    assert changes._staying([100_000, 40_000], 70_000) == 0
+    assert changes._staying([10_000], 1) == 0 and changes._staying([10_001], 1) == 1
+    assert changes._staying([], 5) == 0
+
+
 def test_a_survivor_that_fails_takes_its_key_along_until_a_smaller_one_comes(spark, tmp_path):
     layout = Layout(str(tmp_path))
     for unique, left in (("u2", [("c1", "u2")]), (None, []), ("u1", [])):
