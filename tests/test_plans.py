@@ -12,6 +12,7 @@ from martwright.plans import gold, kpi, quality
 from martwright.plans.datasets import DATASETS
 from martwright.plans.silver import silver
 from martwright.sources.layout import Layout, read_table
+from martwright.testing import queries
 from martwright.testing.queries import QUERIES, Tables
 
 
@@ -171,3 +172,23 @@ def test_chunked_facts_read_written_silver_tables(spark, fact):
     """The silver rows are looked over and joined several times, so they are made once."""
     files = QUERIES[f"gold_{fact}_chunked"](spark, "/root/testdata/sf0.001").inputFiles()
     assert files and all("/silver/" in name for name in files)
+
+
+def inputs_of(monkeypatch, name, place):
+    """The input files of the frames that a query hands to one of its functions."""
+    found, function = [], getattr(queries, name)
+
+    def noted(*args, **settings):
+        found.append(args[place].inputFiles())
+        return function(*args, **settings)
+
+    monkeypatch.setattr(queries, name, noted)
+    return found
+
+
+def test_runs_of_the_rule_history_start_from_the_first(spark, monkeypatch):
+    """The test tables are shaped once; the cleaned and the doubled rows come from the table that the first run checked."""
+    found = inputs_of(monkeypatch, "write_table", 0)
+    QUERIES["rule_history"](spark, "/root/testdata/sf0.001")
+    assert len(found) == 3 * len(quality.SUITE)
+    assert all("/bronze/" in name for files in found[len(quality.SUITE) :] for name in files)
