@@ -13,6 +13,8 @@ pass.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from martwright.functions.columns import named
@@ -77,19 +79,30 @@ def _merged(
         if set(columns) != set(new.columns):
             raise ValueError(f"{path} has the columns {columns}, the batch {new.columns}")
         new = new.select(*[named(column) for column in columns])
-    brought = {str(part): rows for part, rows in new.groupBy(_part(key, of)).count().collect()}
-    staying = {part: _staying([at[1] for at in base.runs(part)], rows) for part, rows in brought.items()} if base else {}
-    if base:
-        new = versions.part_rows(spark, path, base, brought, staying).unionByName(new)
-    return versions.replace_parts(
-        smallest_per_key(new, key).withColumn(versions.PART, _part(key, of)),
-        path,
-        brought,
-        of,
-        base,
-        {"batch": batch_id} if batch_id else None,
-        after=staying,
-    )
+    if not base:
+        return _replaced(new, path, key, of, None, (), {}, batch_id)
+    new = new.persist()  # counted first, merged then
+    try:
+        brought = {str(part): rows for part, rows in new.groupBy(_part(key, of)).count().collect()}
+        staying = {part: _staying([at[1] for at in base.runs(part)], rows) for part, rows in brought.items()}
+        old = versions.part_rows(spark, path, base, brought, staying)
+        return _replaced(old.unionByName(new), path, key, of, base, brought, staying, batch_id)
+    finally:
+        new.unpersist()
+
+
+def _replaced(
+    rows: DataFrame,
+    path: str,
+    key: list[str],
+    of: int,
+    base: versions.Version | None,
+    parts: Iterable[str],
+    staying: Mapping[str, int],
+    batch_id: str,
+) -> versions.Version:
+    dealt = smallest_per_key(rows, key).withColumn(versions.PART, _part(key, of))
+    return versions.replace_parts(dealt, path, parts, of, base, {"batch": batch_id} if batch_id else None, after=staying)
 
 
 def _staying(folders: list[int], rows: int) -> int:

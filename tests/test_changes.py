@@ -70,6 +70,17 @@ def test_many_batches_do_not_write_every_row_again(spark, tmp_path, monkeypatch,
     assert not again.later and again.rows <= version.rows
 
 
+def test_a_batch_is_made_once(spark, tmp_path):
+    """Its rows are counted per part and then merged; a first batch is not counted at all."""
+    layout, made = Layout(str(tmp_path)), spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda city: made.add(1) or city)
+    for number in range(2):
+        batch = customers(spark, *[(f"c{number}{i}", "u", "x") for i in range(100)])
+        batch = batch.withColumn("customer_city", seen("customer_city"))
+        changes.apply_batch(spark, layout, "customers", batch, parts=2)
+    assert made.value == 200
+
+
 def test_folders_that_stay():
     """Each is larger than what comes after it; small ones never stay."""
     assert changes._staying([100_000, 40_000], 30_000) == 2

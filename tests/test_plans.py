@@ -192,3 +192,10 @@ def test_runs_of_the_rule_history_start_from_the_first(spark, monkeypatch):
     QUERIES["rule_history"](spark, "/root/testdata/sf0.001")
     assert len(found) == 3 * len(quality.SUITE)
     assert all("/bronze/" in name for files in found[len(quality.SUITE) :] for name in files)
+
+
+def test_batches_are_shaped_once(spark, monkeypatch):
+    found = inputs_of(monkeypatch, "apply_batch", 3)
+    QUERIES["silver_merged"](spark, "/root/testdata/sf0.001")
+    assert len(found) == queries.BATCHES * len(queries.MERGED)
+    assert all("/landed/" in name for files in found for name in files)
