@@ -1,12 +1,15 @@
 import csv
 import datetime as dt
 import random
+import threading
 from decimal import Decimal
 
 import pytest
 
 from martwright.plans.datasets import DATASETS
+from martwright.sources.layout import Layout
 from martwright.sources.raw_csv import read_raw
+from martwright.testing import queries
 from tests.conftest import rows
 
 
@@ -115,3 +118,24 @@ def test_written_records_come_back(spark, tmp_path, line_end):
                 out.writerow([f"r{part}-{i}", f"o{i}", i % 7, "t", text])
                 expected.append((f"r{part}-{i}", f"o{i}", i % 7, "t", text or None))
     assert rows(read_raw(spark, str(tmp_path), DATASETS["reviews"])) == sorted(expected, key=repr)
+
+
+def test_raw_files_are_written_several_at_a_time(tmp_path):
+    """Each of four writes ends only when the others have begun."""
+    together = threading.Barrier(4, timeout=20)
+
+    class Waiting:
+        def raw(self, name):
+            return self
+
+        @property
+        def write(self):
+            return self
+
+        def options(self, **_):
+            return self
+
+        def csv(self, path):
+            together.wait()
+
+    queries._raw_files(Layout(str(tmp_path)), Waiting(), "orders", "sellers", "products", "payments")
