@@ -101,3 +101,20 @@ def test_chunk_numbers_are_gathered_in_one_shuffle_per_table(spark, conf):
     assert len(rows(out)) == 81
     # each table by its key and by its cells, and the chunk numbers of either table, once for each side that they meet
     assert exchanges(out) <= 10
+
+
+def test_looking_for_a_wide_key_ends_with_the_first(spark, conf):
+    """Rows per key are summed until one key has too many, not for every key; the rows are counted without a shuffle."""
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "64")
+    part = Details(spark.range(0, 3000, 1, 2).selectExpr("id % 500 as k", "id div 500 as n"), "n")
+    spark.sparkContext.setJobGroup("wide", "wide")
+    try:
+        found = joins.oversized_keys([part], "k", 2)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert set(found) == {0}
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("wide")]
+    stages = [tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds]
+    assert jobs and sum(stage.numTasks for stage in stages if stage) < 64
